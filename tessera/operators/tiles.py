@@ -1,0 +1,86 @@
+"""Hash-blocked tiles for the two quadratic kernels.
+
+Points get a block id ``blk = pmod(xxhash64(id), B)``; ids are unique, so
+blocks are balanced whatever the data (no hot key can form).  The upper
+triangle of block pairs (bi <= bj) is formed by an *equi* cogroup on
+(bi, bj): the left side sends each point of block b to tiles (b, b..B-1),
+the right side sends it to tiles (0..b-1, b).  Each tile meets two bounded
+blocks in one ``applyInPandas`` call, computes its pairs in NumPy and emits
+only per-point results (top-k candidates or partial sums) -- never the pairs
+themselves.  Each pair of points is computed exactly once; both directions
+are emitted from that one computation.
+
+Shuffle volume is n * B point copies; with B = ceil(n / block_rows) the
+per-tile memory stays bounded by ``block_rows`` no matter how large n is.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.session import default_parallelism
+
+
+_RIGHT = "__r"
+MIN_BLOCK_ROWS = 1024
+
+
+def plan_blocks(n: int, block_rows: int, parallelism: int) -> int:
+    """Number of blocks: enough for bounded tiles and for all cores."""
+    by_size = max(1, math.ceil(n / max(1, block_rows)))
+    # B(B+1)/2 tiles should cover the cores twice, but only while a block
+    # keeps enough rows (MIN_BLOCK_ROWS) for the NumPy work to outweigh the
+    # per-task cost; small inputs run as a few large tiles.
+    by_cores = max(1, math.ceil((math.sqrt(16 * parallelism + 1) - 1) / 2))
+    by_cores = min(by_cores, max(1, n // MIN_BLOCK_ROWS))
+    return max(by_size, by_cores)
+
+
+def with_block(df: DataFrame, id_col: str, num_blocks: int) -> DataFrame:
+    return df.withColumn("blk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(num_blocks)).cast("int"))
+
+
+def tile_cogroup(points: DataFrame, id_col: str, value_cols: list[str], num_blocks: int,
+                 fn, schema: str) -> DataFrame:
+    """Run ``fn(key, left_pdf, right_pdf)`` once per tile (bi <= bj).
+
+    ``right_pdf`` is empty on diagonal tiles (bi == bj); the function then
+    pairs the left block with itself.
+    """
+    B = num_blocks
+    pts = with_block(points.select(id_col, *value_cols), id_col, B)
+    cols = [id_col, *value_cols]
+    left = pts.select(F.col("blk").alias("bi"),
+                      F.explode(F.sequence(F.col("blk"), F.lit(B - 1))).alias("bj"), *cols)
+    # The right side gets fresh column names: both sides come from one
+    # DataFrame, and shared attribute ids let the optimizer prune the
+    # right side's columns away.
+    right = (pts.where(F.col("blk") > 0)
+             .select(F.explode(F.sequence(F.lit(0), F.col("blk") - 1)).alias("bi"),
+                     F.col("blk").alias("bj"), *[F.col(c).alias(c + _RIGHT) for c in cols]))
+    # One partition per tile on both sides, fixed by number so AQE keeps the
+    # tiles spread over the cores (the work is compute, not bytes).
+    n_tiles = B * (B + 1) // 2
+    parts = max(1, n_tiles)
+    left = left.repartition(parts, "bi", "bj")
+    right = right.repartition(parts, "bi", "bj")
+    def run(key, lpdf, rpdf):
+        rpdf = rpdf.rename(columns=lambda c: c[: -len(_RIGHT)] if c.endswith(_RIGHT) else c)
+        return fn(key, lpdf, rpdf)
+
+    return left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj")).applyInPandas(run, schema)
+
+
+def count_rows(df: DataFrame) -> int:
+    return df.count()
+
+
+def blocks_for(df: DataFrame, n: int | None, block_rows: int) -> tuple[int, int]:
+    """(n, B) for a point table; counts it when n is not known."""
+    if n is None:
+        n = count_rows(df)
+    spark = df.sparkSession
+    return n, plan_blocks(n, block_rows, default_parallelism(spark))
