@@ -172,7 +172,7 @@ def q_cells_to_vectors(spark, sf):
 
 
 def q_transpose_affinity(spark, sf):
-    return aff.transpose(_p_ex(spark, sf)).select("i", "j", rnd("p", 12).alias("p"))
+    return aff.transpose(_p_ex(spark, sf)).select("i", "j", rnd("p", 10).alias("p"))
 
 
 def q_center_columns(spark, sf):
@@ -181,16 +181,16 @@ def q_center_columns(spark, sf):
 
 
 def q_affinity_with_diagonal(spark, sf):
-    return aff.with_diagonal(_p_ex(spark, sf), INTENDED.diagonal_value).select("i", "j", rnd("p", 12).alias("p"))
+    return aff.with_diagonal(_p_ex(spark, sf), INTENDED.diagonal_value).select("i", "j", rnd("p", 10).alias("p"))
 
 
 def q_affinity_floor(spark, sf):
-    return aff.floor_values(_p_ex(spark, sf)).select("i", "j", rnd("p", 12).alias("p"))
+    return aff.floor_values(_p_ex(spark, sf)).select("i", "j", rnd("p", 10).alias("p"))
 
 
 def q_exaggerate_affinity(spark, sf):
     p = _p(spark, sf)
-    return p.select("i", "j", rnd("p", 12).alias("p"), rnd(F.col("p") * F.lit(EXAGGERATION), 12).alias("p_ex"))
+    return p.select("i", "j", rnd("p", 10).alias("p"), rnd(F.col("p") * F.lit(EXAGGERATION), 10).alias("p_ex"))
 
 
 # ---------------------------------------------------------------- joins / pairs
@@ -216,12 +216,12 @@ def q_kernel_normalizer(spark, sf):
 
 def q_embedding_affinity(spark, sf):
     e = edge_affinity(_p(spark, sf), _y0(spark, sf), K, _z0(spark, sf), floor_q=True)
-    return e.select("i", "j", rnd("num", 12).alias("num"), rnd("q", 15).alias("q"))
+    return e.select("i", "j", rnd("num", 10).alias("num"), rnd("q", 14).alias("q"))
 
 
 def q_pq_residual_graph(spark, sf):
     e = edge_affinity(_p(spark, sf), _y0(spark, sf), K, _z0(spark, sf)).join(_p_ex(spark, sf), ["i", "j"])
-    return e.select("i", "j", rnd(F.col("p") - F.col("q"), 12).alias("pq"))
+    return e.select("i", "j", rnd(F.col("p") - F.col("q"), 10).alias("pq"))
 
 
 def q_gradient_terms(spark, sf):
@@ -293,7 +293,7 @@ def q_knn_topk(spark, sf):
 
 
 def q_symmetrize_affinity(spark, sf):
-    return aff.symmetrize(_cond(spark, sf)).select("i", "j", rnd("p", 12).alias("p"))
+    return aff.symmetrize(_cond(spark, sf)).select("i", "j", rnd("p", 10).alias("p"))
 
 
 def q_affinity_total(spark, sf):
@@ -341,11 +341,11 @@ def q_perplexity_beta(spark, sf):
 
 
 def q_conditional_affinity(spark, sf):
-    return _cond(spark, sf).select("i", "j", rnd("p", 12).alias("p"))
+    return _cond(spark, sf).select("i", "j", rnd("p", 10).alias("p"))
 
 
 def q_joint_affinity_knn(spark, sf):
-    return _p_ex(spark, sf).select("i", "j", rnd("p", 12).alias("p"))
+    return _p_ex(spark, sf).select("i", "j", rnd("p", 10).alias("p"))
 
 
 def q_covariance(spark, sf):

@@ -178,14 +178,14 @@ def build() -> dict[str, str]:
     q["perplexity_beta"] = with_(V, PAIRS, KNN, LISTS, SEARCH, FINAL) + (
         f"SELECT i, {r('beta', 12)} AS beta, {r('h', 9)} AS h, tries, converged FROM final")
     pchain = with_(*P_CHAIN)
-    q["conditional_affinity"] = pchain + f"SELECT i, j, {r('p', 12)} AS p FROM cond"
-    q["symmetrize_affinity"] = pchain + f"SELECT i, j, {r('p', 12)} AS p FROM sym"
+    q["conditional_affinity"] = pchain + f"SELECT i, j, {r('p', 10)} AS p FROM cond"
+    q["symmetrize_affinity"] = pchain + f"SELECT i, j, {r('p', 10)} AS p FROM sym"
     q["affinity_total"] = pchain + f"SELECT {r('sum(p)', 9)} AS total, count(*) AS n_entries FROM sym"
-    q["joint_affinity_knn"] = pchain + f"SELECT i, j, {r('p', 12)} AS p FROM pex"
-    q["transpose_affinity"] = pchain + f"SELECT j AS i, i AS j, {r('p', 12)} AS p FROM pex"
-    q["affinity_floor"] = pchain + f"SELECT i, j, {r('greatest(p, 1e-12)', 12)} AS p FROM pex"
-    q["exaggerate_affinity"] = pchain + f"SELECT i, j, {r('p', 12)} AS p, {r(f'p * {EX}', 12)} AS p_ex FROM pj"
-    q["affinity_with_diagonal"] = pchain + (f"SELECT DISTINCT i, j, {r('p', 12)} AS p FROM (SELECT i, j, p FROM pex "
+    q["joint_affinity_knn"] = pchain + f"SELECT i, j, {r('p', 10)} AS p FROM pex"
+    q["transpose_affinity"] = pchain + f"SELECT j AS i, i AS j, {r('p', 10)} AS p FROM pex"
+    q["affinity_floor"] = pchain + f"SELECT i, j, {r('greatest(p, 1e-12)', 10)} AS p FROM pex"
+    q["exaggerate_affinity"] = pchain + f"SELECT i, j, {r('p', 10)} AS p, {r(f'p * {EX}', 10)} AS p_ex FROM pj"
+    q["affinity_with_diagonal"] = pchain + (f"SELECT DISTINCT i, j, {r('p', 10)} AS p FROM (SELECT i, j, p FROM pex "
                                             "UNION ALL SELECT DISTINCT i, i AS j, 1e-12 AS p FROM pex)")
     q["matrix_profile"] = pchain + ("SELECT count(*) AS n_entries, max(i) AS max_i, max(j) AS max_j, "
                                     f"count(DISTINCT i) AS n_rows, {r('sum(p)', 9)} AS p_sum FROM "
@@ -198,9 +198,9 @@ def build() -> dict[str, str]:
                                         f"{r('sum(num * num * dy1)', 9)} AS rep1 FROM ky GROUP BY i")
     q["kernel_normalizer"] = ybase + f"SELECT {r('z', 6)} AS z FROM z0"
     pyk = with_(*P_CHAIN, Y0, KY, Z0)
-    q["embedding_affinity"] = pyk + (f"SELECT k.i, k.j, {r('k.num', 12)} AS num, {r('greatest(k.num / z0.z, 1e-12)', 15)} AS q "
+    q["embedding_affinity"] = pyk + (f"SELECT k.i, k.j, {r('k.num', 10)} AS num, {r('greatest(k.num / z0.z, 1e-12)', 14)} AS q "
                                      "FROM ky k JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN z0")
-    q["pq_residual_graph"] = pyk + (f"SELECT k.i, k.j, {r(f'pj.p * {EX} - k.num / z0.z', 12)} AS pq "
+    q["pq_residual_graph"] = pyk + (f"SELECT k.i, k.j, {r(f'pj.p * {EX} - k.num / z0.z', 10)} AS pq "
                                     "FROM ky k JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN z0")
     wg = f"(pj.p * {EX} - k.num / z0.z) * k.num"
     q["gradient_terms"] = pyk + (f"SELECT k.i, k.j, {r(f'{wg} * k.dy0', 12)} AS t0, {r(f'{wg} * k.dy1', 12)} AS t1 "
