@@ -106,3 +106,55 @@ def recenter(df: DataFrame, k: int, means: list[float] | None = None) -> DataFra
         means = column_means(df, ycols(k))
     shift = {f"y{c}": means[c] for c in range(k)}
     return df.select(*[(F.col(n) - F.lit(shift[n])).alias(n) if n in shift else F.col(n) for n in df.columns])
+
+
+def _d(x: float) -> str:
+    """A double literal for Spark SQL (plain decimals parse as DECIMAL)."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
+def update_sql(k: int, z: float, exaggeration: float, floor_p: bool, repulsion: str,
+               momentum: float, lr: float, min_gain: float) -> str:
+    """One descent iteration (K6-K9, un-centred) as a single Spark SQL statement.
+
+    Views: {state} (row_id, y*, m*, g*), {p} (i, j, p normalised joint P),
+    {rows} (row_id, zrow, rep*) from the tiles.  Same arithmetic, in the
+    same order, as ``gradient`` + ``step``; built as text so that the driver
+    parses and analyses one statement per iteration.
+    """
+    rng = range(k)
+    pe = f"p.p * {_d(exaggeration)}"
+    if floor_p:
+        pe = f"greatest({pe}, {_d(1e-12)})"
+    d2 = "0.0D"
+    for c in rng:
+        d2 = f"({d2} + dy{c} * dy{c})"
+    if repulsion == "graph":
+        w = f"(pe - num / {_d(z)}) * num"
+    else:
+        w = "pe * num"
+    dys = ", ".join(f"yi.y{c} - yj.y{c} AS dy{c}" for c in rng)
+    sums = ", ".join(f"SUM(w * dy{c}) AS a{c}" for c in rng)
+    if repulsion == "full":
+        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) - COALESCE(r.rep{c}, 0.0D) / {_d(z)} AS dy{c}" for c in rng)
+    else:
+        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) AS dy{c}" for c in rng)
+    gains = ", ".join(
+        f"greatest({_d(min_gain)}, CASE WHEN (dy{c} > 0.0D) <> (m{c} > 0.0D) THEN g{c} + {_d(0.2)} "
+        f"ELSE g{c} * {_d(0.8)} END) AS gn{c}" for c in rng)
+    mom = {c: f"({_d(momentum)} * m{c} - {_d(lr)} * gn{c} * dy{c})" for c in rng}
+    out = ", ".join([*(f"y{c} + {mom[c]} AS y{c}" for c in rng), *(f"{mom[c]} AS m{c}" for c in rng),
+                     *(f"gn{c} AS g{c}" for c in rng)])
+    ycols_ = ", ".join(f"y{c}" for c in rng)
+    return f"""
+WITH yv AS (SELECT row_id, {ycols_} FROM {{state}}),
+e AS (SELECT p.i, {dys}, {pe} AS pe FROM {{p}} p JOIN yv yj ON p.j = yj.row_id JOIN yv yi ON p.i = yi.row_id),
+en AS (SELECT i, {", ".join(f"dy{c}" for c in rng)}, pe, 1.0D / (1.0D + {d2}) AS num FROM e),
+att AS (SELECT i, {sums} FROM (SELECT i, {", ".join(f"dy{c}" for c in rng)}, {w} AS w FROM en) GROUP BY i),
+g AS (SELECT s.row_id, {grad} FROM {{state}} s LEFT JOIN att ON s.row_id = att.i LEFT JOIN {{rows}} r ON s.row_id = r.row_id),
+u AS (SELECT s.row_id, {ycols_}, {", ".join(f"s.m{c} AS m{c}" for c in rng)}, {", ".join(f"s.g{c} AS g{c}" for c in rng)},
+             {", ".join(f"g.dy{c} AS dy{c}" for c in rng)}
+      FROM {{state}} s JOIN g ON s.row_id = g.row_id),
+v AS (SELECT row_id, {ycols_}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"dy{c}" for c in rng)}, {gains} FROM u)
+SELECT row_id, {out} FROM v
+"""

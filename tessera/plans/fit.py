@@ -1,10 +1,10 @@
 """The full embedding (K10) and the end-to-end pipeline.
 
 A driver loop builds one plan per iteration.  The loop-carried state (n
-rows) is cut with a reliable ``checkpoint()`` into the session's checkpoint
-folder every iteration, so lineage never grows and a lost executor costs
-at most one iteration of recomputation.  Per iteration the driver receives
-only Z and the k column means.
+rows) is written as a table into the session's checkpoint folder every
+iteration, so lineage never grows and a lost executor costs at most one
+iteration of recomputation.  Per iteration the driver receives only the
+scalar Z.
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import affinity as aff
-from tessera.operators.descent import column_means, gradient, initial_state, recenter, step, ycols
+from tessera.operators.descent import initial_state, recenter, update_sql, ycols
 from tessera.operators.kernel import kernel_row_sums, normalizer
 from tessera.operators.linalg import pca_project
 from tessera.operators.neighbours import knn
 from tessera.params import INTENDED, TsneParams
-from tessera.session import cut_lineage, ensure_checkpoint_dir
+from tessera.session import cut_lineage, drop_table, ensure_checkpoint_dir, write_table
 from tessera.sources.grid import normal_columns
 from tessera.sources.vectors import require_valid
 from tessera.sinks import write_snapshot
@@ -64,23 +64,34 @@ class FitResult:
 
 def descend(p: DataFrame, y0: DataFrame, n: int, params: TsneParams = INTENDED,
             snapshot_path: str | None = None, max_iter: int | None = None) -> FitResult:
-    """Run the momentum descent from ``y0`` (row_id, y0..) on joint P."""
+    """Run the momentum descent from ``y0`` (row_id, y0..) on joint P.
+
+    Two jobs per iteration: the tiled kernel pass (its action is the scalar
+    Z) and the update, written as the next state table.  Centring (K9)
+    commutes with the update -- the kernel and the gradient only see
+    differences y_i - y_j, and momentum and gains never read y -- so the
+    state carries un-centred y and every emitted frame (snapshots, result)
+    subtracts its column means.
+    """
+    spark = p.sparkSession
     k = params.k
     iters = params.max_iter if max_iter is None else max_iter
-    state = cut_lineage(initial_state(y0, k).repartition("row_id"))
+    state, path = write_table(initial_state(y0, k), "state")
     for it in range(iters):
         ex = params.exaggeration if (params.stop_exaggeration_at is None or it < params.stop_exaggeration_at) else 1.0
         mu = params.initial_momentum if it < params.momentum_switch_iter else params.final_momentum
         y = state.select("row_id", *ycols(k))
         rows = kernel_row_sums(y, k, params.block_rows, n).persist(StorageLevel.MEMORY_AND_DISK)
         z = normalizer(rows)
-        g = gradient(p, y, rows, k, z, ex, params.floor_p, params.repulsion)
-        raw = cut_lineage(step(state, g, k, mu, params.lr, params.min_gain))
+        sql = update_sql(k, z, ex, params.floor_p, params.repulsion, mu, params.lr, params.min_gain)
+        new_state, new_path = write_table(spark.sql(sql, state=state, p=p, rows=rows), "state")
         rows.unpersist()
-        state = recenter(raw, k, column_means(raw, ycols(k)))
+        drop_table(spark, path)
+        state, path = new_state, new_path
         if snapshot_path and params.snapshot_every and (it + 1) % params.snapshot_every == 0:
-            write_snapshot(state.select("row_id", *ycols(k)), snapshot_path, it + 1)
-    return FitResult(y=state.select("row_id", *ycols(k)), state=state, p=p,
+            write_snapshot(recenter(state.select("row_id", *ycols(k)), k), snapshot_path, it + 1)
+    final = recenter(state, k)
+    return FitResult(y=final.select("row_id", *ycols(k)), state=final, p=p,
                      snapshot_path=snapshot_path, iterations=iters)
 
 

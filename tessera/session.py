@@ -87,3 +87,24 @@ def cut_lineage(df):
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def write_table(df, name: str = "table"):
+    """Materialise ``df`` as Parquet under the checkpoint folder and read it back.
+
+    One job (the write); the returned DataFrame has no lineage beyond the
+    files, which live in the shared checkpoint folder and so survive the
+    loss of any executor.  Returns (DataFrame, path).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark, path: str) -> None:
+    """Delete a folder written by ``write_table`` (Hadoop FileSystem API)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(p, True)
