@@ -151,10 +151,9 @@ WITH yv AS (SELECT row_id, {ycols_} FROM {{state}}),
 e AS (SELECT p.i, {dys}, {pe} AS pe FROM {{p}} p JOIN yv yj ON p.j = yj.row_id JOIN yv yi ON p.i = yi.row_id),
 en AS (SELECT i, {", ".join(f"dy{c}" for c in rng)}, pe, 1.0D / (1.0D + {d2}) AS num FROM e),
 att AS (SELECT i, {sums} FROM (SELECT i, {", ".join(f"dy{c}" for c in rng)}, {w} AS w FROM en) GROUP BY i),
-g AS (SELECT s.row_id, {grad} FROM {{state}} s LEFT JOIN att ON s.row_id = att.i LEFT JOIN {{rows}} r ON s.row_id = r.row_id),
-u AS (SELECT s.row_id, {ycols_}, {", ".join(f"s.m{c} AS m{c}" for c in rng)}, {", ".join(f"s.g{c} AS g{c}" for c in rng)},
-             {", ".join(f"g.dy{c} AS dy{c}" for c in rng)}
-      FROM {{state}} s JOIN g ON s.row_id = g.row_id),
-v AS (SELECT row_id, {ycols_}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"dy{c}" for c in rng)}, {gains} FROM u)
+g AS (SELECT s.row_id, {", ".join(f"s.y{c} AS y{c}" for c in rng)}, {", ".join(f"s.m{c} AS m{c}" for c in rng)},
+             {", ".join(f"s.g{c} AS g{c}" for c in rng)}, {grad}
+      FROM {{state}} s LEFT JOIN att ON s.row_id = att.i LEFT JOIN {{rows}} r ON s.row_id = r.row_id),
+v AS (SELECT row_id, {ycols_}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"dy{c}" for c in rng)}, {gains} FROM g)
 SELECT row_id, {out} FROM v
 """
