@@ -72,7 +72,7 @@ def _cond(spark, sf) -> DataFrame:
 
 def _p(spark, sf) -> DataFrame:
     """Normalised joint P (sums to 1), off-diagonal."""
-    return _memo(spark, sf, "p", lambda: cut_lineage(aff.joint_probabilities(_cond(spark, sf)).repartition("i")))
+    return _memo(spark, sf, "p", lambda: cut_lineage(aff.joint_probabilities(_cond(spark, sf))))
 
 
 def _p_ex(spark, sf) -> DataFrame:

@@ -45,7 +45,7 @@ def affinities(vectors: DataFrame, params: TsneParams = INTENDED, n: int | None
     search = cut_lineage(aff.beta_search(nn, params.perplexity, params.tol, params.max_tries))
     cond = aff.conditional_affinity(search)
     p = aff.joint_probabilities(cond)
-    p = cut_lineage(p.repartition("i"))
+    p = cut_lineage(p)
     return Affinities(p=p, search=search, n=n)
 
 

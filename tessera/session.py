@@ -36,6 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -108,3 +109,27 @@ def drop_table(spark, path: str) -> None:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.delete(p, True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``tessera`` importable in the Python workers (``--py-files`` style).
+
+    The tile and search functions run in executors' Python workers, which do
+    not share the driver's ``sys.path``; a zip of the package is added with
+    ``addPyFile`` once per application.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tessera-pyfiles-")
+    base = os.path.join(out_dir, "tessera")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="tessera")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
