@@ -1,0 +1,41 @@
+"""Frame limits over snapshots as the fit writes them (A10 as a stream).
+
+The live viewer of the original reads frames as they appear and rescales
+its axes.  The same data work here is a Structured Streaming aggregation
+over the snapshot folder: each new ``iter=N`` folder is a new file batch,
+and the per-iteration limits are kept in state (one row per iteration,
+so the state is bounded by the iteration count).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+
+def snapshot_stream(spark: SparkSession, path: str, k: int = 2) -> DataFrame:
+    """Streaming DataFrame of snapshot rows (iter, row_id, y0..)."""
+    schema = "row_id bigint, " + ", ".join(f"y{c} double" for c in range(k)) + ", iter int"
+    return spark.readStream.schema(schema).option("basePath", path).parquet(path)
+
+
+def frame_limits_stream(frames: DataFrame) -> DataFrame:
+    """Per-iteration largest |x| and |y| over a stream of frames."""
+    return frames.groupBy("iter").agg(F.max(F.abs("y0")).alias("xmax"), F.max(F.abs("y1")).alias("ymax"))
+
+
+def start_frame_limits(spark: SparkSession, path: str, checkpoint: str, query_name: str = "frame_limits",
+                       available_now: bool = False) -> StreamingQuery:
+    """Start the limits query into an in-memory table named ``query_name``.
+
+    ``checkpoint`` is the streaming query's own checkpoint folder (shared
+    storage on a cluster).  Read the table with ``spark.table(query_name)``
+    and apply ``trajectory.running_frame_limits`` for the running maximum.
+    """
+    q = (frame_limits_stream(snapshot_stream(spark, path))
+         .writeStream.outputMode("complete").format("memory").queryName(query_name)
+         .option("checkpointLocation", checkpoint))
+    if available_now:
+        q = q.trigger(availableNow=True)
+    return q.start()

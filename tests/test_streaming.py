@@ -1,0 +1,27 @@
+"""Frame limits from a snapshot stream equal the batch limits."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from tessera.operators.trajectory import frame_limits
+from tessera.sinks import write_snapshot
+from tessera.sources.grid import normal_columns
+from tessera.sources.vectors import read_snapshots
+from tessera.streaming.frames import start_frame_limits
+
+
+def test_stream_limits_match_batch(spark, vectors):
+    snap = tempfile.mkdtemp(prefix="tessera-snap-")
+    ckpt = tempfile.mkdtemp(prefix="tessera-sckpt-")
+    ids = vectors.select("row_id")
+    for it in (1, 2):
+        write_snapshot(normal_columns(ids, 2, it), snap, it)
+    q = start_frame_limits(spark, snap, ckpt, "fl_test")
+    q.processAllAvailable()
+    write_snapshot(normal_columns(ids, 2, 3).select("row_id", (F.col("y0") * 3).alias("y0"), "y1"), snap, 3)
+    q.processAllAvailable()
+    got = {r.iter: (r.xmax, r.ymax) for r in spark.table("fl_test").collect()}
+    q.stop()
+    want = {r.iter: (r.xmax, r.ymax) for r in frame_limits(read_snapshots(spark, snap)).collect()}
+    assert got == want and sorted(got) == [1, 2, 3]
