@@ -20,6 +20,7 @@ from tessera.operators import descent as ds
 from tessera.operators.kernel import edge_affinity, kernel_row_sums, normalizer
 from tessera.operators.linalg import center, column_means, covariance, pca_project, vector_norms
 from tessera.operators.neighbours import knn, neighbour_lists
+from tessera.operators.quality import kl_divergence, neighbour_preservation
 from tessera.operators.stats import pair_row_stats
 from tessera.operators.trajectory import frame_limits, label_join, running_frame_limits
 from tessera.params import INTENDED
@@ -375,8 +376,23 @@ def q_pca_project(spark, sf):
 
 
 def q_tsne_fit_3(spark, sf):
-    r = descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), INTENDED, max_iter=FIT_ITERS)
-    return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
+    return _fit3(spark, sf).select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
+
+
+def _fit3(spark, sf) -> DataFrame:
+    return _memo(spark, sf, "fit3", lambda: cut_lineage(
+        descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), INTENDED, max_iter=FIT_ITERS).y))
+
+
+def q_kl_divergence(spark, sf):
+    """Extra E3: KL(P || Q) after three iterations."""
+    return kl_divergence(_p(spark, sf), _fit3(spark, sf), K, _n(spark, sf)).select(rnd("kl", 9).alias("kl"))
+
+
+def q_neighbour_preservation(spark, sf):
+    """Extra E2: input-space top-10 neighbours kept in the embedding after three iterations."""
+    r = neighbour_preservation(_vectors(spark, sf), _fit3(spark, sf), K, _n(spark, sf), 10)
+    return r.select("i", "kept", rnd("share", 9).alias("share"))
 
 
 def q_embed_pipeline(spark, sf):
@@ -439,4 +455,7 @@ QUERIES = {
     "pca_project": q_pca_project,
     "tsne_fit_3": q_tsne_fit_3,
     "embed_pipeline": q_embed_pipeline,
+    # extras (not in the original job): quality of the embedding
+    "kl_divergence": q_kl_divergence,
+    "neighbour_preservation": q_neighbour_preservation,
 }

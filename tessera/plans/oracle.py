@@ -227,6 +227,20 @@ def build() -> dict[str, str]:
                                      "FROM snap s JOIN embeddings e ON s.row_id = e.vec_id")
     q["snapshot_name_order"] = ("SELECT 'exportIter_' || CAST(it AS VARCHAR) AS name, CAST(it AS INTEGER) AS iter_no "
                                 "FROM (SELECT DISTINCT it FROM embeddings, range(1, 4) t(it))")
+    fit3 = with_(*P_CHAIN, *fit_ctes(3))
+    yk = ("y3k AS (SELECT a.row_id AS i, b.row_id AS j, 1.0 / (1.0 + ((a.y0 - b.y0) * (a.y0 - b.y0) + "
+          "(a.y1 - b.y1) * (a.y1 - b.y1))) AS num, (a.y0 - b.y0) * (a.y0 - b.y0) + (a.y1 - b.y1) * (a.y1 - b.y1) AS d "
+          "FROM s3 a JOIN s3 b ON a.row_id <> b.row_id)")
+    q["kl_divergence"] = fit3[:-1] + ",\n" + yk + "\n" + (
+        f"SELECT {r('sum(pj.p * ln(pj.p / (k.num / z.z)))', 9)} AS kl FROM y3k k JOIN pj ON k.i = pj.i AND k.j = pj.j "
+        "CROSS JOIN (SELECT sum(num) AS z FROM y3k) z WHERE pj.p > 0")
+    q["neighbour_preservation"] = fit3[:-1] + ",\n" + yk + ",\n" + (
+        "hi AS (SELECT i, j FROM (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rk FROM pairs) "
+        "WHERE rk <= 10),\n"
+        "lo AS (SELECT i, j FROM (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rk FROM y3k) "
+        "WHERE rk <= 10)\n"
+        f"SELECT hi.i, count(lo.j) AS kept, {r('count(lo.j) / 10.0', 9)} AS share FROM hi LEFT JOIN lo "
+        "ON hi.i = lo.i AND hi.j = lo.j GROUP BY hi.i")
     return q
 
 
