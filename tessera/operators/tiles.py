@@ -25,6 +25,7 @@ from tessera.session import default_parallelism
 
 
 MIN_BLOCK_ROWS = 1024
+MAX_TILE_WAVES = 4
 
 
 def plan_blocks(n: int, block_rows: int, parallelism: int) -> int:
@@ -60,10 +61,12 @@ def tile_cogroup(points: DataFrame, id_col: str, value_cols: list[str], num_bloc
     left = pts.selectExpr("blk AS bi", f"explode(sequence(blk, {B - 1})) AS bj", "CAST(0 AS TINYINT) AS side", *cols)
     right = pts.where("blk > 0").selectExpr("explode(sequence(0, blk - 1)) AS bi", "blk AS bj",
                                             "CAST(1 AS TINYINT) AS side", *cols)
-    # One partition per tile, fixed by number so AQE keeps the tiles spread
-    # over the cores (the work is compute, not bytes).
-    parts = max(1, B * (B + 1) // 2)
-    both = left.unionByName(right).repartition(parts, "bi", "bj")
+    # One partition per tile up to a few waves of the cluster's cores, fixed
+    # by number so AQE does not merge compute-heavy tiles by their (small)
+    # byte size; beyond that, tiles share tasks and run one group at a time.
+    n_tiles = B * (B + 1) // 2
+    cap = max(1, MAX_TILE_WAVES * default_parallelism(points.sparkSession))
+    both = left.unionByName(right).repartition(max(1, min(n_tiles, cap)), "bi", "bj")
 
     def run(pdf):
         key = (int(pdf["bi"].iat[0]), int(pdf["bj"].iat[0]))

@@ -73,20 +73,15 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def cut_lineage(df):
-    """Reliable checkpoint that computes the plan once.
+def cut_lineage(df, name: str = "cut"):
+    """Cut the lineage of ``df`` by writing it as a table in the checkpoint folder.
 
-    ``Dataset.checkpoint`` runs the plan for its eager count and again to
-    write the files; persisting first makes the second pass a cache read.
-    The files land in the session's checkpoint folder (shared storage on a
-    cluster), so the result survives the loss of any executor.
+    One job (the Parquet write); the result reads the files back with the
+    known schema (no inference job).  The folder is the session's
+    ``spark.checkpoint.dir`` -- shared storage on a cluster -- so the data
+    survives the loss of any executor.
     """
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
+    out, _ = write_table(df, name)
     return out
 
 
