@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.affinity import P_FLOOR
-from tessera.operators.kernel import edge_kernel
+from tessera.operators.kernel import divisor, edge_kernel
 
 
 def ycols(k: int) -> list[str]:
@@ -38,6 +38,7 @@ def gradient_terms(edges: DataFrame, y: DataFrame, k: int, z: float, exaggeratio
     full:  t = p * num * (y_i - y_j)            (repulsion over all pairs added per point)
     """
     e = edge_kernel(edges.select("i", "j", "p"), y, k)
+    z = divisor(z)
     pe = effective_p(F.col("p"), exaggeration, floor_p)
     w = (pe - F.col("num") / F.lit(z)) * F.col("num") if repulsion == "graph" else pe * F.col("num")
     return e.select("i", "j", *[(w * F.col(f"dy{c}")).alias(f"t{c}") for c in range(k)])
@@ -51,6 +52,7 @@ def gradient(edges: DataFrame, y: DataFrame, row_sums: DataFrame, k: int, z: flo
     (``full``), or entirely over the edges (``graph``).  Per-point sums use
     partial aggregation (A7); points with no edge get 0 attraction.
     """
+    z = divisor(z)
     t = gradient_terms(edges, y, k, z, exaggeration, floor_p, repulsion)
     att = t.groupBy("i").agg(*[F.sum(f"t{c}").alias(f"a{c}") for c in range(k)])
     g = y.select("row_id").join(att.withColumnRenamed("i", "row_id"), "row_id", "left")
@@ -123,6 +125,7 @@ def update_sql(k: int, z: float, exaggeration: float, floor_p: bool, repulsion:
     parses and analyses one statement per iteration.
     """
     rng = range(k)
+    z = divisor(z)
     pe = f"p.p * {_d(exaggeration)}"
     if floor_p:
         pe = f"greatest({pe}, {_d(1e-12)})"

@@ -101,6 +101,12 @@ def normalizer(row_sums: DataFrame) -> float:
     return float(v) if v is not None else 0.0
 
 
+def divisor(z: float) -> float:
+    """Z as a divisor: with fewer than two points there are no pairs, every
+    numerator it divides is 0, and 1.0 avoids an ANSI divide-by-zero."""
+    return z if z > 0.0 else 1.0
+
+
 def edge_kernel(edges: DataFrame, y: DataFrame, k: int) -> DataFrame:
     """Attach y_i, y_j, num_ij and the differences to each edge (i, j, ...).
 
@@ -121,7 +127,7 @@ def edge_kernel(edges: DataFrame, y: DataFrame, k: int) -> DataFrame:
 def edge_affinity(edges: DataFrame, y: DataFrame, k: int, z: float, floor_q: bool = False) -> DataFrame:
     """q_ij = num_ij / Z on the edges of P (K5 on the support of P): (i, j, num, q)."""
     e = edge_kernel(edges.select("i", "j"), y, k)
-    q = F.col("num") / F.lit(z)
+    q = F.col("num") / F.lit(divisor(z))
     if floor_q:
         q = F.greatest(q, F.lit(1e-12))
     return e.select("i", "j", "num", q.alias("q"))
