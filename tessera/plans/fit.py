@@ -63,7 +63,8 @@ class FitResult:
 
 
 def descend(p: DataFrame, y0: DataFrame, n: int, params: TsneParams = INTENDED,
-            snapshot_path: str | None = None, max_iter: int | None = None) -> FitResult:
+            snapshot_path: str | None = None, max_iter: int | None = None,
+            on_iteration=None) -> FitResult:
     """Run the momentum descent from ``y0`` (row_id, y0..) on joint P.
 
     Two jobs per iteration: the tiled kernel pass (its action is the scalar
@@ -90,6 +91,8 @@ def descend(p: DataFrame, y0: DataFrame, n: int, params: TsneParams = INTENDED,
         state, path = new_state, new_path
         if snapshot_path and params.snapshot_every and (it + 1) % params.snapshot_every == 0:
             write_snapshot(recenter(state.select("row_id", *ycols(k)), k), snapshot_path, it + 1)
+        if on_iteration is not None:
+            on_iteration(it, z)
     final = recenter(state, k)
     return FitResult(y=final.select("row_id", *ycols(k)), state=final, p=p,
                      snapshot_path=snapshot_path, iterations=iters)
