@@ -19,7 +19,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.session import default_parallelism
 
@@ -39,10 +38,6 @@ def plan_blocks(n: int, block_rows: int, parallelism: int) -> int:
     return max(by_size, by_cores)
 
 
-def with_block(df: DataFrame, id_col: str, num_blocks: int) -> DataFrame:
-    return df.withColumn("blk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(num_blocks)).cast("int"))
-
-
 def tile_cogroup(points: DataFrame, id_col: str, value_cols: list[str], num_blocks: int,
                  fn, schema: str) -> DataFrame:
     """Run ``fn(key, left_pdf, right_pdf)`` once per tile (bi <= bj).
@@ -78,13 +73,9 @@ def tile_cogroup(points: DataFrame, id_col: str, value_cols: list[str], num_bloc
     return both.groupBy("bi", "bj").applyInPandas(run, schema)
 
 
-def count_rows(df: DataFrame) -> int:
-    return df.count()
-
-
 def blocks_for(df: DataFrame, n: int | None, block_rows: int) -> tuple[int, int]:
     """(n, B) for a point table; counts it when n is not known."""
     if n is None:
-        n = count_rows(df)
+        n = df.count()
     spark = df.sparkSession
     return n, plan_blocks(n, block_rows, default_parallelism(spark))

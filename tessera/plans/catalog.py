@@ -9,8 +9,7 @@ session and sf folder and kept as checkpointed tables.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.entropy import entropy_at_beta
@@ -26,7 +25,7 @@ from tessera.operators.trajectory import frame_limits, label_join, running_frame
 from tessera.params import INTENDED
 from tessera.plans.fit import descend, embed_table
 from tessera.session import cut_lineage, scratch_path
-from tessera.sinks import write_snapshot, write_vector_text
+from tessera.sinks import write_vector_text
 from tessera.sources.grid import grid_zeros, init_normal, normal_columns
 from tessera.sources.vectors import read_labels, read_snapshots, read_vector_text, read_vectors
 

@@ -94,3 +94,20 @@ def test_covariance_symmetric(vectors):
     c = {(r.a, r.b): r.cov for r in covariance(vectors, 64).collect()}
     assert len(c) == 64 * 64
     assert all(c[(a, b)] == pytest.approx(c[(b, a)]) for a in range(64) for b in range(64))
+
+
+def test_numbered_lines_and_text_snapshot(spark, vectors):
+    from tessera.sinks import write_snapshot_text
+    from tessera.sources.grid import normal_columns
+    from tessera.sources.vectors import numbered_lines
+    d = _tmp()
+    y = normal_columns(vectors.select("row_id"), 2, 3)
+    write_snapshot_text(y, 2, os.path.join(d, "exportIter_1"))
+    lines = numbered_lines(spark, os.path.join(d, "exportIter_1", "part-*"))
+    got = {r.line_no: r.line for r in lines.collect()}
+    want = {r.row_id: f"{r.y0}, {r.y1}" for r in y.collect()}
+    assert len(got) == 500
+    for i in (0, 1, 250, 499):
+        a = [float(x) for x in got[i].split(", ")]
+        b = [float(x) for x in want[i].split(", ")]
+        assert a == b
