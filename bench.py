@@ -53,7 +53,7 @@ def main() -> None:
     q["kernel_pass"], _ = timed(lambda: normalizer(kernel_row_sums(y0, params.k, params.block_rows, n)))
     marks = [time.perf_counter()]
     t_fit, fit = timed(lambda: descend(aff.p, y0, n, params, max_iter=FIT_ITERS,
-                                       on_iteration=lambda it, z: marks.append(time.perf_counter())))
+                                       on_iteration=lambda it: marks.append(time.perf_counter())))
     fit.y.count()
     steps = sorted(b - a for a, b in zip(marks, marks[1:]))
     q[f"tsne_fit_{FIT_ITERS}"] = t_fit

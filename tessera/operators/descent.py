@@ -115,17 +115,19 @@ def _d(x: float) -> str:
     return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
-def update_sql(k: int, z: float, exaggeration: float, floor_p: bool, repulsion: str,
+def update_sql(k: int, z: float | None, exaggeration: float, floor_p: bool, repulsion: str,
                momentum: float, lr: float, min_gain: float) -> str:
     """One descent iteration (K6-K9, un-centred) as a single Spark SQL statement.
 
     Views: {state} (row_id, y*, m*, g*), {p} (i, j, p normalised joint P),
     {rows} (row_id, zrow, rep*) from the tiles.  Same arithmetic, in the
     same order, as ``gradient`` + ``step``; built as text so that the driver
-    parses and analyses one statement per iteration.
+    parses and analyses one statement per iteration.  With ``z=None`` the
+    normaliser is a scalar subquery over {rows} (cache it), so Z never
+    travels through the driver's Python side.
     """
     rng = range(k)
-    z = divisor(z)
+    zexpr = "(SELECT z FROM zz)" if z is None else _d(divisor(z))
     pe = f"p.p * {_d(exaggeration)}"
     if floor_p:
         pe = f"greatest({pe}, {_d(1e-12)})"
@@ -133,13 +135,13 @@ def update_sql(k: int, z: float, exaggeration: float, floor_p: bool, repulsion:
     for c in rng:
         d2 = f"({d2} + dy{c} * dy{c})"
     if repulsion == "graph":
-        w = f"(pe - num / {_d(z)}) * num"
+        w = f"(pe - num / {zexpr}) * num"
     else:
         w = "pe * num"
     dys = ", ".join(f"yi.y{c} - yj.y{c} AS dy{c}" for c in rng)
     sums = ", ".join(f"SUM(w * dy{c}) AS a{c}" for c in rng)
     if repulsion == "full":
-        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) - COALESCE(r.rep{c}, 0.0D) / {_d(z)} AS dy{c}" for c in rng)
+        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) - COALESCE(r.rep{c}, 0.0D) / {zexpr} AS dy{c}" for c in rng)
     else:
         grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) AS dy{c}" for c in rng)
     gains = ", ".join(
@@ -150,7 +152,8 @@ def update_sql(k: int, z: float, exaggeration: float, floor_p: bool, repulsion:
                      *(f"gn{c} AS g{c}" for c in rng)])
     ycols_ = ", ".join(f"y{c}" for c in rng)
     return f"""
-WITH yv AS (SELECT row_id, {ycols_} FROM {{state}}),
+WITH zz AS (SELECT CASE WHEN SUM(zrow) > 0.0D THEN SUM(zrow) ELSE 1.0D END AS z FROM {{rows}}),
+yv AS (SELECT row_id, {ycols_} FROM {{state}}),
 e AS (SELECT p.i, {dys}, {pe} AS pe FROM {{p}} p JOIN yv yj ON p.j = yj.row_id JOIN yv yi ON p.i = yi.row_id),
 en AS (SELECT i, {", ".join(f"dy{c}" for c in rng)}, pe, 1.0D / (1.0D + {d2}) AS num FROM e),
 att AS (SELECT i, {sums} FROM (SELECT i, {", ".join(f"dy{c}" for c in rng)}, {w} AS w FROM en) GROUP BY i),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import affinity as aff
 from tessera.operators.descent import initial_state, recenter, update_sql, ycols
-from tessera.operators.kernel import kernel_row_sums, normalizer
+from tessera.operators.kernel import kernel_row_sums
 from tessera.operators.linalg import pca_project
 from tessera.operators.neighbours import knn
 from tessera.params import INTENDED, TsneParams
@@ -67,8 +67,9 @@ def descend(p: DataFrame, y0: DataFrame, n: int, params: TsneParams = INTENDED,
             on_iteration=None) -> FitResult:
     """Run the momentum descent from ``y0`` (row_id, y0..) on joint P.
 
-    Two jobs per iteration: the tiled kernel pass (its action is the scalar
-    Z) and the update, written as the next state table.  Centring (K9)
+    One action per iteration: the update statement, written as the next
+    state table.  Its scalar subquery Z runs the tiled kernel pass first
+    and caches the per-point sums that the statement then joins.  Centring (K9)
     commutes with the update -- the kernel and the gradient only see
     differences y_i - y_j, and momentum and gains never read y -- so the
     state carries un-centred y and every emitted frame (snapshots, result)
@@ -83,8 +84,7 @@ def descend(p: DataFrame, y0: DataFrame, n: int, params: TsneParams = INTENDED,
         mu = params.initial_momentum if it < params.momentum_switch_iter else params.final_momentum
         y = state.select("row_id", *ycols(k))
         rows = kernel_row_sums(y, k, params.block_rows, n).persist(StorageLevel.MEMORY_AND_DISK)
-        z = normalizer(rows)
-        sql = update_sql(k, z, ex, params.floor_p, params.repulsion, mu, params.lr, params.min_gain)
+        sql = update_sql(k, None, ex, params.floor_p, params.repulsion, mu, params.lr, params.min_gain)
         new_state, new_path = write_table(spark.sql(sql, state=state, p=p, rows=rows), "state")
         rows.unpersist()
         drop_table(spark, path)
@@ -92,7 +92,7 @@ def descend(p: DataFrame, y0: DataFrame, n: int, params: TsneParams = INTENDED,
         if snapshot_path and params.snapshot_every and (it + 1) % params.snapshot_every == 0:
             write_snapshot(recenter(state.select("row_id", *ycols(k)), k), snapshot_path, it + 1)
         if on_iteration is not None:
-            on_iteration(it, z)
+            on_iteration(it)
     final = recenter(state, k)
     return FitResult(y=final.select("row_id", *ycols(k)), state=final, p=p,
                      snapshot_path=snapshot_path, iterations=iters)
