@@ -110,17 +110,19 @@ _SHIPPED: set = set()
 
 
 def ship_package(spark) -> None:
-    """Make ``tessera`` importable in the Python workers (``--py-files`` style).
+    """Make ``tessera`` importable in local-mode Python workers.
 
-    The tile and search functions run in executors' Python workers, which do
-    not share the driver's ``sys.path``; a zip of the package is added with
-    ``addPyFile`` once per application.
+    The tile and search functions run in Python workers, which do not share
+    the driver's ``sys.path``.  In local mode a zip of the package is added
+    with ``addPyFile`` once per application.  On a cluster, submit the
+    package the standard way (``spark-submit --py-files tessera.zip``);
+    nothing is staged in a machine-local folder there.
     """
     import shutil
 
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out_dir = tempfile.mkdtemp(prefix="tessera-pyfiles-")
