@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.tiles import blocks_for, tile_cogroup
+from tessera.operators.tiles import blocks_for, run_tiles
 
 _CHUNK = 1024
 
@@ -88,7 +88,7 @@ def kernel_row_sums(y: DataFrame, k: int, block_rows: int = 2048, n: int | None
     ycols = [f"y{c}" for c in range(k)]
     n, B = blocks_for(y, n, block_rows)
     schema = "row_id bigint, zrow double, " + ", ".join(f"rep{c} double" for c in range(k))
-    parts = tile_cogroup(y.select("row_id", *ycols), "row_id", ycols, B, _kernel_tile(ycols), schema)
+    parts = run_tiles(y.select("row_id", *ycols), "row_id", ycols, B, _kernel_tile(ycols), schema)
     if B == 1:
         return parts          # one tile: already one complete row per point
     return parts.groupBy("row_id").agg(F.sum("zrow").alias("zrow"),

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.tiles import blocks_for, tile_cogroup
+from tessera.operators.tiles import blocks_for, run_tiles
 
 CANDIDATE_SCHEMA = "i bigint, j bigint, d double"
 
@@ -87,7 +87,7 @@ def knn_candidates(vectors: DataFrame, k: int, block_rows: int = 2048, n: int |
                    id_col: str = "row_id", feat_col: str = "features") -> DataFrame:
     """Per-tile top-k candidates (i, j, d): at most k per point and block."""
     n, B = blocks_for(vectors, n, block_rows)
-    return tile_cogroup(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA)
+    return run_tiles(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA)
 
 
 def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,

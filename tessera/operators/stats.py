@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.tiles import blocks_for, tile_cogroup
+from tessera.operators.tiles import blocks_for, run_tiles
 
 _ELEMS = 1 << 22
 
@@ -58,7 +58,7 @@ def _stats_tile(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 def pair_row_stats(vectors: DataFrame, block_rows: int = 2048, n: int | None = None) -> DataFrame:
     """(row_id, partners, d_sum, d_min, d_max) over all j != i."""
     n, B = blocks_for(vectors, n, block_rows)
-    parts = tile_cogroup(vectors.select("row_id", "features"), "row_id", ["features"], B, _stats_tile,
+    parts = run_tiles(vectors.select("row_id", "features"), "row_id", ["features"], B, _stats_tile,
                          "row_id bigint, partners bigint, d_sum double, d_min double, d_max double")
     return parts.groupBy("row_id").agg(F.sum("partners").alias("partners"), F.sum("d_sum").alias("d_sum"),
                                        F.min("d_min").alias("d_min"), F.max("d_max").alias("d_max"))

@@ -38,7 +38,7 @@ def plan_blocks(n: int, block_rows: int, parallelism: int) -> int:
     return max(by_size, by_cores)
 
 
-def tile_cogroup(points: DataFrame, id_col: str, value_cols: list[str], num_blocks: int,
+def run_tiles(points: DataFrame, id_col: str, value_cols: list[str], num_blocks: int,
                  fn, schema: str) -> DataFrame:
     """Run ``fn(key, left_pdf, right_pdf)`` once per tile (bi <= bj).
 
