@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 from tessera.operators.tiles import blocks_for, run_tiles
 
-CANDIDATE_SCHEMA = "i bigint, j bigint, d double"
+CANDIDATE_SCHEMA = "i bigint, j bigint, d double, rank int"
 
 
 def _empty() -> pd.DataFrame:
     return pd.DataFrame({"i": pd.Series([], dtype="int64"), "j": pd.Series([], dtype="int64"),
-                         "d": pd.Series([], dtype="float64")})
+                         "d": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
 
 
 def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile):
@@ -55,7 +55,7 @@ def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile):
     counts = np.diff(np.r_[starts, len(r)])
     rank = np.arange(len(r)) - np.repeat(starts, counts)
     keep = rank < kk
-    return pd.DataFrame({"i": ida[r[keep]], "j": j[keep], "d": d[keep]})
+    return pd.DataFrame({"i": ida[r[keep]], "j": j[keep], "d": d[keep], "rank": (rank[keep] + 1).astype(np.int32)})
 
 
 def _knn_tile(id_col: str, feat_col: str, k: int):
@@ -84,10 +84,11 @@ def _knn_tile(id_col: str, feat_col: str, k: int):
 
 
 def knn_candidates(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
-                   id_col: str = "row_id", feat_col: str = "features") -> DataFrame:
-    """Per-tile top-k candidates (i, j, d): at most k per point and block."""
+                   id_col: str = "row_id", feat_col: str = "features") -> tuple[DataFrame, int]:
+    """Per-tile top-k candidates (i, j, d, rank in tile): at most k per point
+    and block.  Returns the candidates and the number of blocks."""
     n, B = blocks_for(vectors, n, block_rows)
-    return run_tiles(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA)
+    return run_tiles(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA), B
 
 
 def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
@@ -96,8 +97,12 @@ def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None
 
     Ties in distance are broken by the smaller j.  ``k >= n - 1`` gives all
     pairs (the original's non-kNN mode), which is quadratic by definition.
+    With a single block the one tile already ranks every point's partners
+    exactly, so no merge (and no shuffle) is needed.
     """
-    cand = knn_candidates(vectors, k, block_rows, n, id_col, feat_col)
+    cand, B = knn_candidates(vectors, k, block_rows, n, id_col, feat_col)
+    if B == 1:
+        return cand
     w = Window.partitionBy("i").orderBy("d", "j")
     return (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
