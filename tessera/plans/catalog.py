@@ -25,9 +25,9 @@ from tessera.operators.trajectory import frame_limits, label_join, running_frame
 from tessera.params import INTENDED
 from tessera.plans.fit import descend, embed_table
 from tessera.session import cut_lineage, scratch_path
-from tessera.sinks import write_vector_text
+from tessera.sinks import write_snapshot_text, write_vector_text
 from tessera.sources.grid import grid_zeros, init_normal, normal_columns
-from tessera.sources.vectors import read_labels, read_snapshots, read_vector_text, read_vectors
+from tessera.sources.vectors import numbered_lines, read_labels, read_snapshots, read_vector_text, read_vectors
 
 K = 2
 N_NEIGHBOURS = INTENDED.n_neighbours          # floor(3 * 30) = 90
@@ -383,6 +383,28 @@ def _fit3(spark, sf) -> DataFrame:
         descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), INTENDED, max_iter=FIT_ITERS).y))
 
 
+def q_tsne_fit_3_as_executed(spark, sf):
+    """K10 under the AS_EXECUTED preset: repulsion over the edges of P only,
+    no floors, exaggeration kept."""
+    from tessera.params import AS_EXECUTED
+    r = descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), AS_EXECUTED, max_iter=FIT_ITERS)
+    return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
+
+
+def q_snapshot_text_scan(spark, sf):
+    """S7 text form: the first frame as "y0, y1" lines in id order, read back
+    by line number (W2) and parsed (F6)."""
+    def build():
+        path = scratch_path(spark, "exportIter_1")
+        frame = _snapshots(spark, sf).where(F.col("iter") == 1).select("row_id", "y0", "y1")
+        write_snapshot_text(frame, K, path)
+        return path
+    path = _memo(spark, sf, "snapshot_text", build)
+    lines = numbered_lines(spark, f"{path}/part-*")
+    vals = F.split(F.col("line"), ", ").cast("array<double>")
+    return lines.select(F.col("line_no").alias("row_id"), rnd(vals[0], 6).alias("y0"), rnd(vals[1], 6).alias("y1"))
+
+
 def q_kl_divergence(spark, sf):
     """Extra E3: KL(P || Q) after three iterations."""
     return kl_divergence(_p(spark, sf), _fit3(spark, sf), K, _n(spark, sf)).select(rnd("kl", 9).alias("kl"))
@@ -453,6 +475,8 @@ QUERIES = {
     "pca_variance_trace": q_pca_variance_trace,
     "pca_project": q_pca_project,
     "tsne_fit_3": q_tsne_fit_3,
+    "tsne_fit_3_as_executed": q_tsne_fit_3_as_executed,
+    "snapshot_text_scan": q_snapshot_text_scan,
     "embed_pipeline": q_embed_pipeline,
     # extras (not in the original job): quality of the embedding
     "kl_divergence": q_kl_divergence,

@@ -111,7 +111,15 @@ def step_ctes(t: int, state: str, grad: str, mu: str = "0.5") -> list[str]:
     return [u, w, s]
 
 
-def fit_ctes(iters: int) -> list[str]:
+def gradient_graph_cte(name: str, kern: str, z: str) -> str:
+    """Executed form: only the edges of P, no floor (inner join of P and Q)."""
+    w = f"(pj.p * {EX} - k.num / zz.z) * k.num"
+    return (f"{name} AS (SELECT k.i AS row_id, sum({w} * k.dy0) AS dy0, sum({w} * k.dy1) AS dy1 "
+            f"FROM {kern} k JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN {z} zz GROUP BY k.i)")
+
+
+def fit_ctes(iters: int, repulsion: str = "full") -> list[str]:
+    grad_cte = gradient_full_cte if repulsion == "full" else gradient_graph_cte
     ctes = [Y0, "s0 AS (SELECT row_id, y0, y1, CAST(0.0 AS DOUBLE) AS m0, CAST(0.0 AS DOUBLE) AS m1, "
                 "CAST(1.0 AS DOUBLE) AS g0, CAST(1.0 AS DOUBLE) AS g1 FROM y0t)"]
     for t in range(iters):
@@ -119,7 +127,7 @@ def fit_ctes(iters: int) -> list[str]:
                     f"SELECT a.row_id AS i, b.row_id AS j, a.y0 - b.y0 AS dy0, a.y1 - b.y1 AS dy1 "
                     f"FROM s{t} a JOIN s{t} b ON a.row_id <> b.row_id))")
         ctes.append(f"z{t} AS (SELECT sum(num) AS z FROM k{t})")
-        ctes.append(gradient_full_cte(f"g{t}", f"k{t}", f"z{t}"))
+        ctes.append(grad_cte(f"g{t}", f"k{t}", f"z{t}"))
         ctes += step_ctes(t, f"s{t}", f"g{t}")
     return ctes
 
@@ -227,6 +235,10 @@ def build() -> dict[str, str]:
                                      "FROM snap s JOIN embeddings e ON s.row_id = e.vec_id")
     q["snapshot_name_order"] = ("SELECT 'exportIter_' || CAST(it AS VARCHAR) AS name, CAST(it AS INTEGER) AS iter_no "
                                 "FROM (SELECT DISTINCT it FROM embeddings, range(1, 4) t(it))")
+    q["tsne_fit_3_as_executed"] = with_(*P_CHAIN, *fit_ctes(3, "graph")) + (
+        f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s3")
+    q["snapshot_text_scan"] = with_(*P_CHAIN, *fit_ctes(1)) + (
+        f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s1")
     fit3 = with_(*P_CHAIN, *fit_ctes(3))
     yk = ("y3k AS (SELECT a.row_id AS i, b.row_id AS j, 1.0 / (1.0 + ((a.y0 - b.y0) * (a.y0 - b.y0) + "
           "(a.y1 - b.y1) * (a.y1 - b.y1))) AS num, (a.y0 - b.y0) * (a.y0 - b.y0) + (a.y1 - b.y1) * (a.y1 - b.y1) AS d "
