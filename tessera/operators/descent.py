@@ -134,14 +134,15 @@ def update_sql(k: int, z: float | None, exaggeration: float, floor_p: bool, repu
     d2 = "0.0D"
     for c in rng:
         d2 = f"({d2} + dy{c} * dy{c})"
+    # Z enters once, as a column, so the plan holds a single scalar subquery.
     if repulsion == "graph":
-        w = f"(pe - num / {zexpr}) * num"
+        w = "(pe - num / z) * num"
     else:
         w = "pe * num"
     dys = ", ".join(f"yi.y{c} - yj.y{c} AS dy{c}" for c in rng)
     sums = ", ".join(f"SUM(w * dy{c}) AS a{c}" for c in rng)
     if repulsion == "full":
-        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) - COALESCE(r.rep{c}, 0.0D) / {zexpr} AS dy{c}" for c in rng)
+        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) - COALESCE(r.rep{c}, 0.0D) / z AS dy{c}" for c in rng)
     else:
         grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) AS dy{c}" for c in rng)
     gains = ", ".join(
@@ -154,12 +155,16 @@ def update_sql(k: int, z: float | None, exaggeration: float, floor_p: bool, repu
     return f"""
 WITH zz AS (SELECT CASE WHEN SUM(zrow) > 0.0D THEN SUM(zrow) ELSE 1.0D END AS z FROM {{rows}}),
 yv AS (SELECT row_id, {ycols_} FROM {{state}}),
-e AS (SELECT p.i, {dys}, {pe} AS pe FROM {{p}} p JOIN yv yj ON p.j = yj.row_id JOIN yv yi ON p.i = yi.row_id),
-en AS (SELECT i, {", ".join(f"dy{c}" for c in rng)}, pe, 1.0D / (1.0D + {d2}) AS num FROM e),
+e AS (SELECT p.i, {dys}, {pe} AS pe{", " + zexpr + " AS z" if repulsion == "graph" else ""}
+      FROM {{p}} p JOIN yv yj ON p.j = yj.row_id JOIN yv yi ON p.i = yi.row_id),
+en AS (SELECT i, {", ".join(f"dy{c}" for c in rng)}, pe, {"z, " if repulsion == "graph" else ""}1.0D / (1.0D + {d2}) AS num FROM e),
 att AS (SELECT i, {sums} FROM (SELECT i, {", ".join(f"dy{c}" for c in rng)}, {w} AS w FROM en) GROUP BY i),
-g AS (SELECT s.row_id, {", ".join(f"s.y{c} AS y{c}" for c in rng)}, {", ".join(f"s.m{c} AS m{c}" for c in rng)},
-             {", ".join(f"s.g{c} AS g{c}" for c in rng)}, {grad}
+g1 AS (SELECT s.row_id, {", ".join(f"s.y{c} AS y{c}" for c in rng)}, {", ".join(f"s.m{c} AS m{c}" for c in rng)},
+             {", ".join(f"s.g{c} AS g{c}" for c in rng)}, {", ".join(f"att.a{c} AS a{c}" for c in rng)},
+             {", ".join(f"r.rep{c} AS rep{c}" for c in rng)}, {zexpr} AS z
       FROM {{state}} s LEFT JOIN att ON s.row_id = att.i LEFT JOIN {{rows}} r ON s.row_id = r.row_id),
+g AS (SELECT row_id, {", ".join(f"y{c}" for c in rng)}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"g{c}" for c in rng)},
+             {grad.replace("att.a", "a").replace("r.rep", "rep")} FROM g1),
 v AS (SELECT row_id, {ycols_}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"dy{c}" for c in rng)}, {gains} FROM g)
 SELECT row_id, {out} FROM v
 """
