@@ -77,3 +77,9 @@ def rnd(c, digits: int = 9) -> Column:
     """Round for comparison and clear negative zero."""
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c, digits) + F.lit(0.0)
+
+
+def cell_address(flat_index, k: int) -> tuple[Column, Column]:
+    """(row, col) of a flat cell index in an n x k grid: floor(i / k), i % k."""
+    c = F.col(flat_index) if isinstance(flat_index, str) else flat_index
+    return F.floor(c / F.lit(k)).cast("bigint"), F.pmod(c, F.lit(k)).cast("int")

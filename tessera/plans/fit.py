@@ -122,3 +122,14 @@ def embed_table(vectors: DataFrame, params: TsneParams = INTENDED, snapshot_path
 def result_arrays(fit: FitResult, k: int) -> DataFrame:
     """(row_id, y array<double>) at the API boundary."""
     return fit.y.select("row_id", F.array(*ycols(k)).alias("y"))
+
+
+def state_arrays(state: DataFrame, k: int) -> DataFrame:
+    """Descent state with array columns (row_id, y, mom, gain), each of length k.
+
+    Inside the loop the state keeps k scalar columns per quantity so every
+    update stays in generated code; arrays are built only here.
+    """
+    return state.select("row_id", F.array(*[f"y{c}" for c in range(k)]).alias("y"),
+                        F.array(*[f"m{c}" for c in range(k)]).alias("mom"),
+                        F.array(*[f"g{c}" for c in range(k)]).alias("gain"))

@@ -42,3 +42,16 @@ def test_fewer_rows_than_neighbours_and_k3(spark, vectors):
     m = st.agg(*[F.avg(f"y{c}") for c in range(3)]).first()
     assert all(abs(x) < 1e-9 for x in m)
     assert r.p.groupBy("i").count().agg(F.min("count")).first()[0] == 24
+
+
+def test_cell_address_and_state_arrays(spark):
+    from tessera.functions.vector import cell_address
+    from tessera.operators.descent import initial_state
+    from tessera.plans.fit import state_arrays
+    df = spark.range(7).withColumnRenamed("id", "i")
+    row, col = cell_address("i", 3)
+    got = [(r.row, r.col) for r in df.select(row.alias("row"), col.alias("col")).orderBy("i").collect()]
+    assert got == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2), (2, 0)]
+    y = spark.createDataFrame([(0, 1.0, 2.0, 3.0)], "row_id bigint, y0 double, y1 double, y2 double")
+    st = state_arrays(initial_state(y, 3), 3).first()
+    assert st.y == [1.0, 2.0, 3.0] and st.mom == [0.0, 0.0, 0.0] and st.gain == [1.0, 1.0, 1.0]
