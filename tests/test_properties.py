@@ -103,3 +103,17 @@ def test_exaggeration_stop_changes_only_late_iterations(spark, vectors, aff_inte
     c = _rows(descend(aff_intended.p, y0, 500, INTENDED.with_(stop_exaggeration_at=1), max_iter=2).y, ("row_id",))
     assert all(a[k].y0 == b[k].y0 for k in a)
     assert any(a[k].y0 != c[k].y0 for k in a)
+
+
+def test_fit_same_for_any_partition_count(spark, vectors, aff_intended):
+    y0 = init_y(vectors.select("row_id"), INTENDED)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = _rows(descend(aff_intended.p, y0, 500, INTENDED, max_iter=3).y, ("row_id",))
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        b = _rows(descend(aff_intended.p, y0.repartition(5), 500, INTENDED.with_(block_rows=128), max_iter=3).y,
+                  ("row_id",))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert all(a[k].y0 == pytest.approx(b[k].y0, abs=1e-9) and a[k].y1 == pytest.approx(b[k].y1, abs=1e-9) for k in a)
