@@ -10,6 +10,12 @@ search uses them.
 Candidate selection uses the Gram form |a|^2 + |b|^2 - 2ab (fast BLAS) with
 a safety margin far above its rounding error; the selected candidates are
 then re-measured exactly as sum((a-b)^2), so the result is the exact top-k.
+
+With more than one block, each point first gets a radius: its k-th smallest
+distance to a fixed-size sample of the points (the sample is a subset, so
+this bounds the true k-th distance from above).  Tiles then emit only
+partners within the radius -- every true top-k partner is -- which cuts the
+candidates from k per point and block to roughly k * n / sample per point.
 """
 
 from __future__ import annotations
@@ -29,8 +35,16 @@ def _empty() -> pd.DataFrame:
                          "d": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
 
 
-def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile):
-    """Exact top-k partners in ``Bm`` for each row of ``A`` given approximate distances."""
+SAMPLE_ROWS = 16384                 # sample for the pruning radius (rows) ...
+SAMPLE_BYTES = 64 << 20             # ... and its byte budget, whichever is smaller
+RADIUS_SLACK = 1e-12                # relative slack for last-ulp summation differences
+
+
+def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile, radius=None):
+    """Exact top-k partners in ``Bm`` for each row of ``A`` given approximate distances.
+
+    ``radius`` (per row of ``A``), when given, drops partners farther than it.
+    """
     m, n = approx.shape
     avail = n - 1 if self_tile else n
     kk = min(k, avail)
@@ -48,6 +62,9 @@ def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile):
     r, c = np.nonzero(mask)
     diff = A[r] - Bm[c]
     d = np.einsum("ij,ij->i", diff, diff)
+    if radius is not None:
+        near = d <= radius[r] * (1.0 + RADIUS_SLACK)
+        r, c, d = r[near], c[near], d[near]
     j = idb[c]
     order = np.lexsort((j, d, r))
     r, j, d = r[order], j[order], d[order]
@@ -58,41 +75,86 @@ def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile):
     return pd.DataFrame({"i": ida[r[keep]], "j": j[keep], "d": d[keep], "rank": (rank[keep] + 1).astype(np.int32)})
 
 
-def _knn_tile(id_col: str, feat_col: str, k: int):
+def _knn_tile(id_col: str, feat_col: str, k: int, with_radius: bool = False):
     def fn(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         bi, bj = int(key[0]), int(key[1])
         if len(left) == 0:
             return _empty()
         ida = left[id_col].to_numpy(dtype=np.int64)
         A = np.stack(left[feat_col].to_numpy()).astype(np.float64)
+        ra = left["radius"].to_numpy(dtype=np.float64) if with_radius else None
         if bi == bj:
             G = A @ A.T
             sq = np.einsum("ij,ij->i", A, A)
             approx = sq[:, None] + sq[None, :] - 2.0 * G
-            return _best_in_tile(A, ida, A, ida, approx, k, True)
+            return _best_in_tile(A, ida, A, ida, approx, k, True, ra)
         if len(right) == 0:
             return _empty()
         idb = right[id_col].to_numpy(dtype=np.int64)
         Bm = np.stack(right[feat_col].to_numpy()).astype(np.float64)
+        rb = right["radius"].to_numpy(dtype=np.float64) if with_radius else None
         sa = np.einsum("ij,ij->i", A, A)
         sb = np.einsum("ij,ij->i", Bm, Bm)
         approx = sa[:, None] + sb[None, :] - 2.0 * (A @ Bm.T)
-        out_a = _best_in_tile(A, ida, Bm, idb, approx.copy(), k, False)
-        out_b = _best_in_tile(Bm, idb, A, ida, approx.T.copy(), k, False)
+        out_a = _best_in_tile(A, ida, Bm, idb, approx.copy(), k, False, ra)
+        out_b = _best_in_tile(Bm, idb, A, ida, approx.T.copy(), k, False, rb)
         return pd.concat([out_a, out_b], ignore_index=True)
     return fn
 
 
+def sample_radius(vectors: DataFrame, k: int, n: int, id_col: str = "row_id", feat_col: str = "features",
+                  sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(id, radius): each point's k-th smallest squared distance to a hash sample.
+
+    The sample has at most ``min(sample_rows, sample_bytes / (8 d))`` points
+    -- a bound fixed by parameters, not by n -- and travels to the tasks in
+    the function's closure.  A point whose sample holds fewer than k other
+    points gets an infinite radius (no pruning).
+    """
+    first = vectors.select(F.size(feat_col).alias("d")).first()
+    d = int(first["d"]) if first is not None else 1
+    m = max(1, min(sample_rows, sample_bytes // (8 * max(1, d)), n))
+    rows = (vectors.select(id_col, feat_col).orderBy(F.xxhash64(F.col(id_col)), id_col).limit(m).collect())
+    sid = np.array([r[0] for r in rows], dtype=np.int64)
+    S = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    chunk = max(1, (1 << 22) // max(1, len(S) * S.shape[1]))
+
+    def fn(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            ids = pdf[id_col].to_numpy(dtype=np.int64)
+            X = np.stack(pdf[feat_col].to_numpy()).astype(np.float64)
+            out = np.empty(len(X))
+            for s in range(0, len(X), chunk):
+                diff = X[s:s + chunk, None, :] - S[None, :, :]
+                D = np.einsum("ijk,ijk->ij", diff, diff)
+                D[ids[s:s + chunk, None] == sid[None, :]] = np.inf
+                if len(S) - 1 >= k:
+                    out[s:s + chunk] = np.partition(D, k - 1, axis=1)[:, k - 1]
+                else:
+                    out[s:s + chunk] = np.inf
+            yield pd.DataFrame({id_col: ids, "radius": out})
+
+    return vectors.select(id_col, feat_col).mapInPandas(fn, f"{id_col} bigint, radius double")
+
+
 def knn_candidates(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
-                   id_col: str = "row_id", feat_col: str = "features") -> tuple[DataFrame, int]:
+                   id_col: str = "row_id", feat_col: str = "features",
+                   sample_rows: int | None = None) -> tuple[DataFrame, int]:
     """Per-tile top-k candidates (i, j, d, rank in tile): at most k per point
     and block.  Returns the candidates and the number of blocks."""
     n, B = blocks_for(vectors, n, block_rows)
-    return run_tiles(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA), B
+    if B == 1:
+        return run_tiles(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA), B
+    m = SAMPLE_ROWS if sample_rows is None else sample_rows
+    pts = vectors.select(id_col, feat_col).join(sample_radius(vectors, k, n, id_col, feat_col, m), id_col)
+    return run_tiles(pts, id_col, [feat_col, "radius"], B, _knn_tile(id_col, feat_col, k, True),
+                     CANDIDATE_SCHEMA), B
 
 
 def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
-        id_col: str = "row_id", feat_col: str = "features") -> DataFrame:
+        id_col: str = "row_id", feat_col: str = "features", sample_rows: int | None = None) -> DataFrame:
     """Exact k nearest neighbours: (i, j, d squared distance, rank from 1).
 
     Ties in distance are broken by the smaller j.  ``k >= n - 1`` gives all
@@ -100,7 +162,7 @@ def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None
     With a single block the one tile already ranks every point's partners
     exactly, so no merge (and no shuffle) is needed.
     """
-    cand, B = knn_candidates(vectors, k, block_rows, n, id_col, feat_col)
+    cand, B = knn_candidates(vectors, k, block_rows, n, id_col, feat_col, sample_rows)
     if B == 1:
         return cand
     w = Window.partitionBy("i").orderBy("d", "j")

@@ -117,3 +117,17 @@ def test_fit_same_for_any_partition_count(spark, vectors, aff_intended):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert all(a[k].y0 == pytest.approx(b[k].y0, abs=1e-9) and a[k].y1 == pytest.approx(b[k].y1, abs=1e-9) for k in a)
+
+
+def test_knn_pruning_with_small_sample_is_exact(spark, vectors):
+    import tessera.operators.neighbours as nbm
+    exact = _rows(knn(vectors, 90, block_rows=4096, n=500), ("i", "rank"))
+    rad = {r.row_id: r.radius for r in nbm.sample_radius(vectors, 90, 500, sample_rows=120).collect()}
+    kth = {k[0]: v.d for k, v in exact.items() if k[1] == 90}
+    assert all(rad[i] >= kth[i] for i in kth)            # an upper bound for every point
+    assert sum(rad[i] > kth[i] for i in kth) > 400       # and a loose one: pruning is really tested
+    cand, _ = nbm.knn_candidates(vectors, 90, 64, 500, sample_rows=120)
+    assert 500 * 90 < cand.count() < 500 * 8 * 90
+    pruned = _rows(knn(vectors, 90, block_rows=64, n=500, sample_rows=120), ("i", "rank"))
+    assert pruned.keys() == exact.keys()
+    assert all(pruned[k].j == exact[k].j and pruned[k].d == pytest.approx(exact[k].d, abs=1e-12) for k in exact)
