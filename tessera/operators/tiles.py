@@ -39,29 +39,40 @@ def plan_blocks(n: int, block_rows: int, parallelism: int) -> int:
 
 
 def run_tiles(points: DataFrame, id_col: str, value_cols: list[str], num_blocks: int,
-                 fn, schema: str) -> DataFrame:
-    """Run ``fn(key, left_pdf, right_pdf)`` once per tile (bi <= bj).
-
-    ``left_pdf`` holds block bi, ``right_pdf`` block bj; ``right_pdf`` is
-    empty on diagonal tiles (bi == bj), where the function pairs the left
-    block with itself.  Both sides travel in one union with a side flag and
-    one grouped ``applyInPandas`` -- a single shuffle, and cheaper per tile
-    than a two-sided cogroup.
+              fn, schema: str) -> DataFrame:
+    """Run ``fn(key, left_pdf, right_pdf)`` once per unordered block pair.
+
+    Pairs are assigned round-robin: block a owns the tiles (a, a + t mod B)
+    for t = 0 .. floor((B - 1) / 2), plus t = B / 2 when B is even and
+    a < B / 2, so every unordered pair appears exactly once and every owner
+    has about B / 2 + 1 tiles.  ``left_pdf`` holds the owner block bi,
+    ``right_pdf`` block bj; it is empty on the diagonal tile (bi == bj),
+    where the function pairs the block with itself.
+
+    Both sides travel in one union with a side flag, partitioned by the
+    owner only: a task holds whole owner stripes, so the partial aggregate
+    or partial top-k that follows the tiles merges each owner point's rows
+    before the shuffle.
     """
     B = num_blocks
+    h = (B - 1) // 2
+    even = 1 if B % 2 == 0 else 0
     cols = [id_col, *value_cols]
     blk = f"CAST(pmod(xxhash64({id_col}), {B}) AS INT)"
     # Expression strings keep plan construction to a few driver calls.
     pts = points.selectExpr(*cols, f"{blk} AS blk")
-    left = pts.selectExpr("blk AS bi", f"explode(sequence(blk, {B - 1})) AS bj", "CAST(0 AS TINYINT) AS side", *cols)
-    right = pts.where("blk > 0").selectExpr("explode(sequence(0, blk - 1)) AS bi", "blk AS bj",
-                                            "CAST(1 AS TINYINT) AS side", *cols)
-    # One partition per tile up to a few waves of the cluster's cores, fixed
+    left_t = f"explode(sequence(0, {h} + IF({even} = 1 AND blk < {B // 2}, 1, 0)))"
+    right_t = f"explode(sequence(1, {h} + IF({even} = 1 AND blk >= {B // 2}, 1, 0)))"
+    left = (pts.selectExpr(*cols, "blk", f"{left_t} AS t")
+            .selectExpr("blk AS bi", f"CAST(pmod(blk + t, {B}) AS INT) AS bj", "CAST(0 AS TINYINT) AS side", *cols))
+    right = (pts.where(f"{h} + IF({even} = 1 AND blk >= {B // 2}, 1, 0) >= 1")
+             .selectExpr(*cols, "blk", f"{right_t} AS t")
+             .selectExpr(f"CAST(pmod(blk - t, {B}) AS INT) AS bi", "blk AS bj", "CAST(1 AS TINYINT) AS side", *cols))
+    # One partition per owner up to a few waves of the cluster's cores, fixed
     # by number so AQE does not merge compute-heavy tiles by their (small)
-    # byte size; beyond that, tiles share tasks and run one group at a time.
-    n_tiles = B * (B + 1) // 2
+    # byte size; beyond that, owners share tasks and run one tile at a time.
     cap = max(1, MAX_TILE_WAVES * default_parallelism(points.sparkSession))
-    both = left.unionByName(right).repartition(max(1, min(n_tiles, cap)), "bi", "bj")
+    both = left.unionByName(right).repartition(max(1, min(B, cap)), "bi")
 
     def run(pdf):
         key = (int(pdf["bi"].iat[0]), int(pdf["bj"].iat[0]))
