@@ -2,7 +2,7 @@
 
 Every operator takes and returns DataFrames.  The two quadratic steps
 (exact k-nearest neighbours and the Student-t normaliser / repulsion) run
-as hash-blocked tiles through ``cogroup().applyInPandas``; everything else
+as hash-blocked tiles through a grouped ``applyInPandas``; everything else
 is plain Catalyst (joins, grouped aggregates, windows, projections).
 """
 

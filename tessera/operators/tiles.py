@@ -1,14 +1,13 @@
 """Hash-blocked tiles for the two quadratic kernels.
 
 Points get a block id ``blk = pmod(xxhash64(id), B)``; ids are unique, so
-blocks are balanced whatever the data (no hot key can form).  The upper
-triangle of block pairs (bi <= bj) is formed by an *equi* cogroup on
-(bi, bj): the left side sends each point of block b to tiles (b, b..B-1),
-the right side sends it to tiles (0..b-1, b).  Each tile meets two bounded
-blocks in one ``applyInPandas`` call, computes its pairs in NumPy and emits
-only per-point results (top-k candidates or partial sums) -- never the pairs
-themselves.  Each pair of points is computed exactly once; both directions
-are emitted from that one computation.
+blocks are balanced whatever the data (no hot key can form).  Every
+unordered block pair is formed once, by an *equi*-key regrouping on
+(bi, bj) with a round-robin owner assignment (see ``run_tiles``).  Each tile
+meets two bounded blocks in one ``applyInPandas`` call, computes its pairs
+in NumPy and emits only per-point results (top-k candidates or partial
+sums) -- never the pairs themselves.  Each pair of points is computed
+exactly once; both directions are emitted from that one computation.
 
 Shuffle volume is n * B point copies; with B = ceil(n / block_rows) the
 per-tile memory stays bounded by ``block_rows`` no matter how large n is.
