@@ -55,3 +55,28 @@ def test_cell_address_and_state_arrays(spark):
     y = spark.createDataFrame([(0, 1.0, 2.0, 3.0)], "row_id bigint, y0 double, y1 double, y2 double")
     st = state_arrays(initial_state(y, 3), 3).first()
     assert st.y == [1.0, 2.0, 3.0] and st.mom == [0.0, 0.0, 0.0] and st.gain == [1.0, 1.0, 1.0]
+
+
+def test_preset_switches_change_only_their_step(spark):
+    from tessera.operators import affinity as aff
+    from tessera.operators.kernel import edge_affinity
+    from tessera.params import AS_EXECUTED, INTENDED
+    cond = spark.createDataFrame([(0, 1, 1.0), (1, 0, 1.0), (1, 2, 1e-20), (2, 1, 0.5)], "i bigint, j bigint, p double")
+    # floor_p: only the tiny entry moves, to 1e-12
+    a = {(r.i, r.j): r.p for r in aff.joint_affinity(cond, 4.0, floor_p=AS_EXECUTED.floor_p).collect()}
+    b = {(r.i, r.j): r.p for r in aff.joint_affinity(cond, 4.0, floor_p=INTENDED.floor_p).collect()}
+    assert [k for k in a if a[k] != b[k]] == []      # symmetrised tiny + 0.5 is not below the floor
+    tiny = spark.createDataFrame([(0, 1, 1e-20), (1, 0, 1e-20), (0, 2, 1.0), (2, 0, 1.0)], "i bigint, j bigint, p double")
+    a = {(r.i, r.j): r.p for r in aff.joint_affinity(tiny, 1.0, floor_p=False).collect()}
+    b = {(r.i, r.j): r.p for r in aff.joint_affinity(tiny, 1.0, floor_p=True).collect()}
+    assert {k for k in a if a[k] != b[k]} == {(0, 1), (1, 0)} and b[(0, 1)] == 1e-12
+    # diagonal value: only the (i, i) entries differ
+    d0 = {(r.i, r.j): r.p for r in aff.joint_affinity(cond, 4.0, False, AS_EXECUTED.diagonal_value).collect()}
+    d1 = {(r.i, r.j): r.p for r in aff.joint_affinity(cond, 4.0, False, INTENDED.diagonal_value).collect()}
+    assert {k for k in d0 if d0[k] != d1[k]} == {(0, 0), (1, 1), (2, 2)} and d1[(0, 0)] == 1e-12
+    # floor_q: only q below 1e-12 moves
+    y = spark.createDataFrame([(0, 0.0, 0.0), (1, 1.0, 0.0), (2, 1e7, 0.0)], "row_id bigint, y0 double, y1 double")
+    e = spark.createDataFrame([(0, 1), (0, 2)], "i bigint, j bigint")
+    q0 = {(r.i, r.j): r.q for r in edge_affinity(e, y, 2, 1.0, floor_q=False).collect()}
+    q1 = {(r.i, r.j): r.q for r in edge_affinity(e, y, 2, 1.0, floor_q=True).collect()}
+    assert q0[(0, 1)] == q1[(0, 1)] == 0.5 and q0[(0, 2)] < 1e-12 and q1[(0, 2)] == 1e-12
