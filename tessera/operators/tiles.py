@@ -71,7 +71,10 @@ def run_tiles(points: DataFrame, id_col: str, value_cols: list[str], num_blocks:
     # by number so AQE does not merge compute-heavy tiles by their (small)
     # byte size; beyond that, owners share tasks and run one tile at a time.
     cap = max(1, MAX_TILE_WAVES * default_parallelism(points.sparkSession))
-    both = left.unionByName(right).repartition(max(1, min(B, cap)), "bi")
+    both = left.unionByName(right)
+    # One block is one tile: a single partition already satisfies the
+    # grouping, so it needs no shuffle.
+    both = both.coalesce(1) if B == 1 else both.repartition(max(1, min(B, cap)), "bi")
 
     def run(pdf):
         key = (int(pdf["bi"].iat[0]), int(pdf["bj"].iat[0]))
