@@ -38,7 +38,9 @@ def tmp_col(df: DataFrame, base: str) -> str:
 
 def ascii_lower(col):
     """A-Z to lower case, every other character unchanged."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    plain = F.octet_length(col) == F.char_length(col)  # lower() is much faster, and the same for ASCII alone
+    return F.when(plain, F.lower(col)).otherwise(
+        F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

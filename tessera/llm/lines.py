@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ascii_lower, read_table, tmp_col
 from tessera.session import write_table
 
-_ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+_WHITE = " \t\n\x0b\x0c\r"
 _LINES = "split({}, '\\n', -1)"
 
 
 def line_key(line):
     """White space off both ends, A-Z in lower case."""
-    return ascii_lower(F.regexp_replace(line, _ENDS, ""))
+    return ascii_lower(F.trim(line, F.lit(_WHITE)))
 
 
 def _exploded(docs: DataFrame, id_col: str, text_col: str, min_len: int) -> DataFrame:
@@ -27,8 +27,8 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str, min_len: int) -> Data
     lines = (docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
              .select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("th"),
                      F.posexplode(F.expr(_LINES.format("`" + text_col + "`"))).alias("pos", "line"))
-             .select("doc", "th", "pos", line_key(F.col("line")).alias("key"))
-             .filter(F.char_length("key") >= min_len))
+             .filter(F.char_length(F.trim("line", F.lit(_WHITE))) >= min_len)
+             .select("doc", "th", "pos", line_key(F.col("line")).alias("key")))
     return lines.select("doc", "th", "pos", F.unhex(F.md5("key")).alias("k"))
 
 
@@ -52,7 +52,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     else:
         common = (lines.select("k", "doc").distinct().groupBy("k").agg(*agg, F.count("*").alias("n"))
                   .filter(F.col("n") >= max(1, min_docs)))
-    hits = lines.join(common.select("k", "least"), "k").filter("doc <> least").select("doc", "th", "pos")
+    common, _ = write_table(common.select("k", "least"), "linekeys")
+    # both sides come straight from an exchange, so a very common line's rows can be split between tasks
+    hits = lines.join(common, "k").filter("doc <> least").select("doc", "th", "pos")
     hits, _ = write_table(hits, "linehits")
     # one entry per dropped line of one document: bounded by the document's own lines
     dropped = hits.groupBy("doc", "th").agg(F.collect_set("pos").alias("gone"))
