@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, lines, mixing, packing, secrets
+from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, secrets
 
 QUERIES = {
+    "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_line_dedup": lines.op5_line_dedup,
     "op8_fingerprints": fingerprints.op8_fingerprints,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_ngram_jaccard_join": ngram_join.SQL,
     "op4_mix_sources": mixing.MIX_SQL,
     "op5_line_dedup": lines.SQL,
 }
