@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, secrets
+from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, repeats, secrets
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op2_repeated_passages": repeats.op2_repeated_passages,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_line_dedup": lines.op5_line_dedup,
     "op8_fingerprints": fingerprints.op8_fingerprints,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_ngram_jaccard_join": ngram_join.SQL,
+    "op2_repeated_passages": repeats.SQL,
     "op4_mix_sources": mixing.MIX_SQL,
     "op5_line_dedup": lines.SQL,
 }
