@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, repeats, secrets
+from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, repeats, secrets, vector_join
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_repeated_passages": repeats.op2_repeated_passages,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op7_vector_near_copies": vector_join.op7_vector_near_copies,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_secret_scan": secrets.op10_secret_scan,
@@ -19,4 +20,5 @@ ORACLE = {
     "op2_repeated_passages": repeats.SQL,
     "op4_mix_sources": mixing.MIX_SQL,
     "op5_line_dedup": lines.SQL,
+    "op7_vector_near_copies": vector_join.SQL,
 }
