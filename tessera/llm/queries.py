@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, repeats, secrets, vector_join
+from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, private_data, repeats, secrets, toxicity, vector_join
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_repeated_passages": repeats.op2_repeated_passages,
+    "op3_private_data": private_data.op3_private_data,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_vector_near_copies": vector_join.op7_vector_near_copies,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
