@@ -30,7 +30,7 @@ GROUP_PIECES = 4000
 #: Exchanges that one group's local search evaluates at most; it only bounds the effort of the improvement.
 SEARCH_STEPS = 400_000
 #: Words whose ids a worker remembers; the memory is emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 PIECE = pa.schema([("doc", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                    ("ids_crc32", pa.int64()), ("ids", pa.binary())])
@@ -47,19 +47,40 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Words of letters are encoded many to a text and told apart by the ids that end a word; if their number
+        is not that of the words (a letter may become several characters), and for all others, one by one."""
+        known = self.known
+        single = [w for w in words if not w.decode().isalpha()]
+        letters = [w for w in words if w.decode().isalpha()]
+        runs = [letters[i:i + 500] for i in range(0, len(letters), 500)]
+        for run, ids in zip(runs, self._ids([b" ".join(r).decode() for r in runs])):
+            cut = np.flatnonzero(self.ends[ids]) + 1
+            if len(cut) != len(run) or len(ids) != cut[-1]:
+                single += run
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, c in zip(run, (4 * cut).tolist()):
+                known[w] = raw[at:c]
+                at = c
+        for w, ids in zip(single, self._ids([w.decode() for w in single])):
+            known[w] = ids.tobytes()
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [(t or "").encode().split() for t in texts]  # bytes.split takes the six ASCII white spaces
         new = {w for words in split for w in words}
         known = self.known
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-        new = [w for w in new if w not in known]
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        self._learn([w for w in new if w not in known])
         get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
