@@ -282,5 +282,8 @@ def replace_private_data(docs: DataFrame, key: str, id_col: str = "doc_id", text
 
 def op3_private_data(spark, sf_dir: str) -> DataFrame:
     out = replace_private_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"), key="surrogates of the corpus")
-    counts = [F.size(F.filter("kinds", lambda k, x=x: k == x)).cast("long").alias(f"n_{x}") for x in KINDS]
+    def count(kind: str):
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS]
     return out.select("doc_id", F.size("kinds").cast("long").alias("n_entities"), *counts, F.col("new_text").alias("text"))
