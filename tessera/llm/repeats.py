@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import Words, as_signed, batch_of, mix64, read_table, span_hash, text_slices
-from tessera.session import write_table
+from tessera.session import drop_table, write_table
 
 GRAM = 8
 ROWS = 2
@@ -167,9 +167,10 @@ def _candidates(k: int, bits: int, n_slices: int, sketch):
                 by = np.argsort(of, kind="stable")
                 cuts, first = np.unique(of[by], return_index=True)
                 for s, i in zip(cuts.tolist(), np.split(send[by], first[1:])):
-                    part = b"".join((h1[i].astype("<u8").tobytes(), h2[i].astype("<u4").tobytes(),
-                                     ids[at + doc[i]].astype("<i8").tobytes(), ths[at + doc[i]].astype("<i8").tobytes(),
-                                     start[i].astype("<u4").tobytes()))
+                    own, which = np.unique(doc[i], return_inverse=True)
+                    part = b"".join((h1[i].astype("<u8").tobytes(), h2[i].astype("<u4").tobytes(), start[i].astype("<u4").tobytes(),
+                                     which.astype("<u4").tobytes(), ids[at + own].astype("<i8").tobytes(),
+                                     ths[at + own].astype("<i8").tobytes()))
                     rows.append((s, None, None, len(i), part))
                 yield batch_of(_FOUND, [list(x) for x in zip(*rows)])
 
@@ -188,14 +189,16 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cols: list[list[np.ndarray]] = [[], [], [], [], []]
     for b in batches:
         for n, part in zip(b.column(0).to_pylist(), b.column(1)):
-            raw, at = part.as_py(), 0
-            for c, kind in zip(cols, ("<u8", "<u4", "<i8", "<i8", "<u4")):
-                size = n * int(kind[-1])
-                c.append(np.frombuffer(raw, kind, n, at))
-                at += size
+            raw = part.as_py()
+            which = np.frombuffer(raw, "<u4", n, 16 * n)
+            own = np.frombuffer(raw, "<i8", -1, 20 * n)
+            own, ths = own[:len(own) // 2], own[len(own) // 2:]
+            for c, x in zip(cols, (np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<u4", n, 8 * n),
+                                   np.frombuffer(raw, "<u4", n, 12 * n), own[which], ths[which])):
+                c.append(x)
     if not cols[0]:
         return
-    h1, h2, doc, th, start = (np.concatenate(c) for c in cols)
+    h1, h2, start, doc, th = (np.concatenate(c) for c in cols)
     order = np.lexsort((h2, h1))
     a, c = h1[order], h2[order]
     same = (a[1:] == a[:-1]) & (c[1:] == c[:-1])
@@ -261,12 +264,13 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     sketch = spark.sparkContext.broadcast(repeat_sketch(slim, k, bits))
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slices = max(n_parts, -(-size // (6 * GROUPED)))
-    found, _ = write_table(slim.mapInArrow(_candidates(k, bits, slices, sketch),
+    found, found_path = write_table(slim.mapInArrow(_candidates(k, bits, slices, sketch),
                                            "slice int, doc long, th long, n int, part binary"), "repeatfound")
     exact = (found.filter("slice >= 0").select("n", "part", "slice").repartitionById(slices, "slice")
              .select("n", "part").mapInArrow(_grouped, "slice int, doc long, th long, n int, part binary"))
     starts = found.filter("slice < 0").unionByName(exact).groupBy("doc", "th").agg(F.collect_list("part").alias("parts"))
     starts, _ = write_table(starts, "repeatstarts")
+    drop_table(spark, found_path)
     starts = starts.withColumnsRenamed({"doc": "__doc", "th": "__th", "parts": "__parts"})
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     both = docs.alias("d").join(starts.alias("s"), (key == F.col("s.__doc")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("s.__th")), "left")
