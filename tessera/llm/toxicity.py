@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD_RE, batch_of, read_table, text_slices
 
-SAMPLE_ROWS, SAMPLE_CHARS = 5000, 6000
+SAMPLE_ROWS, SAMPLE_CHARS = 4000, 6000
 CHAIN = 128
 PREFIXES = (4, 5, 6, 7, 8, 9)
 THRESHOLD = 0.3
@@ -160,21 +160,23 @@ def score(model: Model, p: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(summary(p) @ model.doc, -30, 30))))
 
 
-def _evidence(docs: list[set[str]], y: np.ndarray) -> tuple[dict[str, tuple[float, float]], set[str]]:
+def _evidence(docs: Iterator[set[str]], y: np.ndarray) -> tuple[dict[str, tuple[float, float]], set[str]]:
     """Log odds of forms by document with a likelihood ratio test, and those that mark toxic documents beyond chance."""
     pos, neg = int(y.sum()), int((1 - y).sum())
     if not pos or not neg:
         return {}, set()
-    n: dict[str, list[int]] = {}
+    n: dict[str, int] = {}  # toxic documents of a form in the upper half, others in the lower
     for words, label in zip(docs, y.tolist()):
+        one = 1 << 32 * label
         for w in words:
-            n.setdefault(w, [0, 0])[label] += 1
+            n[w] = n.get(w, 0) + one
     evidence, marks = {}, set()
 
     def entropy(k, m):
         return sum(v * np.log(v / m) for v in (k, m - k) if v)
 
-    for w, (b, a) in n.items():
+    for w, both in n.items():
+        a, b = both >> 32, both & 0xFFFFFFFF
         if a + b < 4:
             continue
         g = 2 * (entropy(a, pos) + entropy(b, neg) - entropy(a + b, pos + neg))
@@ -239,7 +241,7 @@ def fit(texts: list[str | None], toxic: list[int]) -> Model:
     if not len(y):
         return model
     parts = [chains(t) for t in texts]
-    words = [{f for w in {w for c in p for w in c} for f in forms(w)} for p in parts]
+    words = ({f for w in {w for c in p for w in c} for f in forms(w)} for p in parts)
     model.evidence, marks = _evidence(words, y)
     if marks:
         seqs, labels = [], []
