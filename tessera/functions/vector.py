@@ -68,9 +68,9 @@ def hash_normal(seed: int, row, col) -> Column:
 
 
 def natural_number(name) -> Column:
-    """The first run of digits of a name as an int, for natural ordering."""
+    """The first run of digits of a name as a bigint, for natural ordering (O6); null without digits."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_extract(c, r"(\d+)", 1).cast("int")
+    return F.regexp_extract(c, r"(\d+)", 1).try_cast("bigint")
 
 
 def rnd(c, digits: int = 9) -> Column:

@@ -89,8 +89,6 @@ def kernel_row_sums(y: DataFrame, k: int, block_rows: int = 2048, n: int | None
     n, B = blocks_for(y, n, block_rows)
     schema = "row_id bigint, zrow double, " + ", ".join(f"rep{c} double" for c in range(k))
     parts = run_tiles(y.select("row_id", *ycols), "row_id", ycols, B, _kernel_tile(ycols), schema)
-    if B == 1:
-        return parts          # one tile: already one complete row per point
     return parts.groupBy("row_id").agg(F.sum("zrow").alias("zrow"),
                                        *[F.sum(f"rep{c}").alias(f"rep{c}") for c in range(k)])
 

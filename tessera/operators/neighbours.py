@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.tiles import blocks_for, run_tiles
+from tessera.session import cut_lineage
 
 CANDIDATE_SCHEMA = "i bigint, j bigint, d double, rank int"
 
@@ -35,9 +36,9 @@ def _empty() -> pd.DataFrame:
                          "d": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
 
 
-SAMPLE_ROWS = 16384                 # sample for the pruning radius (rows) ...
-SAMPLE_BYTES = 64 << 20             # ... and its byte budget, whichever is smaller
-RADIUS_SLACK = 1e-12                # relative slack for last-ulp summation differences
+SAMPLE_ROWS = 1024                  # expected rows of the sample for the pruning radius
+RADIUS_SLACK = 1e-9                 # slack of the Gram form, relative to the squared norms
+DIFF_ELEMENTS = 1 << 22             # numbers held at once when candidates are measured again
 
 
 def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile, radius=None):
@@ -50,6 +51,8 @@ def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile, radius=None):
     kk = min(k, avail)
     if kk <= 0 or m == 0:
         return _empty()
+    if not np.isfinite(approx).all():
+        raise ValueError("squared distances overflow: scale the vectors")
     if self_tile:
         np.fill_diagonal(approx, np.inf)
     if kk < avail:
@@ -60,11 +63,14 @@ def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile, radius=None):
     else:
         mask = np.isfinite(approx)
     r, c = np.nonzero(mask)
-    diff = A[r] - Bm[c]
-    d = np.einsum("ij,ij->i", diff, diff)
     if radius is not None:
-        near = d <= radius[r] * (1.0 + RADIUS_SLACK)
-        r, c, d = r[near], c[near], d[near]
+        near = approx[r, c] <= radius[r]
+        r, c = r[near], c[near]
+    d = np.empty(len(r))
+    step = max(1, DIFF_ELEMENTS // max(1, A.shape[1]))
+    for s in range(0, len(r), step):
+        diff = A[r[s:s + step]] - Bm[c[s:s + step]]
+        d[s:s + step] = np.einsum("ij,ij->i", diff, diff)
     j = idb[c]
     order = np.lexsort((j, d, r))
     r, j, d = r[order], j[order], d[order]
@@ -103,21 +109,21 @@ def _knn_tile(id_col: str, feat_col: str, k: int, with_radius: bool = False):
 
 
 def sample_radius(vectors: DataFrame, k: int, n: int, id_col: str = "row_id", feat_col: str = "features",
-                  sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """(id, radius): each point's k-th smallest squared distance to a hash sample.
+                  sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(id, features, radius): each point's k-th smallest squared distance to a hash sample, with slack.
 
-    The sample has at most ``min(sample_rows, sample_bytes / (8 d))`` points
-    -- a bound fixed by parameters, not by n -- and travels to the tasks in
+    The sample is a filter on a hash of the id that keeps about
+    ``sample_rows`` points (a parameter, not a share of n), and travels to the tasks in
     the function's closure.  A point whose sample holds fewer than k other
     points gets an infinite radius (no pruning).
     """
-    first = vectors.select(F.size(feat_col).alias("d")).first()
-    d = int(first["d"]) if first is not None else 1
-    m = max(1, min(sample_rows, sample_bytes // (8 * max(1, d)), n))
-    rows = (vectors.select(id_col, feat_col).orderBy(F.xxhash64(F.col(id_col)), id_col).limit(m).collect())
+    share = min(1.0, max(sample_rows, 4 * k) / max(1, n))
+    keep = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    rows = vectors.select(id_col, feat_col).where(keep).collect()
     sid = np.array([r[0] for r in rows], dtype=np.int64)
     S = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    chunk = max(1, (1 << 22) // max(1, len(S) * S.shape[1]))
+    s2 = np.einsum("ij,ij->i", S, S)
+    chunk = max(1, DIFF_ELEMENTS // max(1, len(S)))
 
     def fn(batches):
         for pdf in batches:
@@ -125,18 +131,18 @@ def sample_radius(vectors: DataFrame, k: int, n: int, id_col: str = "row_id", fe
                 continue
             ids = pdf[id_col].to_numpy(dtype=np.int64)
             X = np.stack(pdf[feat_col].to_numpy()).astype(np.float64)
-            out = np.empty(len(X))
-            for s in range(0, len(X), chunk):
-                diff = X[s:s + chunk, None, :] - S[None, :, :]
-                D = np.einsum("ijk,ijk->ij", diff, diff)
+            out = np.full(len(X), np.inf)
+            x2 = np.einsum("ij,ij->i", X, X)
+            for s in range(0, len(X) if len(S) > k else 0, chunk):
+                D = x2[s:s + chunk, None] + s2[None, :] - 2.0 * (X[s:s + chunk] @ S.T)
                 D[ids[s:s + chunk, None] == sid[None, :]] = np.inf
-                if len(S) - 1 >= k:
-                    out[s:s + chunk] = np.partition(D, k - 1, axis=1)[:, k - 1]
-                else:
-                    out[s:s + chunk] = np.inf
-            yield pd.DataFrame({id_col: ids, "radius": out})
+                far = np.partition(D, k - 1, axis=1)[:, k - 1]
+                # Gram forms err by far less than this, here and in the tiles
+                out[s:s + chunk] = far + RADIUS_SLACK * (4 * x2[s:s + chunk] + 4 * np.abs(far) + 1e-300)
+            yield pd.DataFrame({id_col: ids, feat_col: pdf[feat_col], "radius": out})
 
-    return vectors.select(id_col, feat_col).mapInPandas(fn, f"{id_col} bigint, radius double")
+    return vectors.select(id_col, F.col(feat_col).cast("array<double>").alias(feat_col)).mapInPandas(
+        fn, f"{id_col} bigint, {feat_col} array<double>, radius double")
 
 
 def knn_candidates(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
@@ -145,10 +151,9 @@ def knn_candidates(vectors: DataFrame, k: int, block_rows: int = 2048, n: int |
     """Per-tile top-k candidates (i, j, d, rank in tile): at most k per point
     and block.  Returns the candidates and the number of blocks."""
     n, B = blocks_for(vectors, n, block_rows)
-    if B == 1:
-        return run_tiles(vectors, id_col, [feat_col], B, _knn_tile(id_col, feat_col, k), CANDIDATE_SCHEMA), B
     m = SAMPLE_ROWS if sample_rows is None else sample_rows
-    pts = vectors.select(id_col, feat_col).join(sample_radius(vectors, k, n, id_col, feat_col, m), id_col)
+    # written once: both sides of the tiles read it
+    pts = cut_lineage(sample_radius(vectors, k, n, id_col, feat_col, m), "radius")
     return run_tiles(pts, id_col, [feat_col, "radius"], B, _knn_tile(id_col, feat_col, k, True),
                      CANDIDATE_SCHEMA), B
 
@@ -159,12 +164,8 @@ def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None
 
     Ties in distance are broken by the smaller j.  ``k >= n - 1`` gives all
     pairs (the original's non-kNN mode), which is quadratic by definition.
-    With a single block the one tile already ranks every point's partners
-    exactly, so no merge (and no shuffle) is needed.
     """
-    cand, B = knn_candidates(vectors, k, block_rows, n, id_col, feat_col, sample_rows)
-    if B == 1:
-        return cand
+    cand, _ = knn_candidates(vectors, k, block_rows, n, id_col, feat_col, sample_rows)
     w = Window.partitionBy("i").orderBy("d", "j")
     return (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)

@@ -19,22 +19,13 @@ import math
 
 from pyspark.sql import DataFrame
 
-from tessera.session import default_parallelism
+#: Blocks at any size, so that small inputs take the same path as large ones.
+MIN_BLOCKS = 8
 
 
-MIN_BLOCK_ROWS = 1024
-MAX_TILE_WAVES = 4
-
-
-def plan_blocks(n: int, block_rows: int, parallelism: int) -> int:
-    """Number of blocks: enough for bounded tiles and for all cores."""
-    by_size = max(1, math.ceil(n / max(1, block_rows)))
-    # B(B+1)/2 tiles should cover the cores twice, but only while a block
-    # keeps enough rows (MIN_BLOCK_ROWS) for the NumPy work to outweigh the
-    # per-task cost; small inputs run as a few large tiles.
-    by_cores = max(1, math.ceil((math.sqrt(16 * parallelism + 1) - 1) / 2))
-    by_cores = min(by_cores, max(1, n // MIN_BLOCK_ROWS))
-    return max(by_size, by_cores)
+def plan_blocks(n: int, block_rows: int) -> int:
+    """Number of blocks: by size, and never fewer than ``MIN_BLOCKS``."""
+    return max(MIN_BLOCKS, math.ceil(n / max(1, block_rows)))
 
 
 def run_tiles(points: DataFrame, id_col: str, value_cols: list[str], num_blocks: int,
@@ -67,14 +58,9 @@ def run_tiles(points: DataFrame, id_col: str, value_cols: list[str], num_blocks:
     right = (pts.where(f"{h} + IF({even} = 1 AND blk >= {B // 2}, 1, 0) >= 1")
              .selectExpr(*cols, "blk", f"{right_t} AS t")
              .selectExpr(f"CAST(pmod(blk - t, {B}) AS INT) AS bi", "blk AS bj", "CAST(1 AS TINYINT) AS side", *cols))
-    # One partition per owner up to a few waves of the cluster's cores, fixed
-    # by number so AQE does not merge compute-heavy tiles by their (small)
-    # byte size; beyond that, owners share tasks and run one tile at a time.
-    cap = max(1, MAX_TILE_WAVES * default_parallelism(points.sparkSession))
-    both = left.unionByName(right)
-    # One block is one tile: a single partition already satisfies the
-    # grouping, so it needs no shuffle.
-    both = both.coalesce(1) if B == 1 else both.repartition(max(1, min(B, cap)), "bi")
+    # One partition per owner, by its number: hashing would put several owners
+    # in one partition, and AQE would merge the compute-heavy tiles by bytes.
+    both = left.unionByName(right).repartitionById(B, "bi")
 
     def run(pdf):
         key = (int(pdf["bi"].iat[0]), int(pdf["bj"].iat[0]))
@@ -90,5 +76,4 @@ def blocks_for(df: DataFrame, n: int | None, block_rows: int) -> tuple[int, int]
     """(n, B) for a point table; counts it when n is not known."""
     if n is None:
         n = df.count()
-    spark = df.sparkSession
-    return n, plan_blocks(n, block_rows, default_parallelism(spark))
+    return n, plan_blocks(n, block_rows)

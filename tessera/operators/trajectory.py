@@ -9,8 +9,8 @@ from tessera.functions.vector import natural_number
 
 
 def label_join(snapshots: DataFrame, labels: DataFrame) -> DataFrame:
-    """Attach each point's label to every frame (J11): (iter, row_id, label, x, y)."""
-    return snapshots.join(labels, "row_id").select("iter", "row_id", "label", F.col("y0").alias("x"),
+    """Attach each point's label to every frame (J11): (iter, row_id, label, x, y); null where it has none."""
+    return snapshots.join(labels, "row_id", "left").select("iter", "row_id", "label", F.col("y0").alias("x"),
                                                    F.col("y1").alias("y"))
 
 

@@ -9,11 +9,11 @@ session and sf folder and kept as checkpointed tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.entropy import entropy_at_beta
-from tessera.functions.vector import natural_number, rnd
+from tessera.functions.vector import rnd
 from tessera.operators import affinity as aff
 from tessera.operators import descent as ds
 from tessera.operators.kernel import edge_affinity, kernel_row_sums, normalizer
@@ -21,7 +21,7 @@ from tessera.operators.linalg import center, column_means, covariance, pca_proje
 from tessera.operators.neighbours import knn, neighbour_lists
 from tessera.operators.quality import kl_divergence, neighbour_preservation
 from tessera.operators.stats import pair_row_stats
-from tessera.operators.trajectory import frame_limits, label_join, running_frame_limits
+from tessera.operators.trajectory import frame_limits, label_join, natural_order, running_frame_limits
 from tessera.params import INTENDED
 from tessera.plans.fit import descend, embed_table
 from tessera.session import cut_lineage, scratch_path
@@ -181,11 +181,15 @@ def q_center_columns(spark, sf):
 
 
 def q_affinity_with_diagonal(spark, sf):
-    return aff.with_diagonal(_p_ex(spark, sf), INTENDED.diagonal_value).select("i", "j", rnd("p", 10).alias("p"))
+    # tiny values are told apart from 0 by their own column
+    return aff.with_diagonal(_p_ex(spark, sf), INTENDED.diagonal_value).select(
+        "i", "j", rnd("p", 10).alias("p"), F.when(F.col("p") < 1e-9, rnd(F.col("p") * 1e12, 3)).alias("tiny_e12"))
 
 
 def q_affinity_floor(spark, sf):
-    return aff.floor_values(_p_ex(spark, sf)).select("i", "j", rnd("p", 10).alias("p"))
+    # scaled down until the floor acts on part of the table
+    small = aff.scale(_p_ex(spark, sf), 1e-8)
+    return aff.floor_values(small).select("i", "j", rnd(F.col("p") * 1e12, 4).alias("p_e12"))
 
 
 def q_exaggerate_affinity(spark, sf):
@@ -318,8 +322,12 @@ def q_running_frame_limits(spark, sf):
 
 
 def q_snapshot_name_order(spark, sf):
-    names = _snapshots(spark, sf).select(F.concat(F.lit("exportIter_"), F.col("iter").cast("string")).alias("name")).distinct()
-    return names.select("name", natural_number("name").alias("iter_no"))
+    # the third frame counts as the tenth: text order and number order differ
+    no = F.when(F.col("iter") == 3, 10).otherwise(F.col("iter"))
+    names = _snapshots(spark, sf).select(F.concat(F.lit("exportIter_"), no.cast("string")).alias("name")).distinct()
+    place = Window.orderBy(F.monotonically_increasing_id())  # as sorted; one row per frame
+    return natural_order(names.coalesce(1)).select("name", F.col("num").alias("iter_no"),
+                                                   F.row_number().over(place).alias("place"))
 
 
 def q_fit_snapshots(spark, sf):

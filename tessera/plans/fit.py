@@ -38,8 +38,9 @@ def affinities(vectors: DataFrame, params: TsneParams = INTENDED, n: int | None
     """kNN (or all pairs) -> beta search -> joint P, checkpointed once."""
     spark = vectors.sparkSession
     ensure_checkpoint_dir(spark)
+    checked = require_valid(vectors)
     if n is None:
-        n = vectors.count()
+        n = checked["n"]
     k_nb = params.n_neighbours if params.neighbours == "knn" else max(1, n - 1)
     nn = knn(vectors, k_nb, params.block_rows, n)
     search = cut_lineage(aff.beta_search(nn, params.perplexity, params.tol, params.max_tries))

@@ -191,9 +191,9 @@ def build() -> dict[str, str]:
     q["affinity_total"] = pchain + f"SELECT {r('sum(p)', 9)} AS total, count(*) AS n_entries FROM sym"
     q["joint_affinity_knn"] = pchain + f"SELECT i, j, {r('p', 10)} AS p FROM pex"
     q["transpose_affinity"] = pchain + f"SELECT j AS i, i AS j, {r('p', 10)} AS p FROM pex"
-    q["affinity_floor"] = pchain + f"SELECT i, j, {r('greatest(p, 1e-12)', 10)} AS p FROM pex"
+    q["affinity_floor"] = pchain + f"SELECT i, j, {r('greatest(p * 1e-8, 1e-12) * 1e12', 4)} AS p_e12 FROM pex"
     q["exaggerate_affinity"] = pchain + f"SELECT i, j, {r('p', 10)} AS p, {r(f'p * {EX}', 10)} AS p_ex FROM pj"
-    q["affinity_with_diagonal"] = pchain + (f"SELECT DISTINCT i, j, {r('p', 10)} AS p FROM (SELECT i, j, p FROM pex "
+    q["affinity_with_diagonal"] = pchain + (f"SELECT DISTINCT i, j, {r('p', 10)} AS p, CASE WHEN p < 1e-9 THEN {r('p * 1e12', 3)} END AS tiny_e12 FROM (SELECT i, j, p FROM pex "
                                             "UNION ALL SELECT DISTINCT i, i AS j, 1e-12 AS p FROM pex)")
     q["matrix_profile"] = pchain + ("SELECT count(*) AS n_entries, max(i) AS max_i, max(j) AS max_j, "
                                     f"count(DISTINCT i) AS n_rows, {r('sum(p)', 9)} AS p_sum FROM "
@@ -233,8 +233,9 @@ def build() -> dict[str, str]:
         "FROM (SELECT iter, max(abs(y0)) AS xmax, max(abs(y1)) AS ymax FROM snap GROUP BY iter)")
     q["label_join"] = _snapshots_sql(f"SELECT s.iter, s.row_id, e.label, {r('s.y0', 6)} AS x, {r('s.y1', 6)} AS y "
                                      "FROM snap s JOIN embeddings e ON s.row_id = e.vec_id")
-    q["snapshot_name_order"] = ("SELECT 'exportIter_' || CAST(it AS VARCHAR) AS name, CAST(it AS INTEGER) AS iter_no "
-                                "FROM (SELECT DISTINCT it FROM embeddings, range(1, 4) t(it))")
+    q["snapshot_name_order"] = ("SELECT 'exportIter_' || CAST(it AS VARCHAR) AS name, CAST(it AS BIGINT) AS iter_no, "
+                                "CAST(row_number() OVER (ORDER BY it) AS INTEGER) AS place "
+                                "FROM (SELECT DISTINCT it FROM embeddings, (VALUES (1), (2), (10)) t(it))")
     q["tsne_fit_3_as_executed"] = with_(*P_CHAIN, *fit_ctes(3, "graph")) + (
         f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s3")
     q["snapshot_text_scan"] = with_(*P_CHAIN, *fit_ctes(1)) + (

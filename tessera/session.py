@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -31,8 +32,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    given = SparkConf()  # what spark-submit or spark-defaults set wins
     for k, v in conf.items():
-        b = b.config(k, v)
+        if k in (extra or {}) or not given.contains(k):
+            b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -44,8 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, creating one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) do we make a fresh
-    scratch folder under the system temp directory.
+    as is.  Only when nothing is configured on a local master (tests) do we make
+    a fresh scratch folder under the system temp directory; elsewhere that
+    would lose rows, so we raise.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()

@@ -71,13 +71,14 @@ def read_labels(spark: SparkSession, path: str, id_col: str = "vec_id", label_co
 
 
 def validate_vectors(vectors: DataFrame) -> dict:
-    """Shape check (A9): rows, min/max width, null or non-finite vectors.
+    """Shape check (A9): rows, min/max width, null ids, null or non-finite vectors.
 
     The original silently cuts ragged rows to the shorter one; we refuse
     them instead, with a count.
     """
     width = F.size("features")
-    bad = F.col("features").isNull() | F.exists("features", lambda x: x.isNull() | F.isnan(x))
+    bad = (F.col("row_id").isNull() | F.col("features").isNull()
+           | F.exists("features", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))))
     r = vectors.agg(F.count(F.lit(1)).alias("n"), F.min(width).alias("dmin"), F.max(width).alias("dmax"),
                     F.sum(F.when(bad, 1).otherwise(0)).alias("bad"),
                     F.min("row_id").alias("id_min"), F.max("row_id").alias("id_max")).first()
@@ -87,7 +88,10 @@ def validate_vectors(vectors: DataFrame) -> dict:
 def require_valid(vectors: DataFrame) -> dict:
     info = validate_vectors(vectors)
     if info["n"] and (info["bad"] or info["dmin"] != info["dmax"]):
-        raise ValueError(f"vectors must be non-null and of one width: {info}")
+        raise ValueError(f"vectors must be finite, with an id, and of one width: {info}")
+    twice = vectors.groupBy("row_id").count().where("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"ids must be unique: {twice['row_id']} has {twice['count']} rows")
     return info
 
 
