@@ -184,29 +184,51 @@ def _by_doc(doc: np.ndarray, start: np.ndarray) -> Iterator[tuple]:
         yield from zip(keys.tolist(), np.split(start, first[1:]))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Starts of the windows whose hash another row of the slice has too."""
-    cols: list[list[np.ndarray]] = [[], [], [], [], []]
+def _grouped(n_slices: int):
+    """Starts of the windows whose hash another row of the slice has too, dealt to slices by document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols: list[list[np.ndarray]] = [[], [], [], [], []]
+        for b in batches:
+            for n, part in zip(b.column(0).to_pylist(), b.column(1)):
+                raw = part.as_py()
+                which = np.frombuffer(raw, "<u4", n, 16 * n)
+                own = np.frombuffer(raw, "<i8", -1, 20 * n)
+                own, ths = own[:len(own) // 2], own[len(own) // 2:]
+                for c, x in zip(cols, (np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<u4", n, 8 * n),
+                                       np.frombuffer(raw, "<u4", n, 12 * n), own[which], ths[which])):
+                    c.append(x)
+        if not cols[0]:
+            return
+        h1, h2, start, doc, th = (np.concatenate(c) for c in cols)
+        order = np.lexsort((h2, h1))
+        a, c = h1[order], h2[order]
+        same = (a[1:] == a[:-1]) & (c[1:] == c[:-1])
+        hit = np.zeros(len(a), bool)
+        hit[1:] = same
+        hit[:-1] |= same
+        i = order[hit]
+        to = (mix64((doc[i] ^ th[i]).view(np.uint64)) % np.uint64(n_slices)).astype(np.int64)
+        i = i[np.argsort(to, kind="stable")]
+        keys, first = np.unique(np.sort(to), return_index=True)
+        for s, j in zip(keys.tolist(), np.split(i, first[1:])):
+            part = b"".join((doc[j].astype("<i8").tobytes(), th[j].astype("<i8").tobytes(), start[j].astype("<u4").tobytes()))
+            yield batch_of(_FOUND, [[s], [None], [None], [len(j)], [part]])
+
+    return run
+
+
+def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row (doc, th) with its starts for each document of the slice."""
+    cols: list[list[np.ndarray]] = [[], [], []]
     for b in batches:
         for n, part in zip(b.column(0).to_pylist(), b.column(1)):
             raw = part.as_py()
-            which = np.frombuffer(raw, "<u4", n, 16 * n)
-            own = np.frombuffer(raw, "<i8", -1, 20 * n)
-            own, ths = own[:len(own) // 2], own[len(own) // 2:]
-            for c, x in zip(cols, (np.frombuffer(raw, "<u8", n), np.frombuffer(raw, "<u4", n, 8 * n),
-                                   np.frombuffer(raw, "<u4", n, 12 * n), own[which], ths[which])):
+            for c, x in zip(cols, (np.frombuffer(raw, "<i8", n), np.frombuffer(raw, "<i8", n, 8 * n), np.frombuffer(raw, "<u4", n, 16 * n))):
                 c.append(x)
     if not cols[0]:
         return
-    h1, h2, start, doc, th = (np.concatenate(c) for c in cols)
-    order = np.lexsort((h2, h1))
-    a, c = h1[order], h2[order]
-    same = (a[1:] == a[:-1]) & (c[1:] == c[:-1])
-    hit = np.zeros(len(a), bool)
-    hit[1:] = same
-    hit[:-1] |= same
-    i = order[hit]
-    i = i[np.lexsort((th[i], doc[i]))]
+    doc, th, start = (np.concatenate(c) for c in cols)
+    i = np.lexsort((th, doc))
     new = np.flatnonzero(np.concatenate(([True], (doc[i][1:] != doc[i][:-1]) | (th[i][1:] != th[i][:-1])))) if len(i) else i
     for j in range(0, len(new), 20_000):
         rows = new[j:j + 20_000]
@@ -267,7 +289,9 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     found, found_path = write_table(slim.mapInArrow(_candidates(k, bits, slices, sketch),
                                            "slice int, doc long, th long, n int, part binary"), "repeatfound")
     exact = (found.filter("slice >= 0").select("n", "part", "slice").repartitionById(slices, "slice")
-             .select("n", "part").mapInArrow(_grouped, "slice int, doc long, th long, n int, part binary"))
+             .select("n", "part").mapInArrow(_grouped(slices), "slice int, doc long, th long, n int, part binary")
+             .repartitionById(slices, "slice").select("n", "part")
+             .mapInArrow(_per_document, "slice int, doc long, th long, n int, part binary"))
     starts = found.filter("slice < 0").unionByName(exact).groupBy("doc", "th").agg(F.collect_list("part").alias("parts"))
     starts, _ = write_table(starts, "repeatstarts")
     drop_table(spark, found_path)
