@@ -336,23 +336,30 @@ def trie_links(own: list[np.ndarray], own_ids: list, sets: list[np.ndarray], ids
 
 
 def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
-    """(comp, cls, n, tokens) of the classes in ``members`` (cls, comp, doc): each read from one document."""
-    schema = pa.schema([("comp", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+    """(comp, many, cls, n, tokens) of the classes in ``members`` (cls, comp, many, least): each read from one document.
+
+    Repeated rows of an id give a class once per task, seldom more; readers take equal rows as one.
+    """
+    schema = pa.schema([(c, pa.int64()) for c in ("comp", "many", "cls", "n")] + [("tokens", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lv = levels.value
+        seen: set[int] = set()
         for b in batches:
-            for at, texts in text_slices(b.column(2)):
+            for at, texts in text_slices(b.column(3)):
                 rows = []
-                for h, comp, c in zip(shingle_sets(texts, k), b.column(0).slice(at, len(texts)).to_pylist(),
-                                      b.column(1).slice(at, len(texts)).to_pylist()):
-                    if len(h) and _class_id(h) == c:  # an id may have several texts
-                        rows.append((comp, c, len(h), ordered_tokens(h, lv).tobytes()))
+                for h, comp, many, c in zip(shingle_sets(texts, k), *[b.column(j).slice(at, len(texts)).to_pylist()
+                                                                      for j in range(3)]):
+                    if len(h) and c not in seen and _class_id(h) == c:  # an id may have several texts
+                        seen.add(c)
+                        rows.append((comp, many, c, len(h), ordered_tokens(h, lv).tobytes()))
                 if rows:
                     yield batch_of(schema, [list(x) for x in zip(*rows)])
+                if len(seen) > 1_000_000:
+                    seen.clear()
 
-    both = docs.join(members, docs["doc"] == members["least"]).select("comp", "cls", "text")
-    return both.mapInArrow(run, "comp long, cls long, n long, tokens binary")
+    both = docs.join(members, docs["doc"] == members["least"]).select("comp", "many", "cls", "text")
+    return both.mapInArrow(run, "comp long, many long, cls long, n long, tokens binary")
 
 
 def _block_links(num: int, den: int):
@@ -361,10 +368,7 @@ def _block_links(num: int, den: int):
     Side 0 alone: the sets of one block among themselves; sides 0 and 1: those of one block with another's.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(rows):
-            sides = {}
-            for side, label, cls, tokens in rows:
-                sides.setdefault(side, {})[cls] = (label, tokens)
+        def solve(sides):
             uf = UnionFind()
             for s in sides.values():
                 for c, (label, _) in s.items():
@@ -378,19 +382,19 @@ def _block_links(num: int, den: int):
             return trie_links([arr[c] for c in a], list(a), [arr[c] for c in b], list(b), uf, num, den)
 
         out: list[tuple] = []
-        unit, rows = None, []
+        unit, sides = None, {}
         for batch in batches:
-            for u, *row in zip(*[batch.column(j).to_pylist() for j in range(5)]):
+            for u, side, label, cls, tokens in zip(*[batch.column(j).to_pylist() for j in range(5)]):
                 if u != unit:
-                    if rows:
-                        out += solve(rows)
-                    unit, rows = u, []
-                rows.append(row)
+                    if sides:
+                        out += solve(sides)
+                    unit, sides = u, {}
+                sides.setdefault(side, {})[cls] = (label, tokens)
             if len(out) > 10_000:
                 yield _edges(out)
                 out = []
-        if rows:
-            out += solve(rows)
+        if sides:
+            out += solve(sides)
         yield _edges(out)
 
     return run
@@ -496,13 +500,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sizes = coarse.groupBy("comp").agg(F.count("*").alias("many"))
     least = owners.filter("cls is not null").groupBy("cls").agg(F.min("doc").alias("least"))
     members, _ = write_table(coarse.join(least, "cls").join(sizes, "comp"), "ngrammembers")
-    sets, _ = write_table(set_rows(docs, members, k, levels).dropDuplicates(["cls"]), "ngramsets")
-    of_block = members.select("comp", "cls", _block_of("many").alias("blk"))
-    links, _ = write_table(_solve(_blocks(sets, of_block), num, den), "ngramlinks")
+    sets, _ = write_table(set_rows(docs, members, k, levels), "ngramsets")
+    first_units = sets.select(F.concat_ws(":", "comp", _block_of("many")).alias("unit"), F.lit(0).alias("side"),
+                              F.lit(None).cast("long").alias("label"), "cls", "tokens")
+    links, _ = write_table(_solve(first_units, num, den), "ngramlinks")
 
-    wide = members.filter(F.col("many") > BLOCK).select("comp", "cls")
+    sets = sets.filter(F.col("many") > BLOCK)  # the others are done
+    wide = sets.select("comp", "cls", "n").distinct()
     if not wide.isEmpty():
-        wide = write_table(wide.join(sets.select("cls", "n"), "cls"), "ngramwide")[0]
+        wide = write_table(wide, "ngramwide")[0]
         before = None
         while True:
             labelled = _labelled(wide, links)
