@@ -399,6 +399,14 @@ def q_tsne_fit_3_as_executed(spark, sf):
     return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
 
 
+def q_tsne_fit_3_schedule(spark, sf):
+    """K10 with both switches inside the run: momentum after one iteration,
+    exaggeration off after two."""
+    params = INTENDED.with_(momentum_switch_iter=1, stop_exaggeration_at=2)
+    r = descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), params, max_iter=FIT_ITERS)
+    return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
+
+
 def q_snapshot_text_scan(spark, sf):
     """S7 text form: the first frame as "y0, y1" lines in id order, read back
     by line number (W2) and parsed (F6)."""
@@ -429,6 +437,14 @@ def q_embed_pipeline(spark, sf):
     return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
 
 
+
+def q_embed_pipeline_full_rank(spark, sf):
+    """K11 with as many components as coordinates: distances, and so the map,
+    are those of the raw vectors."""
+    r = embed_table(_vectors(spark, sf), INTENDED.with_(pca_dims=64), max_iter=FIT_ITERS)
+    return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
+
+
 QUERIES = {
     # sources / sinks
     "vectors_scan": q_vectors_scan,
@@ -484,8 +500,10 @@ QUERIES = {
     "pca_project": q_pca_project,
     "tsne_fit_3": q_tsne_fit_3,
     "tsne_fit_3_as_executed": q_tsne_fit_3_as_executed,
+    "tsne_fit_3_schedule": q_tsne_fit_3_schedule,
     "snapshot_text_scan": q_snapshot_text_scan,
     "embed_pipeline": q_embed_pipeline,
+    "embed_pipeline_full_rank": q_embed_pipeline_full_rank,
     # extras (not in the original job): quality of the embedding
     "kl_divergence": q_kl_divergence,
     "neighbour_preservation": q_neighbour_preservation,

@@ -82,14 +82,14 @@ def with_(*ctes: str) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n"
 
 
-def _p_weight(alias: str, floor: bool) -> str:
-    v = f"{alias}.p * {EX}"
+def _p_weight(alias: str, floor: bool, ex: str = EX) -> str:
+    v = f"{alias}.p * {ex}"
     v = f"greatest({v}, 1e-12)" if floor else v
     return f"(CASE WHEN {alias}.p IS NULL THEN 0.0 ELSE {v} END)"
 
 
-def gradient_full_cte(name: str, kern: str, z: str) -> str:
-    w = f"({_p_weight('pj', True)} - k.num / zz.z) * k.num"
+def gradient_full_cte(name: str, kern: str, z: str, ex: str = EX) -> str:
+    w = f"({_p_weight('pj', True, ex)} - k.num / zz.z) * k.num"
     return (f"{name} AS (SELECT k.i AS row_id, sum({w} * k.dy0) AS dy0, sum({w} * k.dy1) AS dy1 "
             f"FROM {kern} k LEFT JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN {z} zz GROUP BY k.i)")
 
@@ -111,24 +111,26 @@ def step_ctes(t: int, state: str, grad: str, mu: str = "0.5") -> list[str]:
     return [u, w, s]
 
 
-def gradient_graph_cte(name: str, kern: str, z: str) -> str:
+def gradient_graph_cte(name: str, kern: str, z: str, ex: str = EX) -> str:
     """Executed form: only the edges of P, no floor (inner join of P and Q)."""
-    w = f"(pj.p * {EX} - k.num / zz.z) * k.num"
+    w = f"(pj.p * {ex} - k.num / zz.z) * k.num"
     return (f"{name} AS (SELECT k.i AS row_id, sum({w} * k.dy0) AS dy0, sum({w} * k.dy1) AS dy1 "
             f"FROM {kern} k JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN {z} zz GROUP BY k.i)")
 
 
-def fit_ctes(iters: int, repulsion: str = "full") -> list[str]:
+def fit_ctes(iters: int, repulsion: str = "full", schedule: list[tuple[str, str]] | None = None) -> list[str]:
+    """``schedule``: momentum and exaggeration of each iteration."""
+    schedule = schedule or [("0.5", EX)] * iters
     grad_cte = gradient_full_cte if repulsion == "full" else gradient_graph_cte
     ctes = [Y0, "s0 AS (SELECT row_id, y0, y1, CAST(0.0 AS DOUBLE) AS m0, CAST(0.0 AS DOUBLE) AS m1, "
                 "CAST(1.0 AS DOUBLE) AS g0, CAST(1.0 AS DOUBLE) AS g1 FROM y0t)"]
-    for t in range(iters):
+    for t, (mu, ex) in enumerate(schedule):
         ctes.append(f"k{t} AS (SELECT i, j, dy0, dy1, 1.0 / (1.0 + (dy0 * dy0 + dy1 * dy1)) AS num FROM ("
                     f"SELECT a.row_id AS i, b.row_id AS j, a.y0 - b.y0 AS dy0, a.y1 - b.y1 AS dy1 "
                     f"FROM s{t} a JOIN s{t} b ON a.row_id <> b.row_id))")
         ctes.append(f"z{t} AS (SELECT sum(num) AS z FROM k{t})")
-        ctes.append(grad_cte(f"g{t}", f"k{t}", f"z{t}"))
-        ctes += step_ctes(t, f"s{t}", f"g{t}")
+        ctes.append(grad_cte(f"g{t}", f"k{t}", f"z{t}", ex))
+        ctes += step_ctes(t, f"s{t}", f"g{t}", mu)
     return ctes
 
 
@@ -224,6 +226,9 @@ def build() -> dict[str, str]:
     q["apply_update"] = _one_step_sql(f"SELECT row_id, {r('y0', 9)} AS y0, {r('y1', 9)} AS y1 FROM w0")
     q["recenter"] = _one_step_sql(f"SELECT row_id, {r('y0', 9)} AS y0, {r('y1', 9)} AS y1 FROM s1")
     q["tsne_fit_3"] = with_(*P_CHAIN, *fit_ctes(3)) + f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s3"
+    q["embed_pipeline_full_rank"] = q["tsne_fit_3"]  # a rotation keeps all distances
+    q["tsne_fit_3_schedule"] = with_(*P_CHAIN, *fit_ctes(3, schedule=[("0.5", EX), ("0.8", EX), ("0.8", "1.0")])) + (
+        f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s3")
     q["fit_snapshots"] = _snapshots_sql(f"SELECT iter, row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM snap")
     q["frame_limits"] = _snapshots_sql(f"SELECT iter, {r('max(abs(y0))', 6)} AS xmax, {r('max(abs(y1))', 6)} AS ymax "
                                        "FROM snap GROUP BY iter")
