@@ -1,13 +1,12 @@
 """N-gram Jaccard join by a prefix tree over globally ordered shingle sets.
 
 1. One pass counts shingles in a small sketch (``CELLS`` counters, whatever the corpus), which gives shingles
-   that are shared their global order: rarer first, ties by hash.
-2. Documents with equal sets form classes.  Two sets that link share one of their first
-   n - ceil(t n) + 1 shingles.  A share of all shingles, chosen by hash and twice as large as such a prefix,
-   comes first in the order, and among these the ones that a single class has; so for most classes the
-   whole prefix is theirs alone, and they are done after one exchange of that share.  The other classes
-   are joined into coarse groups by the shingles that their prefixes share.  A map task sends a bounded
-   number of rows per shingle, so a shingle that very many documents share stays small.
+   their global order: rarer first, ties by hash.
+2. Documents with equal sets form classes.  Two classes that link differ in a bounded number d of shingles, so
+   of more than d parts, into which a hash deals all shingles, some hold the same shingles in both.  Each class
+   sends one key per part; classes with equal keys form coarse groups.  A part holds several shingles, so
+   chance sharing of single shingles, which grows with the corpus, joins nothing.  A map task sends one class
+   per key and links the others to it, so a part that very many documents share stays small.
 3. Only classes with a partner ship their whole set, once.  Coarse groups are dealt to blocks of about
    ``BLOCK`` sets; each block is a trie of the ordered sets, and each set walks it, sharing the overlap
    counted on common paths and leaving subtrees whose remaining length cannot reach the threshold, or
@@ -20,6 +19,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -85,14 +85,9 @@ def shingle_sketch(docs: DataFrame, k: int) -> np.ndarray:
     return out
 
 
-def ordered_tokens_key(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """8 bits of frequency level, then 56 bits of hash."""
-    return levels[_cells(h)].astype(np.uint64) << np.uint64(56) | h >> np.uint64(8)
-
-
 def ordered_tokens(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The set as sorted numbers."""
-    return np.sort(ordered_tokens_key(h, levels))
+    """The set as sorted numbers: 8 bits of frequency level, then 56 bits of hash."""
+    return np.sort(levels[_cells(h)].astype(np.uint64) << np.uint64(56) | h >> np.uint64(8))
 
 
 def least_overlap(a, b, num: int, den: int):
@@ -100,145 +95,154 @@ def least_overlap(a, b, num: int, den: int):
     return -(-num * (a + b) // (num + den))
 
 
-def prefix_length(n: int, num: int, den: int) -> int:
-    return n - -(-num * n // den) + 1
-
-
 def _class_id(h: np.ndarray) -> int:
     """A number for the set, whatever its order."""
     return int(np.array([mix64(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)], np.uint64).view(np.int64)[0])
 
 
-def _sampled(h: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Which shingles come first in the order: by hash, twice as many as a prefix takes."""
-    return mix64(h) <= np.uint64(((1 << 64) - 1) * min(den, 2 * (den - num)) // den)
-
-
-_ROWS = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("s", pa.int64())])
-_KEYED = pa.schema([("key", pa.bool_()), ("u", pa.int64()), ("v", pa.int64())])
-DOCUMENT, SHINGLE, SHARED, EXTRA = range(4)
-
-
-def _typed(kind: int, a, b, n=None, s=None) -> pa.RecordBatch:
-    none = np.zeros(len(a), np.int64)
-    return batch_of(_ROWS, [np.full(len(a), kind, np.int8), a, b, none if n is None else n, none if s is None else s])
-
-
-def _heads(key: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, cls), sorted, and the rank of each within its key."""
-    order = np.lexsort((cls, key))
-    k, c = key[order], cls[order]
-    new = np.ones(len(k), bool)
-    new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-    k, c = k[new], c[new]
-    start = np.ones(len(k), bool)
-    start[1:] = k[1:] != k[:-1]
-    at = np.arange(len(k))
-    return k, c, at - np.maximum.accumulate(np.where(start, at, 0))
-
-
-def class_rows(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """DOCUMENT: document a of class b with n shingles, s of them sampled; SHINGLE: sampled shingle a of class b;
-    SHARED: the same, where other classes are known to share it; EXTRA: shingle a, not sampled, in b's prefix.
+@lru_cache
+def part_plan(num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(least size, parts, spare parts, size of a small part) of each band of set sizes.
 
-    A task sends two classes per shingle as SHINGLE at most, so a shingle of very many documents stays small.
+    A pair is dealt by the band of its smaller set, of at most m shingles; then it differs in at most
+    d = (den - num) m / num of them.  Of d + 1 + spare parts at least 1 + spare are equal, so small parts, which
+    chance may share, are left out; ``spare`` lies three deviations above the number of them to expect, where
+    the threshold leaves room for that.  Sets with more of them send a prefix, too.  Sets of a band without
+    parts link with equal ones only.
+    """
+    least, parts, spares, small = [1], [], [], []
+    while least[-1] < 1 << 31:
+        least.append(max(least[-1] + 1, least[-1] * 5 // 4))
+        d, spare, last, tiny = (den - num) * (least[-1] - 1) // num, 1, 0, 0
+        while last < spare <= d + 1:
+            last, fill = spare, least[-2] / (d + 1 + spare)
+            tiny = int(fill >= 5)
+            few = (d + 1 + spare) * np.exp(-fill) * (1 + fill * tiny)
+            spare = max(spare, int(np.ceil(few + 3 * np.sqrt(few))))
+        if spare > d + 1:
+            spare, tiny = 1, 0
+        parts.append(d + 1 + spare if d else 0)
+        spares.append(spare)
+        small.append(tiny)
+    return tuple(np.array(x, np.int64) for x in (least[:-1], parts, spares, small))
+
+
+def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, position of the set) of the parts of each set, for every band that a smaller partner may have.
+
+    If one set of a pair has no more than ``spare`` small parts, an equal part is not small; if both have more,
+    their prefixes, the n - ceil(t n) + 1 first shingles by hash, share one.
+    """
+    least, parts, spares, small = part_plan(num, den)
+    sizes = np.array([len(h) for h in sets], np.int64)
+    if not sizes.sum():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    h, ends = np.concatenate(sets), np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    place = mix64(h ^ np.uint64(0x5851F42D4C957F2D))
+    value = mix64(h ^ np.uint64(0x2545F4914F6CDD1D))
+    own = np.searchsorted(least, sizes, "right") - 1
+    lowest = np.searchsorted(least, -(-num * sizes // den), "right") - 1
+    keys, whose = [], []
+    for back in range(int((own - lowest).max()) + 1):
+        band = np.maximum(own - back, 0)
+        m = np.where((own - back >= lowest) & (sizes > 0), parts[band], 0)
+        start = np.cumsum(m) - m
+        use = m[owner] > 0
+        o, total = owner[use], int(m.sum())
+        if not total:
+            continue
+        cell = start[o] + (place[use] % m[o].astype(np.uint64)).astype(np.int64)
+        held = np.bincount(cell, minlength=total)
+        halves = [np.bincount(cell, x.astype(float), total).astype(np.uint64)  # exact: sums of 32-bit numbers
+                  for x in (value[use] & np.uint64(0xFFFFFFFF), value[use] >> np.uint64(32))]
+        who = np.repeat(np.arange(len(sets)), m)
+        part = (np.arange(total) - start[who]).astype(np.uint64) | (band[who] + 1).astype(np.uint64) << np.uint64(40)
+        tiny = held <= small[band[who]]
+        keys.append(mix64(halves[0] + (halves[1] << np.uint64(32)) + mix64(part))[~tiny])
+        whose.append(who[~tiny])
+        for i in np.flatnonzero(np.bincount(who, tiny, len(sets)) > spares[band]).tolist():
+            prefix = np.sort(place[ends[i] - sizes[i]:ends[i]])[:sizes[i] + num * -sizes[i] // den + 1]
+            keys.append(mix64(prefix + np.uint64(band[i])))
+            whose.append(np.full(len(prefix), i))
+    return (np.concatenate(keys), np.concatenate(whose)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+_ROWS = pa.schema([("kind", pa.int8()), ("deal", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+DOCUMENT, KEY, LINK = range(3)
+
+
+def _typed(kind: int, deal, a, b, n=None) -> pa.RecordBatch:
+    return batch_of(_ROWS, [np.full(len(deal), kind, np.int8), deal, a, b, np.zeros(len(deal), np.int64) if n is None else n])
+
+
+def _class_rows(k: int, num: int, den: int):
+    """DOCUMENT: document a of class b with n shingles; KEY: class b has the part of key ``deal``; LINK: a and b share one.
+
+    Rows are dealt by ``deal``, for documents a running number, as ids may be null or repeated.  A class comes
+    once per task, seldom more; a task sends one class per key and flush, with links to the others.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        tok: list[np.ndarray] = []
-        cls: list[np.ndarray] = []
-        held = 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        row = 0
 
         def flush():
-            t, c, rank = _heads(as_signed(np.concatenate(tok)), np.concatenate(cls))
-            tok.clear(), cls.clear()
-            yield _typed(SHINGLE, t[rank < 2], c[rank < 2])
-            yield _typed(SHARED, t[rank >= 2], c[rank >= 2])
+            key, cls, u, v = star_edges(*[np.concatenate(x) for x in zip(*held)])
+            held.clear()
+            yield _typed(KEY, key, np.zeros(len(key), np.int64), cls)
+            yield _typed(LINK, u, u, v)
 
         for b in batches:
             for at, texts in text_slices(b.column(1)):
                 sets = shingle_sets(texts, k)
                 ids = [_class_id(h) if len(h) else None for h in sets]
-                m = len(texts)
-                first = [_sampled(h, num, den) for h in sets]
-                yield _typed(DOCUMENT, b.column(0).slice(at, m), ids, [len(h) for h in sets], [int(f.sum()) for f in first])
-                for h, f, c, d in zip(sets, first, ids, b.column(0).slice(at, m).to_pylist()):
-                    if c is None or d is None or c in seen:
-                        continue
-                    seen.add(c)
-                    tok.append(h[f])
-                    cls.append(np.full(len(tok[-1]), c, np.int64))
-                    held += len(tok[-1])
-                    if (more := prefix_length(len(h), num, den) - len(tok[-1])) > 0:
-                        yield _typed(EXTRA, as_signed(h[~f][:more]), [c] * len(h[~f][:more]))
-            if held > 2_000_000:
+                docs = b.column(0).slice(at, len(texts))
+                yield _typed(DOCUMENT, np.arange(row, row + len(texts)), docs, ids, [len(h) for h in sets])
+                row += len(texts)
+                new = {c: h for c, h, d in zip(ids, sets, docs.to_pylist())
+                       if c is not None and d is not None and c not in seen}
+                seen |= new.keys()
+                key, whose = part_keys(list(new.values()), num, den)
+                if len(key):
+                    held.append((as_signed(key), np.array(list(new), np.int64)[whose]))
+            if sum(len(x) for x, _ in held) > 2_000_000:
                 yield from flush()
-                held = 0
             if len(seen) > 1_000_000:
                 seen.clear()
-        if tok:
+        if held:
             yield from flush()
 
-    return docs.select("doc", "text").mapInArrow(run, "kind byte, a long, b long, n long, s long")
-
-
-def _all_of(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
-    """The columns of a whole partition."""
-    got = [[b.column(j).to_numpy(zero_copy_only=False) for j in range(b.num_columns)] for b in batches]
-    return [np.concatenate(x) for x in zip(*got)] if got else None
-
-
-def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (shingle, class) of shingles that more than one class has."""
-    if (got := _all_of(batches)) is None:
-        return
-    t, c, rank = _heads(*got)
-    many = np.zeros(len(t), bool)
-    many[1:] = rank[1:] > 0
-    many[:-1] |= rank[1:] > 0
-    if many.any():
-        yield pa.RecordBatch.from_arrays([pa.array(t[many]), pa.array(c[many])], names=["a", "b"])
-
-
-def _prefixes(num: int, den: int, levels):
-    """Rows (a, b, n, s) of a class b: with n > 0 its sizes, else a shared shingle a.  Out: links of classes and
-    (shingle, class) rows of prefixes, one class per shingle and partition; the others are linked to it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (got := _all_of(batches)) is None:
-            return
-        a, b, n, s = got
-        info = {c: (x, y) for c, x, y in zip(b[n > 0].tolist(), n[n > 0].tolist(), s[n > 0].tolist())}
-        cls, tok, _ = _heads(b[n == 0], a[n == 0])
-        keys, start = np.unique(cls, return_index=True)
-        toks, owners = [], []
-        for c, i, j in zip(keys.tolist(), start.tolist(), [*start[1:].tolist(), len(cls)]):
-            size, sampled = info[c]
-            p = prefix_length(size, num, den)
-            alone = sampled - (j - i)  # sampled shingles of this class alone come first
-            if alone < p:
-                h = tok[i:j].view(np.uint64)
-                toks.append(h[np.argsort(ordered_tokens_key(h, levels.value), kind="stable")[:p - alone]])
-                owners.append(np.full(len(toks[-1]), c, np.int64))
-        if toks:
-            t, c, u, v = star_edges(as_signed(np.concatenate(toks)), np.concatenate(owners))
-            yield batch_of(_KEYED, [np.ones(len(t), bool), t, c])
-            yield batch_of(_KEYED, [np.zeros(len(u), bool), u, v])
-
     return run
 
 
 def _link_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the classes that share a prefix shingle, a forest per partition."""
-    if (got := _all_of(batches)) is None:
-        return
-    _, _, u, v = star_edges(*got)
-    uf = UnionFind()
-    for x, y in zip(u.tolist(), v.tolist()):
-        uf.union(x, y)
-    nodes = list(uf.up)
-    if nodes:
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([uf.find(x) for x in nodes], pa.int64())],
-                                         names=["u", "v"])
+    """The DOCUMENT rows as they are, and the links of a partition's classes as a forest."""
+    held: list[list[np.ndarray]] = []
+    for b in batches:
+        kind = b.column(0).to_numpy(zero_copy_only=False)
+        if (kind == DOCUMENT).any():
+            yield b.filter(pa.array(kind == DOCUMENT))
+        if (kind != DOCUMENT).any():
+            rest = b.filter(pa.array(kind != DOCUMENT))
+            held.append([rest.column(j).to_numpy(zero_copy_only=False) for j in (0, 1, 3)])
+    if held:
+        kind, a, c = (np.concatenate(x) for x in zip(*held))
+        _, _, u, v = star_edges(a[kind == KEY], c[kind == KEY])
+        uf = UnionFind()
+        for x, y in zip([*u.tolist(), *a[kind == LINK].tolist()], [*v.tolist(), *c[kind == LINK].tolist()]):
+            uf.union(x, y)
+        nodes = list(uf.up)
+        if nodes:
+            yield _typed(LINK, nodes, nodes, [uf.find(x) for x in nodes])
+
+
+def class_rows(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """DOCUMENT rows of all of ``docs`` (doc, text), and LINK rows that join the classes with an equal part."""
+    schema = "kind byte, deal long, a long, b long, n long"
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (docs.select("doc", "text").mapInArrow(_class_rows(k, num, den), schema)
+            .repartition(n, "deal").mapInArrow(_link_classes, schema))
 
 
 class Trie:
@@ -482,20 +486,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sketch = shingle_sketch(docs, k).astype(np.float64)
     levels = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + sketch)).astype(np.uint8))
     rows, _ = write_table(class_rows(docs, k, num, den), "ngramrows")
-    owners = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc"), F.col("b").alias("cls"), "n", "s")
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = (rows.filter(F.col("kind") == SHINGLE).select("a", "b").repartition(n_parts, "a")
-              .mapInArrow(_shared_only, "a long, b long")
-              .unionByName(rows.filter(F.col("kind") == SHARED).select("a", "b"))
-              .withColumns({"n": F.lit(0).cast("long"), "s": F.lit(0).cast("long")}))
-    info = owners.filter("cls is not null").groupBy("cls").agg(F.max("n").alias("n"), F.max("s").alias("s"))
-    firsts = (shared.unionByName(info.select(F.lit(0).cast("long").alias("a"), F.col("cls").alias("b"), "n", "s"))
-              .repartition(n_parts, "b").mapInArrow(_prefixes(num, den, levels), "key boolean, u long, v long"))
-    firsts, _ = write_table(firsts, "ngramfirsts")
-    keys = firsts.filter("key").select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
-        rows.filter(F.col("kind") == EXTRA).select("a", "b"))
-    linked = keys.repartition(n_parts, "a").mapInArrow(_link_classes, "u long, v long")
-    coarse = connected_components(linked.unionByName(firsts.filter("not key").select("u", "v")))
+    owners = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc"), F.col("b").alias("cls"), "n")
+    coarse = connected_components(rows.filter(F.col("kind") == LINK).select(F.col("a").alias("u"), F.col("b").alias("v")))
     coarse, _ = write_table(coarse.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "ngramcoarse")
     sizes = coarse.groupBy("comp").agg(F.count("*").alias("many"))
     least = owners.filter("cls is not null").groupBy("cls").agg(F.min("doc").alias("least"))

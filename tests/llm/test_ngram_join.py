@@ -77,6 +77,31 @@ def test_drop_near_copies(docs, clashing, no_docs):
     assert nj.drop_near_copies(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("num,den", [(90, 100), (4, 5), (1, 2)])
+def test_linked_sets_have_an_equal_part(num, den):
+    rng = np.random.default_rng(7)
+    for n in [*range(1, 40), 60, 99, 100, 125, 211, 300, 1000]:
+        for _ in range(12):
+            a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            take = rng.integers(-(-num * n // den), n + 1)  # the smaller set is a part of it, or both have some alone
+            b = rng.permutation(a)[:take]
+            more = max(0, (den * len(b) - num * n) // num)  # so many others that the pair still links
+            b = np.unique(np.concatenate([b, rng.integers(0, 1 << 62, more).astype(np.uint64)]))
+            assert den * len(np.intersect1d(a, b)) >= num * len(np.union1d(a, b))
+            if len(a) == len(b) == len(np.intersect1d(a, b)):
+                continue
+            keys, whose = nj.part_keys([a, b], num, den)
+            assert set(keys[whose == 0].tolist()) & set(keys[whose == 1].tolist()), n
+
+
+def test_unlike_sets_share_no_part():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 40_000, rng.integers(50, 400)).astype(np.uint64)) for _ in range(400)]
+    keys, whose = nj.part_keys(sets, 90, 100)
+    _, copies = np.unique(keys, return_counts=True)
+    assert copies.max() == 1
+
+
 def test_trie_finds_what_all_pairs_find():
     rng = np.random.default_rng(3)
     base = [np.sort(rng.choice(300, 40, replace=False)).astype(np.uint64) for _ in range(12)]
