@@ -7,7 +7,8 @@
    sends one key per part; classes with equal keys form coarse groups.  A part holds several shingles, so
    chance sharing of single shingles, which grows with the corpus, joins nothing.  A map task sends one class
    per key and links the others to it, so a part that very many documents share stays small.
-3. Only classes with a partner ship their whole set, once.  Coarse groups are dealt to blocks of about
+3. Only classes with a partner ship their whole set, once; a bitmap of ``1 << ID_BITS`` hashed ids keeps most
+   other texts out of the exchange that finds theirs.  Coarse groups are dealt to blocks of about
    ``BLOCK`` sets; each block is a trie of the ordered sets, and each set walks it, sharing the overlap
    counted on common paths and leaving subtrees whose remaining length cannot reach the threshold, or
    whose sets are in its component already.
@@ -32,6 +33,8 @@ from tessera.session import write_table
 
 CELLS = 1 << 20
 BLOCK = 256
+#: Bits of the hash of an id in the bitmap of documents to read again: 8 MB on the driver and in each task, at any size.
+ID_BITS = 26
 _SLICES = 64
 
 
@@ -339,6 +342,29 @@ def trie_links(own: list[np.ndarray], own_ids: list, sets: list[np.ndarray], ids
     return links
 
 
+def _id_cell(doc: str):
+    return F.pmod(F.xxhash64(doc), F.lit(1 << ID_BITS))
+
+
+def some_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc, text) whose id is one of ``ids`` (least), and a few others with an id of equal hash."""
+    cell = _id_cell("least") + 1  # the bitmap functions count from 1
+    slices = (ids.filter("least is not null").groupBy(F.bitmap_bucket_number(cell).alias("at"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits")))
+    bitmap = np.zeros((max(1, 1 << ID_BITS >> 15), 1 << 12), np.uint8)
+    for r in slices.collect():  # at most 2^11 rows of 4096 bytes
+        bitmap[r["at"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    held = docs.sparkSession.sparkContext.broadcast(bitmap.ravel())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.column(2).to_numpy(zero_copy_only=False)
+            yield b.select([0, 1]).filter(pa.array((held.value[at >> 3] >> (at & 7) & 1).astype(bool)))
+
+    return (docs.filter("doc is not null").select("doc", "text", _id_cell("doc").alias("cell"))
+            .mapInArrow(run, "doc long, text string"))
+
+
 def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
     """(comp, many, cls, n, tokens) of the classes in ``members`` (cls, comp, many, least): each read from one document.
 
@@ -362,6 +388,7 @@ def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
                 if len(seen) > 1_000_000:
                     seen.clear()
 
+    docs = some_docs(docs, members)
     both = docs.join(members, docs["doc"] == members["least"]).select("comp", "many", "cls", "text")
     return both.mapInArrow(run, "comp long, many long, cls long, n long, tokens binary")
 
