@@ -15,6 +15,7 @@ import os
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -59,8 +60,10 @@ class WordEncoder:
         """Words of letters are encoded many to a text and told apart by the ids that end a word; if their number
         is not that of the words (a letter may become several characters), and for all others, one by one."""
         known = self.known
-        single = [w for w in words if not w.decode().isalpha()]
-        letters = [w for w in words if w.decode().isalpha()]
+        single: list[bytes] = []
+        letters: list[bytes] = []
+        for w, text in zip(words, b"\n".join(words).decode().split("\n")):
+            (letters if text.isalpha() else single).append(w)
         runs = [letters[i:i + 500] for i in range(0, len(letters), 500)]
         for run, ids in zip(runs, self._ids([b" ".join(r).decode() for r in runs])):
             cut = np.flatnonzero(self.ends[ids]) + 1
@@ -71,16 +74,21 @@ class WordEncoder:
             for w, c in zip(run, (4 * cut).tolist()):
                 known[w] = raw[at:c]
                 at = c
-        for w, ids in zip(single, self._ids([w.decode() for w in single])):
-            known[w] = ids.tobytes()
+        for i in range(0, len(single), 5000):
+            some = single[i:i + 5000]
+            lists = [e.ids for e in self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
+            raw, at = np.array(list(chain.from_iterable(lists)), "<u4").tobytes(), 0
+            for w, ids in zip(some, lists):
+                known[w] = raw[at:at + 4 * len(ids)]
+                at += 4 * len(ids)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [(t or "").encode().split() for t in texts]  # bytes.split takes the six ASCII white spaces
-        new = {w for words in split for w in words}
+        new = set().union(*split)
         known = self.known
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
-        self._learn([w for w in new if w not in known])
+        self._learn(list(new.difference(known)))
         get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
