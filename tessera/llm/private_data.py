@@ -33,13 +33,26 @@ GIVEN = {
                     "Henri Robert Walter Oscar".split(),
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Вера".split(),
     ("cyrillic", "m"): "Иван Пётр Павел Сергей Андрей Дмитрий Олег Борис".split(),
+    ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία Βασιλική Δήμητρα".split(),
+    ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας Γιάννης Παναγιώτης".split(),
 }
 ADDRESS = {
-    "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Госпожа госпожа".split(),
-    "m": "Mr Herr Monsieur Señor Sr Господин господин".split(),
+    "f": "Mrs Ms Miss Frau Madame Mme Mademoiselle Mlle Señora Señorita Sra Srta Signora Senhora Mevrouw Fru MRS MS FRAU "
+         "Госпожа госпожа Κυρία κυρία".split(),
+    "m": "Mr Sir Herr Herrn Monsieur Señor Sr Signor Senhor Meneer MR HERR Господин господин Κύριος κύριος Κύριο κύριο".split(),
+    "x": "Dr Dra Prof Professor Professorin Doctor Doktor Docteur DR Доктор доктор".split(),
 }
+#: Small words inside surnames, which stay.
+PARTICLES = "von van der den de del della di da dos du la le ten ter zu zur el al bin ibn af".split()
 SYLLABLES = {"latin": "ba den fel gar hol jan kes lor mer nau pel ros sten tur vin wal".split(),
-             "cyrillic": "бар ден вол гор лан мир нов рад сев тур зор кел".split()}
+             "cyrillic": "бар ден вол гор лан мир нов рад сев тур зор кел".split(),
+             "greek": "βαρ δεν γαλ καρ λον μιρ νεφ πολ ραν στεν τορ φιλ".split()}
+#: Length of an IBAN by country.
+IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 "
+    "GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 "
+    "MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 "
+    "TN24 TR26 UA29 VA22 VG24 XK20").split()}
 
 KINDS = ("email", "phone", "ip", "card", "ssn", "iban", "name")
 _DIGITS = re.compile(r"""
@@ -52,10 +65,17 @@ _DIGITS = re.compile(r"""
 """, re.X | re.A)
 _MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _SOME_DIGIT = re.compile("[0-9]")
-_CAP = r"[^\W\d_a-zа-яё][^\W\d_]+(?:-[^\W\d_]+)?"
-_NAME = re.compile(r"(?<!\w)(?:(?P<title>" + "|".join(ADDRESS["f"] + ADDRESS["m"]) + r")\.?\x20(?P<one>" + _CAP + r")(?:\x20(?P<two>"
-                   + _CAP + r"))?|(?P<given>" + "|".join(x for v in GIVEN.values() for x in v) + r")\x20(?P<last>" + _CAP + r"))(?!\w)")
-_GENDER = {x: g for (_, g), v in GIVEN.items() for x in v}
+_UP = r"[^\W\d_a-zß-öø-ÿа-яёά-ώ]"
+_CAP = rf"(?:{_UP}['’])?{_UP}[^\W\d_]+(?:-[^\W\d_]+)*"
+_PART = rf"(?:{_UP}\.\x20?)*(?:(?:{'|'.join(PARTICLES)})\x20)*{_CAP}"
+_TITLES = "|".join(x for v in ADDRESS.values() for x in v)
+_GIVEN = "|".join(y for v in GIVEN.values() for x in v for y in (x, x.upper()))
+_NAME = re.compile(rf"(?<!\w)(?:(?P<titles>(?:{_TITLES})(?:\.?\x20(?:{_TITLES}))*)\.?\x20(?P<called>{_PART}(?:\x20{_PART}){{0,2}})"
+                   rf"|(?P<full>(?:{_GIVEN})(?:\x20(?:{_GIVEN}))*\x20{_PART}))(?!\w)")
+_NAME_WORD = re.compile(_CAP)
+_WORD = re.compile(r"(?<!\w)(?:[^\W\d_]['’])?[^\W\d_]+(?:-[^\W\d_]+)*(?!\w)")
+_PIECE = re.compile(r"[^\W\d_]+")
+_GENDER = {x.lower(): g for (_, g), v in GIVEN.items() for x in v}
 
 #: (kind, start, end, normal form); names come part by part, as kinds given_f, given_m, given_x and surname.
 Entity = tuple[str, int, int, str]
@@ -73,6 +93,89 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _core(raw: str) -> str:
+    return re.sub(r"[^A-Z0-9]", "", raw)
+
+
+def _checked(kind: str, raw: str) -> tuple[int, str] | None:
+    """(length, normal form) of the entity at the start of a match; groups at its end that are no part of it are left out."""
+    ends = [len(raw)]
+    if kind in ("iban", "phone"):
+        ends += [i for i in range(len(raw) - 1, 0, -1) if raw[i] in (" " if kind == "iban" else " .-")]
+    good = []
+    for end in ends:
+        core = raw[:end] if kind == "ip" else _core(raw[:end])
+        if kind == "ip":
+            ok = all(int(x) <= 255 for x in raw.split("."))
+        elif kind == "iban":
+            ok = (end == len(raw) or len(core) >= 15) and _mod97(core) == 1
+        elif kind == "card":
+            ok = 13 <= len(core) <= 19 and core[0] in "3456" and luhn(core) == 0
+        elif kind == "phone":
+            core = "+" * raw.startswith("+") + core
+            ok = 8 <= len(core) <= 16 and (end == len(raw) or raw[end - 1].isdigit())
+        else:
+            ok = True
+        if ok:
+            good.append((end, core))
+    return next((x for x in good if kind == "iban" and IBAN_LENGTH.get(x[1][:2]) == len(x[1])), good[0] if good else None)
+
+
+def _numbers(text: str) -> Iterator[Entity]:
+    """Entities with digits; what a match leaves is searched again."""
+    at = 0
+    while m := _DIGITS.search(text, at):
+        kind = next(k for k in ("ip", "iban", "ssn", "card", "phone") if m[k] is not None)
+        got = _checked(kind, m[0])
+        if got:
+            yield kind, m.start(), m.start() + got[0], got[1]
+        at = m.start() + (got[0] if got else 1)
+
+
+def _names(text: str) -> list[Entity]:
+    """The parts of names, and their bare mentions elsewhere in the text.
+
+    A bare mention is the word with its capital, or in capitals; a word that the text has in lower case more often
+    is no name by itself.
+    """
+    out: list[Entity] = []
+    alone: list[re.Match] = []
+    roles: dict[str, str] = {}
+    for m in _NAME.finditer(text):
+        *first, last = _NAME_WORD.finditer(text, *m.span("called" if m["titles"] else "full"))
+        titles = re.findall(r"\w+", m["titles"] or "")
+        g = next((g for t in titles for g in "fm" if t in ADDRESS[g]), None)
+        if not first:
+            alone.append(last)
+            continue
+        for w in first:
+            low = w[0].lower()
+            out.append((f"given_{g or _GENDER.get(low, 'x')}", *w.span(), low))
+        out.append(("surname", *last.span(), last[0].lower()))
+        for kind, _, _, low in out[-len(first) - 1:]:
+            roles.setdefault(low, kind)
+    for w in alone:
+        low = w[0].lower()
+        out.append((roles.setdefault(low, "surname"), *w.span(), low))
+    if not out:
+        return out
+    small: dict[str, int] = {}
+    bare: dict[str, list[tuple[int, int]]] = {}
+    for w in _WORD.finditer(text):
+        whole = w[0].lower() in roles
+        for s, e in [w.span()] if whole else [x.span() for x in _PIECE.finditer(text, *w.span())]:
+            low = text[s:e].lower()
+            if low in roles and text[s].islower():
+                small[low] = small.get(low, 0) + 1
+            elif low in roles:
+                bare.setdefault(low, []).append((s, e))
+    taken = {x[1] for x in out}
+    for low, spans in bare.items():
+        if small.get(low, 0) <= len(spans):
+            out += [(roles[low], s, e, low) for s, e in spans if s not in taken]
+    return out
+
+
 def entities(text: str | None) -> list[Entity]:
     """The entities of a text, by start, not overlapping."""
     text = text or ""
@@ -80,31 +183,8 @@ def entities(text: str | None) -> list[Entity]:
     if "@" in text:
         out += [("email", *m.span(), m[0].lower()) for m in _mails(text)]
     if _SOME_DIGIT.search(text):
-        for m in _DIGITS.finditer(text):
-            kind, raw = next(k for k in ("ip", "iban", "ssn", "card", "phone") if m[k] is not None), m[0]
-            core = re.sub(r"[^A-Z0-9]", "", raw)
-            if kind == "ip" and (any(int(x) > 255 for x in raw.split(".")) or raw.count(".") != 3):
-                continue
-            if kind == "ip":
-                core = raw
-            if kind == "iban" and _mod97(core) != 1:
-                continue
-            if kind == "card" and not (13 <= len(core) <= 19 and core[0] in "3456" and luhn(core) == 0):
-                continue
-            if kind == "phone":
-                core = "+" * raw.startswith("+") + core
-                if not 8 <= len(core) <= 16:
-                    continue
-            out.append((kind, *m.span(), core))
-    for m in _NAME.finditer(text):
-        if m["given"]:
-            out.append((f"given_{_GENDER[m['given']]}", *m.span("given"), m["given"].lower()))
-            out.append(("surname", *m.span("last"), m["last"].lower()))
-        else:
-            if m["two"]:
-                out.append((f"given_{'f' if m['title'] in ADDRESS['f'] else 'm'}", *m.span("one"), m["one"].lower()))
-            last = "two" if m["two"] else "one"
-            out.append(("surname", *m.span(last), m[last].lower()))
+        out += _numbers(text)
+    out += _names(text)
     out.sort(key=lambda e: (e[1], -e[2]))
     kept: list[Entity] = []
     for e in out:
@@ -141,7 +221,7 @@ def _alike(core: str, rnd: Iterator[int]) -> str:
 
 
 def script_of(word: str) -> str:
-    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
+    return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "greek" if any("Ͱ" <= c <= "Ͽ" for c in word) else "latin"
 
 
 def surrogate(kind: str, core: str, attempt: int, key: bytes) -> str:
@@ -169,7 +249,7 @@ def surrogate(kind: str, core: str, attempt: int, key: bytes) -> str:
     parts = SYLLABLES[script_of(core)]
     if kind == "surname":
         return "".join(parts[next(rnd) % len(parts)] for _ in range(3 + attempt))
-    names = GIVEN[script_of(core), kind[-1]]
+    names = [x for g in ("fm" if kind[-1] == "x" else kind[-1]) for x in GIVEN[script_of(core), g]]
     return names[next(rnd) % len(names)].lower() + "".join(parts[next(rnd) % len(parts)] for _ in range(attempt))
 
 

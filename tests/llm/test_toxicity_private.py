@@ -103,3 +103,26 @@ def test_replacement_is_consistent_and_distinct(spark, docs, clashing, no_docs):
         assert set(d.columns) <= set(got.columns)
         assert sorted(((r["text"], r["new_text"]) for r in got.collect()), key=repr) == sorted(((r[1], r[1]) for r in docs_rows()), key=repr)
     assert pd_.replace_private_data(no_docs, "k").count() == 0
+
+
+def test_numbers_before_other_words():
+    for iban in ("BE68 5390 0754 7034", "AT611904300234573201", "ES9121000418450200051332", "DE89 3704 0044 0532 0130 00"):
+        for after in (" BIC", " EUR", " EUR 250", " 2024 ABCD EFGH", "", ", paid"):
+            assert [(k, f"{iban}{after}"[s:e]) for k, s, e, _ in pd_.entities(f"{iban}{after}")] == [("iban", iban)]
+    t = "AC12 BE68 5390 0754 7034 BIC, 1234 4845 1681 1440 7329 and +44 20 7946 0958 2024 1000"
+    assert [(k, t[s:e]) for k, s, e, _ in pd_.entities(t)] == [
+        ("iban", "BE68 5390 0754 7034"), ("card", "4845 1681 1440 7329"), ("phone", "+44 20 7946 0958")]
+
+
+def test_bare_mentions_and_name_forms():
+    t = "Schmidt's day. Mrs Anna Schmidt came; later Schmidt left, ANNA stayed, Schmidt-Haus, anna@a.example.com"
+    got = [(k, t[s:e]) for k, s, e, _ in pd_.entities(t)]
+    assert got == [("surname", "Schmidt"), ("given_f", "Anna"), ("surname", "Schmidt"), ("surname", "Schmidt"), ("given_f", "ANNA"),
+                   ("surname", "Schmidt"), ("email", "anna@a.example.com")]
+    for t, want in (("Herr Prof. Dr. Müller", ["Müller"]), ("Dr. Ruth Bader Ginsburg", ["Ruth", "Bader", "Ginsburg"]),
+                    ("Frau Ursula von der Leyen", ["Ursula", "Leyen"]), ("Mr J. R. O'Brien", ["O'Brien"]), ("Frau Anna", ["Anna"]),
+                    ("MR PETER SMITH", ["PETER", "SMITH"]), ("Anna Maria Schmidt", ["Anna", "Maria", "Schmidt"]),
+                    ("κυρία Μαρία Παππά", ["Μαρία", "Παππά"]), ("Miss The bus, the stop, the end of the line", ["The"])):
+        assert [t[s:e] for _, s, e, _ in pd_.entities(t)] == want, t
+    assert pd_.script_of(pd_.surrogate("surname", "παππά", 0, b"k")) == "greek"
+    assert pd_.surrogate("given_x", "ruth", 0, b"k").title() in pd_.GIVEN["latin", "f"] + pd_.GIVEN["latin", "m"]
