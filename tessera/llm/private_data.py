@@ -5,7 +5,9 @@ keyed hash of its normal form, written in the entity's own format: digits for
 digits, letters for letters, a valid check digit for a valid one, a given name
 of the same gender and script.  One pass gathers the distinct entities; those
 whose surrogate another entity has, or is itself an entity of the corpus, get
-the next attempt, round by round, until none collides.  The second pass needs
+the next attempt, round by round, until none collides; from attempt ``WIDE`` on
+a surrogate may leave the exact count of characters, so that a full format does
+not run out of values.  The second pass needs
 only the few entities with an attempt over 0, joined to their documents, and
 computes all other surrogates on the spot.
 """
@@ -55,6 +57,10 @@ IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
     "TN24 TR26 UA29 VA22 VG24 XK20").split()}
 
 KINDS = ("email", "phone", "ip", "card", "ssn", "iban", "name")
+#: Attempts in the exact format of an entity; later ones are longer, or of any length for addresses of four numbers.
+WIDE = 4
+#: Attempts in all; an entity without a surrogate after so many is an error.
+ATTEMPTS = 100
 _DIGITS = re.compile(r"""
     (?<![\w.])(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?!\w|\.\d)
   | (?<!\w)(?P<iban>[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?!\w)
@@ -227,25 +233,28 @@ def script_of(word: str) -> str:
 def surrogate(kind: str, core: str, attempt: int, key: bytes) -> str:
     """The normal form of the surrogate of an entity, at some attempt."""
     rnd = _stream(key, f"{kind}|{core}|{attempt}")
+    more = max(0, attempt - WIDE + 1)
     if kind == "email":
         name, _, host = core.rpartition("@")
         host, _, top = host.rpartition(".")
         # a host keeps one surrogate, whoever writes from it
-        return f"{_alike(name, rnd)}@{_alike(host, _stream(key, f'host|{host}'))}.{top}"
+        return f"{_alike(name + 'x' * more, rnd)}@{_alike(host, _stream(key, f'host|{host}'))}.{top}"
     if kind == "ip":
+        if more:
+            return ".".join(str(1 + next(rnd) % 254) for _ in range(4))
         low = {1: 1, 2: 10, 3: 100}
         return ".".join(str(low[len(x)] + next(rnd) % ({1: 9, 2: 90, 3: 155}[len(x)])) for x in core.split("."))
     if kind == "card":
-        body = core[0] + _alike(core[1:-1], rnd)
+        body = core[0] + _alike(core[1:-1] + "0" * min(more, 19 - len(core)), rnd)
         return body + str(next(d for d in range(10) if luhn(f"{body}{d}") == 0))
     if kind == "ssn":
-        return str(1 + next(rnd) % 5) + _alike(core[1:], rnd)
+        return str(1 + next(rnd) % 5) + _alike(core[1:] + "0" * more, rnd)
     if kind == "iban":
-        body = _alike(core[4:], rnd)
+        body = _alike(core[4:] + "0" * min(more, max(0, 34 - len(core))), rnd)
         return f"{core[:2]}{98 - _mod97(core[:2] + '00' + body):02d}{body}"
     if kind == "phone":
         keep = 2 if core.startswith("+") else 0  # the sign and the first digit of the country
-        return core[:keep] + (str(2 + next(rnd) % 8) if not keep else "") + _alike(core[keep or 1:], rnd)
+        return core[:keep] + (str(2 + next(rnd) % 8) if not keep else "") + _alike(core[keep or 1:] + "0" * min(more, 16 - len(core)), rnd)
     parts = SYLLABLES[script_of(core)]
     if kind == "surname":
         return "".join(parts[next(rnd) % len(parts)] for _ in range(3 + attempt))
@@ -267,7 +276,7 @@ def written(kind: str, raw: str, core: str, new: str) -> str:
             out.append(x.upper() if c.isupper() else x)
         else:
             out.append(c)
-    return "".join(out)
+    return "".join([*out, *it])
 
 
 _OCC = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("kind", pa.string()), ("core", pa.string())])
@@ -302,7 +311,7 @@ def resolve(found: DataFrame, key: bytes) -> DataFrame:
     own, _ = write_table(found.select("kind", "core").distinct(), "entities")
     taken = own.select(F.col("kind").alias("k2"), F.col("core").alias("c2"))
     now, _ = write_table(own.withColumn("attempt", F.lit(0)).mapInArrow(_attempts(key), form), "surrogates")
-    while True:
+    for _ in range(ATTEMPTS):
         first = now.groupBy("kind", "new").agg(F.min(F.struct("attempt", "core")).alias("f"), F.count("*").alias("n"))
         first = first.filter("n > 1").select(F.col("kind").alias("k1"), F.col("new").alias("n1"), F.col("f.core").alias("f1"))
         marked = (now.join(first, (F.col("kind") == F.col("k1")) & (F.col("new") == F.col("n1")), "left")
@@ -314,6 +323,7 @@ def resolve(found: DataFrame, key: bytes) -> DataFrame:
         again = (marked.filter("bad").select("kind", "core", (F.col("attempt") + 1).alias("attempt"))
                  .mapInArrow(_attempts(key), form))
         now, _ = write_table(marked.filter("not bad").drop("bad").unionByName(again), "surrogates")
+    raise RuntimeError(f"entities without a free surrogate after {ATTEMPTS} attempts")
 
 
 def replace_private_data(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

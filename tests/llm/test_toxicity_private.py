@@ -126,3 +126,34 @@ def test_bare_mentions_and_name_forms():
         assert [t[s:e] for _, s, e, _ in pd_.entities(t)] == want, t
     assert pd_.script_of(pd_.surrogate("surname", "παππά", 0, b"k")) == "greek"
     assert pd_.surrogate("given_x", "ruth", 0, b"k").title() in pd_.GIVEN["latin", "f"] + pd_.GIVEN["latin", "m"]
+
+
+def test_full_formats_get_surrogates(spark, monkeypatch):
+    ips = [".".join(p) for p in itertools.product("123456789", repeat=4)][:6000]  # of 6,561 values
+    mails = [f"{c}@{h}.com" for c in "0123456789" for h in "0123456789"]  # all of one digit, all hosts of one digit
+    ssns = ["078-05-1120"]
+    rows = [("ip", x) for x in ips] + [("email", x) for x in mails] + [("ssn", x.replace("-", "")) for x in ssns]
+    rounds = []
+    write = pd_.write_table
+
+    def counted(df, name="table"):
+        rounds.append(name)
+        assert len(rounds) < 30  # two tables a round
+        return write(df, name)
+
+    monkeypatch.setattr(pd_, "write_table", counted)
+    got = pd_.resolve(spark.createDataFrame(rows, "kind string, core string"), b"k").collect()
+    assert len(got) == len(rows) == len({r.core for r in got})
+    new = {r.new for r in got}
+    assert len(new) == len(rows) and not new & {c for _, c in rows}
+    for r in got:
+        if r.kind != "ssn":
+            assert [e[0] for e in pd_.entities(pd_.written(r.kind, r.core, r.core, r.new))] == [r.kind]
+
+
+def test_wide_surrogates_are_written_whole():
+    for t in ("4845-1681-1440-7329", "+1 (017) 555-7713", "DE89 3704 0044 0532 0130 00", "a@b.example.com"):
+        (kind, s, e, core), = pd_.entities(t)
+        new = pd_.surrogate(kind, core, pd_.WIDE + 1, b"k")
+        (kind2, s, e, core2), = pd_.entities(out := pd_.written(kind, t, core, new))
+        assert (kind2, s, e, core2) == (kind, 0, len(out), new) and len(new) == len(core) + 2
