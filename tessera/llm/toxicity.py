@@ -8,9 +8,11 @@ give each word's marginal; a document's score is a logistic function of its
 marginals, fitted on the document labels, and the words with a marginal over
 one half are its offending spans.
 
-The model is fitted on the driver from a bounded sample of labelled rows
-(``SAMPLE_ROWS`` documents of at most ``SAMPLE_CHARS`` characters); scoring
-reads every word of every text, in chains of one line, ``CHAIN`` words at most.
+The field is fitted on the driver from a bounded sample of labelled rows
+(``SAMPLE_ROWS`` documents, their first ``SAMPLE_CHARS`` characters).  The
+document weights are fitted on the whole texts of that sample: longer ones are
+read in Spark tasks, which return what the score sees of them.  Scoring reads
+every word of every text, in chains of one line, ``CHAIN`` words at most.
 """
 
 from __future__ import annotations
@@ -147,11 +149,15 @@ class Tagger:
 
 
 def summary(p: np.ndarray) -> np.ndarray:
-    """What the document score sees of the marginals."""
+    """What the document score sees of the marginals.
+
+    The most and the sum of the marginals rise with the number of words, so their weights may depend on it.
+    """
     if not len(p):
-        return np.array([1.0, 0.0, 0.0, 0.0, 0.0])
+        return np.eye(8)[0]
     some = 1 - np.exp(np.log1p(-np.minimum(p, 1 - 1e-9)).sum())
-    return np.array([1.0, p.max(), some, np.log1p(p.sum()), min(1.0, 20 * p.mean())])
+    n, most, total = np.log1p(len(p)), p.max(), np.log1p(p.sum())
+    return np.array([1.0, most, some, total, min(1.0, 20 * p.mean()), n, n * most, n * total])
 
 
 def score(model: Model, p: np.ndarray) -> float:
@@ -235,8 +241,8 @@ def _fit_field(model: Model, seqs: list[list[bytes]], labels: list[np.ndarray],
     model.own = dict(zip(marks, theta[7:].tolist()))
 
 
-def fit(texts: list[str | None], toxic: list[int]) -> Model:
-    """The model of some labelled texts; without both labels among them the scores are constant."""
+def fit_words(texts: list[str | None], toxic: list[int]) -> Model:
+    """The evidence and the field of some labelled texts, without document weights."""
     model, y = Model(), np.array(toxic, int)
     if not len(y):
         return model
@@ -250,16 +256,39 @@ def fit(texts: list[str | None], toxic: list[int]) -> Model:
                 seqs.append(c)
                 labels.append(np.array([int(label == 1 and model.look(w)[0] in marks) for w in c]))
         _fit_field(model, seqs, labels, sorted(marks))
-    x = np.array([summary(p) for p in Tagger(model).tag(texts)])
+    return model
+
+
+def document_weights(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(50):  # Newton steps of a penalised logistic regression
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         h = (x * (q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(len(w))
         w += np.linalg.solve(h, x.T @ (y - q) - 0.05 * w)
-    model.doc = w
+    return w
+
+
+def fit(texts: list[str | None], toxic: list[int]) -> Model:
+    """The model of some labelled texts; without both labels among them the scores are constant."""
+    model = fit_words(texts, toxic)
+    if len(toxic):
+        model.doc = document_weights(np.array([summary(p) for p in Tagger(model).tag(texts)]), np.array(toxic, int))
     return model
 
 
+def _summaries(model):
+    """Mapper of (text, toxic) to (summary, toxic) under a broadcast model."""
+    schema = pa.schema([("x", pa.list_(pa.float64())), ("toxic", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = Tagger(model.value)
+        for b in batches:
+            for at, texts in text_slices(b.column(0)):
+                yield batch_of(schema, [[summary(p).tolist() for p in tagger.tag(texts)], b.column(1).slice(at, len(texts))])
+
+    return run
+
+
 def fold(id_col):
     return F.pmod(F.crc32(id_col.cast("string")), F.lit(4))
 
@@ -268,7 +297,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The model of a bounded sample of the labelled rows outside fold 2.
 
     Rows are chosen by a hash of the id, so that about ``SAMPLE_ROWS`` and never more than twice as many reach
-    the driver, each of at most ``SAMPLE_CHARS`` characters.
+    the driver, the first ``SAMPLE_CHARS`` characters of each and the summary of those that are longer.
     """
     own = (labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .filter(fold(F.col("doc_id")) != 2).select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")))
@@ -277,10 +306,27 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         own = own.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < int((1 << 20) * SAMPLE_ROWS / n))
     own = F.broadcast(own.limit(2 * SAMPLE_ROWS))  # two numbers a row
     rows = (docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text"))
-            .filter((F.char_length("__text") <= SAMPLE_CHARS) & (fold(F.col("__doc")) != 2))
-            .join(own, F.col("__doc") == F.col("__id")).select("__doc", "__text", "__toxic").limit(2 * SAMPLE_ROWS).collect())
-    rows.sort(key=lambda r: (r[0], r[1]))  # the fit does not depend on how rows are partitioned
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+            .filter(F.col("__text").isNotNull() & (fold(F.col("__doc")) != 2))
+            .join(own, F.col("__doc") == F.col("__id")))
+    longer = F.char_length("__text") > SAMPLE_CHARS
+    heads = (rows.select("__doc", F.substring("__text", 1, SAMPLE_CHARS).alias("__head"), "__toxic", longer.alias("__longer"))
+             .limit(2 * SAMPLE_ROWS).collect())
+    heads.sort(key=tuple)  # the fit does not depend on how rows are partitioned
+    model = fit_words([r[1] for r in heads], [r[2] for r in heads])
+    if not heads:
+        return model
+    whole = [r for r in heads if not r[3]]
+    x = [summary(p).tolist() for p in Tagger(model).tag([r[1] for r in whole])]
+    y = [r[2] for r in whole]
+    if len(whole) < len(heads):
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        got = (rows.filter(longer).select("__text", "__toxic").mapInArrow(_summaries(shared), "x array<double>, toxic int")
+               .limit(2 * SAMPLE_ROWS).collect())
+        got.sort(key=tuple)
+        x += [r[0] for r in got]
+        y += [r[1] for r in got]
+    model.doc = document_weights(np.array(x), np.array(y, int))
+    return model
 
 
 _OUT = pa.schema([("score", pa.float64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64()))])

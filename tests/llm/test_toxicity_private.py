@@ -157,3 +157,22 @@ def test_wide_surrogates_are_written_whole():
         new = pd_.surrogate(kind, core, pd_.WIDE + 1, b"k")
         (kind2, s, e, core2), = pd_.entities(out := pd_.written(kind, t, core, new))
         assert (kind2, s, e, core2) == (kind, 0, len(out), new) and len(new) == len(core) + 2
+
+
+def test_long_documents_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").filter("toxic is not null")
+    model = tx.fit_on(docs, labels)
+    long = docs.filter(F.char_length("text") > tx.SAMPLE_CHARS).join(F.broadcast(labels.select("doc_id", "toxic")), "doc_id")
+    out = tx.toxicity(long.filter(tx.fold(F.col("doc_id")) == 2), model).select("score", "toxic").collect()
+    clean, toxic = ([r.score >= tx.THRESHOLD for r in out if r.toxic == y] for y in (0, 1))
+    print("long held out: flagged", sum(clean), "of", len(clean), "clean,", sum(toxic), "of", len(toxic), "toxic")
+    assert len(clean) > 50 and sum(clean) / len(clean) < 0.02
+    assert sum(toxic) / len(toxic) > 0.8
+
+
+def test_fit_on_long_rows_alone(spark):
+    plain = "a fine day and nothing else to say here\n" * 300
+    docs = spark.createDataFrame([(i, ("you idiot fool\n" * (i % 2)) + plain, "en", "s", 1) for i in range(60)], DOC_SCHEMA)
+    model = tx.fit_on(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    assert all((r.score >= tx.THRESHOLD) == r.doc_id % 2 for r in tx.toxicity(docs, model).collect())
