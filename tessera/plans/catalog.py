@@ -9,6 +9,8 @@ session and sf folder and kept as checkpointed tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -421,6 +423,22 @@ def q_snapshot_text_scan(spark, sf):
     return lines.select(F.col("line_no").alias("row_id"), rnd(vals[0], 6).alias("y0"), rnd(vals[1], 6).alias("y1"))
 
 
+def q_snapshot_text_frames(spark, sf):
+    """S7 text form: every frame in a folder of its own, all read back in
+    number order, each with its frame number."""
+    def build():
+        path, frames = scratch_path(spark, "export"), _snapshots(spark, sf).select("iter", "row_id", "y0", "y1")
+        numbers = sorted(r["iter"] for r in frames.select("iter").distinct().collect())
+        for i in numbers:
+            write_snapshot_text(frames.where(F.col("iter") == i).drop("iter"), K, f"{path}/exportIter_{i}")
+        return path, numbers
+    path, numbers = _memo(spark, sf, "snapshot_text_frames", build)
+    lines = [numbered_lines(spark, f"{path}/exportIter_{i}/part-*").withColumn("iter", F.lit(i)) for i in numbers]
+    vals = F.split(F.col("line"), ", ").cast("array<double>")
+    return reduce(DataFrame.unionByName, lines).select(
+        "iter", F.col("line_no").alias("row_id"), rnd(vals[0], 6).alias("y0"), rnd(vals[1], 6).alias("y1"))
+
+
 def q_kl_divergence(spark, sf):
     """Extra E3: KL(P || Q) after three iterations."""
     return kl_divergence(_p(spark, sf), _fit3(spark, sf), K, _n(spark, sf)).select(rnd("kl", 9).alias("kl"))
@@ -502,6 +520,7 @@ QUERIES = {
     "tsne_fit_3_as_executed": q_tsne_fit_3_as_executed,
     "tsne_fit_3_schedule": q_tsne_fit_3_schedule,
     "snapshot_text_scan": q_snapshot_text_scan,
+    "snapshot_text_frames": q_snapshot_text_frames,
     "embed_pipeline": q_embed_pipeline,
     "embed_pipeline_full_rank": q_embed_pipeline_full_rank,
     # extras (not in the original job): quality of the embedding

@@ -245,6 +245,7 @@ def build() -> dict[str, str]:
         f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s3")
     q["snapshot_text_scan"] = with_(*P_CHAIN, *fit_ctes(1)) + (
         f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s1")
+    q["snapshot_text_frames"] = q["fit_snapshots"]
     fit3 = with_(*P_CHAIN, *fit_ctes(3))
     yk = ("y3k AS (SELECT a.row_id AS i, b.row_id AS j, 1.0 / (1.0 + ((a.y0 - b.y0) * (a.y0 - b.y0) + "
           "(a.y1 - b.y1) * (a.y1 - b.y1))) AS num, (a.y0 - b.y0) * (a.y0 - b.y0) + (a.y1 - b.y1) * (a.y1 - b.y1) AS d "

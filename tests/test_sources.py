@@ -111,3 +111,13 @@ def test_numbered_lines_and_text_snapshot(spark, vectors):
         a = [float(x) for x in got[i].split(", ")]
         b = [float(x) for x in want[i].split(", ")]
         assert a == b
+
+
+def test_all_text_frames_are_read_back(spark):
+    from tessera.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    got = catalog.q_snapshot_text_frames(spark, sf).collect()
+    want = catalog.q_fit_snapshots(spark, sf).collect()
+    assert {r["iter"] for r in got} == {1, 2, 3}
+    assert [r["iter"] for r in got] == sorted(r["iter"] for r in want)
+    assert sorted((r["iter"], r.row_id, r.y0, r.y1) for r in got) == sorted((r["iter"], r.row_id, r.y0, r.y1) for r in want)
