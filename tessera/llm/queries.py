@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, private_data, repeats, secrets, toxicity, vector_join
+from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, private_data, repeats, ring, secrets, toxicity, vector_join
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_ring_shards": ring.op11_ring_shards,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op4_mix_sources": mixing.MIX_SQL,
     "op5_line_dedup": lines.SQL,
     "op7_vector_near_copies": vector_join.SQL,
+    "op11_ring_shards": ring.SQL,
 }
