@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import fingerprints, lines, mixing, ngram_join, packing, private_data, repeats, ring, secrets, toxicity, vector_join
+from tessera.llm import (fingerprints, lines, mixing, ngram_join, packing, periods, private_data, repeats, ring, secrets,
+                         toxicity, vector_join)
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_ring_shards": ring.op11_ring_shards,
+    "op12_periodic_runs": periods.op12_periodic_runs,
 }
 
 ORACLE = {
