@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import (fingerprints, lines, mixing, ngram_join, packing, periods, private_data, repeats, ring, secrets,
-                         toxicity, vector_join)
+from tessera.llm import (centroids, fingerprints, lines, mixing, ngram_join, packing, periods, private_data, repeats, ring,
+                         secrets, toxicity, vector_join)
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_ring_shards": ring.op11_ring_shards,
     "op12_periodic_runs": periods.op12_periodic_runs,
+    "op13_centroid_clusters": centroids.op13_centroid_clusters,
 }
 
 ORACLE = {
@@ -27,4 +28,5 @@ ORACLE = {
     "op5_line_dedup": lines.SQL,
     "op7_vector_near_copies": vector_join.SQL,
     "op11_ring_shards": ring.SQL,
+    "op13_centroid_clusters": centroids.SQL,
 }
