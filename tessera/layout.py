@@ -37,11 +37,24 @@ def bucket_count(spark: SparkSession, total_bytes: int = 0, bucket_bytes: int =
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total_bytes) // bucket_bytes), 1)
 
 
-def write_keyed(df: DataFrame, key: str, buckets: int, name: str = "keyed") -> KeyedTable:
-    """Write ``df`` bucketed and sorted by ``key``: one shuffle here, none in later joins on ``key``."""
+def placement_keys(spark: SparkSession, buckets: int) -> list[int]:
+    """For every bucket a long that hashes into it: keys that put a numbered owner in a bucket of its own."""
+    for draw in (8, 32, 128):  # all buckets are met by 8 draws each but for one time in some hundred
+        rows = (spark.range(draw * buckets + 64).selectExpr("id", f"pmod(hash(id), {buckets}) AS b")
+                .groupBy("b").agg({"id": "min"}).collect())
+        if len(rows) == buckets:
+            return [k for _, k in sorted((r[0], r[1]) for r in rows)]
+    raise RuntimeError(f"no keys found for {buckets} buckets")
+
+
+def write_keyed(df: DataFrame, key: str, buckets: int, name: str = "keyed", dealt: bool = False) -> KeyedTable:
+    """Write ``df`` bucketed and sorted by ``key``: one shuffle here, none in later joins on ``key``.
+
+    ``dealt`` says that a task holds few keys already, so that the shuffle here is not needed either.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = f"tessera_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    ((df if dealt else df.repartition(buckets, key)).write.format("parquet").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))
     return KeyedTable(table, path, buckets, spark)

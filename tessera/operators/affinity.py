@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.entropy import entropy_at_beta, perplexity_search
+from tessera.functions.entropy import perplexity_search
 from tessera.operators.neighbours import neighbour_lists
+from tessera.session import cut_lineage
 
 P_FLOOR = 1e-12
 
@@ -24,13 +25,6 @@ def beta_search(knn_df: DataFrame, perplexity: float = 30.0, tol: float = 1e-5,
     return lists.withColumn("s", s).select("i", "js", "ds", "s.beta", "s.h", "s.tries", "s.converged", "s.p")
 
 
-def entropy_table(knn_df: DataFrame, beta: float = 1.0) -> DataFrame:
-    """Entropy of each neighbour list at one precision (K1): (i, h)."""
-    nb = neighbour_lists(knn_df)
-    ds = F.transform("nb", lambda x: x["d"])
-    return nb.select("i", entropy_at_beta(ds, beta).alias("h"))
-
-
 def conditional_affinity(search: DataFrame) -> DataFrame:
     """p(j | i) edges from a beta search (K2): (i, j, p)."""
     z = search.select("i", F.explode(F.arrays_zip(F.col("js").alias("j"), F.col("p").alias("p"))).alias("e"))
@@ -43,9 +37,14 @@ def transpose(edges: DataFrame, value: str = "p") -> DataFrame:
 
 
 def with_diagonal(edges: DataFrame, value: float = 0.0) -> DataFrame:
-    """Add (i, i, value) for every row id present, as a set (P7 + A8)."""
+    """Add (i, i, value) for every row id present, as a set (P7 + A8).
+
+    Edges are unique, so only the diagonal needs to be made distinct: one row per i, but for those that
+    ``edges`` has already.
+    """
     diag = edges.select("i").distinct().select("i", F.col("i").alias("j"), F.lit(float(value)).alias("p"))
-    return edges.select("i", "j", "p").unionByName(diag).distinct()
+    have = edges.where("i = j").select("i", "p")
+    return edges.select("i", "j", "p").unionByName(diag.join(have, ["i", "p"], "left_anti").select("i", "j", "p"))
 
 
 def symmetrize(edges: DataFrame) -> DataFrame:
@@ -76,7 +75,7 @@ def joint_probabilities(cond: DataFrame) -> DataFrame:
 
     Off-diagonal edges only (the diagonal is 0 and cannot reach a gradient).
     """
-    sym = symmetrize(cond).where(F.col("i") != F.col("j"))
+    sym = cut_lineage(symmetrize(cond).where(F.col("i") != F.col("j")), "sym")  # summed, then divided
     s = total(sym)
     return sym.withColumn("p", F.col("p") / F.lit(s if s != 0.0 else 1.0))
 

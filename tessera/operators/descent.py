@@ -1,9 +1,8 @@
 """Gradient descent with momentum and adaptive gains.
 
-The state is one row per point with k scalar columns each for the
-coordinates, the momentum and the gains: (row_id, y0.., m0.., g0..).
-Updates are projections of that row; nothing is collected to the driver
-except the scalar normaliser Z and the k column means.
+The state is one row per point with k scalar columns each for the coordinates, the momentum and the gains:
+(row_id, y0.., m0.., g0..).  The gradient comes from one field pass; gains, momentum and update are
+projections of the pass's own rows (``stepped``), in the fit and in the one-step operators alike.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.affinity import P_FLOOR
+from tessera.operators.field import P_FLOOR, EdgeStore, field, store_edges
 from tessera.operators.kernel import divisor, edge_kernel
 
 
@@ -19,10 +18,13 @@ def ycols(k: int) -> list[str]:
     return [f"y{c}" for c in range(k)]
 
 
+def state_cols(k: int) -> list[str]:
+    return [f"{x}{c}" for x in "ymg" for c in range(k)]
+
+
 def initial_state(y0: DataFrame, k: int) -> DataFrame:
     """Start: momentum 0 (S4), gains 1 (row_id, y*, m*, g*)."""
-    return y0.select("row_id", *ycols(k), *[F.lit(0.0).alias(f"m{c}") for c in range(k)],
-                     *[F.lit(1.0).alias(f"g{c}") for c in range(k)])
+    return y0.selectExpr("row_id", *ycols(k), *[f"0.0D AS m{c}" for c in range(k)], *[f"1.0D AS g{c}" for c in range(k)])
 
 
 def effective_p(p, exaggeration: float, floor_p: bool):
@@ -44,56 +46,57 @@ def gradient_terms(edges: DataFrame, y: DataFrame, k: int, z: float, exaggeratio
     return e.select("i", "j", *[(w * F.col(f"dy{c}")).alias(f"t{c}") for c in range(k)])
 
 
-def gradient(edges: DataFrame, y: DataFrame, row_sums: DataFrame, k: int, z: float,
-             exaggeration: float = 1.0, floor_p: bool = False, repulsion: str = "full") -> DataFrame:
+def in_field(points: DataFrame, store: EdgeStore, k: int, exaggeration: float, floor_p: bool, repulsion: str,
+             rest: list[str] | None = None) -> DataFrame:
+    """The field pass over points that are in no order yet: a shuffle to their blocks, then ``field``."""
+    own = points.selectExpr("row_id", f"{store.owner()} AS blk", *ycols(k), *(rest or [])).repartitionById(store.blocks, "blk")
+    return field(own, store, k, exaggeration, floor_p, repulsion, rest)
+
+
+def gradient(edges: DataFrame, y: DataFrame, k: int, z: float, exaggeration: float = 1.0, floor_p: bool = False,
+             repulsion: str = "full", n: int | None = None, block_rows: int | None = None) -> DataFrame:
     """g_i = sum_j (p_ij - q_ij) num_ij (y_i - y_j) (K6): (row_id, dy0..).
 
-    Split as attraction over the edges minus (1/Z) * rep_i from the tiles
-    (``full``), or entirely over the edges (``graph``).  Per-point sums use
-    partial aggregation (A7); points with no edge get 0 attraction.
+    Attraction over the edges minus 1 / Z times the repulsion, over all pairs (``full``) or over the edges
+    (``graph``); points without edges get 0 attraction.
     """
-    z = divisor(z)
-    t = gradient_terms(edges, y, k, z, exaggeration, floor_p, repulsion)
-    att = t.groupBy("i").agg(*[F.sum(f"t{c}").alias(f"a{c}") for c in range(k)])
-    g = y.select("row_id").join(att.withColumnRenamed("i", "row_id"), "row_id", "left")
-    if repulsion == "full":
-        g = g.join(row_sums.select("row_id", *[f"rep{c}" for c in range(k)]), "row_id", "left")
-        cols = [(F.coalesce(F.col(f"a{c}"), F.lit(0.0)) - F.coalesce(F.col(f"rep{c}"), F.lit(0.0)) / F.lit(z))
-                .alias(f"dy{c}") for c in range(k)]
-    else:
-        cols = [F.coalesce(F.col(f"a{c}"), F.lit(0.0)).alias(f"dy{c}") for c in range(k)]
-    return g.select("row_id", *cols)
-
-
-def gains_expr(grad, mom, gain, min_gain: float):
+    store = store_edges(edges, y.count() if n is None else n, k, block_rows)
+    f = in_field(y, store, k, exaggeration, floor_p, repulsion)
+    return f.selectExpr("row_id", *gradient_exprs(k, z))
+
+
+def gradient_exprs(k: int, z: float) -> list[str]:
+    return [f"att{c} - rep{c} / {_d(divisor(z))} AS dy{c}" for c in range(k)]
+
+
+def gain_sql(grad: str, mom: str, gain: str, min_gain: float) -> str:
     """+0.2 when the signs of gradient and old momentum differ (each tested as > 0),
     else *0.8; never below min_gain (K7)."""
-    differ = (grad > F.lit(0.0)) != (mom > F.lit(0.0))
-    return F.greatest(F.lit(float(min_gain)), F.when(differ, gain + F.lit(0.2)).otherwise(gain * F.lit(0.8)))
+    return (f"greatest({_d(min_gain)}, CASE WHEN ({grad} > 0.0D) <> ({mom} > 0.0D) "
+            f"THEN {gain} + {_d(0.2)} ELSE {gain} * {_d(0.8)} END)")
 
 
-def update_gains(state: DataFrame, grad: DataFrame, k: int, min_gain: float) -> DataFrame:
-    """New gains per cell (J8 + K7): left join, a missing gradient counts as 0."""
-    s = state.join(grad, "row_id", "left")
-    return s.select("row_id", *[gains_expr(F.coalesce(F.col(f"dy{c}"), F.lit(0.0)), F.col(f"m{c}"), F.col(f"g{c}"),
-                                           min_gain).alias(f"g{c}") for c in range(k)])
+def stepped(rows: DataFrame, k: int, momentum: float, lr: float, min_gain: float, keep: list[str],
+            grad: list[str] | None = None, old: dict[str, str] | None = None) -> DataFrame:
+    """Rows (keep.., y*, m*, g*, dy*) after one step: gains (K7), momentum m <- mu m - lr gain dy (K8) and
+    y <- y + m (K9), as projections of the row: (keep.., y*, m*, g*), not centred.
 
+    ``grad`` gives the dy* as expressions, ``old`` the columns that hold m* and g* under other names.
+    """
+    rng, old = range(k), old or {}
+    m, g = ([old.get(f"{x}{c}", f"{x}{c}") for c in rng] for x in "mg")
+    # each alias is used by those after it
+    new = rows.selectExpr(*keep, *(grad or [f"dy{c}" for c in rng]),
+                          *[f"{gain_sql(f'dy{c}', m[c], g[c], min_gain)} AS new_g{c}" for c in rng],
+                          *[f"{_d(momentum)} * {m[c]} - {_d(lr)} * new_g{c} * dy{c} AS new_m{c}" for c in rng],
+                          *[f"y{c} + new_m{c} AS new_y{c}" for c in rng])
+    return new.selectExpr(*keep, *[f"new_{x}{c} AS {x}{c}" for x in "ymg" for c in rng])
 
-def step(state: DataFrame, grad: DataFrame, k: int, momentum: float, lr: float, min_gain: float) -> DataFrame:
-    """Gains (K7), momentum m <- mu*m - lr*gain*g (K8), y <- y + m (K9), one projection.
 
-    Returns the un-centred state (row_id, y*, m*, g*).
-    """
-    s = state.join(grad, "row_id", "left")
-    g = {c: F.coalesce(F.col(f"dy{c}"), F.lit(0.0)) for c in range(k)}
-    s = s.select("row_id", *[F.col(f"y{c}") for c in range(k)],
-                 *[F.col(f"m{c}").alias(f"m_old{c}") for c in range(k)],
-                 *[gains_expr(g[c], F.col(f"m{c}"), F.col(f"g{c}"), min_gain).alias(f"g{c}") for c in range(k)],
-                 *[g[c].alias(f"dy{c}") for c in range(k)])
-    mom = {c: F.lit(float(momentum)) * F.col(f"m_old{c}") - F.lit(float(lr)) * F.col(f"g{c}") * F.col(f"dy{c}")
-           for c in range(k)}
-    return s.select("row_id", *[(F.col(f"y{c}") + mom[c]).alias(f"y{c}") for c in range(k)],
-                    *[mom[c].alias(f"m{c}") for c in range(k)], *[F.col(f"g{c}") for c in range(k)])
+def step(state: DataFrame, grad: DataFrame, k: int, momentum: float, lr: float, min_gain: float) -> DataFrame:
+    """One step of a state (row_id, y*, m*, g*) by a gradient table; a missing gradient counts as 0."""
+    s = state.join(grad, "row_id", "left").selectExpr("row_id", *state_cols(k), *[f"coalesce(dy{c}, 0.0D) AS dy{c}" for c in range(k)])
+    return stepped(s, k, momentum, lr, min_gain, ["row_id"])
 
 
 def column_means(df: DataFrame, cols: list[str]) -> list[float]:
@@ -106,65 +109,10 @@ def recenter(df: DataFrame, k: int, means: list[float] | None = None) -> DataFra
     """Subtract the column means of y (K9); other columns pass through."""
     if means is None:
         means = column_means(df, ycols(k))
-    shift = {f"y{c}": means[c] for c in range(k)}
-    return df.select(*[(F.col(n) - F.lit(shift[n])).alias(n) if n in shift else F.col(n) for n in df.columns])
+    shift = {f"y{c}": f"y{c} - {_d(means[c])} AS y{c}" for c in range(k)}
+    return df.selectExpr(*[shift.get(n, n) for n in df.columns])
 
 
 def _d(x: float) -> str:
     """A double literal for Spark SQL (plain decimals parse as DECIMAL)."""
     return f"CAST('{float(x)!r}' AS DOUBLE)"
-
-
-def update_sql(k: int, z: float | None, exaggeration: float, floor_p: bool, repulsion: str,
-               momentum: float, lr: float, min_gain: float) -> str:
-    """One descent iteration (K6-K9, un-centred) as a single Spark SQL statement.
-
-    Views: {state} (row_id, y*, m*, g*), {p} (i, j, p normalised joint P),
-    {rows} (row_id, zrow, rep*) from the tiles.  Same arithmetic, in the
-    same order, as ``gradient`` + ``step``; built as text so that the driver
-    parses and analyses one statement per iteration.  With ``z=None`` the
-    normaliser is a scalar subquery over {rows} (cache it), so Z never
-    travels through the driver's Python side.
-    """
-    rng = range(k)
-    zexpr = "(SELECT z FROM zz)" if z is None else _d(divisor(z))
-    pe = f"p.p * {_d(exaggeration)}"
-    if floor_p:
-        pe = f"greatest({pe}, {_d(1e-12)})"
-    d2 = "0.0D"
-    for c in rng:
-        d2 = f"({d2} + dy{c} * dy{c})"
-    # Z enters once, as a column, so the plan holds a single scalar subquery.
-    if repulsion == "graph":
-        w = "(pe - num / z) * num"
-    else:
-        w = "pe * num"
-    dys = ", ".join(f"yi.y{c} - yj.y{c} AS dy{c}" for c in rng)
-    sums = ", ".join(f"SUM(w * dy{c}) AS a{c}" for c in rng)
-    if repulsion == "full":
-        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) - COALESCE(r.rep{c}, 0.0D) / z AS dy{c}" for c in rng)
-    else:
-        grad = ", ".join(f"COALESCE(att.a{c}, 0.0D) AS dy{c}" for c in rng)
-    gains = ", ".join(
-        f"greatest({_d(min_gain)}, CASE WHEN (dy{c} > 0.0D) <> (m{c} > 0.0D) THEN g{c} + {_d(0.2)} "
-        f"ELSE g{c} * {_d(0.8)} END) AS gn{c}" for c in rng)
-    mom = {c: f"({_d(momentum)} * m{c} - {_d(lr)} * gn{c} * dy{c})" for c in rng}
-    out = ", ".join([*(f"y{c} + {mom[c]} AS y{c}" for c in rng), *(f"{mom[c]} AS m{c}" for c in rng),
-                     *(f"gn{c} AS g{c}" for c in rng)])
-    ycols_ = ", ".join(f"y{c}" for c in rng)
-    return f"""
-WITH zz AS (SELECT CASE WHEN SUM(zrow) > 0.0D THEN SUM(zrow) ELSE 1.0D END AS z FROM {{rows}}),
-yv AS (SELECT row_id, {ycols_} FROM {{state}}),
-e AS (SELECT p.i, {dys}, {pe} AS pe{", " + zexpr + " AS z" if repulsion == "graph" else ""}
-      FROM {{p}} p JOIN yv yj ON p.j = yj.row_id JOIN yv yi ON p.i = yi.row_id),
-en AS (SELECT i, {", ".join(f"dy{c}" for c in rng)}, pe, {"z, " if repulsion == "graph" else ""}1.0D / (1.0D + {d2}) AS num FROM e),
-att AS (SELECT i, {sums} FROM (SELECT i, {", ".join(f"dy{c}" for c in rng)}, {w} AS w FROM en) GROUP BY i),
-g1 AS (SELECT s.row_id, {", ".join(f"s.y{c} AS y{c}" for c in rng)}, {", ".join(f"s.m{c} AS m{c}" for c in rng)},
-             {", ".join(f"s.g{c} AS g{c}" for c in rng)}, {", ".join(f"att.a{c} AS a{c}" for c in rng)},
-             {", ".join(f"r.rep{c} AS rep{c}" for c in rng)}, {zexpr} AS z
-      FROM {{state}} s LEFT JOIN att ON s.row_id = att.i LEFT JOIN {{rows}} r ON s.row_id = r.row_id),
-g AS (SELECT row_id, {", ".join(f"y{c}" for c in rng)}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"g{c}" for c in rng)},
-             {grad.replace("att.a", "a").replace("r.rep", "rep")} FROM g1),
-v AS (SELECT row_id, {ycols_}, {", ".join(f"m{c}" for c in rng)}, {", ".join(f"dy{c}" for c in rng)}, {gains} FROM g)
-SELECT row_id, {out} FROM v
-"""

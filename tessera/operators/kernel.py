@@ -1,7 +1,7 @@
 """Student-t kernel on the embedding.
 
 num_ij = 1 / (1 + |y_i - y_j|^2), zero on the diagonal; Z = sum_{i != j} num.
-The all-pairs part runs in tiles and returns, per point,
+The all-pairs part runs over packed blocks and returns, per point,
 
     zrow_i  = sum_j num_ij                      (row of the normaliser)
     rep_i,c = sum_j num_ij^2 (y_ic - y_jc)      (unnormalised repulsion)
@@ -13,84 +13,73 @@ quantities (q on the edges of P, p - q) only need the scalar Z.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.tiles import blocks_for, run_tiles
-
-_CHUNK = 1024
-
-
-def _sums(A: np.ndarray, Bm: np.ndarray, self_tile: bool):
-    """Row and column partial sums of one tile, in row chunks of bounded memory."""
-    na, nb = len(A), len(Bm)
-    k = A.shape[1]
-    z_a, rep_a = np.zeros(na), np.zeros((na, k))
-    z_b, rep_b = np.zeros(nb), np.zeros((nb, k))
-    for s in range(0, na, _CHUNK):
-        a = A[s:s + _CHUNK]
-        d2 = np.zeros((len(a), nb))
-        for c in range(k):
-            diff = a[:, c][:, None] - Bm[:, c][None, :]
-            d2 += diff * diff
-        num = 1.0 / (1.0 + d2)
-        if self_tile:
-            idx = np.arange(len(a))
-            num[idx, s + idx] = 0.0
-        w = num * num
-        z_a[s:s + len(a)] = num.sum(axis=1)
-        wa = w.sum(axis=1)
-        for c in range(k):
-            rep_a[s:s + len(a), c] = a[:, c] * wa - w @ Bm[:, c]
-        if not self_tile:
-            z_b += num.sum(axis=0)
-            wb = w.sum(axis=0)
-            for c in range(k):
-                rep_b[:, c] += Bm[:, c] * wb - w.T @ a[:, c]
-    return z_a, rep_a, z_b, rep_b
-
-
-def _kernel_tile(ycols: list[str]):
-    k = len(ycols)
-
-    def frame(ids, z, rep):
-        d = {"row_id": ids, "zrow": z}
-        for c in range(k):
-            d[f"rep{c}"] = rep[:, c]
-        return pd.DataFrame(d)
-
-    def fn(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(key[0]), int(key[1])
-        empty = frame(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros((0, k)))
-        if len(left) == 0:
-            return empty
-        ida = left["row_id"].to_numpy(dtype=np.int64)
-        A = left[ycols].to_numpy(dtype=np.float64)
-        if bi == bj:
-            z_a, rep_a, _, _ = _sums(A, A, True)
-            return frame(ida, z_a, rep_a)
-        if len(right) == 0:
-            return empty
-        idb = right["row_id"].to_numpy(dtype=np.int64)
-        Bm = right[ycols].to_numpy(dtype=np.float64)
-        z_a, rep_a, z_b, rep_b = _sums(A, Bm, False)
-        return pd.concat([frame(ida, z_a, rep_a), frame(idb, z_b, rep_b)], ignore_index=True)
-    return fn
-
-
-def kernel_row_sums(y: DataFrame, k: int, block_rows: int = 2048, n: int | None = None) -> DataFrame:
+from tessera.operators.blocks import blocks_for, floats, longs, pieces, run_stripes, to_all_owners
+
+_TILE = 1 << 19  # pairs held at once
+
+
+def pair_sums(A: np.ndarray, B: np.ndarray, same: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of A over the rows of B: sum of num, and sum of num^2 (a - b) per coordinate.
+
+    ``same`` is the row of A that B's first row equals, when B is a part of A: those pairs do not count.
+    """
+    m, k = A.shape
+    z, rep = np.zeros(m), np.zeros((m, k))
+    step = max(1, _TILE // max(1, len(B)))
+    for s in range(0, m, step):
+        a = A[s:s + step]
+        diff = [a[:, c][:, None] - B[:, c][None, :] for c in range(k)]
+        num = np.ones((len(a), len(B)))
+        for x in diff:
+            num += x * x
+        np.reciprocal(num, out=num)
+        if same is not None:
+            i = np.arange(max(s, same), min(s + len(a), same + len(B)))
+            num[i - s, i - same] = 0.0
+        z[s:s + step] = num.sum(axis=1)
+        num *= num
+        for c, x in enumerate(diff):
+            rep[s:s + step, c] = np.einsum("ij,ij->i", num, x)
+    return z, rep
+
+
+class _Kernel:
+    """One owner of the kernel pass."""
+
+    def __init__(self, k: int, rows: list[dict]):
+        self.k = k
+        self.ids = np.concatenate([longs(r["ids"]) for r in rows])
+        self.y = np.concatenate([floats(r["x"]) for r in rows]).reshape(-1, k)
+        self.at, start = {}, 0
+        for r in rows:
+            self.at[r["piece"].as_py()] = start
+            start += len(longs(r["ids"]))
+        self.z, self.rep = np.zeros(len(self.y)), np.zeros(self.y.shape)
+
+    def feed(self, row: dict) -> None:
+        z, rep = pair_sums(self.y, floats(row["x"]).reshape(-1, self.k), self.at.get(row["piece"].as_py()))
+        self.z += z
+        self.rep += rep
+
+    def finish(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.ids), pa.array(self.z), *(pa.array(np.ascontiguousarray(c)) for c in self.rep.T)],
+            ["row_id", "zrow", *(f"rep{c}" for c in range(self.k))])
+
+
+def kernel_row_sums(y: DataFrame, k: int, block_rows: int | None = None, n: int | None = None) -> DataFrame:
     """(row_id, zrow, rep0..rep{k-1}) over all partners j != i (K4 + J3, per point).
 
-    ``y`` has columns row_id, y0..y{k-1}.  Each point gets one partial row
-    per block; a partial-aggregated ``groupBy`` folds them.
+    ``y`` has columns row_id, y0..y{k-1}.  One shuffle of packed pieces; every owner ends with its points' sums.
     """
-    ycols = [f"y{c}" for c in range(k)]
-    n, B = blocks_for(y, n, block_rows)
+    n, blocks = blocks_for(y, n, k, block_rows)
+    dealt = to_all_owners(pieces(y, blocks, n, "row_id", f"array({', '.join(f'y{c}' for c in range(k))})"), blocks)
     schema = "row_id bigint, zrow double, " + ", ".join(f"rep{c} double" for c in range(k))
-    parts = run_tiles(y.select("row_id", *ycols), "row_id", ycols, B, _kernel_tile(ycols), schema)
-    return parts.groupBy("row_id").agg(F.sum("zrow").alias("zrow"),
-                                       *[F.sum(f"rep{c}").alias(f"rep{c}") for c in range(k)])
+    return run_stripes(dealt, blocks, lambda rows: _Kernel(k, rows), schema, ("piece",))
 
 
 def normalizer(row_sums: DataFrame) -> float:
@@ -106,26 +95,21 @@ def divisor(z: float) -> float:
 
 
 def edge_kernel(edges: DataFrame, y: DataFrame, k: int) -> DataFrame:
-    """Attach y_i, y_j, num_ij and the differences to each edge (i, j, ...).
+    """Each edge (i, j, ...) with its columns, the differences y_i - y_j and num_ij.
 
     Two equi-joins with the n-row embedding; Catalyst/AQE broadcasts it when
     its measured size is under the threshold and shuffles otherwise.
     """
-    yi = y.select(F.col("row_id").alias("i"), *[F.col(f"y{c}").alias(f"yi{c}") for c in range(k)])
-    yj = y.select(F.col("row_id").alias("j"), *[F.col(f"y{c}").alias(f"yj{c}") for c in range(k)])
-    e = edges.join(yj, "j").join(yi, "i")
-    diffs = [(F.col(f"yi{c}") - F.col(f"yj{c}")) for c in range(k)]
-    d2 = diffs[0] * diffs[0]
-    for dc in diffs[1:]:
-        d2 = d2 + dc * dc
-    e = e.select(*[c for c in edges.columns], *[diffs[c].alias(f"dy{c}") for c in range(k)])
+    yi = y.selectExpr("row_id AS i", *[f"y{c} AS yi{c}" for c in range(k)])
+    yj = y.selectExpr("row_id AS j", *[f"y{c} AS yj{c}" for c in range(k)])
+    e = edges.join(yj, "j").join(yi, "i").selectExpr(*edges.columns, *[f"yi{c} - yj{c} AS dy{c}" for c in range(k)])
     return e.withColumn("num", F.lit(1.0) / (F.lit(1.0) + sum((F.col(f"dy{c}") * F.col(f"dy{c}") for c in range(k)), F.lit(0.0))))
 
 
 def edge_affinity(edges: DataFrame, y: DataFrame, k: int, z: float, floor_q: bool = False) -> DataFrame:
-    """q_ij = num_ij / Z on the edges of P (K5 on the support of P): (i, j, num, q)."""
-    e = edge_kernel(edges.select("i", "j"), y, k)
+    """q_ij = num_ij / Z on the edges of P (K5 on the support of P): (i, j, ..., num, q), other columns kept."""
+    e = edge_kernel(edges, y, k)
     q = F.col("num") / F.lit(divisor(z))
     if floor_q:
         q = F.greatest(q, F.lit(1e-12))
-    return e.select("i", "j", "num", q.alias("q"))
+    return e.select(*edges.columns, "num", q.alias("q"))

@@ -1,175 +1,284 @@
 """Exact k-nearest neighbours over all pairs, without forming the pairs.
 
-Each tile computes its block-pair distances in NumPy and keeps, per point,
-only its k best partners inside that tile (by (d, j)).  A point therefore
-contributes at most k candidates per block, and a ``row_number() <= k``
-window (planned by Catalyst as a partial + final ``WindowGroupLimit``) picks
-the global k.  Distances are squared Euclidean, as the original's entropy
-search uses them.
-
-Candidate selection uses the Gram form |a|^2 + |b|^2 - 2ab (fast BLAS) with
-a safety margin far above its rounding error; the selected candidates are
-then re-measured exactly as sum((a-b)^2), so the result is the exact top-k.
-
-With more than one block, each point first gets a radius: its k-th smallest
-distance to a fixed-size sample of the points (the sample is a subset, so
-this bounds the true k-th distance from above).  Tiles then emit only
-partners within the radius -- every true top-k partner is -- which cuts the
-candidates from k per point and block to roughly k * n / sample per point.
+Points are assigned to the nearest of some pivots, which cuts the table into cells; large cells are split
+into blocks that share their pivot.  Let u bound the squared distance of a point x of pivot p to its k-th
+neighbour.  All points of another pivot's cell lie behind the plane half way between the two pivots, so a
+cell q is skipped for x when (|x - q|^2 - |x - p|^2) / (2 |p - q|) > sqrt(u), and a block is sent only to the
+blocks that hold a point for which it is not.  The owner streams the blocks that it is sent past its own,
+lowers u as it goes, tests each by its centre c and radius R first (|x - c| - R > sqrt(u), the triangle
+inequality), and ends with the final neighbours of its points: no candidates are shuffled or merged.
+
+u starts as the smaller of two bounds: the k-th distance inside the point's own block, and that to a
+fixed-size sample of the table, which also gives the pivots.  On data without clusters no pair of cells can be
+skipped and every block meets every other one; the result is exact either way.
+
+Distances are squared Euclidean, as the original's entropy search uses them.  Candidates are chosen in the
+Gram form |a|^2 + |b|^2 - 2ab (BLAS) with a margin far above its rounding error and measured again as
+sum((a-b)^2); ties are broken by the smaller id.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.tiles import blocks_for, run_tiles
-from tessera.session import cut_lineage
+from tessera.operators.blocks import MIN_BLOCKS, floats, longs, matrix, plan_blocks, run_stripes
 
-CANDIDATE_SCHEMA = "i bigint, j bigint, d double, rank int"
+SAMPLE_ROWS = 1024                  # expected rows of the sample for pivots and first bounds
+MAX_CELLS = 1024                    # pivots: they go to every task
+SLACK = 1e-9                        # of Gram forms and roots, relative to the squared norms; they err by far less
+ELEMENTS = 1 << 22                  # numbers held at once when distances are measured
+NEIGHBOURS = "i bigint, j bigint, d double, rank int"
 
 
-def _empty() -> pd.DataFrame:
-    return pd.DataFrame({"i": pd.Series([], dtype="int64"), "j": pd.Series([], dtype="int64"),
-                         "d": pd.Series([], dtype="float64"), "rank": pd.Series([], dtype="int32")})
+def _sq(A: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", A, A)
 
 
-SAMPLE_ROWS = 1024                  # expected rows of the sample for the pruning radius
-RADIUS_SLACK = 1e-9                 # slack of the Gram form, relative to the squared norms
-DIFF_ELEMENTS = 1 << 22             # numbers held at once when candidates are measured again
+def _gram(A, a2, B, b2):
+    return a2[:, None] + b2[None, :] - 2.0 * (A @ B.T)
 
 
-def _best_in_tile(A, ida, Bm, idb, approx, k, self_tile, radius=None):
-    """Exact top-k partners in ``Bm`` for each row of ``A`` given approximate distances.
+def sample_points(vectors: DataFrame, n: int, id_col: str, feat_col: str, sample_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors) of a hash sample: about ``sample_rows`` rows at any n, k and mode."""
+    share = min(1.0, sample_rows / max(1, n))
+    keep = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    rows = vectors.select(F.col(id_col).cast("bigint"), F.col(feat_col).cast("array<double>")).where(keep).toArrow()
+    if not rows.num_rows:  # none fell into it: of the table's width all the same
+        first = vectors.select(F.col(feat_col).cast("array<double>")).first()
+        return np.zeros(0, np.int64), np.zeros((0, len(first[0]) if first else 1))
+    return rows.column(0).to_numpy(), matrix(rows.column(1).combine_chunks())
 
-    ``radius`` (per row of ``A``), when given, drops partners farther than it.
-    """
-    m, n = approx.shape
-    avail = n - 1 if self_tile else n
-    kk = min(k, avail)
-    if kk <= 0 or m == 0:
-        return _empty()
-    if not np.isfinite(approx).all():
-        raise ValueError("squared distances overflow: scale the vectors")
-    if self_tile:
-        np.fill_diagonal(approx, np.inf)
-    if kk < avail:
-        kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-        na2 = np.einsum("ij,ij->i", A, A)
-        margin = 1e-9 * (na2 + np.einsum("ij,ij->i", Bm, Bm).max() + 1e-300)
-        mask = approx <= (kth + margin)[:, None]
-    else:
-        mask = np.isfinite(approx)
-    r, c = np.nonzero(mask)
-    if radius is not None:
-        near = approx[r, c] <= radius[r]
-        r, c = r[near], c[near]
-    d = np.empty(len(r))
-    step = max(1, DIFF_ELEMENTS // max(1, A.shape[1]))
-    for s in range(0, len(r), step):
-        diff = A[r[s:s + step]] - Bm[c[s:s + step]]
-        d[s:s + step] = np.einsum("ij,ij->i", diff, diff)
-    j = idb[c]
-    order = np.lexsort((j, d, r))
-    r, j, d = r[order], j[order], d[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(r)) + 1]
-    counts = np.diff(np.r_[starts, len(r)])
-    rank = np.arange(len(r)) - np.repeat(starts, counts)
-    keep = rank < kk
-    return pd.DataFrame({"i": ida[r[keep]], "j": j[keep], "d": d[keep], "rank": (rank[keep] + 1).astype(np.int32)})
-
-
-def _knn_tile(id_col: str, feat_col: str, k: int, with_radius: bool = False):
-    def fn(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(key[0]), int(key[1])
-        if len(left) == 0:
-            return _empty()
-        ida = left[id_col].to_numpy(dtype=np.int64)
-        A = np.stack(left[feat_col].to_numpy()).astype(np.float64)
-        ra = left["radius"].to_numpy(dtype=np.float64) if with_radius else None
-        if bi == bj:
-            G = A @ A.T
-            sq = np.einsum("ij,ij->i", A, A)
-            approx = sq[:, None] + sq[None, :] - 2.0 * G
-            return _best_in_tile(A, ida, A, ida, approx, k, True, ra)
-        if len(right) == 0:
-            return _empty()
-        idb = right[id_col].to_numpy(dtype=np.int64)
-        Bm = np.stack(right[feat_col].to_numpy()).astype(np.float64)
-        rb = right["radius"].to_numpy(dtype=np.float64) if with_radius else None
-        sa = np.einsum("ij,ij->i", A, A)
-        sb = np.einsum("ij,ij->i", Bm, Bm)
-        approx = sa[:, None] + sb[None, :] - 2.0 * (A @ Bm.T)
-        out_a = _best_in_tile(A, ida, Bm, idb, approx.copy(), k, False, ra)
-        out_b = _best_in_tile(Bm, idb, A, ida, approx.T.copy(), k, False, rb)
-        return pd.concat([out_a, out_b], ignore_index=True)
+
+def choose_pivots(S: np.ndarray, cells: int) -> np.ndarray:
+    """``cells`` pivots of a sample: the farthest point first, then a few rounds of means."""
+    if len(S) == 0:
+        return S
+    P = S[:1]
+    near = _sq(S - P[0])
+    while len(P) < min(cells, len(S)) and near.max() > 0:
+        P = np.concatenate((P, S[near.argmax()][None]))
+        near = np.minimum(near, _sq(S - P[-1]))
+    s2 = _sq(S)
+    for _ in range(4):
+        at = _gram(S, s2, P, _sq(P)).argmin(axis=1)
+        P = np.stack([S[at == c].mean(axis=0) if (at == c).any() else P[c] for c in range(len(P))])
+    return P
+
+
+class _Best:
+    """The k nearest (distance, id) of each row of a block so far."""
+
+    def __init__(self, k: int, m: int):
+        self.k, self.m = k, m
+        self.d, self.j, self.r = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, r, j, d) -> None:
+        r, j, d = (np.concatenate(x) for x in ((self.r, r), (self.j, j), (self.d, d)))
+        order = np.lexsort((j, d, r))
+        r, j, d = r[order], j[order], d[order]
+        first = np.searchsorted(r, np.arange(self.m))
+        self.rank = np.arange(len(r)) - first[r]
+        keep = self.rank < self.k
+        self.r, self.j, self.d, self.rank = r[keep], j[keep], d[keep], self.rank[keep]
+
+    def kth(self) -> np.ndarray:
+        """The k-th distance of each row, infinite where there are fewer."""
+        out = np.full(self.m, np.inf)
+        last = self.rank == self.k - 1
+        out[self.r[last]] = self.d[last]
+        return out
+
+
+class _Neighbours:
+    """One owner of the k-nearest-neighbour pass."""
+
+    def __init__(self, k: int, rows: list[dict]):
+        row, = rows
+        self.k = k
+        self.ids = longs(row["ids"])
+        self.A = floats(row["x"]).reshape(len(self.ids), -1)
+        self.a2 = _sq(self.A)
+        self.u = floats(row["bound"])
+        self.best = _Best(k, len(self.ids))
+        self.wait, self.rows = [], 0
+        self._take(self.A, self.ids, True)
+
+    def feed(self, row: dict) -> None:
+        ids, c, reach = longs(row["ids"]), floats(row["centre"]), row["radius"].as_py()
+        c2 = c @ c
+        to = np.sqrt(np.maximum(_gram(self.A, self.a2, c[None], np.array([c2]))[:, 0], 0.0))
+        if not (to - reach <= np.sqrt(self.u) + math.sqrt(SLACK) * np.sqrt(self.a2 + c2)).any():
+            return
+        self.wait.append((ids, floats(row["x"]).reshape(len(ids), -1)))
+        self.rows += len(ids)
+        if self.rows >= 8192:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.wait:
+            ids, B = (np.concatenate(x) for x in zip(*self.wait))
+            self.wait, self.rows = [], 0
+            self._take(B, ids, False)
+
+    def _take(self, B: np.ndarray, ids: np.ndarray, own: bool) -> None:
+        b2 = _sq(B)
+        step = max(1, ELEMENTS // max(1, len(B)))
+        got = []
+        for s in range(0, len(self.A), step):
+            A, a2 = self.A[s:s + step], self.a2[s:s + step]
+            D = _gram(A, a2, B, b2)
+            if not np.isfinite(D).all():
+                raise ValueError("squared distances overflow: scale the vectors")
+            if own:
+                D[np.arange(len(A)), s + np.arange(len(A))] = np.inf
+            margin = SLACK * (a2 + b2.max(initial=0.0) + 1e-300)
+            reach = self.u[s:s + step]
+            if len(B) - own > self.k:
+                reach = np.minimum(reach, np.partition(D, self.k - 1, axis=1)[:, self.k - 1])
+            r, c = np.nonzero((D <= (reach + margin)[:, None]) & (D < np.inf))
+            d = np.empty(len(r))
+            cut = max(1, ELEMENTS // max(1, B.shape[1]))
+            for t in range(0, len(r), cut):
+                d[t:t + cut] = _sq(A[r[t:t + cut]] - B[c[t:t + cut]])
+            got.append((r + s, ids[c], d))
+        self.best.add(*(np.concatenate(x) for x in zip(*got)))
+        self.u = np.minimum(self.u, self.best.kth())
+
+    def finish(self) -> pa.RecordBatch:
+        self._flush()
+        b = self.best
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[b.r]), pa.array(b.j), pa.array(b.d),
+                                           pa.array((b.rank + 1).astype(np.int32))], ["i", "j", "d", "rank"])
+
+
+def _pack_cells(k: int, sid: np.ndarray, S: np.ndarray, P: np.ndarray, base: np.ndarray):
+    """A block's row for its own place -- its points, a first bound for each, its centre and radius -- and a
+    request, without points, for every block of the cells that it must meet."""
+    s2, p2 = _sq(S), _sq(P)
+
+    def fn(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held).combine_chunks()
+        ids = t.column("id").combine_chunks().to_numpy(zero_copy_only=False)
+        order = np.argsort(ids, kind="stable")
+        X, ids = matrix(t.column("f").combine_chunks())[order], ids[order].astype(np.int64)
+        x2 = _sq(X)
+        if not np.isfinite(x2).all():
+            raise ValueError("vectors must be finite, and their squared distances must not overflow")
+        cell = int(t.column("cell")[0].as_py())
+        gap = 2.0 * np.sqrt(_sq(P - P[cell]))
+        bound, meets = np.full(len(X), np.inf), np.zeros(len(P), bool)
+        step = max(1, ELEMENTS // max(1, len(S), len(X), len(P)))
+        for s in range(0, len(X), step):
+            A, a2 = X[s:s + step], x2[s:s + step]
+            for D, ban in ((_gram(A, a2, S, s2), ids[s:s + step, None] == sid[None, :]),
+                           (_gram(A, a2, X, x2), ids[s:s + step, None] == ids[None, :])):
+                if D.shape[1] > k:
+                    D[ban] = np.inf
+                    far = np.partition(D, k - 1, axis=1)[:, k - 1]
+                    bound[s:s + step] = np.minimum(bound[s:s + step], far + SLACK * (4 * a2 + 4 * np.abs(far) + 1e-300))
+            # to the plane between the own pivot and another: everything of the other's cell lies behind it
+            to = _gram(A, a2, P, p2)
+            beyond = to - to[:, [cell]] - SLACK * (a2[:, None] + p2[None, :] + p2[cell])
+            reach = np.minimum(np.sqrt(bound[s:s + step]), 1e150)  # not infinite: its product with 0 is no number
+            meets |= (beyond <= reach[:, None] * gap * (1 + SLACK)).any(axis=0)
+        c, blk = X.mean(axis=0), int(t.column("blk")[0].as_py())
+        asked = np.concatenate([np.arange(base[q], base[q + 1]) for q in np.flatnonzero(meets)])
+        asked = asked[asked != blk].astype(np.int32)
+        none = [None] * len(asked)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([blk, *asked], pa.int32()), pa.array(np.full(1 + len(asked), blk, np.int32)),
+            pa.array([ids.tobytes(), *none], pa.binary()), pa.array([X.tobytes(), *none], pa.binary()),
+            pa.array([bound.tobytes(), *none], pa.binary()), pa.array([c.tobytes(), *none], pa.binary()),
+            pa.array([math.sqrt(_sq(X - c).max()) * (1 + SLACK), *none], pa.float64())],
+            ["place", "owner", "ids", "x", "bound", "centre", "radius"])
     return fn
 
 
-def sample_radius(vectors: DataFrame, k: int, n: int, id_col: str = "row_id", feat_col: str = "features",
-                  sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(id, features, radius): each point's k-th smallest squared distance to a hash sample, with slack.
+def _send(batches):
+    """At one place: its block for itself (side 0) and, without bounds, for each owner that asked (side 1)."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    t = pa.Table.from_batches(held)
+    mine = t.filter(pc.is_valid(t.column("ids")))
+    asked = t.filter(pc.is_null(t.column("ids"))).column("owner").to_pylist()
+    if not mine.num_rows:  # asked for by its cell, but without points
+        return
+    own = mine.drop_columns("place").append_column("side", pa.array([0], pa.int32())).combine_chunks()
+    yield from own.to_batches()
+    for owner in asked:
+        copy = own.set_column(0, "owner", pa.array([owner], pa.int32()))
+        copy = copy.set_column(copy.schema.get_field_index("bound"), "bound", pa.array([None], pa.binary()))
+        yield from copy.set_column(copy.schema.get_field_index("side"), "side", pa.array([1], pa.int32())).to_batches()
+
+
+PLACED = "place int, owner int, ids binary, x binary, bound binary, centre binary, radius double"
+DEALT = "owner int, ids binary, x binary, bound binary, centre binary, radius double, side int"
+
 
-    The sample is a filter on a hash of the id that keeps about
-    ``sample_rows`` points (a parameter, not a share of n), and travels to the tasks in
-    the function's closure.  A point whose sample holds fewer than k other
-    points gets an infinite radius (no pruning).
+def cell_blocks(vectors: DataFrame, k: int, n: int, block_rows: int | None = None, id_col: str = "row_id",
+                feat_col: str = "features", sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, int]:
+    """(blocks and the requests between them, number of blocks): every point in a block of its nearest pivot's cell.
+
+    A row with ids is a block at its own place; one without asks the block at ``place`` for the block ``owner``.
     """
-    share = min(1.0, max(sample_rows, 4 * k) / max(1, n))
-    keep = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    rows = vectors.select(id_col, feat_col).where(keep).collect()
-    sid = np.array([r[0] for r in rows], dtype=np.int64)
-    S = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    s2 = np.einsum("ij,ij->i", S, S)
-    chunk = max(1, DIFF_ELEMENTS // max(1, len(S)))
+    sid, S = sample_points(vectors, n, id_col, feat_col, sample_rows)
+    blocks = plan_blocks(n, S.shape[1], block_rows)
+    P = choose_pivots(S, min(MAX_CELLS, blocks)) if len(S) else np.zeros((1, S.shape[1]))
+    # cells are split into blocks by the sample's estimate of their size
+    at = _gram(S, _sq(S), P, _sq(P)).argmin(axis=1)
+    share = (np.bincount(at, minlength=len(P)) + 1) / (len(at) + len(P))
+    parts = np.maximum(1, np.rint(share * max(blocks, MIN_BLOCKS)).astype(np.int64))
+    base = np.concatenate(([0], np.cumsum(parts)))
+    p2 = _sq(P)
+    step = max(1, ELEMENTS // len(P))
 
-    def fn(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+    def assign(batches):
+        for b in batches:
+            X = matrix(b.column(1))
+            if not len(X):
                 continue
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            X = np.stack(pdf[feat_col].to_numpy()).astype(np.float64)
-            out = np.full(len(X), np.inf)
-            x2 = np.einsum("ij,ij->i", X, X)
-            for s in range(0, len(X) if len(S) > k else 0, chunk):
-                D = x2[s:s + chunk, None] + s2[None, :] - 2.0 * (X[s:s + chunk] @ S.T)
-                D[ids[s:s + chunk, None] == sid[None, :]] = np.inf
-                far = np.partition(D, k - 1, axis=1)[:, k - 1]
-                # Gram forms err by far less than this, here and in the tiles
-                out[s:s + chunk] = far + RADIUS_SLACK * (4 * x2[s:s + chunk] + 4 * np.abs(far) + 1e-300)
-            yield pd.DataFrame({id_col: ids, feat_col: pdf[feat_col], "radius": out})
-
-    return vectors.select(id_col, F.col(feat_col).cast("array<double>").alias(feat_col)).mapInPandas(
-        fn, f"{id_col} bigint, {feat_col} array<double>, radius double")
-
-
-def knn_candidates(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
-                   id_col: str = "row_id", feat_col: str = "features",
-                   sample_rows: int | None = None) -> tuple[DataFrame, int]:
-    """Per-tile top-k candidates (i, j, d, rank in tile): at most k per point
-    and block.  Returns the candidates and the number of blocks."""
-    n, B = blocks_for(vectors, n, block_rows)
-    m = SAMPLE_ROWS if sample_rows is None else sample_rows
-    # written once: both sides of the tiles read it
-    pts = cut_lineage(sample_radius(vectors, k, n, id_col, feat_col, m), "radius")
-    return run_tiles(pts, id_col, [feat_col, "radius"], B, _knn_tile(id_col, feat_col, k, True),
-                     CANDIDATE_SCHEMA), B
+            cell = np.concatenate([_gram(X[s:s + step], _sq(X[s:s + step]), P, p2).argmin(axis=1)
+                                   for s in range(0, len(X), step)])
+            ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)
+            spread = (ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)  # ids are unique: no hot key
+            blk = base[cell] + (spread % parts[cell].astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cell.astype(np.int32)),
+                                              pa.array(blk.astype(np.int32))], ["id", "f", "cell", "blk"])
 
+    v = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(feat_col).cast("array<double>").alias("f"))
+    dealt = v.mapInArrow(assign, "id bigint, f array<double>, cell int, blk int")
+    placed = dealt.repartitionById(int(base[-1]), "blk").mapInArrow(_pack_cells(k, sid, S, P, base), PLACED)
+    return placed, int(base[-1])
 
-def knn(vectors: DataFrame, k: int, block_rows: int = 2048, n: int | None = None,
+
+def knn(vectors: DataFrame, k: int, block_rows: int | None = None, n: int | None = None,
         id_col: str = "row_id", feat_col: str = "features", sample_rows: int | None = None) -> DataFrame:
     """Exact k nearest neighbours: (i, j, d squared distance, rank from 1).
 
-    Ties in distance are broken by the smaller j.  ``k >= n - 1`` gives all
-    pairs (the original's non-kNN mode), which is quadratic by definition.
+    Ties in distance are broken by the smaller j.  ``k >= n - 1`` gives all pairs (the original's non-kNN
+    mode), which is quadratic by definition.  Nothing but the sample, of a fixed size, is collected.  An
+    empty table gives an empty result.
     """
-    cand, _ = knn_candidates(vectors, k, block_rows, n, id_col, feat_col, sample_rows)
-    w = Window.partitionBy("i").orderBy("d", "j")
-    return (cand.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .withColumn("rank", F.col("rank").cast("int")))
+    if n is None:
+        n = vectors.count()
+    m = SAMPLE_ROWS if sample_rows is None else sample_rows
+    placed, blocks = cell_blocks(vectors, k, n, block_rows, id_col, feat_col, m)
+    return neighbours_of(placed, blocks, k)
+
+
+def neighbours_of(placed: DataFrame, blocks: int, k: int) -> DataFrame:
+    dealt = placed.repartitionById(blocks, "place").mapInArrow(_send, DEALT)
+    return run_stripes(dealt, blocks, lambda rows: _Neighbours(k, rows), NEIGHBOURS)
 
 
 def neighbour_lists(knn_df: DataFrame) -> DataFrame:

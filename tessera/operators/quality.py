@@ -14,15 +14,15 @@ from tessera.operators.kernel import edge_affinity, kernel_row_sums, normalizer
 from tessera.operators.neighbours import knn
 
 
-def kl_divergence(p: DataFrame, y: DataFrame, k: int, n: int, block_rows: int = 2048) -> DataFrame:
+def kl_divergence(p: DataFrame, y: DataFrame, k: int, n: int, block_rows: int | None = None) -> DataFrame:
     """One row: KL(P || Q) = sum_ij p_ij log(p_ij / q_ij) over p_ij > 0 (P normalised)."""
     z = normalizer(kernel_row_sums(y, k, block_rows, n))
-    e = edge_affinity(p, y, k, z).join(p, ["i", "j"]).where("p > 0")
+    e = edge_affinity(p.where("p > 0"), y, k, z)
     return e.agg(F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("kl"))
 
 
 def neighbour_preservation(vectors: DataFrame, y: DataFrame, k: int, n: int, n_neighbours: int = 10,
-                           block_rows: int = 2048) -> DataFrame:
+                           block_rows: int | None = None) -> DataFrame:
     """(i, kept, share): how many of the input-space neighbours stay neighbours in y."""
     hi = knn(vectors, n_neighbours, block_rows, n).select("i", "j")
     ya = y.select("row_id", F.array(*[F.col(f"y{c}") for c in range(k)]).alias("features"))

@@ -1,64 +1,82 @@
-"""Per-point statistics over all partners (J1 + P6 in tile form).
+"""Per-point statistics over all partners (J1 + P6 over packed blocks).
 
-For every point: the number of partners, and the sum, minimum and maximum
-of the squared Euclidean distance to every other point.  Each tile measures
-its block pair once (i < j inside the diagonal tile) and emits the result
-for both directions -- the mirrored emission of the original, folded into
-per-point partial sums instead of n^2 output rows.
+For every point: the number of partners, and the sum, minimum and maximum of the squared Euclidean distance
+to every other point.  Distances are taken in the Gram form; the smallest and the largest of each row are
+chosen with a margin above its rounding error and measured again as sum((a-b)^2).
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tessera.operators.tiles import blocks_for, run_tiles
+from tessera.operators.blocks import blocks_for, floats, longs, pieces, run_stripes, to_all_owners
 
-_ELEMS = 1 << 22
+_TILE = 1 << 21
+_SLACK = 1e-9
 
 
-def _sq_dists(A: np.ndarray, Bm: np.ndarray) -> np.ndarray:
-    """Exact sum((a-b)^2) in row chunks of bounded memory."""
-    out = np.empty((len(A), len(Bm)))
-    step = max(1, _ELEMS // max(1, len(Bm) * A.shape[1]))
-    for s in range(0, len(A), step):
-        diff = A[s:s + step, None, :] - Bm[None, :, :]
-        out[s:s + step] = np.einsum("ijk,ijk->ij", diff, diff)
+def _exact(A, B, D, edge, sign: int) -> np.ndarray:
+    """The least (sign 1) or greatest (sign -1) distance of each row, from the entries near its Gram edge."""
+    out = np.full(len(A), sign * np.inf)
+    r, c = np.nonzero(sign * D <= (sign * edge)[:, None])
+    step = max(1, _TILE // A.shape[1])
+    for s in range(0, len(r), step):
+        i, j = r[s:s + step], c[s:s + step]
+        d = np.square(A[i] - B[j]).sum(axis=1)
+        (np.minimum if sign > 0 else np.maximum).at(out, i, d)
     return out
 
 
-def _frame(ids, D, axis):
-    return pd.DataFrame({"row_id": ids, "partners": np.full(len(ids), D.shape[axis], dtype=np.int64),
-                         "d_sum": D.sum(axis=axis), "d_min": D.min(axis=axis), "d_max": D.max(axis=axis)})
+class _Stats:
+    """One owner of the statistics pass."""
 
+    def __init__(self, rows: list[dict]):
+        self.ids = np.concatenate([longs(r["ids"]) for r in rows])
+        self.A = np.concatenate([floats(r["x"]) for r in rows]).reshape(len(self.ids), -1)
+        self.a2 = np.einsum("ij,ij->i", self.A, self.A)
+        m = len(self.ids)
+        self.n, self.sum = np.zeros(m, np.int64), np.zeros(m)
+        self.min, self.max = np.full(m, np.inf), np.full(m, -np.inf)
+        self.at, start = {}, 0
+        for r in rows:
+            self.at[r["piece"].as_py()] = start
+            start += len(longs(r["ids"]))
 
-def _stats_tile(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    bi, bj = int(key[0]), int(key[1])
-    cols = ["row_id", "partners", "d_sum", "d_min", "d_max"]
-    if len(left) == 0 or (bi != bj and len(right) == 0):
-        return pd.DataFrame({c: [] for c in cols}).astype({"row_id": "int64", "partners": "int64"})
-    ida = left["row_id"].to_numpy(dtype=np.int64)
-    A = np.stack(left["features"].to_numpy()).astype(np.float64)
-    if bi == bj:
-        if len(A) < 2:
-            return pd.DataFrame({c: [] for c in cols}).astype({"row_id": "int64", "partners": "int64"})
-        D = _sq_dists(A, A)
-        m = len(A)
-        off = ~np.eye(m, dtype=bool)
-        Dm = D[off].reshape(m, m - 1)
-        return _frame(ida, Dm, 1)
-    idb = right["row_id"].to_numpy(dtype=np.int64)
-    Bm = np.stack(right["features"].to_numpy()).astype(np.float64)
-    D = _sq_dists(A, Bm)
-    return pd.concat([_frame(ida, D, 1), _frame(idb, D, 0)], ignore_index=True)
+    def feed(self, row: dict) -> None:
+        B = floats(row["x"]).reshape(len(longs(row["ids"])), -1)
+        b2, same = np.einsum("ij,ij->i", B, B), self.at.get(row["piece"].as_py())
+        step = max(1, _TILE // max(1, len(B)))
+        for s in range(0, len(self.A), step):
+            A, a2 = self.A[s:s + step], self.a2[s:s + step]
+            D = a2[:, None] + b2[None, :] - 2.0 * (A @ B.T)
+            own = np.zeros((0, 2), np.int64)
+            if same is not None:
+                i = np.arange(max(s, same), min(s + len(A), same + len(B)))
+                own = np.stack((i - s, i - same), axis=1)
+            D[own[:, 0], own[:, 1]] = 0.0
+            at = slice(s, s + len(A))
+            self.n[at] += len(B)
+            self.n[at][own[:, 0]] -= 1
+            self.sum[at] += np.maximum(D, 0.0).sum(axis=1)
+            margin = _SLACK * (a2 + b2.max(initial=0.0) + 1e-300)
+            D[own[:, 0], own[:, 1]] = np.inf
+            self.min[at] = np.minimum(self.min[at], _exact(A, B, D, D.min(axis=1, initial=np.inf) + margin, 1))
+            D[own[:, 0], own[:, 1]] = -np.inf
+            self.max[at] = np.maximum(self.max[at], _exact(A, B, D, D.max(axis=1, initial=-np.inf) - margin, -1))
 
+    def finish(self) -> pa.RecordBatch:
+        some = self.n > 0
+        return pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (self.ids, self.n, self.sum, self.min, self.max)],
+                                          ["row_id", "partners", "d_sum", "d_min", "d_max"])
 
-def pair_row_stats(vectors: DataFrame, block_rows: int = 2048, n: int | None = None) -> DataFrame:
-    """(row_id, partners, d_sum, d_min, d_max) over all j != i."""
-    n, B = blocks_for(vectors, n, block_rows)
-    parts = run_tiles(vectors.select("row_id", "features"), "row_id", ["features"], B, _stats_tile,
-                         "row_id bigint, partners bigint, d_sum double, d_min double, d_max double")
-    return parts.groupBy("row_id").agg(F.sum("partners").alias("partners"), F.sum("d_sum").alias("d_sum"),
-                                       F.min("d_min").alias("d_min"), F.max("d_max").alias("d_max"))
+
+def pair_row_stats(vectors: DataFrame, block_rows: int | None = None, n: int | None = None) -> DataFrame:
+    """(row_id, partners, d_sum, d_min, d_max) over all j != i; points without partners are left out."""
+    if n is None:
+        n = vectors.count()
+    first = vectors.select("features").first()
+    n, blocks = blocks_for(vectors, n, len(first[0]) if first and first[0] else 1, block_rows)
+    dealt = to_all_owners(pieces(vectors, blocks, n, "row_id", "features"), blocks)
+    return run_stripes(dealt, blocks, _Stats, "row_id bigint, partners bigint, d_sum double, d_min double, d_max double", ("piece",))

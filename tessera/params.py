@@ -31,7 +31,7 @@ class TsneParams:
     diagonal_value: float = 1e-12   # diagonal written into the P output
     pca_dims: int | None = 50       # None = no PCA
     seed: int = 42
-    block_rows: int = 2048          # tile side for the quadratic kernels
+    block_rows: int = 2048          # most points in a block of the quadratic passes
     snapshot_every: int = 0         # 0 = no snapshots
 
     @property

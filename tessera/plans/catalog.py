@@ -97,8 +97,8 @@ def _z0(spark, sf) -> float:
 
 def _grad0(spark, sf, repulsion: str) -> DataFrame:
     floor = repulsion == "full"
-    return ds.gradient(_p(spark, sf), _y0(spark, sf), _rows0(spark, sf), K, _z0(spark, sf),
-                       EXAGGERATION, floor, repulsion)
+    return ds.gradient(_p(spark, sf), _y0(spark, sf), K, _z0(spark, sf), EXAGGERATION, floor, repulsion, _n(spark, sf),
+                       INTENDED.block_rows)
 
 
 def _state_with_momentum(spark, sf) -> DataFrame:
@@ -226,7 +226,7 @@ def q_embedding_affinity(spark, sf):
 
 
 def q_pq_residual_graph(spark, sf):
-    e = edge_affinity(_p(spark, sf), _y0(spark, sf), K, _z0(spark, sf)).join(_p_ex(spark, sf), ["i", "j"])
+    e = edge_affinity(_p_ex(spark, sf), _y0(spark, sf), K, _z0(spark, sf))
     return e.select("i", "j", rnd(F.col("p") - F.col("q"), 10).alias("pq"))
 
 

@@ -11,6 +11,8 @@ from tessera.operators import affinity as aff
 from tessera.operators import descent as ds
 from tessera.operators.kernel import edge_affinity, kernel_row_sums, normalizer
 from tessera.operators.trajectory import running_frame_limits
+from tessera.params import AS_EXECUTED
+from tessera.plans.fit import descend
 
 
 def _y(spark, pts):
@@ -30,10 +32,10 @@ def test_g1_one_full_step(spark):
     q = {(r.i, r.j): (r.num, r.q) for r in edge_affinity(p, y, 2, z).collect()}
     assert q[(0, 1)] == pytest.approx((0.5, 0.5))
     for rep in ("graph", "full"):
-        g = {r.row_id: (r.dy0, r.dy1) for r in ds.gradient(p, y, rows, 2, z, 1.0, False, rep).collect()}
+        g = {r.row_id: (r.dy0, r.dy1) for r in ds.gradient(p, y, 2, z, 1.0, False, rep).collect()}
         assert g[0] == pytest.approx((-0.75, 0.0)) and g[1] == pytest.approx((0.75, 0.0))
     state = ds.initial_state(y, 2)
-    grad = ds.gradient(p, y, rows, 2, z, 1.0, False, "graph")
+    grad = ds.gradient(p, y, 2, z, 1.0, False, "graph")
     raw = ds.step(state, grad, 2, 0.5, 500.0, 0.01)
     got = {r.row_id: r for r in raw.collect()}
     assert (got[0].g0, got[0].g1, got[1].g0, got[1].g1) == pytest.approx((0.8, 0.8, 1.2, 0.8))
@@ -42,15 +44,13 @@ def test_g1_one_full_step(spark):
     assert c[0] == pytest.approx((374.5, 0.0)) and c[1] == pytest.approx((-374.5, 0.0))
 
 
-def test_g1_update_sql_matches(spark):
+def test_g1_one_iteration_of_the_fit(spark):
     y = _y(spark, [(0, 0), (1, 0)])
     p = _edges(spark, [(0, 1, 2.0), (1, 0, 2.0)])
-    rows = kernel_row_sums(y, 2, 2048, 2)
-    state = ds.initial_state(y, 2)
-    sql = ds.update_sql(2, normalizer(rows), 1.0, False, "graph", 0.5, 500.0, 0.01)
-    got = {r.row_id: r for r in spark.sql(sql, state=state, p=p, rows=rows).collect()}
-    assert (got[0].y0, got[1].y0) == pytest.approx((300.0, -449.0))
+    params = AS_EXECUTED.with_(exaggeration=1.0, initial_momentum=0.5)
+    got = {r.row_id: r for r in descend(p, y, 2, params, max_iter=1).state.collect()}
     assert (got[0].m0, got[1].m0) == pytest.approx((300.0, -450.0))
+    assert (got[0].y0, got[1].y0) == pytest.approx((374.5, -374.5))  # 300 and -449, centred
 
 
 def test_g2_g3_g4_entropy():
@@ -124,7 +124,7 @@ def test_g11_gradient_graph_vs_full(spark):
     rows = kernel_row_sums(y, 2, 2048, 3)
     z = normalizer(rows)
     for rep, want in (("graph", [-0.34375, -0.00625, 0.35]), ("full", [-0.325, -0.00625, 0.33125])):
-        g = {r.row_id: (r.dy0, r.dy1) for r in ds.gradient(p, y, rows, 2, z, 1.0, False, rep).collect()}
+        g = {r.row_id: (r.dy0, r.dy1) for r in ds.gradient(p, y, 2, z, 1.0, False, rep).collect()}
         assert [g[i][0] for i in range(3)] == pytest.approx(want)
         assert all(abs(g[i][1]) < 1e-15 for i in range(3))
         assert sum(g[i][0] for i in range(3)) == pytest.approx(0.0, abs=1e-12)
@@ -133,7 +133,7 @@ def test_g11_gradient_graph_vs_full(spark):
 def test_g12_g13_gains(spark):
     df = spark.createDataFrame([(1.0, 1.0, 1.0), (1.0, -1.0, 1.0), (-1.0, 1.0, 1.0), (-1.0, -1.0, 1.0),
                                 (0.0, 0.0, 1.0), (1.0, 1.0, 0.011)], "g double, m double, gain double")
-    got = [r.v for r in df.select(ds.gains_expr(F.col("g"), F.col("m"), F.col("gain"), 0.01).alias("v")).collect()]
+    got = [r.v for r in df.selectExpr(ds.gain_sql("g", "m", "gain", 0.01) + " AS v").collect()]
     assert got == pytest.approx([0.8, 1.2, 1.2, 0.8, 0.8, 0.01])
 
 

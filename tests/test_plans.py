@@ -23,26 +23,31 @@ def test_no_cross_product(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_update_statement_has_no_cross_product(spark, vectors):
-    from tessera.operators import descent as ds
-    from tessera.operators.kernel import kernel_row_sums
+def test_iteration_does_not_exchange_p(spark, vectors):
+    """With broadcasts off, the loop's plan exchanges packed coordinates only; P is read where it is stored."""
+    from tessera.operators.descent import in_field, initial_state
+    from tessera.operators.field import store_edges
     from tessera.params import INTENDED
     from tessera.plans.fit import affinities, init_y
     a = affinities(vectors, INTENDED)
-    y = init_y(vectors.select("row_id"), INTENDED)
-    state = ds.initial_state(y, 2)
-    rows = kernel_row_sums(y, 2, 2048, 500)
-    df = spark.sql(ds.update_sql(2, 1.0, 4.0, True, "full", 0.5, 500.0, 0.01), state=state, p=a.p, rows=rows)
-    plan = _plan(df)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
-def test_topk_uses_window_group_limit(spark, vectors):
-    # 8 blocks, 36 tiles: candidates are limited per map task before the
-    # shuffle by i, then again after it.  (With one tile the data is in one
-    # partition already and Spark rightly plans no shuffle at all.)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = store_edges(a.p, 500, 2)
+        plan = _plan(in_field(initial_state(init_y(vectors.select("row_id"), INTENDED), 2), store, 2, 4.0, True, "full"))
+        points, edges = plan.split("\n   +- Sort")
+        assert "tessera_edges" in edges and "Exchange" not in edges and "Bucketed: true" in edges
+        assert "Join" not in plan and points.count("Exchange") == 2  # to blocks (first iteration only), to owners
+        store.drop()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_knn_ships_packed_blocks(spark, vectors):
+    """No join, no window and no group: blocks are placed, sent and streamed."""
     plan = _plan(knn(vectors, 90, 64, 500))
-    assert plan.count("WindowGroupLimit") >= 2
+    assert "Join" not in plan and "Window" not in plan and "FlatMapGroups" not in plan
+    assert plan.count("Exchange") == 3
 
 
 def test_scan_prunes_and_pushes(spark):

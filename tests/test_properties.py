@@ -68,7 +68,7 @@ def test_kernel_independent_of_tiling_and_gradient_sums_to_zero(spark, vectors,
     assert all(r1[k].zrow == pytest.approx(r2[k].zrow) and r1[k].rep0 == pytest.approx(r2[k].rep0) for k in r1)
     rows = kernel_row_sums(y, 2, 4096, 500)
     z = normalizer(rows)
-    g = ds.gradient(aff_intended.p, y, rows, 2, z, 4.0, False, "full")
+    g = ds.gradient(aff_intended.p, y, 2, z, 4.0, False, "full")
     tot = g.agg(F.sum("dy0"), F.sum("dy1"), F.max(F.abs("dy0"))).first()
     assert abs(tot[0]) < 1e-12 * max(1.0, tot[2] * 500) and abs(tot[1]) < 1e-12 * max(1.0, tot[2] * 500)
 
@@ -80,8 +80,8 @@ def test_graph_equals_full_when_all_pairs_are_edges(spark, vectors):
     y = init_y(small.select("row_id"), INTENDED)
     rows = kernel_row_sums(y, 2, 2048, 30)
     z = normalizer(rows)
-    g1 = _rows(ds.gradient(a.p, y, rows, 2, z, 4.0, False, "graph"), ("row_id",))
-    g2 = _rows(ds.gradient(a.p, y, rows, 2, z, 4.0, False, "full"), ("row_id",))
+    g1 = _rows(ds.gradient(a.p, y, 2, z, 4.0, False, "graph"), ("row_id",))
+    g2 = _rows(ds.gradient(a.p, y, 2, z, 4.0, False, "full"), ("row_id",))
     assert all(g1[k].dy0 == pytest.approx(g2[k].dy0, rel=1e-9, abs=1e-15) for k in g1)
 
 
@@ -101,8 +101,8 @@ def test_exaggeration_stop_changes_only_late_iterations(spark, vectors, aff_inte
     a = _rows(descend(aff_intended.p, y0, 500, INTENDED.with_(stop_exaggeration_at=None), max_iter=2).y, ("row_id",))
     b = _rows(descend(aff_intended.p, y0, 500, INTENDED.with_(stop_exaggeration_at=2), max_iter=2).y, ("row_id",))
     c = _rows(descend(aff_intended.p, y0, 500, INTENDED.with_(stop_exaggeration_at=1), max_iter=2).y, ("row_id",))
-    assert all(a[k].y0 == b[k].y0 for k in a)
-    assert any(a[k].y0 != c[k].y0 for k in a)
+    assert all(a[k].y0 == pytest.approx(b[k].y0, rel=1e-11, abs=1e-14) for k in a)
+    assert any(abs(a[k].y0 - c[k].y0) > 1e-6 for k in a)
 
 
 def test_fit_same_for_any_partition_count(spark, vectors, aff_intended):
@@ -119,15 +119,52 @@ def test_fit_same_for_any_partition_count(spark, vectors, aff_intended):
     assert all(a[k].y0 == pytest.approx(b[k].y0, abs=1e-9) and a[k].y1 == pytest.approx(b[k].y1, abs=1e-9) for k in a)
 
 
-def test_knn_pruning_with_small_sample_is_exact(spark, vectors):
-    import tessera.operators.neighbours as nbm
-    exact = _rows(knn(vectors, 90, block_rows=4096, n=500), ("i", "rank"))
-    rad = {r.row_id: r.radius for r in nbm.sample_radius(vectors, 90, 500, sample_rows=120).collect()}
-    kth = {k[0]: v.d for k, v in exact.items() if k[1] == 90}
-    assert all(rad[i] >= kth[i] for i in kth)            # an upper bound for every point
-    assert sum(rad[i] > kth[i] for i in kth) > 400       # and a loose one: pruning is really tested
-    cand, _ = nbm.knn_candidates(vectors, 90, 64, 500, sample_rows=120)
-    assert 500 * 90 < cand.count() < 500 * 8 * 90
-    pruned = _rows(knn(vectors, 90, block_rows=64, n=500, sample_rows=120), ("i", "rank"))
-    assert pruned.keys() == exact.keys()
-    assert all(pruned[k].j == exact[k].j and pruned[k].d == pytest.approx(exact[k].d, abs=1e-12) for k in exact)
+def _clusters(spark, n=1200, d=8, centres=12):
+    """Tight groups far apart, with some copies of one point."""
+    import numpy as np
+    rng = np.random.RandomState(3)
+    at = rng.randn(centres, d) * 50
+    x = at[np.arange(n) % centres] + rng.randn(n, d) * 0.1
+    x[:40] = x[0]
+    return spark.createDataFrame([(i * 3, v.tolist()) for i, v in enumerate(x)], "row_id bigint, features array<double>"), x
+
+
+def _brute_knn(x, ids, k):
+    import numpy as np
+    d = np.square(x[:, None, :] - x[None, :, :]).sum(axis=-1)
+    np.fill_diagonal(d, np.inf)
+    return {(int(ids[r]), q + 1): (int(ids[c]), d[r, c]) for r in range(len(x)) for q, c in enumerate(np.lexsort((ids, d[r]))[:k])}
+
+
+@pytest.mark.parametrize("k,rows,sample", [(5, 60, 1024), (5, 60, 0), (20, 30, 150), (90, 400, 1024)])
+def test_knn_by_cells_is_exact(spark, k, rows, sample):
+    import numpy as np
+    v, x = _clusters(spark)
+    got = {(r.i, r["rank"]): (r.j, r.d) for r in knn(v, k, rows, 1200, sample_rows=sample).collect()}
+    want = _brute_knn(x, np.arange(1200) * 3, k)
+    assert got.keys() == want.keys()
+    assert all(got[a][0] == want[a][0] and got[a][1] == pytest.approx(want[a][1], abs=1e-9) for a in want)
+
+
+def test_knn_skips_cells_on_clustered_data(spark):
+    """Blocks are sent to far fewer owners than all: the triangle inequality rules the rest out."""
+    from tessera.operators.neighbours import cell_blocks
+    v, _ = _clusters(spark)
+    placed, blocks = cell_blocks(v, 5, 1200, 60)
+    asked = placed.where("ids IS NULL").count()
+    assert blocks >= 16 and asked < blocks * blocks / 4  # of blocks * (blocks - 1), and less than half of B^2 / 2
+
+
+def test_all_mode_collects_a_bounded_sample(spark, vectors):
+    from tessera.operators.neighbours import sample_points
+    big = vectors.crossJoin(spark.range(20)).selectExpr("row_id * 20 + id AS row_id", "features")
+    ids, _ = sample_points(big, 10000, "row_id", "features", 1024)
+    assert len(ids) < 1500  # whatever k is
+    few = knn(vectors, 499, 64, 500)
+    assert few.count() == 500 * 499
+
+
+def test_vectors_of_other_widths_and_nulls_raise(spark):
+    for rows in ([(1, [1.0, 2.0]), (2, [1.0])], [(1, [1.0, 2.0]), (2, None)], [(1, [1.0, float("inf")]), (2, [1.0, 2.0])]):
+        with pytest.raises(Exception):
+            knn(spark.createDataFrame(rows, "row_id bigint, features array<double>"), 1, n=2).collect()
