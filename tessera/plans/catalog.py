@@ -9,8 +9,6 @@ session and sf folder and kept as checkpointed tables.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +25,10 @@ from tessera.operators.trajectory import frame_limits, label_join, natural_order
 from tessera.params import INTENDED
 from tessera.plans.fit import descend, embed_table
 from tessera.session import cut_lineage, scratch_path
-from tessera.sinks import write_snapshot_text, write_vector_text
+from tessera.sinks import write_labels_text, write_snapshot_text, write_vector_text
 from tessera.sources.grid import grid_zeros, init_normal, normal_columns
-from tessera.sources.vectors import numbered_lines, read_labels, read_snapshots, read_vector_text, read_vectors
+from tessera.sources.vectors import (numbered_lines, read_labels, read_labels_text, read_snapshots, read_snapshots_text,
+                                     read_vector_text, read_vectors)
 
 K = 2
 N_NEIGHBOURS = INTENDED.n_neighbours          # floor(3 * 30) = 90
@@ -423,20 +422,54 @@ def q_snapshot_text_scan(spark, sf):
     return lines.select(F.col("line_no").alias("row_id"), rnd(vals[0], 6).alias("y0"), rnd(vals[1], 6).alias("y1"))
 
 
-def q_snapshot_text_frames(spark, sf):
-    """S7 text form: every frame in a folder of its own, all read back in
-    number order, each with its frame number."""
+def _text_frames(spark, sf) -> str:
     def build():
-        path, frames = scratch_path(spark, "export"), _snapshots(spark, sf).select("iter", "row_id", "y0", "y1")
-        numbers = sorted(r["iter"] for r in frames.select("iter").distinct().collect())
-        for i in numbers:
-            write_snapshot_text(frames.where(F.col("iter") == i).drop("iter"), K, f"{path}/exportIter_{i}")
-        return path, numbers
-    path, numbers = _memo(spark, sf, "snapshot_text_frames", build)
-    lines = [numbered_lines(spark, f"{path}/exportIter_{i}/part-*").withColumn("iter", F.lit(i)) for i in numbers]
-    vals = F.split(F.col("line"), ", ").cast("array<double>")
-    return reduce(DataFrame.unionByName, lines).select(
-        "iter", F.col("line_no").alias("row_id"), rnd(vals[0], 6).alias("y0"), rnd(vals[1], 6).alias("y1"))
+        path = scratch_path(spark, "export")
+        descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), INTENDED.with_(snapshot_every=1), path, max_iter=FIT_ITERS,
+                snapshot_text=True)
+        return path
+    return _memo(spark, sf, "snapshot_text_frames", build)
+
+
+def q_snapshot_text_frames(spark, sf):
+    """S7 and S8, text form: the fit writes every frame as a folder of lines, and the frames that the folder
+    holds are read back with their numbers, in number order."""
+    s = read_snapshots_text(spark, _text_frames(spark, sf), K).orderBy("iter", "row_id")
+    return s.select("iter", "row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
+
+
+def q_label_text_join(spark, sf):
+    """S6 and J11, text form: labels by their place in a text file, joined to the frames."""
+    path = _memo(spark, sf, "label_text", lambda: write_labels_text(
+        read_labels(spark, f"{sf.rstrip('/')}/embeddings.parquet"), scratch_path(spark, "labels_text")))
+    j = label_join(_snapshots(spark, sf), read_labels_text(spark, path))
+    return j.select("iter", "row_id", "label", rnd("x", 6).alias("x"), rnd("y", 6).alias("y"))
+
+
+def q_fit_trace(spark, sf):
+    """E3 and A10 per iteration: KL(P || Q) and the largest |y| of each centred axis, observed by the fit itself."""
+    r = descend(_p(spark, sf), _y0(spark, sf), _n(spark, sf), INTENDED, max_iter=FIT_ITERS)
+    return r.trace(spark).select("iter", rnd("kl", 8).alias("kl"), rnd("ymax0", 6).alias("xmax"), rnd("ymax1", 6).alias("ymax"))
+
+
+def q_tsne_fit_3_resumed(spark, sf):
+    """K10 with a lost driver: stopped after two iterations, then run again with the same manifest."""
+    path = scratch_path(spark, "resumed")
+
+    class Lost(Exception):
+        pass
+
+    def stop(it):
+        if it == 1:
+            raise Lost
+
+    args = (_p(spark, sf), _y0(spark, sf), _n(spark, sf), INTENDED)
+    try:
+        descend(*args, max_iter=FIT_ITERS, on_iteration=stop, manifest_path=path)
+    except Lost:
+        pass
+    r = descend(*args, max_iter=FIT_ITERS, manifest_path=path)
+    return r.y.select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
 
 
 def q_kl_divergence(spark, sf):
@@ -521,6 +554,9 @@ QUERIES = {
     "tsne_fit_3_schedule": q_tsne_fit_3_schedule,
     "snapshot_text_scan": q_snapshot_text_scan,
     "snapshot_text_frames": q_snapshot_text_frames,
+    "label_text_join": q_label_text_join,
+    "fit_trace": q_fit_trace,
+    "tsne_fit_3_resumed": q_tsne_fit_3_resumed,
     "embed_pipeline": q_embed_pipeline,
     "embed_pipeline_full_rank": q_embed_pipeline_full_rank,
     # extras (not in the original job): quality of the embedding

@@ -246,6 +246,14 @@ def build() -> dict[str, str]:
     q["snapshot_text_scan"] = with_(*P_CHAIN, *fit_ctes(1)) + (
         f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s1")
     q["snapshot_text_frames"] = q["fit_snapshots"]
+    q["tsne_fit_3_resumed"] = q["tsne_fit_3"]
+    q["label_text_join"] = _snapshots_sql(f"SELECT s.iter, s.row_id, CAST(e.label AS VARCHAR) AS label, {r('s.y0', 6)} AS x, "
+                                          f"{r('s.y1', 6)} AS y FROM snap s JOIN embeddings e ON s.row_id = e.vec_id")
+    q["fit_trace"] = with_(*P_CHAIN, *fit_ctes(3)) + " UNION ALL ".join(
+        f"SELECT CAST({t} AS INTEGER) AS iter, {r('kl', 8)} AS kl, {r('xm', 6)} AS xmax, {r('ym', 6)} AS ymax FROM "
+        f"(SELECT sum(pj.p * ln(pj.p / (k.num / z.z))) AS kl FROM k{t} k JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN z{t} z "
+        f"WHERE pj.p > 0), (SELECT max(abs(y0 - a0)) AS xm, max(abs(y1 - a1)) AS ym FROM s{t}, "
+        f"(SELECT avg(y0) AS a0, avg(y1) AS a1 FROM s{t}))" for t in range(3))
     fit3 = with_(*P_CHAIN, *fit_ctes(3))
     yk = ("y3k AS (SELECT a.row_id AS i, b.row_id AS j, 1.0 / (1.0 + ((a.y0 - b.y0) * (a.y0 - b.y0) + "
           "(a.y1 - b.y1) * (a.y1 - b.y1))) AS num, (a.y0 - b.y0) * (a.y0 - b.y0) + (a.y1 - b.y1) * (a.y1 - b.y1) AS d "

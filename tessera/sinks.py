@@ -35,6 +35,13 @@ def write_snapshot_text(y: DataFrame, k: int, path: str) -> str:
     return path
 
 
+def write_labels_text(labels: DataFrame, path: str) -> str:
+    """Labels (row_id, label), one to a line in id order across part files (the text form of S6)."""
+    lines = labels.repartitionByRange("row_id").sortWithinPartitions("row_id")
+    lines.selectExpr("CAST(label AS STRING) AS line").write.mode("overwrite").text(path)
+    return path
+
+
 def write_vector_text(vectors: DataFrame, path: str) -> str:
     """Vectors as whitespace-separated text lines, in id order across part files.
 

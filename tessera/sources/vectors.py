@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.vector import parse_vector
 
@@ -26,17 +25,44 @@ def read_vectors(spark: SparkSession, path: str, id_col: str = "vec_id", vec_col
                      F.col(vec_col).cast("array<double>").alias("features"))
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their 0-based position in the input (W2 on a file).
+def _split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, file, start, m): text lines with their file, the start of their split and a running number.
 
-    Line order is only defined by the file, so the number comes from
-    ``zipWithIndex`` on the text RDD (one extra counting job, fully
-    distributed).  Pass several files as a glob: Hadoop returns globbed
-    files sorted by name.
+    Blank lines are kept; a caller filters before it numbers.
     """
-    rdd = spark.sparkContext.textFile(path).zipWithIndex()
-    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField("line_no", T.LongType())])
-    return spark.createDataFrame(rdd, schema)
+    return spark.read.text(path).selectExpr("value AS line", "_metadata.file_path AS file", "_metadata.file_block_start AS start")
+
+
+def _numbered(lines: DataFrame, group: list[str], number: str) -> DataFrame:
+    """``lines`` (line, file, start, group columns..) with their 0-based place within their group.
+
+    A split's lines are read in order by one task, so a line's place is its running number less its split's
+    first, after the lines of the splits before it.  Counts per split are the only thing that is gathered: a
+    window over a row per split.  The two reads must agree about the splits; a line whose place would not fit
+    its split raises an error.
+    """
+    tagged = lines.withColumn("m", F.monotonically_increasing_id())
+    splits = tagged.groupBy(*group, "file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("m").alias("first"))
+    part = F.coalesce(F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).try_cast("bigint"), F.lit(0))
+    before = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy(part, "file", "start")
+    placed = splits.withColumn("ahead", F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    out = tagged.join(placed, [*group, "file", "start"], "left")
+    at = F.col("m") - F.col("first")
+    good = at.isNotNull() & (at >= 0) & (at < F.col("n"))
+    return out.select(*group, "line", F.when(good, F.col("ahead") + at).otherwise(
+        F.raise_error(F.lit("the splits of a text source changed between two reads"))).cast("bigint").alias(number))
+
+
+def numbered_lines(spark: SparkSession, path: str, blank: bool = True) -> DataFrame:
+    """(line, line_no): text lines with their 0-based place in the input (W2 on files), all in the JVM.
+
+    Several files, as a folder or a glob, count in the order of their part numbers, then of their names.
+    ``blank=False`` skips lines of white space before numbering.
+    """
+    lines = _split_lines(spark, path)
+    if not blank:
+        lines = lines.where(F.trim(F.regexp_replace("line", r"\s", " ")) != "")
+    return _numbered(lines, [], "line_no")
 
 
 def read_vector_text(spark: SparkSession, path: str, limit_rows: int | None = None) -> DataFrame:
@@ -45,23 +71,33 @@ def read_vector_text(spark: SparkSession, path: str, limit_rows: int | None = No
     Leading/trailing blanks and tabs are allowed; blank lines are skipped
     before numbering.
     """
-    lines = spark.sparkContext.textFile(path).filter(lambda s: s.strip() != "")
-    rdd = lines.zipWithIndex()
-    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField("row_id", T.LongType())])
-    df = spark.createDataFrame(rdd, schema)
+    df = numbered_lines(spark, path, blank=False)
     if limit_rows is not None:
-        df = df.where(F.col("row_id") < F.lit(int(limit_rows)))
-    return df.select("row_id", parse_vector("line").alias("features"))
+        df = df.where(F.col("line_no") < F.lit(int(limit_rows)))
+    return df.select(F.col("line_no").alias("row_id"), parse_vector("line").alias("features"))
 
 
 def read_labels_text(spark: SparkSession, path: str, limit_rows: int | None = None) -> DataFrame:
     """One label per line, no header, aligned by position (S6): (row_id, label string)."""
-    lines = spark.sparkContext.textFile(path).filter(lambda s: s.strip() != "")
-    schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("row_id", T.LongType())])
-    df = spark.createDataFrame(lines.map(lambda s: s.strip()).zipWithIndex(), schema)
+    df = numbered_lines(spark, path, blank=False)
     if limit_rows is not None:
-        df = df.where(F.col("row_id") < F.lit(int(limit_rows)))
-    return df.select("row_id", "label")
+        df = df.where(F.col("line_no") < F.lit(int(limit_rows)))
+    return df.selectExpr("line_no AS row_id", r"regexp_replace(line, r'^\s+|\s+$', '') AS label")
+
+
+FRAME_NAME = "exportIter_"
+
+
+def read_snapshots_text(spark: SparkSession, path: str, k: int = 2) -> DataFrame:
+    """All text frames of a folder (S8): (iter, row_id, y0..), from ``exportIter_<n>`` folders of "y0, y1" lines.
+
+    The frames are those that the folder holds, whatever numbers are absent; a frame's number is that of its
+    folder's name, a point's that of its line.
+    """
+    lines = _split_lines(spark, f"{path.rstrip('/')}/{FRAME_NAME}*").withColumn(
+        "iter", F.regexp_extract("file", rf"{FRAME_NAME}(\d+)", 1).cast("int"))
+    vals = F.split(F.col("line"), ", ").cast("array<double>")
+    return _numbered(lines, ["iter"], "row_id").select("iter", "row_id", *[vals[c].alias(f"y{c}") for c in range(k)])
 
 
 def read_labels(spark: SparkSession, path: str, id_col: str = "vec_id", label_col: str = "label") -> DataFrame:

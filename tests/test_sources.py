@@ -121,3 +121,51 @@ def test_all_text_frames_are_read_back(spark):
     assert {r["iter"] for r in got} == {1, 2, 3}
     assert [r["iter"] for r in got] == sorted(r["iter"] for r in want)
     assert sorted((r["iter"], r.row_id, r.y0, r.y1) for r in got) == sorted((r["iter"], r.row_id, r.y0, r.y1) for r in want)
+
+
+def test_text_frames_are_found_in_the_folder(spark, vectors):
+    """Frames 1, 2 and 10 with 3 to 9 absent; other folders are left alone."""
+    from tessera.sinks import write_snapshot_text
+    from tessera.sources.grid import normal_columns
+    from tessera.sources.vectors import read_snapshots_text
+    d = _tmp()
+    want = set()
+    for it in (1, 2, 10):
+        y = normal_columns(vectors.select("row_id"), 2, it)
+        write_snapshot_text(y, 2, os.path.join(d, f"exportIter_{it}"))
+        want |= {(it, r.row_id, r.y0, r.y1) for r in y.collect()}
+    write_snapshot_text(normal_columns(vectors.select("row_id"), 2, 5), 2, os.path.join(d, "other_5"))
+    assert {tuple(r) for r in read_snapshots_text(spark, d).collect()} == want
+
+
+def test_lines_of_split_files_are_numbered_in_order(spark):
+    """Files of many splits: places follow the file, not the order of reading; nothing runs in Python."""
+    from tessera.sources.vectors import numbered_lines
+    d = _tmp()
+    lines = [f"line {i} " + "x" * (i % 50) for i in range(20000)]
+    for part, (a, b) in enumerate(((0, 12000), (12000, 12001), (12001, 20000))):
+        with open(os.path.join(d, f"part-{part:05d}"), "w") as f:
+            f.write("".join(x + "\n" for x in lines[a:b]))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    try:
+        df = numbered_lines(spark, d)
+        assert df.rdd.getNumPartitions() > 3
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "ExistingRDD" not in plan
+        got = {r.line_no: r.line for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == dict(enumerate(lines))
+
+
+def test_resume_refuses_another_fit(spark, vectors):
+    from tessera.params import INTENDED
+    from tessera.plans.fit import affinities, descend, init_y
+    a = affinities(vectors.where("row_id < 60"), INTENDED.with_(perplexity=5.0))
+    y0, path = init_y(vectors.where("row_id < 60").select("row_id"), INTENDED), os.path.join(_tmp(), "fit")
+    one = descend(a.p, y0, 60, INTENDED, max_iter=2, manifest_path=path)
+    again = descend(a.p, y0, 60, INTENDED, max_iter=2, manifest_path=path)  # nothing left to do
+    assert {tuple(r) for r in one.y.collect()} == {tuple(r) for r in again.y.collect()} and again.history == []
+    with pytest.raises(ValueError):
+        descend(a.p, y0, 61, INTENDED, max_iter=3, manifest_path=path)
