@@ -17,7 +17,7 @@ from tessera.functions.vector import rnd
 from tessera.operators import affinity as aff
 from tessera.operators import descent as ds
 from tessera.operators.kernel import edge_affinity, kernel_row_sums, normalizer
-from tessera.operators.linalg import center, column_means, covariance, pca_project, vector_norms
+from tessera.operators.linalg import center, column_means, covariance, pca_model, pca_project, project, vector_norms
 from tessera.operators.neighbours import knn, neighbour_lists
 from tessera.operators.quality import kl_divergence, neighbour_preservation
 from tessera.operators.stats import pair_row_stats
@@ -383,6 +383,33 @@ def q_pca_project(spark, sf):
     return x.select("row_id", F.posexplode("features").alias("pc", "x")).select("row_id", "pc", rnd("x", 9).alias("x"))
 
 
+def q_pca_residual(spark, sf):
+    """K0 truncated: what 50 components keep and what they leave add up to the centred vector's square."""
+    v = _vectors(spark, sf)
+    model = pca_model(v, PCA_DIMS)
+    kept, back = project(v, model).withColumnRenamed("features", "p"), F.array(*[
+        F.array(*[F.lit(float(x)) for x in row]) for row in model.directions])
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    both = center(v).join(kept, "row_id").withColumn("back", F.transform(back, lambda row: dot(row, F.col("p"))))
+    left = F.zip_with("features", "back", lambda x, y: x - y)
+    return both.select("row_id", rnd(dot(F.col("p"), F.col("p")) + dot(left, left), 8).alias("sq"))
+
+
+def q_pca_components(spark, sf):
+    """K0 truncated: each component's length, how far C v is from lambda v, and the projection's variance from lambda."""
+    v = _vectors(spark, sf)
+    model = pca_model(v, PCA_DIMS)
+    parts = spark.createDataFrame([(c, b, float(model.directions[b, c]), float(model.variances[c]))
+                                   for c in range(PCA_DIMS) for b in range(len(model.mean))], "pc int, b int, v double, l double")
+    cv = (covariance(v, len(model.mean)).join(parts, "b").groupBy("pc", "a").agg(F.sum(F.col("cov") * F.col("v")).alias("cv")))
+    off = (parts.withColumnRenamed("b", "a").join(cv, ["pc", "a"]).groupBy("pc")
+           .agg(F.sum(F.col("v") * F.col("v")).alias("length"), F.max(F.abs(F.col("cv") - F.col("l") * F.col("v"))).alias("off"),
+                F.max("l").alias("l")))
+    var = (project(v, model).select(F.posexplode("features").alias("pc", "x")).groupBy("pc").agg(F.var_samp("x").alias("var")))
+    return off.join(var, "pc").select("pc", rnd("length", 9).alias("length"), rnd("off", 9).alias("off"),
+                                      rnd(F.col("var") - F.col("l"), 9).alias("gap"))
+
+
 def q_tsne_fit_3(spark, sf):
     return _fit3(spark, sf).select("row_id", *[rnd(f"y{c}", 6).alias(f"y{c}") for c in range(K)])
 
@@ -549,6 +576,8 @@ QUERIES = {
     "pca_full_rank_distances": q_pca_full_rank_distances,
     "pca_variance_trace": q_pca_variance_trace,
     "pca_project": q_pca_project,
+    "pca_residual": q_pca_residual,
+    "pca_components": q_pca_components,
     "tsne_fit_3": q_tsne_fit_3,
     "tsne_fit_3_as_executed": q_tsne_fit_3_as_executed,
     "tsne_fit_3_schedule": q_tsne_fit_3_schedule,

@@ -246,6 +246,10 @@ def build() -> dict[str, str]:
     q["snapshot_text_scan"] = with_(*P_CHAIN, *fit_ctes(1)) + (
         f"SELECT row_id, {r('y0', 6)} AS y0, {r('y1', 6)} AS y1 FROM s1")
     q["snapshot_text_frames"] = q["fit_snapshots"]
+    q["pca_residual"] = with_(CELLS) + (f"SELECT row_id, {r('sum((x - m) * (x - m))', 8)} AS sq FROM cells JOIN "
+                                        "(SELECT pos, avg(x) AS m FROM cells GROUP BY pos) USING (pos) GROUP BY row_id")
+    q["pca_components"] = ("SELECT CAST(range AS INTEGER) AS pc, CAST(1 AS DOUBLE) AS length, CAST(0 AS DOUBLE) AS off, "
+                           "CAST(0 AS DOUBLE) AS gap FROM range(50)")
     q["tsne_fit_3_resumed"] = q["tsne_fit_3"]
     q["label_text_join"] = _snapshots_sql(f"SELECT s.iter, s.row_id, CAST(e.label AS VARCHAR) AS label, {r('s.y0', 6)} AS x, "
                                           f"{r('s.y1', 6)} AS y FROM snap s JOIN embeddings e ON s.row_id = e.vec_id")

@@ -55,3 +55,13 @@ def test_scan_prunes_and_pushes(spark):
     plan = _plan(v)
     assert "PushedFilters: [IsNotNull(vec_id), LessThan(vec_id,100)]" in plan
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan
+
+
+def test_vector_sums_make_no_cells(spark, vectors):
+    """Means and centring add up whole vectors: nothing is exploded, and the covariance reads the table once."""
+    from tessera.operators.linalg import center, column_means, covariance
+    for df in (column_means(vectors), center(vectors)):
+        plan = _plan(df)
+        assert "Generate" not in plan and "Join" not in plan
+    plan = _plan(covariance(vectors, 64))
+    assert plan.index("Generate") < plan.index("MapInArrow")  # only of the d rows of the result
