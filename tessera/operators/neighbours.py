@@ -157,7 +157,7 @@ class _Neighbours:
                                            pa.array((b.rank + 1).astype(np.int32))], ["i", "j", "d", "rank"])
 
 
-def _pack_cells(k: int, sid: np.ndarray, S: np.ndarray, P: np.ndarray, base: np.ndarray):
+def _pack_cells(k: int, sid: np.ndarray, S: np.ndarray, P: np.ndarray, base: np.ndarray, probes: int | None):
     """A block's row for its own place -- its points, a first bound for each, its centre and radius -- and a
     request, without points, for every block of the cells that it must meet."""
     s2, p2 = _sq(S), _sq(P)
@@ -187,6 +187,11 @@ def _pack_cells(k: int, sid: np.ndarray, S: np.ndarray, P: np.ndarray, base: np.
                     bound[s:s + step] = np.minimum(bound[s:s + step], far + SLACK * (4 * a2 + 4 * np.abs(far) + 1e-300))
             # to the plane between the own pivot and another: everything of the other's cell lies behind it
             to = _gram(A, a2, P, p2)
+            if probes is not None:  # the cells of each point's nearest pivots, and its own
+                near = np.argpartition(to, min(probes, len(P)) - 1, axis=1)[:, :probes]
+                meets[near.ravel()] = True
+                meets[cell] = True
+                continue
             beyond = to - to[:, [cell]] - SLACK * (a2[:, None] + p2[None, :] + p2[cell])
             reach = np.minimum(np.sqrt(bound[s:s + step]), 1e150)  # not infinite: its product with 0 is no number
             meets |= (beyond <= reach[:, None] * gap * (1 + SLACK)).any(axis=0)
@@ -226,14 +231,15 @@ DEALT = "owner int, ids binary, x binary, bound binary, centre binary, radius do
 
 
 def cell_blocks(vectors: DataFrame, k: int, n: int, block_rows: int | None = None, id_col: str = "row_id",
-                feat_col: str = "features", sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, int]:
+                feat_col: str = "features", sample_rows: int = SAMPLE_ROWS, probes: int | None = None,
+                cells: int | None = None) -> tuple[DataFrame, int]:
     """(blocks and the requests between them, number of blocks): every point in a block of its nearest pivot's cell.
 
     A row with ids is a block at its own place; one without asks the block at ``place`` for the block ``owner``.
     """
     sid, S = sample_points(vectors, n, id_col, feat_col, sample_rows)
     blocks = plan_blocks(n, S.shape[1], block_rows)
-    P = choose_pivots(S, min(MAX_CELLS, blocks)) if len(S) else np.zeros((1, S.shape[1]))
+    P = choose_pivots(S, min(MAX_CELLS, max(cells or 0, blocks))) if len(S) else np.zeros((1, S.shape[1]))
     # cells are split into blocks by the sample's estimate of their size
     at = _gram(S, _sq(S), P, _sq(P)).argmin(axis=1)
     share = (np.bincount(at, minlength=len(P)) + 1) / (len(at) + len(P))
@@ -257,7 +263,7 @@ def cell_blocks(vectors: DataFrame, k: int, n: int, block_rows: int | None = Non
 
     v = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(feat_col).cast("array<double>").alias("f"))
     dealt = v.mapInArrow(assign, "id bigint, f array<double>, cell int, blk int")
-    placed = dealt.repartitionById(int(base[-1]), "blk").mapInArrow(_pack_cells(k, sid, S, P, base), PLACED)
+    placed = dealt.repartitionById(int(base[-1]), "blk").mapInArrow(_pack_cells(k, sid, S, P, base, probes), PLACED)
     return placed, int(base[-1])
 
 
@@ -276,6 +282,21 @@ def knn(vectors: DataFrame, k: int, block_rows: int | None = None, n: int | None
     return neighbours_of(placed, blocks, k)
 
 
+def approximate_knn(vectors: DataFrame, k: int, probes: int, cells: int | None = None, block_rows: int | None = None,
+                    n: int | None = None, id_col: str = "row_id", feat_col: str = "features",
+                    sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Approximate k nearest neighbours (E1): as ``knn``, but a block meets only the cells of the ``probes``
+    pivots nearest to each of its points.  Distances and ranks are exact among the points that it meets.
+
+    Work grows with n * probes * n / cells instead of n^2, with at most ``MAX_CELLS`` cells; large cells are
+    split into blocks, so none is hot.  ``probes`` of all cells gives the exact result.
+    """
+    if n is None:
+        n = vectors.count()
+    placed, blocks = cell_blocks(vectors, k, n, block_rows, id_col, feat_col, sample_rows, probes, cells)
+    return neighbours_of(placed, blocks, k)
+
+
 def neighbours_of(placed: DataFrame, blocks: int, k: int) -> DataFrame:
     dealt = placed.repartitionById(blocks, "place").mapInArrow(_send, DEALT)
     return run_stripes(dealt, blocks, lambda rows: _Neighbours(k, rows), NEIGHBOURS)

@@ -24,10 +24,12 @@ class TsneParams:
     max_tries: int = 50
     exaggeration: float = 4.0
     stop_exaggeration_at: int | None = 100   # completed iterations; None = never
-    neighbours: str = "knn"         # "knn" (floor(3*perplexity) nearest) or "all"
+    neighbours: str = "knn"         # "knn" (floor(3*perplexity) nearest), "approximate" or "all"
+    probes: int = 8                 # "approximate": cells that each point meets
+    cells: int | None = None        # "approximate": number of cells; None = one per block
     repulsion: str = "full"         # "full" (all pairs) or "graph" (edges of P only)
     floor_p: bool = True            # max(p, 1e-12) on stored edges
-    floor_q: bool = True            # max(q, 1e-12) on the Q output
+    floor_q: bool = True            # max(q, 1e-12) where Q is an output (edge_affinity)
     diagonal_value: float = 1e-12   # diagonal written into the P output
     pca_dims: int | None = 50       # None = no PCA
     seed: int = 42

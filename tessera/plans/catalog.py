@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.entropy import entropy_at_beta
-from tessera.functions.vector import rnd
+from tessera.functions.vector import cell_address, rnd
 from tessera.operators import affinity as aff
 from tessera.operators import descent as ds
 from tessera.operators.kernel import edge_affinity, kernel_row_sums, normalizer
 from tessera.operators.linalg import center, column_means, covariance, pca_model, pca_project, project, vector_norms
-from tessera.operators.neighbours import knn, neighbour_lists
+from tessera.operators.neighbours import approximate_knn, knn, neighbour_lists
 from tessera.operators.quality import kl_divergence, neighbour_preservation
 from tessera.operators.stats import pair_row_stats
 from tessera.operators.trajectory import frame_limits, label_join, natural_order, running_frame_limits
@@ -220,10 +220,26 @@ def q_kernel_normalizer(spark, sf):
 
 
 def q_embedding_affinity(spark, sf):
-    e = edge_affinity(_p(spark, sf), _y0(spark, sf), K, _z0(spark, sf), floor_q=True)
+    e = edge_affinity(_p(spark, sf), _y0(spark, sf), K, _z0(spark, sf), floor_q=INTENDED.floor_q)
     return e.select("i", "j", rnd("num", 10).alias("num"), rnd("q", 14).alias("q"))
 
 
+def q_embedding_affinity_floor(spark, sf):
+    """K5 where the floor acts: every other point far out, so that most pairs are below 1e-12 and some are not."""
+    y = _y0(spark, sf).select("row_id", *[(F.col(f"y{c}") * F.when(F.col("row_id") % 2 == 0, 1e7).otherwise(1.0)).alias(f"y{c}")
+                                          for c in range(K)])
+    z = normalizer(kernel_row_sums(y, K, INTENDED.block_rows, _n(spark, sf)))
+    e = edge_affinity(_p(spark, sf), y, K, z, floor_q=INTENDED.floor_q)
+    return e.select("i", "j", rnd(F.least(F.col("q") * 1e12, F.lit(1000.0)), 6).alias("q_e12"))
+
+
+def q_grid_cells(spark, sf):
+    """the flat places of an n x 2 grid and the row and column of each."""
+    flat = _vectors(spark, sf).select(F.explode(F.sequence(F.col("row_id") * K, F.col("row_id") * K + (K - 1))).alias("flat"))
+    row, col = cell_address("flat", K)
+    return flat.select("flat", row.alias("row_id"), col.alias("col"))
+
+
 def q_pq_residual_graph(spark, sf):
     e = edge_affinity(_p_ex(spark, sf), _y0(spark, sf), K, _z0(spark, sf))
     return e.select("i", "j", rnd(F.col("p") - F.col("q"), 10).alias("pq"))
@@ -297,6 +313,20 @@ def q_knn_topk(spark, sf):
     return _knn(spark, sf).select("i", "j", rnd("d", 9).alias("d"), "rank")
 
 
+APPROXIMATE_CELLS, PROBES = 32, 8
+
+
+def q_approximate_knn(spark, sf):
+    """Neighbours by probes: whether nine in ten of the exact ones are found, and how far their distances are off."""
+    nn = _memo(spark, sf, "approximate", lambda: cut_lineage(approximate_knn(
+        _vectors(spark, sf), N_NEIGHBOURS, PROBES, APPROXIMATE_CELLS, INTENDED.block_rows, _n(spark, sf))))
+    exact = _knn(spark, sf).select("i", "j", F.col("d").alias("exact"))
+    both = nn.join(exact, ["i", "j"], "left").groupBy("i").agg(
+        F.count("exact").alias("hits"), F.max(F.abs(F.col("d") - F.col("exact"))).alias("off"))
+    found = F.expr(f"sum(hits) >= 0.9 * count(1) * least(count(1) - 1, {N_NEIGHBOURS})")
+    return both.agg(F.count(F.lit(1)).alias("n"), found.alias("recall_90"), rnd(F.max("off"), 9).alias("off"))
+
+
 def q_symmetrize_affinity(spark, sf):
     return aff.symmetrize(_cond(spark, sf)).select("i", "j", rnd("p", 10).alias("p"))
 
@@ -529,6 +559,7 @@ QUERIES = {
     "vectors_text_scan": q_vectors_text_scan,
     "labels_scan": q_labels_scan,
     "grid_zeros": q_grid_zeros,
+    "grid_cells": q_grid_cells,
     "init_normal": q_init_normal,
     "preview_cells": q_preview_cells,
     "fit_snapshots": q_fit_snapshots,
@@ -545,6 +576,7 @@ QUERIES = {
     "embedding_kernel": q_embedding_kernel,
     "embedding_repulsion": q_embedding_repulsion,
     "embedding_affinity": q_embedding_affinity,
+    "embedding_affinity_floor": q_embedding_affinity_floor,
     "pq_residual_graph": q_pq_residual_graph,
     "gradient_terms": q_gradient_terms,
     "vector_norms": q_vector_norms,
@@ -554,6 +586,7 @@ QUERIES = {
     "embedding_means": q_embedding_means,
     "neighbour_lists": q_neighbour_lists,
     "knn_topk": q_knn_topk,
+    "approximate_knn": q_approximate_knn,
     "symmetrize_affinity": q_symmetrize_affinity,
     "affinity_total": q_affinity_total,
     "kernel_normalizer": q_kernel_normalizer,

@@ -19,7 +19,7 @@ from tessera.operators import affinity as aff
 from tessera.operators.descent import gradient_exprs, in_field, initial_state, recenter, state_cols, stepped, ycols
 from tessera.operators.field import entropy_of, field, field_schema, kl_from, store_edges
 from tessera.operators.linalg import pca_project
-from tessera.operators.neighbours import knn
+from tessera.operators.neighbours import approximate_knn, knn
 from tessera.params import INTENDED, TsneParams
 from tessera.session import cut_lineage, drop_table, ensure_checkpoint_dir, scratch_path, write_table
 from tessera.sources.grid import normal_columns
@@ -41,8 +41,11 @@ def affinities(vectors: DataFrame, params: TsneParams = INTENDED, n: int | None
     checked = require_valid(vectors)
     if n is None:
         n = checked["n"]
-    k_nb = params.n_neighbours if params.neighbours == "knn" else max(1, n - 1)
-    nn = knn(vectors, k_nb, params.block_rows, n)
+    k_nb = max(1, n - 1) if params.neighbours == "all" else params.n_neighbours
+    if params.neighbours == "approximate":
+        nn = approximate_knn(vectors, k_nb, params.probes, params.cells, params.block_rows, n)
+    else:
+        nn = knn(vectors, k_nb, params.block_rows, n)
     search = cut_lineage(aff.beta_search(nn, params.perplexity, params.tol, params.max_tries))
     cond = aff.conditional_affinity(search)
     p = aff.joint_probabilities(cond)

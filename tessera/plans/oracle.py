@@ -250,6 +250,14 @@ def build() -> dict[str, str]:
                                         "(SELECT pos, avg(x) AS m FROM cells GROUP BY pos) USING (pos) GROUP BY row_id")
     q["pca_components"] = ("SELECT CAST(range AS INTEGER) AS pc, CAST(1 AS DOUBLE) AS length, CAST(0 AS DOUBLE) AS off, "
                            "CAST(0 AS DOUBLE) AS gap FROM range(50)")
+    q["grid_cells"] = ("SELECT flat, flat // 2 AS row_id, CAST(flat % 2 AS INTEGER) AS col FROM "
+                       "(SELECT vec_id * 2 + unnest([0, 1]) AS flat FROM embeddings)")
+    q["approximate_knn"] = ("SELECT n, true AS recall_90, CAST(0 AS DOUBLE) AS off FROM "
+                            "(SELECT count(*) AS n FROM embeddings)")
+    yfar = "yfar AS (SELECT row_id, y0 * f AS y0, y1 * f AS y1 FROM (SELECT *, CASE WHEN row_id % 2 = 0 THEN 1e7 ELSE 1.0 END AS f FROM y0t))"
+    q["embedding_affinity_floor"] = with_(*P_CHAIN, Y0, yfar, KY.replace("y0t", "yfar"), Z0) + (
+        f"SELECT k.i, k.j, {r('least(greatest(k.num / z0.z, 1e-12) * 1e12, 1000.0)', 6)} AS q_e12 "
+        "FROM ky k JOIN pj ON k.i = pj.i AND k.j = pj.j CROSS JOIN z0")
     q["tsne_fit_3_resumed"] = q["tsne_fit_3"]
     q["label_text_join"] = _snapshots_sql(f"SELECT s.iter, s.row_id, CAST(e.label AS VARCHAR) AS label, {r('s.y0', 6)} AS x, "
                                           f"{r('s.y1', 6)} AS y FROM snap s JOIN embeddings e ON s.row_id = e.vec_id")

@@ -168,3 +168,23 @@ def test_vectors_of_other_widths_and_nulls_raise(spark):
     for rows in ([(1, [1.0, 2.0]), (2, [1.0])], [(1, [1.0, 2.0]), (2, None)], [(1, [1.0, float("inf")]), (2, [1.0, 2.0])]):
         with pytest.raises(Exception):
             knn(spark.createDataFrame(rows, "row_id bigint, features array<double>"), 1, n=2).collect()
+
+
+def test_approximate_knn_meets_few_blocks_and_finds_most(spark):
+    """Clustered data: a small share of the blocks is sent, at least nine in ten neighbours are found."""
+    from tessera.operators.neighbours import approximate_knn, cell_blocks
+    v, x = _clusters(spark, 1200, 8, 40)
+    got = approximate_knn(v, 10, 2, cells=40, block_rows=60, n=1200).collect()
+    want = _brute_knn(x, range(0, 3600, 3), 10)
+    pairs = {(i, j) for (i, _), (j, _) in want.items()}
+    assert len(got) == 12000
+    assert sum((r.i, r.j) in pairs for r in got) >= 0.9 * 12000
+    placed, blocks = cell_blocks(v, 10, 1200, 60, probes=2, cells=40)
+    assert placed.where("ids IS NULL").count() < blocks * blocks / 5
+    every = {(r.i, r["rank"]): r.j for r in approximate_knn(v, 10, 40, cells=40, block_rows=60, n=1200).collect()}
+    assert every == {a: j for a, (j, _) in want.items()}  # all probes: exact
+
+
+def test_fit_on_approximate_neighbours(spark, vectors):
+    a = affinities(vectors, INTENDED.with_(neighbours="approximate", probes=4))
+    assert a.p.agg(F.sum("p")).first()[0] == pytest.approx(1.0)
