@@ -377,10 +377,20 @@ def op6_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that the model predicts toxic; same columns."""
-    from tessera.llm.common import tmp_col
+    """``docs`` without the rows that the model predicts toxic; same columns.
 
-    model = fit_on(docs, labels, id_col, text_col)
-    keep = tmp_col(docs, "text")
-    scored = toxicity(docs.select(F.struct("*").alias("row"), F.col(text_col).alias(keep)), model, keep)
-    return scored.filter(F.col("score") < THRESHOLD).select("row.*")
+    Each row goes to its task once and comes back whole or not at all.  A null or empty text has the score of
+    a text without words; nulls elsewhere, repeated rows and other columns pass through; an empty table stays
+    empty.  A text is held whole in its task.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit_on(docs, labels, id_col, text_col))
+    at_text = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = Tagger(shared.value)
+        for b in batches:
+            for at, texts in text_slices(b.column(at_text)):
+                good = [score(tagger.m, p) < THRESHOLD for p in tagger.tag(texts)]
+                yield b.slice(at, len(texts)).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
