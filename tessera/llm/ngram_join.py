@@ -173,6 +173,7 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
 
 _ROWS = pa.schema([("kind", pa.int8()), ("deal", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 DOCUMENT, KEY, LINK = range(3)
+KEYS_A_PART, KEYS_A_FLUSH = 200_000, 500_000  # held in a task at once, about
 
 
 def _typed(kind: int, deal, a, b, n=None) -> pa.RecordBatch:
@@ -209,7 +210,7 @@ def _class_rows(k: int, num: int, den: int):
                 key, whose = part_keys(list(new.values()), num, den)
                 if len(key):
                     held.append((as_signed(key), np.array(list(new), np.int64)[whose]))
-            if sum(len(x) for x, _ in held) > 2_000_000:
+            if sum(len(x) for x, _ in held) > KEYS_A_FLUSH:
                 yield from flush()
             if len(seen) > 1_000_000:
                 seen.clear()
@@ -240,10 +241,13 @@ def _link_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _typed(LINK, nodes, nodes, [uf.find(x) for x in nodes])
 
 
-def class_rows(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """DOCUMENT rows of all of ``docs`` (doc, text), and LINK rows that join the classes with an equal part."""
+def class_rows(docs: DataFrame, k: int, num: int, den: int, shingles: int = 0) -> DataFrame:
+    """DOCUMENT rows of all of ``docs`` (doc, text), and LINK rows that join the classes with an equal part.
+
+    A set sends about as many keys as it has ``shingles``, so their sum sets the number of partitions.
+    """
     schema = "kind byte, deal long, a long, b long, n long"
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shingles // KEYS_A_PART))
     return (docs.select("doc", "text").mapInArrow(_class_rows(k, num, den), schema)
             .repartition(n, "deal").mapInArrow(_link_classes, schema))
 
@@ -512,7 +516,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     sketch = shingle_sketch(docs, k).astype(np.float64)
     levels = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + sketch)).astype(np.uint8))
-    rows, _ = write_table(class_rows(docs, k, num, den), "ngramrows")
+    rows, _ = write_table(class_rows(docs, k, num, den, int(sketch.sum())), "ngramrows")
     owners = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc"), F.col("b").alias("cls"), "n")
     coarse = connected_components(rows.filter(F.col("kind") == LINK).select(F.col("a").alias("u"), F.col("b").alias("v")))
     coarse, _ = write_table(coarse.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "ngramcoarse")
