@@ -107,10 +107,3 @@ def entropy_at_beta(distances: Column, beta) -> Column:
     s = F.aggregate(w, F.lit(0.0), lambda acc, v: acc + v)
     sdp = F.aggregate(F.zip_with(distances, w, lambda d, v: d * v), F.lit(0.0), lambda acc, v: acc + v)
     return F.when(s == 0.0, F.lit(0.0)).otherwise(F.log(s) + b * sdp / s)
-
-
-def probabilities_at_beta(distances: Column, beta) -> Column:
-    b = beta if isinstance(beta, Column) else F.lit(float(beta))
-    w = F.transform(distances, lambda d: F.exp(-d * b))
-    s = F.aggregate(w, F.lit(0.0), lambda acc, v: acc + v)
-    return F.when(s == 0.0, F.transform(w, lambda v: v * 0.0)).otherwise(F.transform(w, lambda v: v / s))

@@ -8,11 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def as_double_array(c) -> Column:
-    """Cast an array of float / int / string to array<double>."""
-    return F.col(c).cast("array<double>") if isinstance(c, str) else c.cast("array<double>")
-
-
 def parse_vector(line) -> Column:
     """Trim a text line, split on runs of whitespace, parse doubles."""
     c = F.col(line) if isinstance(line, str) else line
@@ -26,29 +21,12 @@ def sq_dist(a, b) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def euclidean(a, b) -> Column:
-    """Euclidean distance (F1)."""
-    return F.sqrt(sq_dist(a, b))
-
-
 def l2_norm(a) -> Column:
     """L2 norm of an array (F2)."""
     a = F.col(a) if isinstance(a, str) else a
     return F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda s, v: s + v))
 
 
-def vec_sub(a, b) -> Column:
-    return F.zip_with(a, b, lambda x, y: x - y)
-
-
-def vec_add(a, b) -> Column:
-    return F.zip_with(a, b, lambda x, y: x + y)
-
-
-def vec_scale(a, s) -> Column:
-    return F.transform(a, lambda x: x * s)
-
-
 # Deterministic standard normals: two uniforms from 52 bits of an md5 of
 # (seed, row, col, tag), then Box-Muller.  Unlike F.randn the value does not
 # depend on partitioning, so a recomputed partition redraws the same start.

@@ -72,13 +72,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-
-
 def cut_lineage(df, name: str = "cut"):
     """Cut the lineage of ``df`` by writing it as a table in the checkpoint folder.
 

@@ -10,7 +10,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tessera.operators import descent as ds  # noqa: E402
+from tessera.operators.descent import in_field, initial_state  # noqa: E402
+from tessera.operators.field import store_edges  # noqa: E402
 from tessera.operators.kernel import kernel_row_sums  # noqa: E402
 from tessera.operators.neighbours import knn  # noqa: E402
 from tessera.params import INTENDED  # noqa: E402
@@ -31,17 +32,17 @@ def main() -> None:
     n = v.count()
     a = affinities(v, INTENDED, n)
     y = init_y(v.select("row_id"), INTENDED)
-    state = ds.initial_state(y, 2)
-    rows = kernel_row_sums(y, 2, 256, n)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    store = store_edges(a.p, n, 2, 256)
     sections = [
         ("Vector scan with a row limit (pushdown and pruning)", read_vectors(spark, f"{sf}/embeddings.parquet", limit_rows=100)),
-        ("Exact kNN, 256-row blocks (multi-tile: partial + final WindowGroupLimit)", knn(v, 90, 256, n)),
-        ("Kernel row sums, 256-row blocks (tiles + partial aggregation)", rows),
-        ("One descent update statement (edges x embedding, Z as scalar subquery)",
-         spark.sql(ds.update_sql(2, None, 4.0, True, "full", 0.5, 500.0, 0.01), state=state, p=a.p, rows=rows)),
+        ("Exact kNN, 256-row blocks (placed, sent on request, streamed)", knn(v, 90, 256, n)),
+        ("Kernel row sums, 256-row blocks", kernel_row_sums(y, 2, 256, n)),
+        ("First iteration of the fit (later ones read the loop's table in place of the shuffle to blocks)",
+         in_field(initial_state(y, 2), store, 2, 4.0, True, "full", ["m0", "m1", "g0", "g1"])),
     ]
-    out = [f"# Physical plans (`tools/dump_plans.py`, {os.path.basename(sf)}, n = {n}, local[8], AQE on)\n",
-           "Generated; block size lowered to 256 rows so the tiled plans show their multi-tile shape.\n"]
+    out = [f"# Physical plans (`tools/dump_plans.py`, {os.path.basename(sf)}, n = {n}, local[8], AQE on, broadcasts off)\n",
+           "Generated; blocks of 256 rows.\n"]
     for title, df in sections:
         out.append(f"## {title}\n\n```\n{plan(df)}\n```\n")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
