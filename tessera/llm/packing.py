@@ -20,18 +20,23 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_of, read_table, text_slices
+from tessera.llm.common import batch_of, read_table
 from tessera.session import write_table
 
 MAX_TOKENS = 2048
 GROUP_PIECES = 4000
 #: Exchanges that one group's local search evaluates at most; it only bounds the effort of the improvement.
 SEARCH_STEPS = 400_000
-#: Words whose ids a worker remembers; the memory is emptied when full.
+#: Words whose ids a worker remembers; the older half, as far as it was not met again, goes when the memory is full.
 CACHE_WORDS = 500_000
+#: Text that is split at once.
+SLICE_BYTES = 4 << 20
+#: Signs that may be parted from the letters before them.
+SIGNS = ".,;:!?"
 
 PIECE = pa.schema([("doc", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                    ("ids_crc32", pa.int64()), ("ids", pa.binary())])
@@ -40,7 +45,9 @@ PIECE = pa.schema([("doc", pa.int64()), ("piece", pa.int32()), ("start", pa.int6
 class WordEncoder:
     """Ids of texts by a tokenizer that never merges across ASCII white space, word by word with a memory.
 
-    ``check_tokenizer`` in the tests compares it with whole-text encoding.
+    Each slice of texts is split and its words are numbered in Arrow, so only its distinct words reach Python.
+    If the tokenizer parts letters from the signs ``.,;:!?`` after them (asked of it when it is loaded), those
+    are encoded apart, as the same letters come with several signs.
     """
 
     def __init__(self, path: str):
@@ -51,21 +58,23 @@ class WordEncoder:
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        probes = [w + t for w in ("the", "\u00e9t\u00e9", "\u0434\u0430") for t in (*SIGNS, SIGNS, "...")]
+        pre = self.tok.pre_tokenizer
+        self.parts_signs = pre is not None and all(len(pre.pre_tokenize_str(w)) == 2 for w in probes)
+        self.known: dict[str, bytes] = {}  # words of late
+        self.before: dict[str, bytes] = {}  # those remembered before them
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Words of letters are encoded many to a text and told apart by the ids that end a word; if their number
         is not that of the words (a letter may become several characters), and for all others, one by one."""
         known = self.known
-        single: list[bytes] = []
-        letters: list[bytes] = []
-        for w, text in zip(words, b"\n".join(words).decode().split("\n")):
-            (letters if text.isalpha() else single).append(w)
+        single: list[str] = []
+        letters: list[str] = []
+        for w in words:
+            (letters if w.isalpha() else single).append(w)
         runs = [letters[i:i + 500] for i in range(0, len(letters), 500)]
-        for run, ids in zip(runs, self._ids([b" ".join(r).decode() for r in runs])):
+        for run, e in zip(runs, self.tok.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) != len(run) or len(ids) != cut[-1]:
                 single += run
@@ -76,21 +85,66 @@ class WordEncoder:
                 at = c
         for i in range(0, len(single), 5000):
             some = single[i:i + 5000]
-            lists = [e.ids for e in self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
+            lists = [e.ids for e in self.tok.encode_batch_fast(some, add_special_tokens=False)]
             raw, at = np.array(list(chain.from_iterable(lists)), "<u4").tobytes(), 0
             for w, ids in zip(some, lists):
                 known[w] = raw[at:at + 4 * len(ids)]
                 at += 4 * len(ids)
 
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        out = list(map(known.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        new: list[str] = []
+        joined: list[str] = []
+        cores: list[str] = []
+        for i in missing:
+            w = words[i]
+            ids = before.get(w)
+            if ids is not None:
+                known[w] = ids
+            elif self.parts_signs and (core := w.rstrip(SIGNS)) != w and core.isalpha():
+                joined.append(w)
+                cores.append(core)
+            else:
+                new.append(w)
+        parts = {*cores, *[w[len(core):] for w, core in zip(joined, cores)]}
+        self._learn(list(parts.difference(known).union(new)))
+        for w, core in zip(joined, cores):
+            known[w] = known[core] + known[w[len(core):]]
+        for i in missing:
+            out[i] = known[words[i]]
+        return out
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, place where each text ends)."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        raw = self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(size))).astype(np.int32),
+                                         pa.array(np.frombuffer(b"".join(raw), "<u4")))
+        upto = np.concatenate(([0], np.cumsum(size[words.indices.to_numpy()])))
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        return lists.take(words.indices).flatten().to_numpy(zero_copy_only=False), upto[ends]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]  # bytes.split takes the six ASCII white spaces
-        new = set().union(*split)
-        known = self.known
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-        self._learn(list(new.difference(known)))
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        ids, ends = self.flat(pa.array(texts, pa.string()))
+        return np.split(ids, ends[:-1]) if len(texts) else []
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows) of consecutive slices of about ``SLICE_BYTES`` of text, one document at least."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = upto[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(upto, done + SLICE_BYTES, "right")))
+        yield at, texts.slice(at, to - at)
+        at = to
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -113,17 +167,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(tokenizer_path)
         for b in batches:
-            doc_ids = b.column(0)
-            for at, texts in text_slices(b.column(1)):
+            for at, texts in _slices(b.column(1)):
+                ids, ends = enc.flat(texts)
+                ids = np.insert(ids, ends, end_id).astype("<u4", copy=False)
+                ends = ends + np.arange(1, len(ends) + 1)
                 rows: list[tuple] = []
-                for i, ids in enumerate(enc.encode(texts)):
-                    raw = ids.tobytes() + np.uint32(end_id).astype("<u4").tobytes()
-                    doc, n = doc_ids[at + i].as_py(), len(raw) // 4
-                    for p, s in enumerate(range(0, n, max_tokens)):
-                        cut = raw[4 * s:4 * (s + max_tokens)]
-                        rows.append((doc, p, s, len(cut) // 4, zlib.crc32(cut), cut if keep_ids else None))
-                if rows:
-                    yield batch_of(PIECE, [list(c) for c in zip(*rows)])
+                start = 0
+                for doc, end in zip(b.column(0).slice(at, len(texts)).to_pylist(), ends.tolist()):
+                    for p, s in enumerate(range(start, end, max_tokens)):
+                        cut = ids[s:min(end, s + max_tokens)]
+                        rows.append((doc, p, s - start, len(cut), zlib.crc32(cut), cut.tobytes() if keep_ids else None))
+                    start = end
+                yield batch_of(PIECE, [list(c) for c in zip(*rows)])
 
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc long, piece int, start long, length long, ids_crc32 long, ids binary")
