@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from bisect import bisect_right, insort
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,8 +28,6 @@ from tessera.session import write_table
 
 MAX_TOKENS = 2048
 GROUP_PIECES = 4000
-#: Exchanges that one group's local search evaluates at most; it only bounds the effort of the improvement.
-SEARCH_STEPS = 400_000
 #: Words whose ids a worker remembers; the older half, as far as it was not met again, goes when the memory is full.
 CACHE_WORDS = 500_000
 #: Text that is split at once.
@@ -221,83 +218,117 @@ def best_fit(lengths: np.ndarray, cap: int) -> list[list[int]]:
     return bins
 
 
-def _options(items: list[int], lengths) -> list[tuple[int, tuple[int, ...]]]:
-    """(length, pieces) of one or two pieces of a bin, one entry for each different length, by length."""
-    one: dict[int, int] = {}
+def _options(items: list[int], lengths: list[int]) -> tuple[dict[int, tuple], dict[int, tuple]]:
+    """Pieces of a bin by their length, one piece and two pieces, one entry for each different length."""
+    one: dict[int, tuple] = {}
     twice: dict[int, int] = {}
     for i in items:
-        n = int(lengths[i])
-        if n in one:
-            twice.setdefault(n, i)
+        if lengths[i] in one:
+            twice[lengths[i]] = i
         else:
-            one[n] = i
-    out = {n: (i,) for n, i in one.items()}
+            one[lengths[i]] = (i,)
+    two = {2 * n: (*one[n], i) for n, i in twice.items()}
     ns = list(one)
     for a, n in enumerate(ns):
-        if n in twice:
-            out.setdefault(2 * n, (one[n], twice[n]))
         for m in ns[a + 1:]:
-            out.setdefault(n + m, (one[n], one[m]))
-    return sorted(out.items())
+            two.setdefault(n + m, (*one[n], *one[m]))
+    return one, two
+
+
+class Underfull:
+    """Fills and returns of the bins that have room: the index of the local search.
 
+    Row b of ``back[w]`` holds for each length x the least length of x or more that bin b can give back with
+    at most w pieces (none: 0), so that the best step from a donor to every bin is one lookup per option.
+    """
 
-def improve(bins: list[list[int]], lengths: np.ndarray, cap: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, cap: int):
+        self.bins, self.lengths, self.cap = bins, lengths.tolist(), cap
+        self.fill = np.array([sum(self.lengths[i] for i in items) for items in bins], np.int64)
+        self.open = (self.fill > 0) & (self.fill < cap)
+        self.slot = np.zeros(len(bins), np.int64)  # full bins have no row
+        under = np.flatnonzero(self.open)
+        self.slot[under] = np.arange(len(under))
+        self.back = {w: np.full((len(under), cap + 1), cap + 1, np.int32) for w in (1, 2)}
+        self.give: dict[int, tuple] = {}
+        for b in under.tolist():
+            self._index(b)
+
+    def _index(self, b: int) -> None:
+        one, two = self.give[b] = _options(self.bins[b], self.lengths)
+        row = np.full(self.cap + 1, self.cap + 1, np.int32)
+        for w, sizes in ((1, one), (2, two)):
+            at = np.fromiter((n for n in (0, *sizes) if n <= self.cap), np.int64)
+            row[at] = at
+            self.back[w][self.slot[b]] = np.minimum.accumulate(row[::-1])[::-1]
+
+    def best(self, donor: int, among: np.ndarray) -> tuple | None:
+        """(bin, pieces given, length returned, gain) of the step that raises the sum of squares most."""
+        among = among[(among != donor) & (self.fill[among] >= self.fill[donor])]
+        if not len(among):
+            return None
+        room = self.cap - self.fill[among]
+        ahead = self.fill[among] - self.fill[donor]
+        top, found = 0, None
+        for w, options in ((2, self.give[donor][0]), (1, self.give[donor][1])):  # not two for two
+            if not options:
+                continue
+            n = np.fromiter(options, np.int64)
+            for part in np.array_split(n, -(-len(n) * len(among) // 1_000_000)):  # 8 MB at a time
+                m = self.back[w][self.slot[among][:, None], np.maximum(0, part - room[:, None])]
+                gain = part - m
+                score = np.where(gain > 0, gain * (ahead[:, None] + gain), 0)
+                i = int(score.argmax())
+                if score.flat[i] > top:
+                    top, (r, c) = score.flat[i], divmod(i, len(part))
+                    found = int(among[r]), options[int(part[c])], int(m[r, c]), int(gain[r, c])
+        return found
+
+    def step(self, donor: int, b: int, give: tuple, back: int, gain: int) -> None:
+        one, two = self.give[b]
+        single = len(give) == 2 or back in one
+        returned = () if back == 0 else one[back] if single and back in one else two[back]
+        self.bins[donor] = [i for i in self.bins[donor] if i not in give] + list(returned)
+        self.bins[b] = [i for i in self.bins[b] if i not in returned] + list(give)
+        self.fill[b] += gain
+        self.fill[donor] -= gain
+        for x in (b, donor):
+            self.open[x] = 0 < self.fill[x] < self.cap
+            if self.open[x]:
+                self._index(x)
+
+
+def improve(bins: list[list[int]], lengths: np.ndarray, cap: int) -> list[list[int]]:
     """Local search over underfull bins, emptiest donor first.
 
-    A step moves one or two pieces to a fuller bin, for none, one or two pieces in return (not two for two),
-    with the largest gain that fits; each raises the sum of squared fills.  It ends when no donor has such a
-    step, when the bins reach the lower bound, or after ``steps`` evaluations.
+    A step moves one or two pieces to a bin that is as full or fuller, for none, one or two pieces in return
+    (not two for two): of all such steps of the donor, the one that raises the sum of squared fills most.  It
+    ends when a round over all donors finds no step, or when the bins reach the lower bound.  A donor without a step is asked
+    again only about bins that changed since.
     """
     least = lower_bound(lengths, cap)
-    fill = {b: int(sum(lengths[i] for i in items)) for b, items in enumerate(bins)}
     n_bins = len(bins)
-    under = sorted((f, b) for b, f in fill.items() if f < cap)
-    opts: dict[int, list] = {}
-    stuck: set[int] = set()
-    while n_bins > least and steps > 0:
-        donor = next((b for _, b in under if b not in stuck), None)
-        if donor is None:
-            break
-        best = None
-        mine = opts.setdefault(donor, _options(bins[donor], lengths))
-        for f, b in reversed(under):  # the fullest first: small gaps are the hardest to fill
-            room = cap - f
-            if b == donor or f < fill[donor]:
-                continue
-            theirs = opts.setdefault(b, _options(bins[b], lengths))
-            sizes = [0, *[n for n, _ in theirs]]
-            for n, give in mine:
-                steps -= 1
-                k = bisect_right(sizes, n - 1) - 1  # the largest return that is smaller; then the gain must fit
-                for j in range(k, -1, -1):
-                    back = theirs[j - 1][1] if j else ()
-                    gain = n - sizes[j]
-                    if gain > room:
-                        break
-                    if len(give) + len(back) == 4:
-                        continue
-                    if best is None or gain * (f - fill[donor] + gain) > best[0]:
-                        best = (gain * (f - fill[donor] + gain), gain, b, give, back)
-            if best is not None and best[1] == room and best[2] == b or steps <= 0:
-                break  # it fills a bin to the brim
-        if best is None:
-            stuck.add(donor)
-            continue
-        _, gain, b, give, back = best
-        for x in (b, donor):
-            under.remove((fill[x], x))
-            opts.pop(x, None)
-        bins[donor] = [i for i in bins[donor] if i not in give] + list(back)
-        bins[b] = [i for i in bins[b] if i not in back] + list(give)
-        fill[b] += gain
-        fill[donor] -= gain
-        stuck.clear()
-        for x in (b, donor):
-            if fill[x] == 0:
-                n_bins -= 1
-            elif fill[x] < cap:
-                insort(under, (fill[x], x))
-    return [items for items in bins if items]
+    if n_bins <= least:
+        return bins
+    state = Underfull(bins, lengths, cap)
+    changed = np.zeros(len(bins), np.int64)
+    asked = np.full(len(bins), -1, np.int64)
+    latest, before = 0, -1
+    while latest != before and n_bins > least:  # a round: every donor, the emptiest first, until it has no step
+        before = latest
+        under = np.flatnonzero(state.open)
+        for donor in under[np.argsort(state.fill[under], kind="stable")].tolist():
+            while state.open[donor] and n_bins > least:
+                found = state.best(donor, np.flatnonzero(state.open & (changed > asked[donor])))
+                asked[donor] = latest
+                if found is None:
+                    break
+                state.step(donor, *found)
+                latest += 1
+                for x in (donor, found[0]):
+                    changed[x], asked[x] = latest, -1
+                n_bins -= state.fill[donor] == 0
+    return [items for items in state.bins if items]
 
 
 def pack_group(lengths: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:

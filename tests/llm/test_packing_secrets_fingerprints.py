@@ -72,6 +72,18 @@ def test_local_search_empties_a_bin():
     assert len(bins) == 2
 
 
+def test_local_search_on_thirds_ends_near_the_bound():
+    x = np.random.default_rng(1).integers(600, 761, 4000)
+    done = packing.improve(packing.best_fit(x, 2048), x, 2048)
+    assert sorted(i for b in done for i in b) == list(range(4000)) and max(x[b].sum() for b in done) <= 2048
+    assert len(done) <= 1.045 * packing.lower_bound(x, 2048)
+
+
+def test_equal_pieces_end_at_once():
+    x = np.full(3000, 700)
+    assert len(packing.improve(packing.best_fit(x, 2048), x, 2048)) == 1500
+
+
 def test_secrets_match_plain_patterns(spark, docs, clashing):
     rng = random.Random(5)
     parts = ["password", "PassWD", "secret", "ToKeN", "api_key", "apikey", "=", ":", " ", "  ", '"', "'", "\n", "\t",
