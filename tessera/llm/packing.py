@@ -344,10 +344,11 @@ def pack_pieces(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_pieces: i
     """``pieces`` (with a column ``length`` of 1 to ``max_tokens``) plus ``sequence_id`` and ``offset`` (long).
 
     Sequences are gapless from offset 0.  The pieces are written once, so that their row numbers, which deal
-    them to the groups, are fixed; repeated rows therefore spread like any others.  An empty table gives an
-    empty result; rows whose length is null or out of range raise an error in the group that meets them.
+    them to the groups, are fixed; repeated rows therefore spread like any others.  Other columns pass through;
+    those named ``sequence_id`` or ``offset`` are replaced.  An empty table gives an empty result; rows whose
+    length is null or out of range raise an error in the group that meets them.
     """
-    p, _ = write_table(pieces, "pieces")
+    p, _ = write_table(pieces.drop("sequence_id", "offset"), "pieces")
     p = p.withColumn("__row", F.monotonically_increasing_id())
     p, _ = write_table(p, "numbered")
     short = F.col("length") < max_tokens
@@ -380,6 +381,11 @@ def op9_best_fit_packing(spark, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """The pieces of all documents with their places, under the column names of the query."""
+    """The pieces of all documents with their places, under the column names of the query.
+
+    Nulls and edges: a null or empty text is one piece of the end id alone; null ids stay null; repeated rows
+    are packed each; other columns do not matter; an empty table gives an empty result.  A text is held whole
+    in the task that encodes it.
+    """
     pieces = token_pieces(docs, tokenizer_path).drop("ids").withColumnRenamed("doc", "doc_id")
     return pack_pieces(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

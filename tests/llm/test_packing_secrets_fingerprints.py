@@ -49,6 +49,12 @@ def test_pack_is_whole_and_gapless(request, spark, case):
         assert at <= 2048
 
 
+def test_pack_replaces_columns_of_its_own_names(spark):
+    d = spark.createDataFrame([(5, "a", "b", 7), (2000, None, "c", None)], "length long, offset string, sequence_id string, n int")
+    rows = packing.pack_pieces(d).collect()
+    assert sorted((r.length, r.n, r.offset) for r in rows if r.n) == [(5, 7, 2000)] and len({r.sequence_id for r in rows}) == 1
+
+
 def test_pack_nothing(no_docs):
     assert packing.pack_documents(no_docs, PATH).count() == 0
 
