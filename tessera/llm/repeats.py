@@ -228,7 +228,10 @@ def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     if not cols[0]:
         return
     doc, th, start = (np.concatenate(c) for c in cols)
-    i = np.lexsort((th, doc))
+    i = np.lexsort((start, th, doc))
+    d, t, s = doc[i], th[i], start[i]
+    again = (d[1:] == d[:-1]) & (t[1:] == t[:-1]) & (s[1:] == s[:-1])  # of repeated rows, which are one document here
+    i = i[np.concatenate(([True], ~again))] if len(i) else i
     new = np.flatnonzero(np.concatenate(([True], (doc[i][1:] != doc[i][:-1]) | (th[i][1:] != th[i][:-1])))) if len(i) else i
     for j in range(0, len(new), 20_000):
         rows = new[j:j + 20_000]
@@ -274,7 +277,8 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     Nulls and edges: a null or empty text has no words; texts of fewer than k words keep all; rows with a null
     id count like others; repeated rows are places of their own, so each loses the windows it shares with its
-    like; other columns pass through, those named like the new ones are replaced.
+    like; other columns pass through, those named like the new ones are replaced; an empty table gives an empty
+    result.  A text is held whole in a task, in both passes.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_words", "n_removed", "kept_text")
@@ -292,7 +296,9 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
              .select("n", "part").mapInArrow(_grouped(slices), "slice int, doc long, th long, n int, part binary")
              .repartitionById(slices, "slice").select("n", "part")
              .mapInArrow(_per_document, "slice int, doc long, th long, n int, part binary"))
-    starts = found.filter("slice < 0").unionByName(exact).groupBy("doc", "th").agg(F.collect_list("part").alias("parts"))
+    # repeated rows of one id give equal parts, which are merged before they meet
+    starts = (found.filter("slice < 0").unionByName(exact).select("doc", "th", "part").distinct()
+              .groupBy("doc", "th").agg(F.collect_list("part").alias("parts")))
     starts, _ = write_table(starts, "repeatstarts")
     drop_table(spark, found_path)
     starts = starts.withColumnsRenamed({"doc": "__doc", "th": "__th", "parts": "__parts"})

@@ -56,3 +56,15 @@ def test_sliding():
     x = np.random.default_rng(0).integers(0, 100, 50)
     for n in (1, 2, 3, 7, 8, 28, 50):
         assert repeats.sliding(x, n, np.minimum).tolist() == [min(x[i:i + n]) for i in range(50 - n + 1)]
+
+
+def test_many_repeated_rows_of_one_id(spark):
+    """Their starts are kept once: work and memory grow with the rows, not with their square."""
+    text = " ".join(f"w{i}" for i in range(400))
+    other = " ".join(f"v{i}" for i in range(100))
+    d = (spark.range(8000).selectExpr("cast(null as long) as doc_id", f"'{text}' as text")
+         .unionByName(spark.range(4000).selectExpr("7L as doc_id", f"'{text}' as text"))
+         .unionByName(spark.range(1).selectExpr("8L as doc_id", f"'{other}' as text"))).repartition(6)
+    out = repeats.remove_repeated_windows(d).groupBy("doc_id", "n_words", "n_removed", "kept_text").count().collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed, r.kept_text, r["count"]) for r in out) == [
+        (0, 400, 400, "", 8000), (7, 400, 400, "", 4000), (8, 100, 0, other, 1)]
