@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, as_signed, batch_of, mix64, read_table, text_slices, window_hashes
+from tessera.llm.common import Words, as_signed, batch_of, mix64, read_table, text_slices, tmp_col, window_hashes
 from tessera.llm.graph import UnionFind, connected_components, star_edges
 from tessera.session import write_table
 
@@ -562,14 +562,29 @@ def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4,
                      den: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component (rows without an id stay).
+    """One row of ``docs`` of each component: that of the smallest id, of several texts of that id any one.
 
-    Repeated rows of one id stay together; an id with several texts stays if one of them is its component's first.
+    Rows are told apart by id and text (64 bits of hash), so an id with several texts keeps those that link with
+    nothing of a smaller id, and of repeated rows one stays.
+
+    Nulls and edges: rows without an id, and rows whose text is null or without words, link with nothing here and
+    all stay; of repeated rows that differ in other columns one stays; other columns pass through; an empty table
+    gives an empty result.  A text is held whole in the task that reads its shingles.
     """
-    c = jaccard_components(docs, id_col, text_col, k, num, den)
-    gone = c.groupBy("doc").agg(F.min("component").alias("c")).filter("doc is not null and c <> doc").select("doc")
-    gone, _ = write_table(gone, "ngramgone")
-    return docs.join(gone, docs[id_col] == gone["doc"], "left_anti")
+    row, own = tmp_col(docs, "row"), F.col(id_col).cast("long")
+    keyed = docs.withColumn(row, F.when(own.isNotNull(), F.xxhash64(own, F.col(text_col))))
+    c = jaccard_components(keyed.select(row, text_col), row, text_col, k, num, den)
+    nodes = (c.filter("doc is not null and n_shingles > 0").groupBy("doc")
+             .agg(F.min("component").alias("comp"), F.count("*").alias("many")))
+    ids = keyed.groupBy(F.col(row).alias("key")).agg(F.min(own).alias("id"))
+    nodes, _ = write_table(nodes.join(ids, F.col("doc") == F.col("key")).select("doc", "comp", "many", "id"), "ngramnodes")
+    first = nodes.groupBy("comp").agg(F.min(F.struct("id", "doc")).alias("first")).withColumnRenamed("comp", "comp1")
+    fate = (nodes.join(first, F.col("comp") == F.col("comp1"))
+            .select(F.col("doc").alias("key"), (F.col("doc") != F.col("first.doc")).alias("goes"), "many"))
+    fate, _ = write_table(fate.filter("goes or many > 1"), "ngramfate")
+    plain = keyed.join(fate.select("key"), keyed[row] == F.col("key"), "left_anti")
+    again = keyed.join(fate.filter("not goes").select("key"), keyed[row] == F.col("key"), "left_semi")
+    return plain.unionByName(again.dropDuplicates([row])).drop(row)
 
 
 SQL = r"""

@@ -77,6 +77,18 @@ def test_drop_near_copies(docs, clashing, no_docs):
     assert nj.drop_near_copies(no_docs).count() == 0
 
 
+def test_drop_near_copies_decides_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (2, a + " more", "x"), (2, b, "x"), (3, b, "x"), (3, b, "x"), (4, c, "x"),
+            (4, c + " more", "x"), (5, "", "x"), (5, "", "x"), (6, None, "x"), (None, c, "x"), (None, c, "x")]
+    out = nj.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, __row string").repartition(5))
+    assert out.columns == ["doc_id", "text", "__row"]
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    kept_of_4 = [k for k in got if k[0] == 4]
+    assert len(kept_of_4) == 1 and kept_of_4[0][1].startswith(c) and got.pop(kept_of_4[0]) == 1
+    assert got == Counter([(1, a), (2, b), (5, ""), (5, ""), (6, None), (None, c), (None, c)])
+
+
 @pytest.mark.parametrize("num,den", [(90, 100), (4, 5), (1, 2)])
 def test_linked_sets_have_an_equal_part(num, den):
     rng = np.random.default_rng(7)
