@@ -71,7 +71,17 @@ _DIGITS = re.compile(r"""
 """, re.X | re.A)
 _MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _SOME_DIGIT = re.compile("[0-9]")
-_UP = r"[^\W\d_a-zß-öø-ÿа-яёά-ώ]"
+
+
+def _ranges(codes: list[int]) -> str:
+    """Code points in order as ranges of a character class."""
+    first = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
+    last = [c for c, after in zip(codes, [*codes[1:], -2]) if c != after - 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(first, last))
+
+
+#: Any letter but a small one.
+_UP = rf"[^\W\d_{_ranges([c for c in range(0x20000) if chr(c).islower()])}]"
 _CAP = rf"(?:{_UP}['’])?{_UP}[^\W\d_]+(?:-[^\W\d_]+)*"
 _PART = rf"(?:{_UP}\.\x20?)*(?:(?:{'|'.join(PARTICLES)})\x20)*{_CAP}"
 _TITLES = "|".join(x for v in ADDRESS.values() for x in v)
@@ -230,15 +240,17 @@ def script_of(word: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "greek" if any("Ͱ" <= c <= "Ͽ" for c in word) else "latin"
 
 
-def surrogate(kind: str, core: str, attempt: int, key: bytes) -> str:
-    """The normal form of the surrogate of an entity, at some attempt."""
+def surrogate(kind: str, core: str, attempt: int, key: bytes, host_attempt: int = 0) -> str:
+    """The normal form of the surrogate of an entity, at some attempt; an address has its host's surrogate."""
     rnd = _stream(key, f"{kind}|{core}|{attempt}")
     more = max(0, attempt - WIDE + 1)
+    if kind == "host":
+        host, _, top = core.rpartition(".")
+        return f"{_alike(host + 'x' * more, rnd)}.{top}"
     if kind == "email":
         name, _, host = core.rpartition("@")
-        host, _, top = host.rpartition(".")
         # a host keeps one surrogate, whoever writes from it
-        return f"{_alike(name + 'x' * more, rnd)}@{_alike(host, _stream(key, f'host|{host}'))}.{top}"
+        return f"{_alike(name + 'x' * more, rnd)}@{surrogate('host', host, host_attempt, key)}"
     if kind == "ip":
         if more:
             return ".".join(str(1 + next(rnd) % 254) for _ in range(4))
@@ -287,8 +299,9 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, texts in text_slices(b.column(2)):
             rows = []
             for i, t in enumerate(texts):
-                rows += [(b.column(0)[at + i].as_py(), b.column(1)[at + i].as_py(), *e)
-                         for e in sorted({(e[0], e[3]) for e in entities(t)})]
+                own = {(e[0], e[3]) for e in entities(t)}
+                own |= {("host", core.rpartition("@")[2]) for kind, core in own if kind == "email"}
+                rows += [(b.column(0)[at + i].as_py(), b.column(1)[at + i].as_py(), *e) for e in sorted(own)]
             if rows:
                 yield batch_of(_OCC, [list(c) for c in zip(*rows)])
 
@@ -299,27 +312,40 @@ def _attempts(key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             k, c, a = (b.column(j).to_pylist() for j in range(3))
-            yield batch_of(schema, [k, c, a, [surrogate(*x, key) for x in zip(k, c, a)]])
+            new = [surrogate(*x, key) for x in zip(k, c, a)]
+            # hosts are entities of their own, so addresses need only differ from those of the same host
+            new = [n[:n.index("@")] + x[x.index("@"):] if kind == "email" else n for kind, x, n in zip(k, c, new)]
+            yield batch_of(schema, [k, c, a, new])
 
     return run
 
 
+def _space(kind):
+    """Kinds whose surrogates are written alike: all parts of names are one."""
+    return F.when(kind.startswith("given") | (kind == "surname"), "name").otherwise(kind)
+
+
 def resolve(found: DataFrame, key: bytes) -> DataFrame:
-    """(kind, core, attempt, new) of the distinct entities in ``found`` (kind, core): no two of a kind share a
-    surrogate, and none is an entity of the corpus."""
+    """(kind, core, attempt, new) of the distinct entities in ``found`` (kind, core): no two share a surrogate, and
+    none is an entity of the corpus, within a kind, and over all kinds of names.
+
+    ``new`` of an address has the host it had, as hosts (kind ``host``) have surrogates of their own.
+    """
     form = "kind string, core string, attempt int, new string"
     own, _ = write_table(found.select("kind", "core").distinct(), "entities")
-    taken = own.select(F.col("kind").alias("k2"), F.col("core").alias("c2"))
+    taken = own.select(_space(F.col("kind")).alias("k2"), F.col("core").alias("c2")).distinct()
     now, _ = write_table(own.withColumn("attempt", F.lit(0)).mapInArrow(_attempts(key), form), "surrogates")
     for _ in range(ATTEMPTS):
-        first = now.groupBy("kind", "new").agg(F.min(F.struct("attempt", "core")).alias("f"), F.count("*").alias("n"))
-        first = first.filter("n > 1").select(F.col("kind").alias("k1"), F.col("new").alias("n1"), F.col("f.core").alias("f1"))
-        marked = (now.join(first, (F.col("kind") == F.col("k1")) & (F.col("new") == F.col("n1")), "left")
-                  .join(taken, (F.col("kind") == F.col("k2")) & (F.col("new") == F.col("c2")), "left"))
+        now = now.withColumn("space", _space(F.col("kind")))
+        first = now.groupBy("space", "new").agg(F.min(F.struct("attempt", "core", "kind")).alias("f"), F.count("*").alias("n"))
+        first = first.filter("n > 1").select(F.col("space").alias("k1"), F.col("new").alias("n1"), "f")
+        marked = (now.join(first, (F.col("space") == F.col("k1")) & (F.col("new") == F.col("n1")), "left")
+                  .join(taken, (F.col("space") == F.col("k2")) & (F.col("new") == F.col("c2")), "left"))
         marked, _ = write_table(marked.select("kind", "core", "attempt", "new", (
-            F.col("c2").isNotNull() | (F.col("f1").isNotNull() & (F.col("f1") != F.col("core")))).alias("bad")), "surrogates")
+            F.col("c2").isNotNull() | (F.col("f").isNotNull() & ((F.col("f.core") != F.col("core")) | (F.col("f.kind") != F.col("kind")))))
+            .alias("bad")), "surrogates")
         if marked.filter("bad").isEmpty():
-            return now
+            return now.drop("space")
         again = (marked.filter("bad").select("kind", "core", (F.col("attempt") + 1).alias("attempt"))
                  .mapInArrow(_attempts(key), form))
         now, _ = write_table(marked.filter("not bad").drop("bad").unionByName(again), "surrogates")
@@ -330,7 +356,8 @@ def replace_private_data(docs: DataFrame, key: str, id_col: str = "doc_id", text
     """``docs`` with ``new_text`` and ``kinds``, the kind of each replaced entity in order.
 
     Nulls and edges: a null text stays null and has no kinds; rows with a null id and repeated rows are treated
-    like others; other columns pass through (those named like the new ones are replaced).
+    like others; other columns pass through (those named like the new ones are replaced); an empty table gives an
+    empty result.  A text is held whole in a task.
     """
     secret = key.encode()
     docs = docs.drop("new_text", "kinds")
@@ -356,7 +383,9 @@ def replace_private_data(docs: DataFrame, key: str, id_col: str = "doc_id", text
                     tries = {(x["kind"], x["core"]): x["attempt"] for x in more.as_py() or ()}
                     out, done, ks = [], 0, []
                     for kind, s, e, core in entities(text):
-                        out += [text[done:s], written(kind, text[s:e], core, surrogate(kind, core, tries.get((kind, core), 0), secret))]
+                        host = tries.get(("host", core.rpartition("@")[2]), 0) if kind == "email" else 0
+                        new_core = surrogate(kind, core, tries.get((kind, core), 0), secret, host)
+                        out += [text[done:s], written(kind, text[s:e], core, new_core)]
                         done = e
                         ks.append("name" if kind.startswith(("given", "surname")) else kind)
                     new.append(text if text is None else "".join([*out, text[done:]]))

@@ -176,3 +176,33 @@ def test_fit_on_long_rows_alone(spark):
     docs = spark.createDataFrame([(i, ("you idiot fool\n" * (i % 2)) + plain, "en", "s", 1) for i in range(60)], DOC_SCHEMA)
     model = tx.fit_on(docs, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
     assert all((r.score >= tx.THRESHOLD) == r.doc_id % 2 for r in tx.toxicity(docs, model).collect())
+
+
+def test_small_letters_are_no_names():
+    for t in ("Anna łąka i Maria ślub", "Anna že to", "Mrs šle"):
+        assert pd_.entities(t) == []
+    assert [e[3] for e in pd_.entities("Anna Šimková, Mr Łukasz Żak")] == ["anna", "šimková", "łukasz", "żak"]
+
+
+def test_names_of_all_kinds_and_hosts_are_distinct(spark):
+    """1,200 words, each given name after Dr, Mrs or Mr or a surname, and all hosts of two letters."""
+    kinds = ("given_x", "given_f", "given_m", "surname")
+    rows = [(kinds[i % 4], f"{a}{b}{c}") for i, (a, b, c) in enumerate(itertools.product("bdfgklmnrs", "aeiou", "bdfgklmnrstvwyzhjcpqxžšč"))]
+    hosts = [f"{a}{b}.com" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("host", h) for h in hosts] + [("email", f"me@{h}") for h in hosts] + [("surname", "nora"), ("given_f", "nora")]
+    got = {(r.kind, r.core): (r.attempt, r.new) for r in pd_.resolve(spark.createDataFrame(rows, "kind string, core string"), b"k").collect()}
+    assert len(got) == len(rows)
+    names = [new for (kind, _), (_, new) in got.items() if kind in kinds]
+    assert len(set(names)) == len(names) == 1202 and not set(names) & {c for k, c in rows if k in kinds}
+    assert len({got["host", h][1] for h in hosts}) == len(hosts) and not {got["host", h][1] for h in hosts} & set(hosts)
+    mails = {pd_.surrogate("email", f"me@{h}", got["email", f"me@{h}"][0], b"k", got["host", h][0]) for h in hosts}
+    assert len(mails) == len(hosts)
+
+
+def test_written_hosts_are_distinct(spark):
+    hosts = [f"{a}{b}.org" for a in "abcdefghijklm" for b in "abcdefghij"]
+    rows = [(i, f"to me@{h}, you@{h.upper()}", "en", "s", 1) for i, h in enumerate(hosts)]
+    out = pd_.replace_private_data(spark.createDataFrame(rows, DOC_SCHEMA).repartition(3), "k").collect()
+    new = {r["doc_id"]: re.findall(r"@(\S+\.org)", r["new_text"], re.I) for r in out}
+    assert all(len(x) == 2 and x[0].lower() == x[1].lower() for x in new.values())
+    assert len({x[0].lower() for x in new.values()}) == len(hosts) and not {x[0].lower() for x in new.values()} & set(hosts)
