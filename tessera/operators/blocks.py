@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame
 #: Blocks at any size, so that small inputs take the same path as large ones.
 MIN_BLOCKS = 8
 BLOCK_BYTES = 2 << 20
+#: Tasks of a pass in which every point meets all others, and the bytes of points that one of them owns at most.
+OWNERS = 48
+OWNER_BYTES = 16 << 20
 
 PIECES = "owner int, piece bigint, ids binary, x binary"
 
@@ -36,6 +39,12 @@ def plan_blocks(n: int, width: int, block_rows: int | None = None) -> int:
     return max(MIN_BLOCKS, math.ceil(n / rows))
 
 
+def plan_owners(n: int, width: int, block_rows: int | None = None) -> int:
+    """Number of owners of a pass that sends every point to each: as ``plan_blocks``, but ``OWNERS`` at most while
+    an owner's points stay below ``OWNER_BYTES``, so that what is sent grows with n and not with its square."""
+    return min(plan_blocks(n, width, block_rows), max(OWNERS, math.ceil(8 * n * max(1, width) / OWNER_BYTES)))
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """A list column of equal width as an (n, d) matrix of doubles."""
     n = len(column)
@@ -58,13 +67,15 @@ def longs(cell) -> np.ndarray:
 
 def pieces(points: DataFrame, blocks: int, n: int, id_col: str, features: str, slot_col: str | None = None,
            rest: str | None = None) -> DataFrame:
-    """(owner, piece, ids, x[, rest]): the rows of ``points`` in packed pieces, where they are -- no shuffle.
+    """(owner, piece, ids, x[, rest]): the rows of ``points`` in packed pieces.
 
-    ``features`` and ``rest`` are SQL expressions of arrays of doubles.  Without ``slot_col`` a piece has at most
-    n / blocks rows and pieces are dealt to owners in turn; with it, a piece holds rows of one batch and one
-    slot, which is its owner.
+    ``features`` and ``rest`` are SQL expressions of arrays of doubles.  Without ``slot_col`` the rows are dealt to
+    owners one by one, whatever partitions they come in, and a piece has at most n / blocks of them; with it they
+    are packed where they are, and a piece holds rows of one batch and one slot, which is its owner.
     """
     rows = max(1, math.ceil(n / blocks))
+    if not slot_col:
+        points = points.repartition(blocks)
     src = points.selectExpr(f"CAST({id_col} AS BIGINT) AS id", f"CAST({features} AS ARRAY<DOUBLE>) AS f",
                             f"{slot_col or '0'} AS slot", *([f"{rest} AS rest"] if rest else []))
 
@@ -80,7 +91,7 @@ def pieces(points: DataFrame, blocks: int, n: int, id_col: str, features: str, s
                 cuts = np.flatnonzero(np.diff(slot[order], prepend=-1, append=-1))
                 parts = [(int(slot[order[s]]), order[s:e]) for s, e in zip(cuts[:-1], cuts[1:])]
             else:
-                parts = [((part + made + c) % blocks, slice(s, s + rows)) for c, s in enumerate(range(0, len(ids), rows))]
+                parts = [(part, slice(s, s + rows)) for s in range(0, len(ids), rows)]
             for owner, at in parts:
                 yield pa.RecordBatch.from_arrays([
                     pa.array([owner], pa.int32()), pa.array([(part << 32) + made], pa.int64()),
@@ -92,6 +103,33 @@ def pieces(points: DataFrame, blocks: int, n: int, id_col: str, features: str, s
     return src.mapInArrow(fn, PIECES + (", rest binary" if rest else ""))
 
 
+class Rough:
+    """Squared distances from the rows of A in single precision where their size allows it, and their error's bound.
+
+    Points are taken about the mean of A and a distance is one product of matrices, |a|^2 + |b|^2 - 2ab with the
+    norms as two more columns, so it errs by less than (width + 6) 2^-24 (2 |a||b| + |a|^2 + |b|^2).
+    """
+
+    def __init__(self, A: np.ndarray):
+        self.mean = A.mean(axis=0)
+        self.X = A - self.mean
+        self.a2 = np.einsum("ij,ij->i", self.X, self.X)
+        self.top = self.a2.max(initial=0.0)
+        self.left = {}
+
+    def against(self, B: np.ndarray):
+        """(distances of the rows s:e of A from those of B, as a function; the error of each row of A)."""
+        Y = B - self.mean
+        b2 = np.einsum("ij,ij->i", Y, Y)
+        size = self.top + b2.max(initial=0.0)
+        kind = np.float32 if 1e-24 < size < 1e30 else np.float64
+        if kind not in self.left:
+            self.left[kind] = np.column_stack((-2.0 * self.X, self.a2, np.ones(len(self.X)))).astype(kind)
+        left, right = self.left[kind], np.ascontiguousarray(np.column_stack((Y, np.ones(len(Y)), b2)).astype(kind).T)
+        error = 2.0 * (B.shape[1] + 8) * float(np.finfo(kind).eps) * (self.a2 + b2.max(initial=0.0))
+        return (lambda s, e: left[s:e] @ right), error + 1e-300
+
+
 class Stripe(Protocol):
     """What an owner does: made from its own rows, fed the rows of others, then asked for its points' results."""
 

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.layout import KeyedTable, bucket_count, placement_keys, write_keyed
-from tessera.operators.blocks import floats, longs, pieces, plan_blocks, to_all_owners
-from tessera.operators.kernel import pair_sums
+from tessera.operators.blocks import floats, longs, pieces, plan_owners, to_all_owners
+from tessera.operators.kernel import all_sums
 
 P_FLOOR = 1e-12
 EDGES_A_ROW = 1 << 20
@@ -72,7 +72,7 @@ def _pack_edges(keys: list[int]):
 def store_edges(p: DataFrame, n: int, k: int, block_rows: int | None = None) -> EdgeStore:
     """Pack P (i, j, p) once: one shuffle by the owner of i, an owner to a bucket."""
     spark = p.sparkSession
-    blocks = plan_blocks(n, k, block_rows)
+    blocks = plan_owners(n, k, block_rows)
     buckets = max(bucket_count(spark), blocks)
     keys = placement_keys(spark, buckets)
     dealt = (p.selectExpr(f"CAST(pmod(xxhash64(i), {blocks}) AS INT) AS owner", "CAST(i AS BIGINT) AS i",
@@ -103,11 +103,7 @@ def _owner_pass(k: int, rest: int, exaggeration: float, floor_p: bool, repulsion
         more = np.concatenate([floats(r["rest"]) for r in own]).reshape(len(ids), rest) if rest else np.zeros((len(ids), 0))
         start = dict(zip((r["piece"].as_py() for r in own), np.cumsum([0, *(len(longs(r["ids"])) for r in own)])))
         all_rows = [r for r, s in zip(rows, side) if s == 1]
-        z, rep = np.zeros(len(ids)), np.zeros(y.shape)
-        for r in all_rows:
-            dz, dr = pair_sums(y, floats(r["x"]).reshape(-1, k), start.get(r["piece"].as_py()))
-            z += dz
-            rep += dr
+        z, rep = all_sums(y, [(floats(r["x"]).reshape(-1, k), start.get(r["piece"].as_py())) for r in all_rows])
         att, kl = np.zeros(y.shape), np.zeros(len(ids))
         if repulsion == "graph":
             rep[:] = 0.0
