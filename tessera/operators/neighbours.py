@@ -12,9 +12,12 @@ u starts as the smaller of two bounds: the k-th distance inside the point's own
 fixed-size sample of the table, which also gives the pivots.  On data without clusters no pair of cells can be
 skipped and every block meets every other one; the result is exact either way.
 
-Distances are squared Euclidean, as the original's entropy search uses them.  Candidates are chosen in the
-Gram form |a|^2 + |b|^2 - 2ab (BLAS) with a margin far above its rounding error and measured again as
-sum((a-b)^2); ties are broken by the smaller id.
+Blocks are dealt to tasks in groups of neighbouring cells, and a block goes once to each group that holds an owner
+that asked for it: what is sent is the table a bounded number of times, not once per block.
+
+Distances are squared Euclidean, as the original's entropy search uses them.  Candidates are chosen by rough
+distances (``blocks.Rough``) with a margin above their error and measured again as sum((a-b)^2); ties are broken by
+the smaller id.
 """
 
 from __future__ import annotations
@@ -27,12 +30,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.blocks import MIN_BLOCKS, floats, longs, matrix, plan_blocks, run_stripes
+from tessera.operators.blocks import MIN_BLOCKS, OWNERS, Rough, floats, longs, matrix, plan_blocks, run_stripes
 
 SAMPLE_ROWS = 1024                  # expected rows of the sample for pivots and first bounds
 MAX_CELLS = 1024                    # pivots: they go to every task
 SLACK = 1e-9                        # of Gram forms and roots, relative to the squared norms; they err by far less
 ELEMENTS = 1 << 22                  # numbers held at once when distances are measured
+TILE = 1 << 20                      # rough distances held at once
+GROUP = 8                           # blocks of a task, when there are more than OWNERS groups of as many
 NEIGHBOURS = "i bigint, j bigint, d double, rank int"
 
 
@@ -98,24 +103,25 @@ class _Best:
 class _Neighbours:
     """One owner of the k-nearest-neighbour pass."""
 
-    def __init__(self, k: int, rows: list[dict]):
-        row, = rows
+    def __init__(self, k: int, row: dict):
         self.k = k
         self.ids = longs(row["ids"])
         self.A = floats(row["x"]).reshape(len(self.ids), -1)
         self.a2 = _sq(self.A)
+        self.rough = Rough(self.A)
         self.u = floats(row["bound"])
         self.best = _Best(k, len(self.ids))
         self.wait, self.rows = [], 0
+        self.found, self.held = [], 0
         self._take(self.A, self.ids, True)
+        self._merge()
 
-    def feed(self, row: dict) -> None:
-        ids, c, reach = longs(row["ids"]), floats(row["centre"]), row["radius"].as_py()
+    def feed(self, ids: np.ndarray, B: np.ndarray, c: np.ndarray, reach: float) -> None:
         c2 = c @ c
         to = np.sqrt(np.maximum(_gram(self.A, self.a2, c[None], np.array([c2]))[:, 0], 0.0))
         if not (to - reach <= np.sqrt(self.u) + math.sqrt(SLACK) * np.sqrt(self.a2 + c2)).any():
             return
-        self.wait.append((ids, floats(row["x"]).reshape(len(ids), -1)))
+        self.wait.append((ids, B))
         self.rows += len(ids)
         if self.rows >= 8192:
             self._flush()
@@ -126,37 +132,69 @@ class _Neighbours:
             self.wait, self.rows = [], 0
             self._take(B, ids, False)
 
+    def _merge(self) -> None:
+        if self.found:
+            self.best.add(*(np.concatenate(x) for x in zip(*self.found)))
+            self.found, self.held = [], 0
+            self.u = np.minimum(self.u, self.best.kth())
+
     def _take(self, B: np.ndarray, ids: np.ndarray, own: bool) -> None:
-        b2 = _sq(B)
-        step = max(1, ELEMENTS // max(1, len(B)))
-        got = []
+        distances, error = self.rough.against(B)
+        if not np.isfinite(error).all():
+            raise ValueError("squared distances overflow: scale the vectors")
+        step, others = max(1, TILE // max(1, len(B))), len(B) - own
         for s in range(0, len(self.A), step):
-            A, a2 = self.A[s:s + step], self.a2[s:s + step]
-            D = _gram(A, a2, B, b2)
-            if not np.isfinite(D).all():
-                raise ValueError("squared distances overflow: scale the vectors")
+            e = min(s + step, len(self.A))
+            D, limit = distances(s, e), self.u[s:e] + error[s:e]
             if own:
-                D[np.arange(len(A)), s + np.arange(len(A))] = np.inf
-            margin = SLACK * (a2 + b2.max(initial=0.0) + 1e-300)
-            reach = self.u[s:s + step]
-            if len(B) - own > self.k:
-                reach = np.minimum(reach, np.partition(D, self.k - 1, axis=1)[:, self.k - 1])
-            r, c = np.nonzero((D <= (reach + margin)[:, None]) & (D < np.inf))
+                D[np.arange(e - s), np.arange(s, e)] = np.nan
+            at = np.flatnonzero(D <= _above(limit, D.dtype)[:, None])
+            if len(at) > 4 * self.k * (e - s) and others > self.k:
+                near = np.partition(D, self.k - 1, axis=1)[:, self.k - 1] + 2 * error[s:e]
+                at = np.flatnonzero(D <= _above(np.minimum(limit, near), D.dtype)[:, None])
+            r, c = np.divmod(at, len(B))
+            r += s
             d = np.empty(len(r))
             cut = max(1, ELEMENTS // max(1, B.shape[1]))
             for t in range(0, len(r), cut):
-                d[t:t + cut] = _sq(A[r[t:t + cut]] - B[c[t:t + cut]])
-            got.append((r + s, ids[c], d))
-        self.best.add(*(np.concatenate(x) for x in zip(*got)))
-        self.u = np.minimum(self.u, self.best.kth())
+                d[t:t + cut] = _sq(self.A[r[t:t + cut]] - B[c[t:t + cut]])
+            good = d <= self.u[r]
+            self.found.append((r[good], ids[c[good]], d[good]))
+            self.held += int(good.sum())
+            if self.held > self.k * len(self.A) or np.isinf(self.u[s:e]).any():
+                self._merge()
 
     def finish(self) -> pa.RecordBatch:
         self._flush()
+        self._merge()
         b = self.best
         return pa.RecordBatch.from_arrays([pa.array(self.ids[b.r]), pa.array(b.j), pa.array(b.d),
                                            pa.array((b.rank + 1).astype(np.int32))], ["i", "j", "d", "rank"])
 
 
+def _above(x: np.ndarray, kind) -> np.ndarray:
+    """``x`` rounded up to a number of this kind."""
+    return np.nextafter(x.astype(kind), np.array(np.inf, kind))
+
+
+class _Group:
+    """The owners of a task, each fed the blocks that it asked for."""
+
+    def __init__(self, k: int, rows: list[dict]):
+        self.own = {r["blk"].as_py(): _Neighbours(k, r) for r in rows}
+
+    def feed(self, row: dict) -> None:
+        ids = longs(row["ids"]).copy()  # a copy, so that no batch is held
+        B, c, reach = floats(row["x"]).reshape(len(ids), -1).copy(), floats(row["centre"]), row["radius"].as_py()
+        for blk in np.frombuffer(row["asked"].as_buffer(), np.int32).tolist():
+            if blk in self.own:  # else it is a block without points
+                self.own[blk].feed(ids, B, c, reach)
+
+    def finish(self) -> pa.RecordBatch:
+        done = pa.Table.from_batches([self.own[b].finish() for b in sorted(self.own)]).combine_chunks()
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in done.columns], names=done.column_names)
+
+
 def _pack_cells(k: int, sid: np.ndarray, S: np.ndarray, P: np.ndarray, base: np.ndarray, probes: int | None):
     """A block's row for its own place -- its points, a first bound for each, its centre and radius -- and a
     request, without points, for every block of the cells that it must meet."""
@@ -208,26 +246,35 @@ def _pack_cells(k: int, sid: np.ndarray, S: np.ndarray, P: np.ndarray, base: np.
     return fn
 
 
-def _send(batches):
-    """At one place: its block for itself (side 0) and, without bounds, for each owner that asked (side 1)."""
-    held = [b for b in batches if b.num_rows]
-    if not held:
-        return
-    t = pa.Table.from_batches(held)
-    mine = t.filter(pc.is_valid(t.column("ids")))
-    asked = t.filter(pc.is_null(t.column("ids"))).column("owner").to_pylist()
-    if not mine.num_rows:  # asked for by its cell, but without points
-        return
-    own = mine.drop_columns("place").append_column("side", pa.array([0], pa.int32())).combine_chunks()
-    yield from own.to_batches()
-    for owner in asked:
-        copy = own.set_column(0, "owner", pa.array([owner], pa.int32()))
-        copy = copy.set_column(copy.schema.get_field_index("bound"), "bound", pa.array([None], pa.binary()))
-        yield from copy.set_column(copy.schema.get_field_index("side"), "side", pa.array([1], pa.int32())).to_batches()
+def _send(blocks: int, groups: int):
+    """At one place: its block for its own group (side 0) and, without bounds, once for each group that holds
+    owners that asked for it (side 1), with their numbers."""
+    def fn(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        mine = t.filter(pc.is_valid(t.column("ids")))
+        asked = t.filter(pc.is_null(t.column("ids"))).column("owner").combine_chunks().to_numpy(zero_copy_only=False)
+        if not mine.num_rows:  # asked for by its cell, but without points
+            return
+        block = {c: mine.column(c)[0].as_py() for c in ("place", "ids", "x", "bound", "centre", "radius")}
+
+        def row(group: int, side: int, bound: bytes | None, who: bytes | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"owner": group, "blk": block["place"], "side": side, "asked": who, "bound": bound}
+                                               | {c: block[c] for c in ("ids", "x", "centre", "radius")}], SENT)
+
+        yield row(block["place"] * groups // blocks, 0, block["bound"], None)
+        group = asked.astype(np.int64) * groups // blocks
+        for g in np.unique(group).tolist():
+            yield row(g, 1, None, np.sort(asked[group == g]).astype(np.int32).tobytes())
+    return fn
 
 
 PLACED = "place int, owner int, ids binary, x binary, bound binary, centre binary, radius double"
-DEALT = "owner int, ids binary, x binary, bound binary, centre binary, radius double, side int"
+DEALT = "owner int, blk int, side int, asked binary, ids binary, x binary, bound binary, centre binary, radius double"
+SENT = pa.schema([(c.split()[0], {"int": pa.int32(), "double": pa.float64()}.get(c.split()[1], pa.binary()))
+                  for c in DEALT.split(", ")])
 
 
 def cell_blocks(vectors: DataFrame, k: int, n: int, block_rows: int | None = None, id_col: str = "row_id",
@@ -298,8 +345,9 @@ def approximate_knn(vectors: DataFrame, k: int, probes: int, cells: int | None =
 
 
 def neighbours_of(placed: DataFrame, blocks: int, k: int) -> DataFrame:
-    dealt = placed.repartitionById(blocks, "place").mapInArrow(_send, DEALT)
-    return run_stripes(dealt, blocks, lambda rows: _Neighbours(k, rows), NEIGHBOURS)
+    groups = min(blocks, max(OWNERS, math.ceil(blocks / GROUP)))
+    dealt = placed.repartitionById(blocks, "place").mapInArrow(_send(blocks, groups), DEALT)
+    return run_stripes(dealt, groups, lambda rows: _Group(k, rows), NEIGHBOURS)
 
 
 def neighbour_lists(knn_df: DataFrame) -> DataFrame:
