@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Words, as_signed, batch_of, mix64, read_table, text_slices, tmp_col, window_hashes
+from tessera.llm.common import Words, as_signed, batch_of, mix64, read_table, text_slices, tmp_col, trimmed, window_hashes
 from tessera.llm.graph import UnionFind, connected_components, star_edges
-from tessera.session import write_table
+from tessera.session import drop_table, write_table
 
 CELLS = 1 << 20
 BLOCK = 256
@@ -80,7 +80,7 @@ def shingle_sketch(docs: DataFrame, k: int) -> np.ndarray:
                 x += np.frombuffer(part.as_py(), np.uint32)
         yield batch_of(schema, [list(sums), [np.minimum(x, 0xFFFFFFFF).astype(np.uint32).tobytes() for x in sums.values()]])
 
-    parts = (docs.select("text").mapInArrow(count, "slice int, part binary")
+    parts = (docs.select("text").mapInArrow(trimmed(count), "slice int, part binary")
              .repartitionById(_SLICES, "slice").mapInArrow(merge, "slice int, part binary"))
     out = np.zeros(CELLS, np.uint32)
     for r in parts.collect():  # _SLICES rows of CELLS / _SLICES counters
@@ -171,20 +171,46 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     return (np.concatenate(keys), np.concatenate(whose)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-_ROWS = pa.schema([("kind", pa.int8()), ("deal", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_ROWS = pa.schema([("kind", pa.int8()), ("deal", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()),
+                   ("keys", pa.binary())])
+_ROWS_SQL = "kind byte, deal int, a long, b long, n long, keys binary"
 DOCUMENT, KEY, LINK = range(3)
+KEY_BYTES = 6  # of a key that are sent, besides its partition: chance equals only join coarse groups
 KEYS_A_PART, KEYS_A_FLUSH = 200_000, 500_000  # held in a task at once, about
 
 
 def _typed(kind: int, deal, a, b, n=None) -> pa.RecordBatch:
-    return batch_of(_ROWS, [np.full(len(deal), kind, np.int8), deal, a, b, np.zeros(len(deal), np.int64) if n is None else n])
+    zero = np.zeros(len(deal), np.int64)
+    return batch_of(_ROWS, [np.full(len(deal), kind, np.int8), np.asarray(deal).astype(np.int32), a, b, zero if n is None else n,
+                            pa.nulls(len(deal), pa.binary())])
 
 
-def _class_rows(k: int, num: int, den: int):
-    """DOCUMENT: document a of class b with n shingles; KEY: class b has the part of key ``deal``; LINK: a and b share one.
+def packed_keys(keys: np.ndarray, classes: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A KEY row for each partition that a key goes to: ``KEY_BYTES`` of its keys, one after another, then their classes."""
+    part = ((keys.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    low = np.ascontiguousarray(keys[order]).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    whose = classes[order]
+    to, first = np.unique(part[order], return_index=True)
+    ends = [*first[1:].tolist(), len(order)]
+    zero = np.zeros(len(to), np.int64)
+    return batch_of(_ROWS, [np.full(len(to), KEY, np.int8), to.astype(np.int32), zero, zero, zero,
+                            [low[s:e].tobytes() + whose[s:e].tobytes() for s, e in zip(first.tolist(), ends)]])
 
-    Rows are dealt by ``deal``, for documents a running number, as ids may be null or repeated.  A class comes
-    once per task, seldom more; a task sends one class per key and flush, with links to the others.
+
+def unpacked_keys(cell: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(cell) // (KEY_BYTES + 8)
+    key = np.zeros((n, 8), np.uint8)
+    key[:, :KEY_BYTES] = np.frombuffer(cell, np.uint8, n * KEY_BYTES).reshape(n, KEY_BYTES)
+    return key.view(np.int64).ravel(), np.frombuffer(cell, np.int64, n, n * KEY_BYTES)
+
+
+def _class_rows(k: int, num: int, den: int, parts: int):
+    """DOCUMENT: document a of class b with n shingles; KEY: classes and the keys of their parts; LINK: a and b share one.
+
+    Rows are dealt to ``parts`` partitions by ``deal``: keys by their value, packed, documents in turns, as ids may
+    be null or repeated.  A class comes once per task, seldom more; a task sends one class per key and flush, with
+    links to the others.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -194,15 +220,15 @@ def _class_rows(k: int, num: int, den: int):
         def flush():
             key, cls, u, v = star_edges(*[np.concatenate(x) for x in zip(*held)])
             held.clear()
-            yield _typed(KEY, key, np.zeros(len(key), np.int64), cls)
-            yield _typed(LINK, u, u, v)
+            yield packed_keys(key, cls, parts)
+            yield _typed(LINK, u.view(np.uint64) % np.uint64(parts), u, v)
 
         for b in batches:
             for at, texts in text_slices(b.column(1)):
                 sets = shingle_sets(texts, k)
                 ids = [_class_id(h) if len(h) else None for h in sets]
                 docs = b.column(0).slice(at, len(texts))
-                yield _typed(DOCUMENT, np.arange(row, row + len(texts)), docs, ids, [len(h) for h in sets])
+                yield _typed(DOCUMENT, np.arange(row, row + len(texts)) % parts, docs, ids, [len(h) for h in sets])
                 row += len(texts)
                 new = {c: h for c, h, d in zip(ids, sets, docs.to_pylist())
                        if c is not None and d is not None and c not in seen}
@@ -217,28 +243,29 @@ def _class_rows(k: int, num: int, den: int):
         if held:
             yield from flush()
 
-    return run
+    return trimmed(run)
 
 
 def _link_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The DOCUMENT rows as they are, and the links of a partition's classes as a forest."""
-    held: list[list[np.ndarray]] = []
+    keys, links = [], []
     for b in batches:
         kind = b.column(0).to_numpy(zero_copy_only=False)
         if (kind == DOCUMENT).any():
             yield b.filter(pa.array(kind == DOCUMENT))
-        if (kind != DOCUMENT).any():
-            rest = b.filter(pa.array(kind != DOCUMENT))
-            held.append([rest.column(j).to_numpy(zero_copy_only=False) for j in (0, 1, 3)])
-    if held:
-        kind, a, c = (np.concatenate(x) for x in zip(*held))
-        _, _, u, v = star_edges(a[kind == KEY], c[kind == KEY])
-        uf = UnionFind()
-        for x, y in zip([*u.tolist(), *a[kind == LINK].tolist()], [*v.tolist(), *c[kind == LINK].tolist()]):
+        keys += [unpacked_keys(x) for x in b.column(5).filter(pa.array(kind == KEY)).to_pylist()]
+        if (kind == LINK).any():
+            rest = b.filter(pa.array(kind == LINK))
+            links.append([rest.column(j).to_numpy(zero_copy_only=False).copy() for j in (2, 3)])
+    if keys:
+        links.append(star_edges(*[np.concatenate(x) for x in zip(*keys)])[2:])
+    uf = UnionFind()
+    for u, v in links:
+        for x, y in zip(u.tolist(), v.tolist()):
             uf.union(x, y)
-        nodes = list(uf.up)
-        if nodes:
-            yield _typed(LINK, nodes, nodes, [uf.find(x) for x in nodes])
+    nodes = list(uf.up)
+    if nodes:
+        yield _typed(LINK, np.zeros(len(nodes)), nodes, [uf.find(x) for x in nodes])
 
 
 def class_rows(docs: DataFrame, k: int, num: int, den: int, shingles: int = 0) -> DataFrame:
@@ -246,10 +273,9 @@ def class_rows(docs: DataFrame, k: int, num: int, den: int, shingles: int = 0) -
 
     A set sends about as many keys as it has ``shingles``, so their sum sets the number of partitions.
     """
-    schema = "kind byte, deal long, a long, b long, n long"
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shingles // KEYS_A_PART))
-    return (docs.select("doc", "text").mapInArrow(_class_rows(k, num, den), schema)
-            .repartition(n, "deal").mapInArrow(_link_classes, schema))
+    return (docs.select("doc", "text").mapInArrow(_class_rows(k, num, den, n), _ROWS_SQL)
+            .repartitionById(n, "deal").mapInArrow(trimmed(_link_classes), _ROWS_SQL).drop("keys"))
 
 
 class Trie:
@@ -394,7 +420,7 @@ def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
 
     docs = some_docs(docs, members)
     both = docs.join(members, docs["doc"] == members["least"]).select("comp", "many", "cls", "text")
-    return both.mapInArrow(run, "comp long, many long, cls long, n long, tokens binary")
+    return both.mapInArrow(trimmed(run), "comp long, many long, cls long, n long, tokens binary")
 
 
 def _block_links(num: int, den: int):
@@ -445,7 +471,7 @@ def _solve(units: DataFrame, num: int, den: int) -> DataFrame:
     n = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = units.select("unit", "side", "label", "cls", "tokens")
     return (cols.repartition(n, "unit").sortWithinPartitions("unit")
-            .mapInArrow(_block_links(num, den), "u long, v long"))
+            .mapInArrow(trimmed(_block_links(num, den)), "u long, v long"))
 
 
 def _blocks(sets: DataFrame, members: DataFrame) -> DataFrame:
@@ -516,14 +542,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     sketch = shingle_sketch(docs, k).astype(np.float64)
     levels = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + sketch)).astype(np.uint8))
-    rows, _ = write_table(class_rows(docs, k, num, den, int(sketch.sum())), "ngramrows")
+    rows, rows_at = write_table(class_rows(docs, k, num, den, int(sketch.sum())), "ngramrows")
     owners = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc"), F.col("b").alias("cls"), "n")
     coarse = connected_components(rows.filter(F.col("kind") == LINK).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    coarse, _ = write_table(coarse.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "ngramcoarse")
+    coarse, coarse_at = write_table(coarse.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "ngramcoarse")
     sizes = coarse.groupBy("comp").agg(F.count("*").alias("many"))
     least = owners.filter("cls is not null").groupBy("cls").agg(F.min("doc").alias("least"))
-    members, _ = write_table(coarse.join(least, "cls").join(sizes, "comp"), "ngrammembers")
-    sets, _ = write_table(set_rows(docs, members, k, levels), "ngramsets")
+    members, members_at = write_table(coarse.join(least, "cls").join(sizes, "comp"), "ngrammembers")
+    sets, sets_at = write_table(set_rows(docs, members, k, levels), "ngramsets")
+    for path in (coarse_at, members_at):
+        drop_table(spark, path)
     first_units = sets.select(F.concat_ws(":", "comp", _block_of("many")).alias("unit"), F.lit(0).alias("side"),
                               F.lit(None).cast("long").alias("label"), "cls", "tokens")
     links, _ = write_table(_solve(first_units, num, den), "ngramlinks")
@@ -547,8 +575,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             links = write_table(links.unionByName(more), "ngramlinks")[0]
 
     roots, _ = write_table(connected_components(links), "ngramroots")
+    drop_table(spark, sets_at)
     out, _ = write_table(owners.join(roots, owners["cls"] == roots["node"], "left")
                          .select("doc", "n", F.coalesce("root", "cls").alias("key")), "ngramdocs")
+    drop_table(spark, rows_at)
     first, _ = write_table(out.filter("key is not null").groupBy("key").agg(F.min("doc").alias("first")), "ngramfirst")
     first = first.withColumnRenamed("key", "key1")
     return (out.join(first, F.col("key") == F.col("key1"), "left")

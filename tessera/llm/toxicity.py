@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD_RE, batch_of, read_table, text_slices
+from tessera.llm.common import WORD_RE, batch_of, read_table, text_slices, trimmed
 
 SAMPLE_ROWS, SAMPLE_CHARS = 4000, 6000
 CHAIN = 128
@@ -320,7 +320,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = [r[2] for r in whole]
     if len(whole) < len(heads):
         shared = docs.sparkSession.sparkContext.broadcast(model)
-        got = (rows.filter(longer).select("__text", "__toxic").mapInArrow(_summaries(shared), "x array<double>, toxic int")
+        got = (rows.filter(longer).select("__text", "__toxic").mapInArrow(trimmed(_summaries(shared)), "x array<double>, toxic int")
                .limit(2 * SAMPLE_ROWS).collect())
         got.sort(key=tuple)
         x += [r[0] for r in got]
@@ -364,7 +364,7 @@ def toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
                            T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("ends", T.ArrayType(T.LongType()))])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
@@ -393,4 +393,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 good = [score(tagger.m, p) < THRESHOLD for p in tagger.tag(texts)]
                 yield b.slice(at, len(texts)).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

@@ -147,3 +147,18 @@ def test_connected_components(spark):
             uf.union(u, v)
     assert got == {x: uf.find(x) for u, v in edges if u is not None and u != v for x in (u, v)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_keys_are_sent_packed(spark):
+    """A partition gets a row per flush, 14 bytes a key, and every key comes out with its class."""
+    keys = np.random.default_rng(3).integers(-1 << 63, (1 << 63) - 1, 20_000)
+    classes = keys * 7
+    rows = nj.packed_keys(keys, classes, 64)
+    assert rows.num_rows == 64 and sum(len(x) for x in rows.column(5).to_pylist()) == 14 * len(keys)
+    got = [nj.unpacked_keys(x) for x in rows.column(5).to_pylist()]
+    low = (1 << 48) - 1
+    assert sorted(zip(*[np.concatenate(x).tolist() for x in zip(*got)])) == sorted(zip((keys & low).tolist(), classes.tolist()))
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(40)]
+    docs = spark.createDataFrame(texts + [(100 + i, t) for i, t in texts], "doc long, text string")
+    sent = docs.coalesce(1).mapInArrow(nj._class_rows(5, 4, 5, 8), nj._ROWS_SQL).where(f"kind = {nj.KEY}").count()
+    assert 0 < sent <= 8
