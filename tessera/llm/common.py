@@ -60,6 +60,9 @@ class _Powers:
 
     def __init__(self, base: int):
         self.base, self.inv = base, pow(base, -1, 1 << 64)
+        self.clear()
+
+    def clear(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +71,7 @@ class _Powers:
                 out = np.full(n, b, np.uint64)
                 out[0] = 1
                 return np.multiply.accumulate(out)
-            n = max(n, 2 * len(self.up))
+            n = max(n, len(self.up) + len(self.up) // 4)
             self.up, self.down = grow(self.base), grow(self.inv)
         return self.up, self.down
 
@@ -157,6 +160,8 @@ def trimmed(fn: Callable) -> Callable:
         try:
             yield from fn(batches)
         finally:
+            for powers in _POW.values():
+                powers.clear()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
             if trim:
