@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+#: Rows that a job under ``small_batches`` sends to a Python worker at once: some 2 MB of texts of 2 KB.
+BATCH_ROWS = 1000
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 _SPACE = np.zeros(256, bool)
@@ -168,3 +171,20 @@ def trimmed(fn: Callable) -> Callable:
                 trim(0)
 
     return run
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Jobs started inside send ``BATCH_ROWS`` rows at once to a worker, if the session does not ask for fewer.
+
+    Whole texts by the session's default of 10,000 rows take tens of MB a task, both in the JVM's buffers, which
+    double as they grow, and in the worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    if not 0 < int(old) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)

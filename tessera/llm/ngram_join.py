@@ -33,6 +33,8 @@ from tessera.session import drop_table, write_table
 
 CELLS = 1 << 20
 BLOCK = 256
+#: Characters hashed at once: a worker takes some 50 bytes for each.
+SLICE = 1 << 18
 #: Bits of the hash of an id in the bitmap of documents to read again: 8 MB on the driver and in each task, at any size.
 ID_BITS = 26
 _SLICES = 64
@@ -66,7 +68,7 @@ def shingle_sketch(docs: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.uint32)
         for b in batches:
-            for _, texts in text_slices(b.column(0)):
+            for _, texts in text_slices(b.column(0), SLICE):
                 sets = shingle_sets(texts, k)
                 if sets:
                     total += np.bincount(_cells(np.concatenate(sets)).astype(np.int64), minlength=CELLS).astype(np.uint32)
@@ -224,7 +226,7 @@ def _class_rows(k: int, num: int, den: int, parts: int):
             yield _typed(LINK, u.view(np.uint64) % np.uint64(parts), u, v)
 
         for b in batches:
-            for at, texts in text_slices(b.column(1)):
+            for at, texts in text_slices(b.column(1), SLICE):
                 sets = shingle_sets(texts, k)
                 ids = [_class_id(h) if len(h) else None for h in sets]
                 docs = b.column(0).slice(at, len(texts))
@@ -392,7 +394,7 @@ def some_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield b.select([0, 1]).filter(pa.array((held.value[at >> 3] >> (at & 7) & 1).astype(bool)))
 
     return (docs.filter("doc is not null").select("doc", "text", _id_cell("doc").alias("cell"))
-            .mapInArrow(run, "doc long, text string"))
+            .mapInArrow(trimmed(run), "doc long, text string"))
 
 
 def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
@@ -406,7 +408,7 @@ def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
         lv = levels.value
         seen: set[int] = set()
         for b in batches:
-            for at, texts in text_slices(b.column(3)):
+            for at, texts in text_slices(b.column(3), SLICE):
                 rows = []
                 for h, comp, many, c in zip(shingle_sets(texts, k), *[b.column(j).slice(at, len(texts)).to_pylist()
                                                                       for j in range(3)]):

@@ -1,11 +1,15 @@
+import tracemalloc
 from collections import Counter, defaultdict
 
 import corpus_pipeline as cp
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm import toxicity as tx
+from tessera.llm.common import BATCH_ROWS
+from tessera.llm.ngram_join import _class_rows
 from tessera.session import write_table
 
 from .conftest import DOC_SCHEMA, docs_rows
@@ -77,3 +81,35 @@ def test_stages_take_edge_rows(spark, clashing, no_docs):
     assert [r.text for r in out] == [None] * 3 and len(docs_rows()) > 0
     assert cp.ngram_jaccard(spark, nulls, SF).count() == 3
     assert cp.best_fit_packing(spark, nulls, SF).agg(F.sum("length")).first()[0] == 3
+
+
+def test_stages_send_small_batches(spark, monkeypatch):
+    """Whole texts go to a worker by a bounded number of rows, and the session's own setting stands again after the run."""
+    name, sent = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def probe(spark, docs, sf_dir):
+        return (spark.range(4 * BATCH_ROWS, numPartitions=1)
+                .mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"rows": [b.num_rows]}) for b in batches), "rows long"))
+
+    def keep(out, _):
+        sent.extend(r.rows for r in out.collect())
+        return out, ""
+
+    monkeypatch.setattr(cp, "STAGES", [("probe", probe)])
+    monkeypatch.setattr(cp, "write_table", keep)
+    before = spark.conf.get(name)
+    cp.run(spark, SF)
+    assert sum(sent) == 4 * BATCH_ROWS and max(sent) <= BATCH_ROWS and spark.conf.get(name) == before
+
+
+def test_shingles_are_hashed_by_small_slices():
+    """What a task takes to hash a batch of texts does not follow the batch."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(1500)) for i in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(300)), "text": texts})
+    tracemalloc.start()
+    try:
+        rows = sum(r.num_rows for r in _class_rows(5, 4, 5, 7)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows >= 300 and peak < 40 << 20
