@@ -17,21 +17,22 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_of, read_table
+from tessera.llm.common import batch_of, read_table, small_batches, trimmed
 from tessera.session import write_table
 
 MAX_TOKENS = 2048
 GROUP_PIECES = 4000
 #: Words whose ids a worker remembers; the older half, as far as it was not met again, goes when the memory is full.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Text that is split at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Texts of words that the tokenizer gets at once, as its answer holds far more than ids.
+RUNS_AT_ONCE = 8
 #: Signs that may be parted from the letters before them.
 SIGNS = ".,;:!?"
 
@@ -70,16 +71,18 @@ class WordEncoder:
         for w in words:
             (letters if w.isalpha() else single).append(w)
         runs = [letters[i:i + 500] for i in range(0, len(letters), 500)]
-        for run, e in zip(runs, self.tok.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            if len(cut) != len(run) or len(ids) != cut[-1]:
-                single += run
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, c in zip(run, (4 * cut).tolist()):
-                known[w] = raw[at:c]
-                at = c
+        for k in range(0, len(runs), RUNS_AT_ONCE):
+            some = runs[k:k + RUNS_AT_ONCE]
+            for run, e in zip(some, self.tok.encode_batch_fast([" ".join(r) for r in some], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                cut = np.flatnonzero(self.ends[ids]) + 1
+                if len(cut) != len(run) or len(ids) != cut[-1]:
+                    single += run
+                    continue
+                raw, at = ids.tobytes(), 0
+                for w, c in zip(run, (4 * cut).tolist()):
+                    known[w] = raw[at:c]
+                    at = c
         for i in range(0, len(single), 5000):
             some = single[i:i + 5000]
             lists = [e.ids for e in self.tok.encode_batch_fast(some, add_special_tokens=False)]
@@ -178,7 +181,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                 yield batch_of(PIECE, [list(c) for c in zip(*rows)])
 
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc long, piece int, start long, length long, ids_crc32 long, ids binary")
+        trimmed(run), "doc long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def lower_bound(lengths: np.ndarray, cap: int) -> int:
@@ -348,7 +351,8 @@ def pack_pieces(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_pieces: i
     those named ``sequence_id`` or ``offset`` are replaced.  An empty table gives an empty result; rows whose
     length is null or out of range raise an error in the group that meets them.
     """
-    p, _ = write_table(pieces.drop("sequence_id", "offset"), "pieces")
+    with small_batches(pieces.sparkSession):  # the pieces are cut from whole texts here
+        p, _ = write_table(pieces.drop("sequence_id", "offset"), "pieces")
     p = p.withColumn("__row", F.monotonically_increasing_id())
     p, _ = write_table(p, "numbered")
     short = F.col("length") < max_tokens
@@ -358,7 +362,7 @@ def pack_pieces(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_pieces: i
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema if f.name != "__row")
     schema += ", sequence_id long, offset long"
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):  # without types, as workers that encode have no use for pandas
         lengths = pdf["length"].to_numpy(np.int64)
         if len(lengths) and (lengths.min() < 1 or lengths.max() > max_tokens):
             raise ValueError(f"piece lengths must be 1 to {max_tokens}")

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tessera.llm import packing
 from tessera.llm import toxicity as tx
 from tessera.llm.common import BATCH_ROWS
 from tessera.llm.ngram_join import _class_rows
@@ -102,6 +103,48 @@ def test_stages_send_small_batches(spark, monkeypatch):
     assert sum(sent) == 4 * BATCH_ROWS and max(sent) <= BATCH_ROWS and spark.conf.get(name) == before
 
 
+def test_packing_sends_small_batches(spark, monkeypatch):
+    """The stage, called by itself, sends its encoder a bounded number of whole texts at once."""
+    def probe(docs, path):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"doc": b.column(0), "ids_crc32": [b.num_rows] * b.num_rows})
+
+        rows = docs.mapInArrow(run, "doc long, ids_crc32 long")
+        return rows.withColumns({"piece": F.lit(0), "start": F.lit(0), "length": F.lit(1), "ids": F.lit(None).cast("binary")})
+
+    monkeypatch.setattr(packing, "token_pieces", probe)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    out = cp.best_fit_packing(spark, spark.range(4 * BATCH_ROWS, numPartitions=1), SF)
+    assert spark.conf.get(name) == before
+    sent = [r.ids_crc32 for r in out.collect()]
+    assert len(sent) == 4 * BATCH_ROWS and max(sent) <= BATCH_ROWS
+
+
+def test_near_copies_read_small_batches(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cp, "drop_near_copies", lambda d: seen.append(int(spark.conf.get(
+        "spark.sql.execution.arrow.maxRecordsPerBatch"))) or d)
+    cp.ngram_jaccard(spark, spark.range(1), SF)
+    assert 0 < seen[0] <= BATCH_ROWS
+
+
+def test_encoder_is_bounded():
+    """What an encoder remembers and takes for a slice does not follow the number of different words."""
+    enc = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(1500)) for i in range(300)])
+    tracemalloc.start()
+    try:
+        got = [enc.flat(part) for _, part in packing._slices(texts)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 << 20
+    some = [enc.tok.encode(t, add_special_tokens=False).ids for t in texts[:20].to_pylist()]
+    assert got[0][0][:got[0][1][19]].tolist() == [x for ids in some for x in ids]
+
+
 def test_shingles_are_hashed_by_small_slices():
     """What a task takes to hash a batch of texts does not follow the batch."""
     texts = [" ".join(f"w{i}x{j}" for j in range(1500)) for i in range(300)]
