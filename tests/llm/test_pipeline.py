@@ -130,8 +130,9 @@ def test_near_copies_read_small_batches(spark, monkeypatch):
     assert 0 < seen[0] <= BATCH_ROWS
 
 
-def test_encoder_is_bounded():
+def test_encoder_is_bounded(monkeypatch):
     """What an encoder remembers and takes for a slice does not follow the number of different words."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 200_000)
     enc = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = pa.array([" ".join(f"w{i}x{j}" for j in range(1500)) for i in range(300)])
     tracemalloc.start()
