@@ -4,11 +4,13 @@
    their global order: rarer first, ties by hash.
 2. Documents with equal sets form classes.  Two classes that link differ in a bounded number d of shingles, so
    of more than d parts, into which a hash deals all shingles, some hold the same shingles in both.  Each class
-   sends one key per part; classes with equal keys form coarse groups.  A part holds several shingles, so
-   chance sharing of single shingles, which grows with the corpus, joins nothing.  A map task sends one class
-   per key and links the others to it, so a part that very many documents share stays small.
-3. Only classes with a partner ship their whole set, once; a bitmap of ``1 << ID_BITS`` hashed ids keeps most
-   other texts out of the exchange that finds theirs.  Coarse groups are dealt to blocks of about
+   sends one key per part.  As at most d parts of a class differ from those of a partner, a class of which more
+   are found nowhere else links with nothing; chance sharing of a few shingles, which grows with the corpus,
+   keeps no class.  A map task sends one class per key and counts the others itself, so a part that very many
+   documents share stays small.
+3. Only classes with enough shared parts ship their whole set, once; a bitmap of ``1 << ID_BITS`` hashed ids keeps
+   most other texts out of the exchange that finds theirs.  Among these classes alone, equal keys form coarse
+   groups (a map task links the others to the class that it sends), dealt to blocks of about
    ``BLOCK`` sets; each block is a trie of the ordered sets, and each set walks it, sharing the overlap
    counted on common paths and leaving subtrees whose remaining length cannot reach the threshold, or
    whose sets are in its component already.
@@ -138,17 +140,29 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
     If one set of a pair has no more than ``spare`` small parts, an equal part is not small; if both have more,
     their prefixes, the n - ceil(t n) + 1 first shingles by hash, share one.
     """
+    return banded_keys(sets, num, den)[:2]
+
+
+def banded_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``part_keys`` with the slot of each key, and the least shared keys of each set by slot (0: it has no keys there).
+
+    A slot is a band, counted down from the set's own; the last holds all further ones.  Sets of a and b shingles
+    that link differ in at most (a + b) (den - num) / (num + den), where b is at most den a / num, and at most the
+    band's top if the band lies below a's.  Each spoils one part, and the others are equal, so of a set's parts
+    that are not small all but so many have their equals in a partner, and one key has in any case.
+    """
     least, parts, spares, small = part_plan(num, den)
     sizes = np.array([len(h) for h in sets], np.int64)
+    need = np.zeros((len(sets), SLOTS), np.int64)
     if not sizes.sum():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), need
     h, ends = np.concatenate(sets), np.cumsum(sizes)
     owner = np.repeat(np.arange(len(sets)), sizes)
     place = mix64(h ^ np.uint64(0x5851F42D4C957F2D))
     value = mix64(h ^ np.uint64(0x2545F4914F6CDD1D))
     own = np.searchsorted(least, sizes, "right") - 1
     lowest = np.searchsorted(least, -(-num * sizes // den), "right") - 1
-    keys, whose = [], []
+    keys, whose, slots = [], [], []
     for back in range(int((own - lowest).max()) + 1):
         band = np.maximum(own - back, 0)
         m = np.where((own - back >= lowest) & (sizes > 0), parts[band], 0)
@@ -166,18 +180,29 @@ def part_keys(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, n
         tiny = held <= small[band[who]]
         keys.append(mix64(halves[0] + (halves[1] << np.uint64(32)) + mix64(part))[~tiny])
         whose.append(who[~tiny])
+        full = np.bincount(whose[-1], minlength=len(sets))
+        apart = (sizes + least[band + 1] - 1) * (den - num) // (num + den) if back else (den - num) * sizes // num
+        slot = min(back, SLOTS - 1)
+        slots.append(np.full(len(whose[-1]), slot, np.uint64))
+        now = np.where(m > 0, np.maximum(1, full - apart), 0)
+        need[:, slot] = np.where(need[:, slot] * now > 0, np.minimum(need[:, slot], now), need[:, slot] + now)
         for i in np.flatnonzero(np.bincount(who, tiny, len(sets)) > spares[band]).tolist():
             prefix = np.sort(place[ends[i] - sizes[i]:ends[i]])[:sizes[i] + num * -sizes[i] // den + 1]
             keys.append(mix64(prefix + np.uint64(band[i])))
             whose.append(np.full(len(prefix), i))
-    return (np.concatenate(keys), np.concatenate(whose)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            slots.append(np.full(len(prefix), slot, np.uint64))
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), need
+    return np.concatenate(keys), np.concatenate(whose), np.concatenate(slots), need
 
 
 _ROWS = pa.schema([("kind", pa.int8()), ("deal", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()),
                    ("keys", pa.binary())])
 _ROWS_SQL = "kind byte, deal int, a long, b long, n long, keys binary"
-DOCUMENT, KEY, LINK = range(3)
+DOCUMENT, KEY, LINK, NEED, SHARED = range(5)
 KEY_BYTES = 6  # of a key that are sent, besides its partition: chance equals only join coarse groups
+SLOTS = 8
+_SLOT, _COUNTED, _LOW = np.uint64(7), np.uint64(8), np.uint64(15)  # of the low bits of a key that is sent to be counted
 KEYS_A_PART, KEYS_A_FLUSH = 200_000, 500_000  # held in a task at once, about
 
 
@@ -207,12 +232,37 @@ def unpacked_keys(cell: bytes) -> tuple[np.ndarray, np.ndarray]:
     return key.view(np.int64).ravel(), np.frombuffer(cell, np.int64, n, n * KEY_BYTES)
 
 
+def _shared(key: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position of one row per key, whether its key has several classes, positions of the classes of such keys)."""
+    order = np.lexsort((cls, key))
+    k, c = key[order], cls[order]
+    head = np.ones(len(k), bool)
+    head[1:] = k[1:] != k[:-1]
+    pair = head.copy()
+    pair[1:] |= c[1:] != c[:-1]
+    at = np.flatnonzero(head)
+    many = np.add.reduceat(pair.astype(np.int64), at) > 1 if len(k) else head
+    return order[at], many, order[pair & many[np.cumsum(head) - 1]]
+
+
+def _counts(cls: np.ndarray, slot: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A SHARED row per class and slot: so many rows."""
+    order = np.lexsort((slot, cls))
+    c, s = cls[order], slot[order]
+    head = np.ones(len(c), bool)
+    head[1:] = (c[1:] != c[:-1]) | (s[1:] != s[:-1])
+    at = np.flatnonzero(head)
+    return _typed(SHARED, c[at].view(np.uint64) % np.uint64(parts), c[at], s[at].astype(np.int64), np.diff([*at, len(c)]))
+
+
 def _class_rows(k: int, num: int, den: int, parts: int):
-    """DOCUMENT: document a of class b with n shingles; KEY: classes and the keys of their parts; LINK: a and b share one.
+    """DOCUMENT: document a of class b with n shingles; KEY: classes and the keys of their parts; NEED and SHARED: class a
+    needs n shared keys in slot b, and has n.
 
     Rows are dealt to ``parts`` partitions by ``deal``: keys by their value, packed, documents in turns, as ids may
-    be null or repeated.  A class comes once per task, seldom more; a task sends one class per key and flush, with
-    links to the others.
+    be null or repeated.  A class comes once per task, seldom more; a task sends one class per key and flush, and
+    counts the key for all of its classes if they are several.  A key may be counted twice for a class, never less
+    than once.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -220,10 +270,11 @@ def _class_rows(k: int, num: int, den: int, parts: int):
         row = 0
 
         def flush():
-            key, cls, u, v = star_edges(*[np.concatenate(x) for x in zip(*held)])
+            key, cls = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            yield packed_keys(key, cls, parts)
-            yield _typed(LINK, u.view(np.uint64) % np.uint64(parts), u, v)
+            first, many, both = _shared(key & ~_LOW, cls)
+            yield packed_keys(as_signed(key[first] | np.where(many, _COUNTED, np.uint64(0))), cls[first], parts)
+            yield _counts(cls[both], key[both] & _SLOT, parts)
 
         for b in batches:
             for at, texts in text_slices(b.column(1), SLICE):
@@ -235,9 +286,12 @@ def _class_rows(k: int, num: int, den: int, parts: int):
                 new = {c: h for c, h, d in zip(ids, sets, docs.to_pylist())
                        if c is not None and d is not None and c not in seen}
                 seen |= new.keys()
-                key, whose = part_keys(list(new.values()), num, den)
+                key, whose, slot, need = banded_keys(list(new.values()), num, den)
                 if len(key):
-                    held.append((as_signed(key), np.array(list(new), np.int64)[whose]))
+                    cls = np.array(list(new), np.int64)
+                    held.append((key & ~_LOW | slot, cls[whose]))
+                    who, at_slot = np.nonzero(need)
+                    yield _typed(NEED, cls[who].view(np.uint64) % np.uint64(parts), cls[who], at_slot, need[who, at_slot])
             if sum(len(x) for x, _ in held) > KEYS_A_FLUSH:
                 yield from flush()
             if len(seen) > 1_000_000:
@@ -248,13 +302,30 @@ def _class_rows(k: int, num: int, den: int, parts: int):
     return trimmed(run)
 
 
+def _count_keys(parts: int):
+    """All rows but the KEY rows as they are, and for those the SHARED rows of keys that several classes have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = []
+        for b in batches:
+            kind = b.column(0).to_numpy(zero_copy_only=False)
+            if (kind != KEY).any():
+                yield b.filter(pa.array(kind != KEY))
+            keys += [unpacked_keys(x) for x in b.column(5).filter(pa.array(kind == KEY)).to_pylist()]
+        if keys:
+            key, cls = (np.concatenate(x) for x in zip(*keys))
+            key = key.view(np.uint64)
+            both = _shared(key & ~_LOW, cls)[2]
+            both = both[key[both] & _COUNTED == 0]
+            yield _counts(cls[both], key[both] & _SLOT, parts)
+
+    return run
+
+
 def _link_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The DOCUMENT rows as they are, and the links of a partition's classes as a forest."""
+    """The links of a partition's classes, by KEY and LINK rows, as a forest."""
     keys, links = [], []
     for b in batches:
         kind = b.column(0).to_numpy(zero_copy_only=False)
-        if (kind == DOCUMENT).any():
-            yield b.filter(pa.array(kind == DOCUMENT))
         keys += [unpacked_keys(x) for x in b.column(5).filter(pa.array(kind == KEY)).to_pylist()]
         if (kind == LINK).any():
             rest = b.filter(pa.array(kind == LINK))
@@ -270,14 +341,57 @@ def _link_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _typed(LINK, np.zeros(len(nodes)), nodes, [uf.find(x) for x in nodes])
 
 
-def class_rows(docs: DataFrame, k: int, num: int, den: int, shingles: int = 0) -> DataFrame:
-    """DOCUMENT rows of all of ``docs`` (doc, text), and LINK rows that join the classes with an equal part.
+def _partitions(spark, shingles: int) -> int:
+    """A set sends about as many keys as it has shingles."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shingles // KEYS_A_PART))
 
-    A set sends about as many keys as it has ``shingles``, so their sum sets the number of partitions.
-    """
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shingles // KEYS_A_PART))
+
+def class_rows(docs: DataFrame, k: int, num: int, den: int, shingles: int = 0) -> DataFrame:
+    """DOCUMENT, NEED and SHARED rows of all of ``docs`` (doc, text), which have about so many ``shingles``."""
+    n = _partitions(docs.sparkSession, shingles)
     return (docs.select("doc", "text").mapInArrow(_class_rows(k, num, den, n), _ROWS_SQL)
-            .repartitionById(n, "deal").mapInArrow(trimmed(_link_classes), _ROWS_SQL).drop("keys"))
+            .repartitionById(n, "deal").mapInArrow(trimmed(_count_keys(n)), _ROWS_SQL).drop("keys"))
+
+
+def alike_classes(rows: DataFrame) -> DataFrame:
+    """(cls) of the classes with as many shared keys as a partner asks for, in the band of one."""
+    def total(kind):
+        return F.sum(F.when(F.col("kind") == kind, F.col("n")))
+
+    return (rows.filter(F.col("kind").isin(NEED, SHARED)).groupBy("a", "b")
+            .agg(F.max(F.when(F.col("kind") == NEED, F.col("n"))).alias("need"), total(SHARED).alias("shared"))
+            .filter("shared >= need").select(F.col("a").alias("cls")).distinct())
+
+
+def class_links(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(u, v): links that join the classes of ``sets`` (cls, n, tokens) with an equal part."""
+    spark = sets.sparkSession
+    n = _partitions(spark, int(sets.agg(F.sum("n")).first()[0] or 0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush():
+            key, cls, u, v = star_edges(*[np.concatenate(x) for x in zip(*held)])
+            held.clear()
+            yield packed_keys(key, cls, n)
+            yield _typed(LINK, u.view(np.uint64) % np.uint64(n), u, v)
+
+        for b in batches:
+            cls, size = (b.column(j).to_numpy() for j in (0, 1))
+            cut = np.flatnonzero(np.diff(np.cumsum(size) // (SLICE // 4), prepend=0)) if len(size) else []
+            for lo, hi in zip([0, *cut], [*cut, len(size)]):
+                key, whose = part_keys([np.frombuffer(x.as_py(), np.uint64) for x in b.column(2)[lo:hi]], num, den)
+                if len(key):
+                    held.append((as_signed(key), cls[lo:hi][whose]))
+                if sum(len(x) for x, _ in held) > KEYS_A_FLUSH:
+                    yield from flush()
+        if held:
+            yield from flush()
+
+    return (sets.select("cls", "n", "tokens").mapInArrow(trimmed(run), _ROWS_SQL)
+            .repartitionById(n, "deal").mapInArrow(trimmed(_link_classes), _ROWS_SQL)
+            .select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 class Trie:
@@ -398,31 +512,30 @@ def some_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, members: DataFrame, k: int, levels) -> DataFrame:
-    """(comp, many, cls, n, tokens) of the classes in ``members`` (cls, comp, many, least): each read from one document.
+    """(cls, n, tokens) of the classes in ``members`` (cls, least): each read from one document.
 
     Repeated rows of an id give a class once per task, seldom more; readers take equal rows as one.
     """
-    schema = pa.schema([(c, pa.int64()) for c in ("comp", "many", "cls", "n")] + [("tokens", pa.binary())])
+    schema = pa.schema([(c, pa.int64()) for c in ("cls", "n")] + [("tokens", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lv = levels.value
         seen: set[int] = set()
         for b in batches:
-            for at, texts in text_slices(b.column(3), SLICE):
+            for at, texts in text_slices(b.column(1), SLICE):
                 rows = []
-                for h, comp, many, c in zip(shingle_sets(texts, k), *[b.column(j).slice(at, len(texts)).to_pylist()
-                                                                      for j in range(3)]):
+                for h, c in zip(shingle_sets(texts, k), b.column(0).slice(at, len(texts)).to_pylist()):
                     if len(h) and c not in seen and _class_id(h) == c:  # an id may have several texts
                         seen.add(c)
-                        rows.append((comp, many, c, len(h), ordered_tokens(h, lv).tobytes()))
+                        rows.append((c, len(h), ordered_tokens(h, lv).tobytes()))
                 if rows:
                     yield batch_of(schema, [list(x) for x in zip(*rows)])
                 if len(seen) > 1_000_000:
                     seen.clear()
 
     docs = some_docs(docs, members)
-    both = docs.join(members, docs["doc"] == members["least"]).select("comp", "many", "cls", "text")
-    return both.mapInArrow(trimmed(run), "comp long, many long, cls long, n long, tokens binary")
+    both = docs.join(members, docs["doc"] == members["least"]).select("cls", "text")
+    return both.mapInArrow(trimmed(run), "cls long, n long, tokens binary")
 
 
 def _block_links(num: int, den: int):
@@ -546,13 +659,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     levels = spark.sparkContext.broadcast(np.minimum(255, 8 * np.log2(1 + sketch)).astype(np.uint8))
     rows, rows_at = write_table(class_rows(docs, k, num, den, int(sketch.sum())), "ngramrows")
     owners = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc"), F.col("b").alias("cls"), "n")
-    coarse = connected_components(rows.filter(F.col("kind") == LINK).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    alike, alike_at = write_table(alike_classes(rows), "ngramalike")
+    least = owners.filter("cls is not null").join(alike, "cls", "left_semi").groupBy("cls").agg(F.min("doc").alias("least"))
+    members, members_at = write_table(least, "ngrammembers")
+    alone, alone_at = write_table(set_rows(docs, members, k, levels), "ngramalone")
+    coarse = connected_components(class_links(alone, num, den))
     coarse, coarse_at = write_table(coarse.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "ngramcoarse")
     sizes = coarse.groupBy("comp").agg(F.count("*").alias("many"))
-    least = owners.filter("cls is not null").groupBy("cls").agg(F.min("doc").alias("least"))
-    members, members_at = write_table(coarse.join(least, "cls").join(sizes, "comp"), "ngrammembers")
-    sets, sets_at = write_table(set_rows(docs, members, k, levels), "ngramsets")
-    for path in (coarse_at, members_at):
+    sets, sets_at = write_table(alone.join(coarse.join(sizes, "comp"), "cls").select("comp", "many", "cls", "n", "tokens"),
+                                "ngramsets")
+    for path in (alike_at, members_at, alone_at, coarse_at):
         drop_table(spark, path)
     first_units = sets.select(F.concat_ws(":", "comp", _block_of("many")).alias("unit"), F.lit(0).alias("side"),
                               F.lit(None).cast("long").alias("label"), "cls", "tokens")

@@ -162,3 +162,40 @@ def test_keys_are_sent_packed(spark):
     docs = spark.createDataFrame(texts + [(100 + i, t) for i, t in texts], "doc long, text string")
     sent = docs.coalesce(1).mapInArrow(nj._class_rows(5, 4, 5, 8), nj._ROWS_SQL).where(f"kind = {nj.KEY}").count()
     assert 0 < sent <= 8
+
+
+@pytest.mark.parametrize("num,den", [(90, 100), (4, 5), (1, 2), (1, 9)])
+def test_linked_sets_share_as_many_keys_as_each_needs(num, den):
+    rng = np.random.default_rng(11)
+    for n in [*range(1, 40), 60, 99, 100, 125, 211, 300, 1000]:
+        for _ in range(8):
+            a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            b = rng.permutation(a)[:rng.integers(-(-num * n // den), n + 1)]
+            more = max(0, (den * len(b) - num * n) // num)
+            b = np.unique(np.concatenate([b, rng.integers(0, 1 << 62, more).astype(np.uint64)]))
+            if len(a) == len(b) == len(np.intersect1d(a, b)):
+                continue
+            key, whose, slot, need = nj.banded_keys([a, b], num, den)
+            both = np.isin(key, np.intersect1d(key[whose == 0], key[whose == 1]))
+            for x in (0, 1):
+                shared = np.bincount(slot[both & (whose == x)].astype(int), minlength=nj.SLOTS)
+                assert ((need[x] > 0) & (shared >= need[x])).any(), n
+
+
+def test_texts_that_share_a_few_shingles_ship_no_set(spark, monkeypatch):
+    """Chance sharing grows with the corpus; only classes that may have a partner are read again."""
+    rng = random.Random(5)
+    phrases = [[f"p{i}x{j}" for j in range(6)] for i in range(40)]
+    texts = [[w for p in rng.sample(phrases, 10) for w in [*p, *(f"d{d}n{rng.random()}" for _ in range(20))]] for d in range(100)]
+    texts.append([*texts[0][:-9], *"nine words that are found in one text alone".split()])
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    read, old = [], nj.set_rows
+
+    def set_rows(docs, members, *rest):
+        read.append(members.count())
+        return old(docs, members, *rest)
+
+    monkeypatch.setattr(nj, "set_rows", set_rows)
+    df = spark.createDataFrame(rows, DOC_SCHEMA).repartition(4)
+    assert Counter(tuple(r) for r in nj.jaccard_components(df, k=5, num=4, den=5).collect()) == brute(rows, 5, 4, 5)
+    assert read == [2]
