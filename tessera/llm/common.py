@@ -157,18 +157,38 @@ def as_signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def trimmed(fn: Callable) -> Callable:
-    """``fn`` for mapInArrow; at a task's end the worker, which waits for the next one, gives back the memory it has free."""
+#: What this worker keeps from task to task, and how to free it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def free_kept(but: str | None) -> None:
+    for name, free in KEPT.items():
+        if name != but:
+            free()
+
+
+def free_unused() -> None:
+    for powers in _POW.values():
+        powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
+def trimmed(fn: Callable, keeps: str | None = None) -> Callable:
+    """``fn`` for mapInArrow; a task frees what others keep in its worker, but for what it ``keeps`` itself, and at its
+    end the worker, which waits for the next one, gives back the memory it has free.
+
+    The helpers are functions of this module, as those reach a worker by name; a table named in ``run`` would come as a copy.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_kept(keeps)
+        free_unused()
         try:
             yield from fn(batches)
         finally:
-            for powers in _POW.values():
-                powers.clear()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
-            if trim:
-                trim(0)
+            free_unused()
 
     return run
 

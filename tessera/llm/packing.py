@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_of, read_table, small_batches, trimmed
+from tessera.llm.common import KEPT, batch_of, read_table, small_batches, trimmed
 from tessera.session import write_table
 
 MAX_TOKENS = 2048
@@ -148,6 +148,7 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+KEPT["encoder"] = _ENCODERS.clear
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -181,7 +182,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                 yield batch_of(PIECE, [list(c) for c in zip(*rows)])
 
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        trimmed(run), "doc long, piece int, start long, length long, ids_crc32 long, ids binary")
+        trimmed(run, "encoder"), "doc long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def lower_bound(lengths: np.ndarray, cap: int) -> int:

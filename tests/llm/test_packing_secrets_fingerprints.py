@@ -5,10 +5,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
+from tessera.llm import common, packing, secrets
 from tessera.llm import fingerprints as fp
-from tessera.llm import packing, secrets
 
 from .conftest import docs_rows
 
@@ -177,3 +178,14 @@ def test_fingerprint_survives_a_shift(spark):
     text = max((t for t in sample_texts(spark) if t), key=lambda t: len(set(t.split())))
     a, b = fp.fingerprint(text), fp.fingerprint("some words in front " + text)
     assert fp.containment(a, b) > 0.8
+
+
+def test_a_task_frees_what_others_keep():
+    """In a worker, where functions arrive pickled, the memory of words goes when a task of another kind starts."""
+    def sent(*keeps):
+        return cloudpickle.loads(cloudpickle.dumps(common.trimmed(lambda batches: batches, *keeps)))
+
+    packing._encoder(public_tokenizers.path("word_bpe_49k.json"))
+    common._POW[common._B1].upto(1000)
+    assert list(sent("encoder")(iter([]))) == [] and packing._ENCODERS and len(common._POW[common._B1].up) == 1
+    assert list(sent()(iter([]))) == [] and not packing._ENCODERS
